@@ -19,7 +19,7 @@ def verdicts(cases: DataFrame, responses: DataFrame) -> DataFrame:
     """
     joined = cases.join(responses, "test", "left")
     status_ok = F.col("status_code") == 200
-    matches = F.col("response").rlike(F.concat(F.lit("(?iu)"), F.col("expected_pattern")))
+    matches = F.rlike("response", F.concat(F.lit("(?iu)"), F.col("expected_pattern")))
     return joined.select(
         "test",
         F.when(F.col("status_code").isNull(), "ERROR")
