@@ -13,15 +13,15 @@ from pyspark.sql import types as T
 
 from corpuskit import fixed
 
-# Characters that NFKC leaves alone wherever they stand (quick-check "yes", never
-# reordered, never composed with the character before). The ampersand is left out
-# because it may start an entity. A text made of these needs no Python at all.
+# Characters beyond ASCII that NFKC leaves alone wherever they stand (quick-check "yes",
+# never reordered, never composed with the character before). A text of these and ASCII
+# only, without an ampersand that may start an entity, needs no Python at all.
 STABLE = (
-    r"\x{00}-\x{25}\x{27}-\x{7F}\x{C0}-\x{0131}\x{0134}-\x{013E}\x{0141}-\x{0148}"
-    r"\x{014A}-\x{017E}\x{0410}-\x{044F}\x{2018}-\x{201F}\x{3041}-\x{3094}"
-    r"\x{30A1}-\x{30FA}\x{4E00}-\x{9FFF}\x{AC00}-\x{D7A3}"
+    r"\x{C0}-\x{0131}\x{0134}-\x{013E}\x{0141}-\x{0148}\x{014A}-\x{017E}\x{0410}-\x{044F}"
+    r"\x{2018}-\x{201F}\x{3041}-\x{3094}\x{30A1}-\x{30FA}\x{4E00}-\x{9FFF}\x{AC00}-\x{D7A3}"
 )
-_UNSTABLE = f"[^{STABLE}]"
+# The outer range is tested first and settles ASCII at once.
+_UNSTABLE = f"[\\x{{80}}-\\x{{10FFFF}}&&[^{STABLE}]]"
 _TAG_RE = re.compile(fixed.TAG)
 
 
@@ -54,10 +54,15 @@ def _fold(values: pa.Array) -> pa.Array:
 
 
 def _only_where(needed: Column, text: Column, udf, otherwise: Column) -> Column:
-    # Rows that need no work reach Python as NULL, so their text never leaves the JVM.
+    # Rows that need no work reach Python as NULL, so their text never leaves the JVM, and
+    # the alternative is only computed for them.
     return F.coalesce(udf(F.when(needed, text)), otherwise)
 
 
+def _may_change(text: Column) -> Column:
+    return text.contains("&") | text.rlike(_UNSTABLE)
+
+
 def decode_entities(text: Column) -> Column:
     """HTML entities to characters."""
     return _only_where(text.contains("&"), text, _decode, text)
@@ -68,12 +73,14 @@ def nfkc(text: Column) -> Column:
     return _only_where(text.rlike(_UNSTABLE), text, _fold, text)
 
 
-def decode_and_fold(text: Column) -> Column:
-    """Entities decoded, then NFKC, in one Arrow hop."""
-    return _only_where(text.rlike(_UNSTABLE), text, _decode_fold, text)
+def strip_decode_fold(text: Column) -> Column:
+    """Tags to spaces, entities decoded, then NFKC, in at most one Arrow hop."""
+    bare = F.regexp_replace(text, fixed.TAG, " ")
+    return _only_where(_may_change(text), bare, _decode_fold, bare)
 
 
-def decode_strip_decode_and_fold(text: Column) -> Column:
-    """Parser-style decoding followed by the plain cleaning steps, in one Arrow hop."""
-    native = F.regexp_replace(text, fixed.TAG, " ")
-    return _only_where(text.rlike(_UNSTABLE), text, _decode_strip_decode_fold, native)
+def decode_strip_decode_fold(html_text: Column, bare: Column) -> Column:
+    """Parser-style decoding of ``bare``, ``html_text`` without its markup, followed by
+    :func:`strip_decode_fold`, in at most one Arrow hop."""
+    native = F.regexp_replace(bare, fixed.TAG, " ")
+    return _only_where(_may_change(html_text), bare, _decode_strip_decode_fold, native)

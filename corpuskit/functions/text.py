@@ -21,6 +21,9 @@ _MARKUP = (
     r"|<[/a-z!?][^>]*>"
 )
 
+# A run of whitespace other than a lone space, which can stay as it is.
+_RUN = f" {fixed.WHITESPACE}+|[{fixed.WHITESPACE}&&[^ ]]{fixed.WHITESPACE}*"
+
 
 def strip_tags(text: Column) -> Column:
     """Every ``<...>`` becomes a space."""
@@ -29,12 +32,12 @@ def strip_tags(text: Column) -> Column:
 
 def collapse_whitespace(text: Column) -> Column:
     """Runs of Unicode whitespace become one space; ends are trimmed."""
-    return F.trim(F.regexp_replace(text, fixed.WHITESPACE + "+", " "))
+    return F.trim(F.regexp_replace(text, _RUN, " "))
 
 
 def clean_text(text: Column) -> Column:
     """Tags, entities, NFKC, whitespace - in that order; NULL becomes ''."""
-    return collapse_whitespace(normalise.decode_and_fold(strip_tags(F.coalesce(text, F.lit("")))))
+    return collapse_whitespace(normalise.strip_decode_fold(F.coalesce(text, F.lit(""))))
 
 
 def markup_removed(html: Column) -> Column:
@@ -57,8 +60,8 @@ def preprocess_text(text: Column, mode: str = "parsed") -> Column:
         return clean_text(text)
     if mode != "parsed":
         raise ValueError(f"unknown mode {mode!r}")
-    bare = markup_removed(F.coalesce(text, F.lit("")))
-    return collapse_whitespace(normalise.decode_strip_decode_and_fold(bare))
+    page = F.coalesce(text, F.lit(""))
+    return collapse_whitespace(normalise.decode_strip_decode_fold(page, markup_removed(page)))
 
 
 def apply_rules(text: Column, rules: Sequence[Callable[[Column], Column]]) -> Column:
@@ -131,8 +134,7 @@ def answer_part(response: Column) -> Column:
 
 def strip_ends(text: Column) -> Column:
     """Whitespace off both ends, inner whitespace kept."""
-    ws = fixed.WHITESPACE
-    return F.regexp_replace(text, f"^{ws}+|{ws}+$", "")
+    return F.btrim(text, F.lit(fixed.WHITESPACE_CHARACTERS))
 
 
 def is_blank(text: Column) -> Column:

@@ -47,15 +47,11 @@ def perplexity(train: DataFrame, validation: DataFrame, tokens: str = "tokens")
     known = token_counts(train, tokens).select("token", F.col("n").alias("seen"))
     size = known.agg(F.sum("seen").alias("total"), F.count("*").alias("types"))
     asked = token_counts(validation, tokens).join(known, "token", "left")
-    # Two sums leave the join; the one-row total is joined to that one row.
-    sums = asked.agg(
+    all_counts = size.select((F.col("total") + F.col("types") + 1).alias("all")).scalar()
+    return asked.agg(
         F.sum("n").alias("tokens"),
         F.sum(F.col("n") * F.log(F.coalesce("seen", F.lit(0)) + 1)).alias("log_seen"),
-    )
-    one = F.lit(1).alias("one")
-    both = sums.select("*", one).join(F.broadcast(size.select("*", one)), "one")
-    log_probability = F.col("log_seen") / F.col("tokens") - F.log(F.col("total") + F.col("types") + 1)
-    return both.select("tokens", F.exp(-log_probability).alias("perplexity"))
+    ).select("tokens", F.exp(F.log(all_counts) - F.col("log_seen") / F.col("tokens")).alias("perplexity"))
 
 
 def logprob_perplexity(scored: DataFrame, logprob: str, by: Sequence[str] = ()) -> DataFrame:

@@ -51,12 +51,10 @@ def late_rows(log: DataFrame, windows: DataFrame) -> DataFrame:
         F.count("*").alias("expected")
     )
     counted = windows.select("window_start", "endpoint", F.col("requests").alias("counted"))
-    closed = windows.agg(F.max("window_start").alias("last")).withColumn("one", F.lit(1))
+    last_closed = windows.agg(F.max("window_start")).scalar()
     return (
         expected.join(counted, ["window_start", "endpoint"], "left")
-        .withColumn("one", F.lit(1))
-        .join(F.broadcast(closed), "one")
-        .filter(F.col("window_start") <= F.col("last"))
+        .filter(F.col("window_start") <= last_closed)
         .agg(
             F.sum("expected").alias("rows"),
             (F.sum("expected") - F.coalesce(F.sum("counted"), F.lit(0))).alias("late_rows"),
