@@ -12,7 +12,7 @@ from corpuskit.catalogue.registry import query
 from corpuskit.functions import text as tx
 from corpuskit.functions.tokens import passages, token_count, tokens
 from corpuskit.operators import dedup, quality, splits, versions
-from corpuskit.operators.encoding import Vocabulary, pad
+from corpuskit.operators.encoding import Vocabulary, pad, pretrained_encoder
 from corpuskit.operators.vocabulary import learn_vocabulary, vocabulary_properties
 from corpuskit.plans import corpus
 from corpuskit.session import durable, new_path
@@ -363,6 +363,26 @@ def decode(spark, sf):
     return encoded.select("doc_id", lookup.decode(F.col("ids")).alias("text"))
 
 
+@query(
+    "encode_pretrained",
+    f"""{_DOC_VOCAB}, flat AS (SELECT doc_id, unnest(t[1:{L}]) AS token, generate_subscripts(t[1:{L}], 1) AS pos FROM toks),
+    j AS (SELECT doc_id, string_agg(coalesce(id, 1)::VARCHAR, ' ' ORDER BY pos) AS ids
+      FROM flat LEFT JOIN vocab USING (token) GROUP BY 1)
+    SELECT doc_id, coalesce(ids, '') AS ids FROM documents LEFT JOIN j USING (doc_id)""",
+)
+def encode_pretrained(spark, sf):
+    # A ready-made tokenizer definition, here one holding the learned vocabulary.
+    from tokenizers import Regex, Tokenizer, models, pre_tokenizers
+
+    table = Vocabulary(durable(_vocabulary(spark, sf), "vocabulary")).as_dict()
+    made = Tokenizer(models.WordLevel(table, unk_token="<unk>"))
+    made.pre_tokenizer = pre_tokenizers.Split(Regex(fixed.WORD_OR_PUNCTUATION), behavior="removed", invert=True)
+    encode_text = pretrained_encoder(spark, made.to_str(), L)
+    return documents(spark, sf).select(
+        "doc_id", F.array_join(encode_text(F.col("text")).cast("array<string>"), " ").alias("ids")
+    )
+
+
 # --- quality
 
 
@@ -422,7 +442,7 @@ def _flat_report(report: DataFrame) -> DataFrame:
 
 @query("quality_report", f"{_REPORT_ENC}, {_COVER}, {_DUP} {_REPORT_SELECT}")
 def quality_report(spark, sf):
-    return _flat_report(quality.quality_report(_padded(spark, sf), V))
+    return _flat_report(quality.quality_report(durable(_padded(spark, sf), "encoded"), V))
 
 
 @query(
@@ -518,6 +538,16 @@ def corpus_report(spark, sf):
     return _flat_report(corpus.validate(spark, path, V))
 
 
+@query(
+    "corpus_fingerprints",
+    f"""{_BUILD_ENC}, p AS (SELECT split, sha256(array_to_string(list_concat(ids, list_resize([]::INTEGER[], {L} - len(ids), 0)), ' ')) AS d FROM enc
+      UNION ALL SELECT 'vocabulary', sha256(id || ' ' || token) FROM (SELECT id, token FROM vocab UNION ALL ({_SPECIALS})))
+    SELECT split, count(*) AS rows, sha256({_sums_sql()}) AS digest FROM p GROUP BY split""",
+)
+def corpus_fingerprints(spark, sf):
+    return corpus.fingerprints(corpus.build(inputs.raw_lines(spark, sf), "line_no"))
+
+
 @query("export_documents", "SELECT doc_id, lang, text FROM documents")
 def export_documents(spark, sf):
     path = new_path(spark, "export")

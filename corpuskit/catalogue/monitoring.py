@@ -135,7 +135,7 @@ _RULES = [("view", ">", 45.0, 120), ("error", ">", 50.0, 60), ("purchase", "<",
 def alert_rules(spark, sf):
     gauges = (
         inputs.table(spark, sf, "events")
-        .groupBy(F.col("event_type").alias("series"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"))
+        .groupBy(F.col("event_type").alias("series"), F.window("ts", "1 hour").getField("start").alias("ts"))
         .agg(F.avg("value").alias("value"))
     )
     rules = spark.createDataFrame(_RULES, "series string, op string, threshold double, hold_minutes int")

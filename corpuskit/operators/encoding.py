@@ -38,6 +38,7 @@ class Vocabulary:
         ids = rows.column("id").combine_chunks().cast(pa.int32())
         tokens = rows.column("token").combine_chunks().cast(pa.string())
         self.size = rows.num_rows
+        self._known = (ids, tokens)
         shared = table.sparkSession.sparkContext.broadcast((ids, tokens))
 
         @F.arrow_udf("array<int>")
@@ -57,6 +58,10 @@ class Vocabulary:
 
         self._to_ids, self._to_tokens = to_ids, to_tokens
 
+    def as_dict(self) -> dict[str, int]:
+        known, names = self._known
+        return dict(zip(names.to_pylist(), known.to_pylist()))
+
     def ids(self, tokens: Column) -> Column:
         """Token ids, the unknown id for tokens outside the vocabulary."""
         return self._to_ids(tokens)

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from corpuskit import fixed
 
 BROADCAST_BYTES = 64 << 20
-GRID_QUERIES = 8_192
-GRID_VECTORS = 65_536
+GRID_BYTES = 32 << 20
 _TILE_QUERIES = 1_024
 _TILE_VECTORS = 4_096
 _EXACT_PAIRS = 65_536
@@ -90,9 +89,9 @@ def _against_broadcast(vectors: DataFrame, queries: pa.Table, k: int) -> DataFra
     return vectors.mapInArrow(nearest, _HITS)
 
 
-def _on_grid(vectors: DataFrame, queries: DataFrame, k: int, n_vectors: int, n_queries: int) -> DataFrame:
-    rows = -(-n_queries // GRID_QUERIES)
-    columns = -(-n_vectors // GRID_VECTORS)
+def _on_grid(vectors: DataFrame, queries: DataFrame, k: int, vector_bytes: int, query_bytes: int) -> DataFrame:
+    rows = -(-query_bytes // GRID_BYTES)
+    columns = -(-vector_bytes // GRID_BYTES)
 
     def deal(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
         return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n_own)).cast("int")).withColumn(
@@ -134,11 +133,11 @@ def nearest(
     vectors = vectors.select("vec_id", "embedding")
     queries = queries.select("query_id", "embedding")
     size = queries.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d")).first()
-    n_queries, dimension = size["n"], size["d"] or 0
-    if n_queries * dimension * 8 <= broadcast_bytes:
+    row_bytes = 8 * (size["d"] or 0)
+    if size["n"] * row_bytes <= broadcast_bytes:
         hits = _against_broadcast(vectors, queries.toArrow(), k)
     else:
-        hits = _on_grid(vectors, queries, k, vectors.count(), n_queries)
+        hits = _on_grid(vectors, queries, k, vectors.count() * row_bytes, size["n"] * row_bytes)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return hits.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "vec_id", "rank", "score")
 

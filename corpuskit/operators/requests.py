@@ -36,7 +36,8 @@ def minute_counts(log: DataFrame, by: Sequence[str] = ("endpoint",)) -> DataFram
             F.count_if(F.col(column) <= F.lit(b)).alias(n) for n, b in zip(_bound_names(prefix, bounds), bounds)
         ]
 
-    return log.groupBy(F.date_trunc("minute", F.col("ts").cast("timestamp_ntz")).cast("timestamp_ntz").alias("minute"), *by).agg(
+    minute = F.window("ts", "1 minute").getField("start").alias("minute")
+    return log.groupBy(minute, *by).agg(
         F.count("*").alias("requests"),
         F.count_if(is_server_error(F.col("status"))).alias("errors"),
         *at_most("duration_s", "lat", fixed.LATENCY_BOUNDS),

@@ -11,6 +11,7 @@ from corpuskit import fixed
 from corpuskit.functions.text import prompt, source_preview
 from corpuskit.operators.skew import salted_join
 from corpuskit.operators.versions import number_rows
+from corpuskit.session import durable
 
 
 def embed(documents: DataFrame, text: str, function: Callable[[Column], Column]) -> DataFrame:
@@ -29,9 +30,10 @@ def append_documents(store: DataFrame, documents: DataFrame, key: str) -> tuple[
 
 def attach_documents(hits: DataFrame, documents: DataFrame) -> DataFrame:
     """Document of each hit; hits without one are dropped. A document found by very many
-    queries is spread over tasks."""
+    queries is spread over tasks. The hits are written down first: they are costly to find
+    and read twice here."""
     by_vector = documents.select(F.col("doc_id").alias("vec_id"), F.col("text").alias("document"))
-    return salted_join(hits, by_vector, "vec_id", spread_by="query_id")
+    return salted_join(durable(hits, "hits"), by_vector, "vec_id", spread_by="query_id")
 
 
 def contexts(found: DataFrame, k: int = fixed.CONTEXT_K) -> DataFrame:
@@ -78,7 +80,7 @@ def recall(hits: DataFrame, labelled: DataFrame, k: int) -> DataFrame:
     of_vector = labelled.select("vec_id", "label")
     per_label = labelled.groupBy(F.col("label").alias("wanted")).agg((F.count("*") - 1).alias("expected"))
     expected = salted_join(of_query, per_label, "wanted", spread_by="query_id")
-    others = hits.filter((F.col("rank") <= k) & (F.col("vec_id") != F.col("query_id")))
+    others = durable(hits, "hits").filter((F.col("rank") <= k) & (F.col("vec_id") != F.col("query_id")))
     matched = (
         salted_join(others, of_vector, "vec_id", spread_by="query_id")
         .join(of_query, "query_id")

@@ -14,6 +14,7 @@ from corpuskit.operators.dedup import first_occurrences
 from corpuskit.operators.encoding import Vocabulary, pad
 from corpuskit.operators.quality import quality_report
 from corpuskit.operators.splits import exact_split
+from corpuskit.operators.versions import fingerprint
 from corpuskit.operators.vocabulary import learn_vocabulary
 from corpuskit.session import durable
 from corpuskit.sources.lines import parse_lines, records
@@ -71,6 +72,14 @@ def build(lines: DataFrame, order: str, config: BuildConfig = BuildConfig(), sav
     return Corpus(texts, table, vocabulary, encoded)
 
 
+def fingerprints(built: Corpus) -> DataFrame:
+    """Fingerprint per split and of the vocabulary, which the ids mean nothing without."""
+    ids = F.array_join(F.col("input_ids").cast("array<string>"), " ")
+    words = built.vocabulary_table.withColumn("split", F.lit("vocabulary"))
+    entry = F.concat_ws(" ", F.col("id").cast("string"), "token")
+    return fingerprint(built.encoded, ids).unionByName(fingerprint(words, entry))
+
+
 def validate(spark, dataset_path: str, vocab_size: int, report_path: str | None = None, mode: str = "padded") -> DataFrame:
     """Quality report of a written dataset, saved as JSON when a path is given."""
     report = quality_report(load_splits(spark, dataset_path), vocab_size, mode=mode)

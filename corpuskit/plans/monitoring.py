@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpuskit import fixed
 from corpuskit.operators import requests as ops
 from corpuskit.operators.alerts import sustained
+from corpuskit.session import durable
 
 
 @dataclass(frozen=True)
@@ -39,8 +40,8 @@ def service_alerts(minutes: DataFrame, hold_minutes: int = 5) -> DataFrame:
 
 
 def monitor(log: DataFrame) -> Monitoring:
-    """All figures start from one per-minute table."""
-    minutes = ops.minute_counts(log)
+    """All figures start from one per-minute table, so the log is read once."""
+    minutes = durable(ops.minute_counts(log), "minutes")
     windows = ops.sliding(minutes)
     return Monitoring(
         rate=ops.request_rate(windows),

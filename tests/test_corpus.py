@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from corpuskit import fixed
 from corpuskit.operators import dedup, quality, splits, versions
 from corpuskit.operators.encoding import Vocabulary, pad, pretrained_encoder
-from corpuskit.operators.skew import salted_join
+from corpuskit.operators.skew import hot_keys, salted_join
 from corpuskit.operators.vocabulary import learn_vocabulary
 from corpuskit.plans import corpus
 
@@ -198,7 +198,12 @@ def test_salted_join_equals_join(spark, how):
     plain = large.join(small, "k", how)
     salted = salted_join(large, small, "k", spread_by="id", how=how, rows_per_task=100)
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
-    assert salted.columns == plain.columns
+    assert salted.columns == plain.columns and "_salt" in plan_of(salted)
+    assert "_salt" not in plan_of(salted_join(large, small, "k", spread_by="id", how=how))
+
+
+def test_hot_keys_of_nothing(spark):
+    assert hot_keys(spark.range(0), "id") == {}
 
 
 def test_expectations(spark):

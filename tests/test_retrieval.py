@@ -29,7 +29,7 @@ def found(hits):
 @pytest.mark.parametrize("repeats", [1, 40])
 def test_nearest_equals_brute_force(spark, monkeypatch, limit, repeats):
     # Small tiles and grid cells, and many equal vectors: ties go to the smaller id.
-    for name, value in (("GRID_QUERIES", 7), ("GRID_VECTORS", 50), ("_TILE_QUERIES", 4), ("_TILE_VECTORS", 16)):
+    for name, value in (("GRID_BYTES", 7 * 64), ("_TILE_QUERIES", 4), ("_TILE_VECTORS", 16)):
         monkeypatch.setattr(neighbours, name, value)
     rng = np.random.default_rng(1)
     base = rng.normal(size=(200 // repeats, 8)).astype(np.float32)
