@@ -15,12 +15,11 @@ from corpuskit.functions import normalise
 # One left-to-right pass, so a comment holding a script (or the reverse) is read the
 # way a parser reads it: comment, script or style element, quoted tag, loose tag.
 _MARKUP = (
-    r"(?is)<!--.*?(?:-->|\z)"
-    r"|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
-    r"|<[/a-z!?](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
-    r"|<[/a-z!?][^>]*>"
+    r"(?is)<(?:!--.*?(?:-->|\z)"
+    r"|(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
+    r"|[/a-z!?](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
+    r"|[/a-z!?][^>]*>)"
 )
-
 # A run of whitespace other than a lone space, which can stay as it is.
 _RUN = f" {fixed.WHITESPACE}+|[{fixed.WHITESPACE}&&[^ ]]{fixed.WHITESPACE}*"
 

@@ -77,13 +77,15 @@ def daily_metrics(queries: DataFrame, feedback: DataFrame) -> DataFrame:
         F.avg("response_time_ms").alias("avg_response_time_ms"),
         F.countDistinct("user_id").alias("unique_users"),
     )
+    # Counted per request before the join: a request with very much feedback meets its
+    # query as one row.
+    per_request = feedback.groupBy("request_id").agg(
+        F.count_if("is_helpful").alias("up"), F.count_if(~F.col("is_helpful")).alias("down")
+    )
     signs = (
-        attach_feedback(feedback, queries)
+        per_request.join(first_query_ids(queries), "request_id")
         .groupBy(F.to_date("query_timestamp").alias("date"))
-        .agg(
-            F.count_if("is_helpful").alias("positive_feedback_count"),
-            F.count_if(~F.col("is_helpful")).alias("negative_feedback_count"),
-        )
+        .agg(F.sum("up").alias("positive_feedback_count"), F.sum("down").alias("negative_feedback_count"))
     )
     return per_day.join(signs, "date", "left").na.fill(
         0, ["positive_feedback_count", "negative_feedback_count"]

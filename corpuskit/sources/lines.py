@@ -87,7 +87,7 @@ def stripped_lines(lines: DataFrame) -> DataFrame:
 
     A byte-order mark at the start of a line is dropped as well.
     """
-    stripped = strip_ends(F.regexp_replace("value", r"^\x{FEFF}", ""))
+    stripped = strip_ends(F.ltrim(F.col("value"), F.lit("\ufeff")))
     return lines.withColumn("value", stripped).filter(F.col("value").isNull() | (F.col("value") != ""))
 
 
@@ -117,10 +117,20 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     return parsed.select(*stripped.columns, record.alias("record"), reason.alias("reject_reason"))
 
 
+def _present(column: Column) -> Column:
+    # Same rows as a filter on "is not null". A filter would be pushed below the parse and
+    # repeat it; a generator is evaluated once.
+    return F.explode(F.array_compact(F.array(column)))
+
+
+def _others(parsed: DataFrame) -> list[str]:
+    return [c for c in parsed.columns if c not in ("value", "record", "reject_reason")]
+
+
 def records(parsed: DataFrame) -> DataFrame:
     """The two text fields of every readable line; a missing or null field is ''."""
-    kept = [c for c in parsed.columns if c not in ("value", "record", "reject_reason")]
-    return parsed.filter(F.col("record").isNotNull()).select(
+    kept = _others(parsed)
+    return parsed.select(*kept, _present(F.col("record")).alias("record")).select(
         *kept,
         F.coalesce("record.body", F.lit("")).alias("body"),
         F.coalesce("record.parsed_content", F.lit("")).alias("parsed_content"),
@@ -129,7 +139,9 @@ def records(parsed: DataFrame) -> DataFrame:
 
 def quarantine(parsed: DataFrame) -> DataFrame:
     """The lines that were skipped, each with the reason."""
-    return parsed.filter(F.col("record").isNull()).drop("record")
+    kept = _others(parsed)
+    skipped = F.when(F.col("reject_reason").isNotNull(), F.struct("value", "reject_reason"))
+    return parsed.select(*kept, _present(skipped).alias("s")).select(*kept, "s.value", "s.reject_reason")
 
 
 def line_count(lines: DataFrame) -> DataFrame:
