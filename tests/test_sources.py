@@ -111,3 +111,27 @@ def test_stage_counts_by_reason(spark):
     assert {r.stage: r.rows for r in counts.collect()} == {
         "lines": 7, "blank": 1, "not_blank": 6, "rejected": 2, "records": 4, "duplicate": 2, "empty": 1, "training_rows": 1,
     }
+
+
+def test_line_order_over_many_blocks(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(f'{{"body":"{name}{i:04d}"}}' for i in range(400)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        lines = ln.read_lines(spark, str(tmp_path))
+        assert lines.rdd.getNumPartitions() > 5
+        read = ln.records(ln.parse_lines(lines)).orderBy("line_key").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.body for r in read] == [f"{n}{i:04d}" for n in "ab" for i in range(400)]
+
+
+def test_build_from_files(spark, tmp_path):
+    from corpuskit.plans import corpus
+
+    (tmp_path / "a.jsonl").write_text("\n".join(json.dumps({"body": f"text {i % 40}"}) for i in range(80)))
+    built = corpus.build(ln.read_lines(spark, str(tmp_path / "a.jsonl")), "line_key")
+    assert built.encoded.count() == 40
+    kept = built.encoded.orderBy("line_key").select("line_key.seq").collect()
+    assert [r.seq for r in kept] == list(range(40))
