@@ -223,7 +223,7 @@ _INCREMENT_SQL = f"""
 @query("incremental_add", _INCREMENT_SQL + " SELECT * FROM known UNION ALL SELECT * FROM fresh")
 def incremental_add(spark, sf):
     cleaned = documents(spark, sf).select("doc_id", "lang", tx.clean_text(F.col("text")).alias("text"))
-    known = dedup.first_occurrences(cleaned.filter("lang <> 'en'"), F.col("text"), "doc_id")
+    known = durable(dedup.first_occurrences(cleaned.filter("lang <> 'en'"), F.col("text"), "doc_id"), "known")
     return dedup.add_increment(known, cleaned, F.col("text"), "doc_id").select("doc_id", "content_hash")
 
 

@@ -13,7 +13,7 @@ from corpuskit.functions import text as tx
 from corpuskit.functions.tokens import tokens
 from corpuskit.operators import neighbours, retrieval
 from corpuskit.plans import rag
-from corpuskit.session import new_path, spread
+from corpuskit.session import durable, new_path, spread
 from corpuskit.sources import store
 
 K, C = fixed.SEARCH_K, fixed.CONTEXT_K
@@ -149,7 +149,7 @@ _DOC_TOKENS = tokens_sql(cleaned_sql("text"))
 def citation_overlap(spark, sf):
     hits = neighbours.nearest(vectors(spark, sf), asked(spark, sf), C).filter("query_id <> vec_id")
     docs = inputs.wide_table(spark, sf, "documents")
-    bags = docs.select("doc_id", F.array_distinct(tokens(F.col("text"))).alias("text"))
+    bags = durable(docs.select("doc_id", F.array_distinct(tokens(F.col("text"))).alias("text")), "bags")
     sources = retrieval.attach_documents(hits, bags)
     answers = bags.select(F.col("doc_id").alias("query_id"), F.col("text").alias("answer"))
     overlap = retrieval.citation_overlap(F.col("answer"), F.col("document"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuskit.session import durable
+
 
 def _minutes(n: int | Column) -> Column:
     n = F.lit(n) if isinstance(n, int) else n
@@ -36,10 +38,12 @@ def sustained(
     unknown condition counts as false and ends a run. A run fires once it has held for
     ``hold_minutes``. When that is a column it must be one of ``series``.
 
-    Rows here are evaluation times after aggregation, one series per task.
+    Rows here are evaluation times after aggregation, one series per task. They are
+    written down first, as the grid needs them as well.
     """
-    grid = evaluation_grid(df, series, ts, step_minutes)
-    marked = grid.join(df.withColumn("_met", condition), [*series, ts], "left").select(
+    known = durable(df.select(*series, ts, condition.alias("_met")), "evaluations")
+    grid = evaluation_grid(known, series, ts, step_minutes)
+    marked = grid.join(known, [*series, ts], "left").select(
         *series, ts, F.coalesce("_met", F.lit(False)).alias("_met")
     )
     so_far = Window.partitionBy(*(series or [F.lit(0)])).orderBy(ts)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpuskit import fixed
 from corpuskit.operators.vocabulary import token_counts
+from corpuskit.session import durable
 
 
 def verdicts(cases: DataFrame, responses: DataFrame) -> DataFrame:
@@ -41,10 +42,11 @@ def verdict_summary(judged: DataFrame) -> DataFrame:
 def perplexity(train: DataFrame, validation: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Perplexity of the validation tokens under add-one unigram counts of the train tokens.
 
-    Both sides are counted per token before they meet. One extra type stands for all
+    Both sides are counted per token before they meet; the train counts are written down,
+    as the totals come from them too. One extra type stands for all
     tokens not seen in training.
     """
-    known = token_counts(train, tokens).select("token", F.col("n").alias("seen"))
+    known = durable(token_counts(train, tokens).select("token", F.col("n").alias("seen")), "counts")
     size = known.agg(F.sum("seen").alias("total"), F.count("*").alias("types"))
     asked = token_counts(validation, tokens).join(known, "token", "left")
     all_counts = size.select((F.col("total") + F.col("types") + 1).alias("all")).scalar()

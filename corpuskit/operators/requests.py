@@ -64,11 +64,13 @@ def request_rate(windows: DataFrame, by: Sequence[str] = ("endpoint",), width: i
     )
 
 
+def error_share() -> Column:
+    return F.try_divide("errors", "requests")
+
+
 def error_ratio(windows: DataFrame, by: Sequence[str] = ("endpoint",)) -> DataFrame:
     """Share of requests that ended in a server error."""
-    return windows.select(
-        "window_start", *by, "errors", F.try_divide("errors", "requests").alias("error_ratio")
-    )
+    return windows.select("window_start", *by, "errors", error_share().alias("error_ratio"))
 
 
 def histogram_quantile(q: float, cumulative: Sequence[Column], total: Column, bounds: Sequence[float]) -> Column:
@@ -86,16 +88,16 @@ def histogram_quantile(q: float, cumulative: Sequence[Column], total: Column, bo
     return out.otherwise(F.lit(float(bounds[-1])))
 
 
+def latency_quantile(q: float) -> Column:
+    """A latency quantile of a row of counts."""
+    counts = [F.col(n) for n in _bound_names("lat", fixed.LATENCY_BOUNDS)]
+    return histogram_quantile(q, counts, F.col("requests"), fixed.LATENCY_BOUNDS)
+
+
 def latency_quantiles(windows: DataFrame, by: Sequence[str] = ("endpoint",)) -> DataFrame:
     """p50 and p95 from the latency buckets."""
-    counts = [F.col(n) for n in _bound_names("lat", fixed.LATENCY_BOUNDS)]
     return windows.select(
-        "window_start",
-        *by,
-        *[
-            histogram_quantile(q, counts, F.col("requests"), fixed.LATENCY_BOUNDS).alias(name)
-            for name, q in (("p50", 0.5), ("p95", 0.95))
-        ],
+        "window_start", *by, latency_quantile(0.5).alias("p50"), latency_quantile(0.95).alias("p95")
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskit import fixed
+from corpuskit.session import durable
 
 _PREFIX = 4  # hex digits: 65,536 buckets
 
@@ -43,7 +44,8 @@ def exact_split(
     everything = Window.partitionBy(F.lit(0)).orderBy("_prefix")
     total = F.sum("_n").over(Window.partitionBy(F.lit(0)))
     portion = ratios["validation"] / (1 - ratios["test"]) if ratios["test"] < 1 else 0.0
-    cuts = (
+    # Written down, as it is used twice and a second count would read all keys again.
+    cuts = durable(
         counts.withColumn("_total", total)
         .withColumn("_before", F.sum("_n").over(everything) - F.col("_n"))
         .withColumn("_test_end", F.ceil(F.col("_total") * F.lit(ratios["test"])))
@@ -53,7 +55,8 @@ def exact_split(
             "_n",
             (F.col("_test_end") - F.col("_before")).alias("_test_in"),
             (F.col("_val_end") - F.col("_before")).alias("_val_in"),
-        )
+        ),
+        "cuts",
     )
 
     def cut_inside(inside: str) -> Column:

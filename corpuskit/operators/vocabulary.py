@@ -9,8 +9,13 @@ from corpuskit import fixed
 
 
 def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """Occurrences per token; counted within each task before the shuffle."""
-    return df.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    """Occurrences per token; counted within each task before the shuffle.
+
+    The outer form of explode: for the plain one Spark adds a filter on the array's size,
+    pushes it down, and tokenises every text a second time to evaluate it.
+    """
+    each = df.select(F.explode_outer(tokens).alias("token")).filter(F.col("token").isNotNull())
+    return each.groupBy("token").agg(F.count("*").alias("n"))
 
 
 def learn_vocabulary(df: DataFrame, tokens: str = "tokens", size: int = fixed.VOCABULARY_SIZE) -> DataFrame:

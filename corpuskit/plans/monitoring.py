@@ -25,18 +25,14 @@ class Monitoring:
 def service_alerts(minutes: DataFrame, hold_minutes: int = 5) -> DataFrame:
     """``(alert, ts, state)`` of the error-rate and the slow-response alert over all endpoints."""
     overall = ops.sliding(minutes.drop("endpoint"), by=())
-    errors = ops.error_ratio(overall, by=())
-    slow = ops.latency_quantiles(overall, by=())
-    values = errors.select(
-        F.lit("high_error_rate").alias("alert"), F.col("window_start").alias("ts"),
-        F.col("error_ratio").alias("value"), F.lit(fixed.ERROR_RATIO_LIMIT).alias("threshold"),
-    ).unionByName(
-        slow.select(
-            F.lit("slow_response").alias("alert"), F.col("window_start").alias("ts"),
-            F.col("p95").alias("value"), F.lit(fixed.P95_LIMIT_SECONDS).alias("threshold"),
-        )
+    met = {
+        "high_error_rate": ops.error_share() > fixed.ERROR_RATIO_LIMIT,
+        "slow_response": ops.latency_quantile(0.95) > fixed.P95_LIMIT_SECONDS,
+    }
+    each = F.inline(F.array(*[F.struct(F.lit(name).alias("alert"), m.alias("met")) for name, m in met.items()]))
+    return sustained(
+        overall.select(F.col("window_start").alias("ts"), each), ["alert"], "ts", F.col("met"), hold_minutes
     )
-    return sustained(values, ["alert"], "ts", F.col("value") > F.col("threshold"), hold_minutes)
 
 
 def monitor(log: DataFrame) -> Monitoring:
