@@ -74,7 +74,7 @@ def _analysed(spark, sf):
 
 @query("daily_metrics", f"{_DAILY} SELECT * FROM d ORDER BY date")
 def daily_metrics(spark, sf):
-    return _first(_analysed(spark, sf).daily, "avg_response_time_ms")
+    return _first(_analysed(spark, sf).daily(), "avg_response_time_ms")
 
 
 @query(
@@ -83,7 +83,7 @@ def daily_metrics(spark, sf):
     / nullif(positive_feedback_count + negative_feedback_count, 0), 6) AS positive_ratio FROM d ORDER BY date""",
 )
 def positive_ratio(spark, sf):
-    return _first(_analysed(spark, sf).positive_ratio, "positive_ratio")
+    return _first(_analysed(spark, sf).positive_ratio(), "positive_ratio")
 
 
 @query("question_frequency", f"WITH {_Q} SELECT query_text, count(*) AS query_count FROM q GROUP BY 1")
@@ -96,7 +96,7 @@ def question_frequency(spark, sf):
     f"WITH {_Q} SELECT query_text, count(*) AS query_count FROM q GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT {fixed.TOP_QUESTIONS}",
 )
 def top_questions(spark, sf):
-    return _analysed(spark, sf).top_questions
+    return _analysed(spark, sf).top_questions()
 
 
 @query(
@@ -131,10 +131,8 @@ def feedback_export(spark, sf):
     path = new_path(spark, "export")
     dated = given_feedback(spark, sf).withColumn("date", F.to_date("timestamp"))
     store.export(dated, path, by=["date"])
-    schema = "id bigint, request_id string, rating int, is_helpful boolean, comment string, date date"
-    back = spark.read.options(header="true", escape='"', enforceSchema="false")
-    columns = ["id", "request_id", "rating", "is_helpful", "comment"]
-    return back.schema("id bigint, request_id string, rating int, is_helpful boolean, comment string, timestamp timestamp_ntz, user_id string, date date").csv(path).select(*columns)
+    back = spark.read.options(header="true", escape='"', enforceSchema="false").schema(dated.schema).csv(path)
+    return back.select("id", "request_id", "rating", "is_helpful", "comment")
 
 
 @query(

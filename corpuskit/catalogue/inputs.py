@@ -77,7 +77,7 @@ def _event_k() -> F.Column:
 
 
 def request_log(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(
+    return wide_table(spark, sf, "events").select(
         F.col("event_id").cast("string").alias("request_id"),
         "ts",
         "user_id",

@@ -11,7 +11,7 @@ from corpuskit.catalogue.registry import query
 from corpuskit.functions.tokens import tokens
 from corpuskit.operators import alerts, evaluation, splits
 from corpuskit.operators import requests as rq
-from corpuskit.plans.monitoring import monitor, service_alerts
+from corpuskit.plans.monitoring import monitor
 
 _LOG = f"l AS ({LOG_SQL})"
 _WIN = f"""WITH {_LOG}, w AS (SELECT *, unnest(range(5)) AS back FROM l),
@@ -33,7 +33,7 @@ def server_errors(spark, sf):
     FROM win GROUP BY 1, 2""",
 )
 def request_rate(spark, sf):
-    return _round(monitor(request_log(spark, sf)).rate, "requests_per_s")
+    return _round(monitor(request_log(spark, sf)).rate(), "requests_per_s")
 
 
 @query(
@@ -42,7 +42,7 @@ def request_rate(spark, sf):
       round(count(*) FILTER (status >= 500)::DOUBLE / count(*), 6) AS error_ratio FROM win GROUP BY 1, 2""",
 )
 def error_ratio(spark, sf):
-    return _round(monitor(request_log(spark, sf)).errors, "error_ratio")
+    return _round(monitor(request_log(spark, sf)).errors(), "error_ratio")
 
 
 _BOUNDS = ", ".join(f"({i}, {b}::DOUBLE, {([0.0, *fixed.LATENCY_BOUNDS])[i]}::DOUBLE)" for i, b in enumerate(fixed.LATENCY_BOUNDS))
@@ -66,7 +66,7 @@ def _quantile_sql(source: str, keys: str, q: float) -> str:
     JOIN ({_quantile_sql('win', 'window_start, endpoint', 0.95)}) b USING (window_start, endpoint)""",
 )
 def latency_quantiles(spark, sf):
-    return _round(monitor(request_log(spark, sf)).latency, "p50", "p95")
+    return _round(monitor(request_log(spark, sf)).latency(), "p50", "p95")
 
 
 @query(
@@ -88,7 +88,7 @@ _TOKEN_BOUNDS = ", ".join([f"('{b}', {b})" for b in fixed.TOKEN_BOUNDS] + ["('+I
     FROM win CROSS JOIN (VALUES {_TOKEN_BOUNDS}) t(le, b) GROUP BY 1, 2""",
 )
 def token_histogram(spark, sf):
-    return _round(monitor(request_log(spark, sf)).tokens, "responses_per_s")
+    return _round(monitor(request_log(spark, sf)).tokens(), "responses_per_s")
 
 
 _LE = "CASE " + " ".join(f"WHEN output_tokens <= {b} THEN '{b}'" for b in fixed.TOKEN_BOUNDS) + " ELSE '+Inf' END"
@@ -116,7 +116,7 @@ _STATES = """span AS (SELECT {keys}, min(ts) AS lo, max(ts) AS hi FROM vals GROU
     {_STATES.format(keys='alert', step=1, hold=5)} SELECT alert, ts, state FROM states""",
 )
 def alert_sustained(spark, sf):
-    return service_alerts(rq.minute_counts(request_log(spark, sf)))
+    return monitor(request_log(spark, sf)).alerts()
 
 
 # Hourly means per event type stand for gauge series.

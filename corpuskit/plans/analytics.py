@@ -12,23 +12,28 @@ from corpuskit.operators import feedback as ops
 
 @dataclass(frozen=True)
 class Analytics:
-    daily: DataFrame
-    positive_ratio: DataFrame
-    top_questions: DataFrame
+    """Figures over valid rows; each is worked out when asked for."""
+
+    queries: DataFrame
+    feedback: DataFrame
     rejected_feedback: DataFrame
-    orphans: DataFrame
+
+    def daily(self) -> DataFrame:
+        return ops.daily_metrics(self.queries, self.feedback).orderBy("date")
+
+    def positive_ratio(self) -> DataFrame:
+        return ops.positive_ratio(ops.daily_metrics(self.queries, self.feedback)).orderBy("date")
+
+    def top_questions(self) -> DataFrame:
+        return ops.top_questions(self.queries)
+
+    def orphans(self) -> DataFrame:
+        return ops.orphan_feedback(self.feedback, self.queries)
 
 
 def analyse(queries: DataFrame, feedback: DataFrame) -> Analytics:
-    """Valid rows only; what is left out comes back as tables of its own."""
+    """Sets invalid rows aside; feedback that is left out comes back as a table."""
     checked = ops.check_rows(feedback, ops.feedback_rules())
     valid = checked.filter("is_valid").select(*feedback.columns)
     asked = ops.check_rows(queries, ops.query_rules()).filter("is_valid").select(*queries.columns)
-    daily = ops.daily_metrics(asked, valid)
-    return Analytics(
-        daily=daily.orderBy("date"),
-        positive_ratio=ops.positive_ratio(daily).orderBy("date"),
-        top_questions=ops.top_questions(asked),
-        rejected_feedback=checked.filter(~F.col("is_valid")),
-        orphans=ops.orphan_feedback(valid, asked),
-    )
+    return Analytics(asked, valid, checked.filter(~F.col("is_valid")))

@@ -13,15 +13,6 @@ from corpuskit.operators.alerts import sustained
 from corpuskit.session import durable
 
 
-@dataclass(frozen=True)
-class Monitoring:
-    rate: DataFrame
-    errors: DataFrame
-    latency: DataFrame
-    tokens: DataFrame
-    alerts: DataFrame
-
-
 def service_alerts(minutes: DataFrame, hold_minutes: int = 5) -> DataFrame:
     """``(alert, ts, state)`` of the error-rate and the slow-response alert over all endpoints."""
     overall = ops.sliding(minutes.drop("endpoint"), by=())
@@ -35,14 +26,31 @@ def service_alerts(minutes: DataFrame, hold_minutes: int = 5) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Monitoring:
+    """Figures of a log, all from its per-minute table; each is worked out when asked for."""
+
+    minutes: DataFrame
+
+    def windows(self) -> DataFrame:
+        return ops.sliding(self.minutes)
+
+    def rate(self) -> DataFrame:
+        return ops.request_rate(self.windows())
+
+    def errors(self) -> DataFrame:
+        return ops.error_ratio(self.windows())
+
+    def latency(self) -> DataFrame:
+        return ops.latency_quantiles(self.windows())
+
+    def tokens(self) -> DataFrame:
+        return ops.token_histogram(self.windows())
+
+    def alerts(self, hold_minutes: int = 5) -> DataFrame:
+        return service_alerts(self.minutes, hold_minutes)
+
+
 def monitor(log: DataFrame) -> Monitoring:
-    """All figures start from one per-minute table, so the log is read once."""
-    minutes = durable(ops.minute_counts(log), "minutes")
-    windows = ops.sliding(minutes)
-    return Monitoring(
-        rate=ops.request_rate(windows),
-        errors=ops.error_ratio(windows),
-        latency=ops.latency_quantiles(windows),
-        tokens=ops.token_histogram(windows),
-        alerts=service_alerts(minutes),
-    )
+    """Reads the log once, into the per-minute table."""
+    return Monitoring(durable(ops.minute_counts(log), "minutes"))
