@@ -77,8 +77,9 @@ def clean_markup(spark, sf):
 
 
 def _entities(x: str) -> str:
-    for name, char in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&")):
-        x = f"replace({x}, '{name}', '{char}')"
+    # HTML lets these names end without the semicolon; pages cut off in mid-title show it.
+    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
+        x = f"regexp_replace({x}, '&{name};?', '{char}', 'g')"
     return x
 
 

@@ -25,6 +25,7 @@ def test_order_of_cleaning_steps(column):
         None: "", "": "", "  a \t b\n": "a b", "<p>x</p>y": "x y", "&lt;b&gt;x": "<b>x",
         "a < b and c > d": "a d", "&nbsp;x&amp;amp;": "x&amp;", "ﬁne ①": "fine 1", "한글　글": "한글 글",
         "a\x00b\x7f": "a\x00b\x7f", "x​y": "x​y", "<>": "<>", "é": "é", "&eacute;": "é",
+        "a &amp b &copy": "a & b ©",
     }
     assert column(tx.clean_text, list(cases)) == list(cases.values())
 
