@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import bpe_counts, hilbert, host_rules, secret_spans, site_lines
+from corpuskit.llm import bpe_counts, hilbert, host_rules, lsh_forest, relative_parse, secret_spans, site_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +113,14 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "curve",
     )
+
+
+@_op("op2_lsh_forest")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return lsh_forest.near_duplicates(_documents(spark, sf))
+
+
+@_op("op10_relative_parse")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    done = relative_parse.without_repeats(_documents(spark, sf))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

@@ -7,7 +7,6 @@ for a known reason (digests, UUIDs) or are plainly identifiers or numbers are le
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -135,5 +134,3 @@ def digest_columns(found: DataFrame) -> DataFrame:
     )
 
 
-def sha256(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
