@@ -134,3 +134,55 @@ def _small_star(edges: DataFrame) -> DataFrame:
     hung = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return _oriented(hung.union(least.select("a", F.col("m").alias("b"))))
 
+
+
+class Remembered:
+    """Numbers made from words (ids, hashes), kept per worker for a bounded number of words.
+
+    ``compute`` gets new words at once and returns a sequence of numbers for each. All numbers
+    lie in one flat array, so that a batch of words is looked up without a loop over them.
+    """
+
+    def __init__(self, compute: Callable[[list], list], kind: type, most: int = 300_000):
+        self.compute, self.kind, self.most = compute, kind, most
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict = {}
+        self.used = 0
+        self.flat = np.empty(1 << 16, self.kind)
+        self.starts = np.empty(1 << 14, np.int64)
+        self.sizes = np.empty(1 << 14, np.int64)
+
+    def add(self, words: list) -> None:
+        made = self.compute(words)
+        sizes = np.fromiter(map(len, made), np.int64, len(made))
+        total, first = int(sizes.sum()), len(self.index)
+        while self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        while first + len(made) > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.empty_like(self.starts)])
+            self.sizes = np.concatenate([self.sizes, np.empty_like(self.sizes)])
+        if total:
+            self.flat[self.used : self.used + total] = np.concatenate(made)
+        self.starts[first : first + len(made)] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[first : first + len(made)] = sizes
+        self.index.update(zip(words, range(first, first + len(made))))
+        self.used += total
+
+    def places(self, words: list) -> np.ndarray:
+        """Number of each word; the numbers hold until the next call."""
+        if len(self.index) > self.most:
+            self.forget()
+        new = set(words).difference(self.index)
+        if new:
+            self.add(sorted(new))
+        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+
+    def numbers(self, words: list) -> tuple[np.ndarray, np.ndarray]:
+        """The words' numbers one after another, and how many each word has."""
+        at = self.places(words)
+        sizes = self.sizes[at]
+        total = int(sizes.sum())
+        shift = np.repeat(self.starts[at] - (np.cumsum(sizes) - sizes), sizes)
+        return self.flat[shift + np.arange(total)], sizes

@@ -8,7 +8,18 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm import bpe_counts, hilbert, host_rules, lsh_forest, relative_parse, secret_spans, site_lines
+from corpuskit.llm import (
+    bpe_counts,
+    hilbert,
+    host_rules,
+    lsh_forest,
+    piece_viterbi,
+    re_pair,
+    relative_parse,
+    secret_spans,
+    site_lines,
+    template_leaks,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -124,3 +135,25 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     done = relative_parse.without_repeats(_documents(spark, sf))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@_op("op3_re_pair")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    definition = Path(tokenizer_file("word_bpe_49k.json")).read_text(encoding="utf-8")
+    return re_pair.encoded_digests(_documents(spark, sf), definition)
+
+
+@_op("op4_piece_viterbi")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    model = Path(tokenizer_file("piece_bpe_32k.model")).read_bytes()
+    encoded = piece_viterbi.encode(_documents(spark, sf).select("doc_id", "text"), model)
+    decoded = piece_viterbi.decode(encoded, model)
+    same = F.coalesce(F.col("decoded") == F.replace("text", F.lit(piece_viterbi.MARK), F.lit(" ")), F.col("text").isNull())
+    return decoded.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), same.alias("decodes")
+    )
+
+
+@_op("op5_template_leaks")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return template_leaks.leaks(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
