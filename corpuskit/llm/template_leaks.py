@@ -57,8 +57,8 @@ def _kinds(words: list[str]) -> list[list[int]]:
             kind = _NUMBER_UNIT
         elif low in UNITS:
             kind = _UNIT
-        elif bare[:1].isupper():
-            kind = _CAPITAL
+        elif bare[:1].isupper() and any(c.islower() for c in bare[1:]):
+            kind = _CAPITAL  # words all in capitals say nothing about names
         else:
             kind = _LITERAL
         ends = word.rstrip("\"'”’»)]}")[-1:] in ".!?:;…"
