@@ -25,7 +25,7 @@ PERCENT = 75
 ORDERS = 20
 BASE_DEPTH = 3
 DEPTHS = (3, 5, 8)  # values of the signature that texts in a region share, by level
-CROWD = 64  # texts outside a region's largest group, beyond which the next level is used
+CROWD = 256  # texts outside a region's largest group, beyond which the next level is used
 _VALUES = ORDERS * BASE_DEPTH
 _WIDTH = 4  # bytes of a value
 _LABEL = DEPTHS[-1] * _WIDTH

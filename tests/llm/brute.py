@@ -72,3 +72,31 @@ def repeats(docs, k=13):
 
 def sha256(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def repeated_words(w, k=5):
+    at = defaultdict(list)
+    for i in range(len(w) - k + 1):
+        at[tuple(w[i : i + k])].append(i)
+    return len({j for places in at.values() if len(places) > 1 for i in places for j in range(i, i + k)})
+
+
+def base_failed(text):
+    w = words(text)
+    return len(w) < 10 or 100 * repeated_words(w) > 20 * len(w)
+
+
+def without_boilerplate(docs, sites=10):
+    """(doc_id, text, site) rows -> doc_id -> text without lines that are on many sites, or None if nothing is left."""
+    on, first = defaultdict(set), {}
+    for d, t, s in docs:
+        for line in (t or "").split("\n"):
+            if words(line):
+                on[line].add(s)
+                first[line] = min(first.get(line, d), d)
+    out = {}
+    for d, t, _ in docs:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if not (words(x) and len(on[x] - {None}) >= sites and first[x] < d)]
+        out[d] = t if len(kept) == len(lines) else ("\n".join(kept) if any(map(words, kept)) else None)
+    return out
