@@ -49,14 +49,20 @@ def feedback_orphans(spark, sf):
     return fb.orphan_feedback(given_feedback(spark, sf), asked_queries(spark, sf)).select("id", "request_id")
 
 
+# A message is what a request id's last three digits say, so users click on the same one again.
+
+
 @query(
     "feedback_latest",
-    f"""WITH {_F} SELECT rating, user_id, id, is_helpful, "timestamp" FROM
-    (SELECT *, row_number() OVER (PARTITION BY rating, user_id ORDER BY "timestamp" DESC, id DESC) AS r FROM f) WHERE r = 1""",
+    f"""WITH {_F}, m AS (SELECT *, right(request_id, 3) AS message_id, user_id::BIGINT % 20 AS clicker FROM f)
+    SELECT message_id, clicker, id, is_helpful, "timestamp" FROM
+    (SELECT *, row_number() OVER (PARTITION BY message_id, clicker ORDER BY "timestamp" DESC, id DESC) AS r FROM m) WHERE r = 1""",
 )
 def feedback_latest(spark, sf):
-    latest = fb.latest_feedback(given_feedback(spark, sf), "rating", "user_id")
-    return latest.select("rating", "user_id", "id", "is_helpful", "timestamp")
+    clicks = given_feedback(spark, sf).withColumns(
+        {"message_id": F.right("request_id", F.lit(3)), "clicker": F.col("user_id").cast("bigint") % 20}
+    )
+    return fb.latest_feedback(clicks, "message_id", "clicker").select("message_id", "clicker", "id", "is_helpful", "timestamp")
 
 
 _DAILY = f"""WITH {_Q}, {_F}, {_VALID},
@@ -175,29 +181,35 @@ def accepted_input(spark, sf):
     return conversation.accepted_input(inputs.table(spark, sf, "conversations")).select("conv_id", "turn", "role")
 
 
-# --- verdicts on responses: every user turn is a case expecting one of its first two words
-# in the answer; an overlong answer stands for a failed call.
+# --- verdicts on responses: every user turn is a case. Of ten conversations one expects words
+# no answer has, and one has a malformed pattern; of seven one got an error status. The others
+# expect one of the words asked.
 _TEST = "conv_id * 1000 + turn"
+_PATTERN = """CASE conv_id % 10 WHEN 3 THEN 'qqq|zzz' WHEN 4 THEN '(' || turn
+      ELSE array_to_string(regexp_extract_all(text, '\\p{L}+'), '|') END"""
 _VERDICTS = f"""WITH pairs AS ({_PAIRS}),
-    c AS (SELECT {_TEST} AS test, array_to_string(regexp_extract_all(text, '\\p{{L}}+')[1:2], '|') AS pattern
-      FROM conversations WHERE role = 'user'),
-    r AS (SELECT {_TEST} AS test, CASE WHEN length(answer) > 1500 THEN 500 ELSE 200 END AS code, answer FROM pairs),
-    judged AS (SELECT test, CASE WHEN code IS NULL THEN 'ERROR' WHEN code <> 200 THEN 'FAIL'
-      WHEN regexp_matches(answer, pattern, 'i') THEN 'PASS' ELSE 'FAIL' END AS status,
+    c AS (SELECT {_TEST} AS test, {_PATTERN} AS pattern FROM conversations WHERE role = 'user'),
+    r AS (SELECT {_TEST} AS test, CASE conv_id % 7 WHEN 2 THEN 503 ELSE 200 END AS code, answer FROM pairs),
+    met AS (SELECT test, code, pattern, answer, code = 200 AND pattern LIKE '(%' AS bad,
+        regexp_matches(answer, CASE WHEN pattern LIKE '(%' THEN 'x' ELSE pattern END, 'i') AS met FROM c LEFT JOIN r USING (test)),
+    judged AS (SELECT test, CASE WHEN code IS NULL OR bad THEN 'ERROR' WHEN code <> 200 OR NOT met THEN 'FAIL' ELSE 'PASS' END AS status,
       CASE WHEN code IS NULL THEN 'no response' WHEN code <> 200 THEN 'API returned status code ' || code
-      WHEN NOT regexp_matches(answer, pattern, 'i') THEN 'Response did not match expected pattern' END AS reason
-      FROM c LEFT JOIN r USING (test))"""
+        WHEN bad THEN 'missing ), unterminated subpattern at position 0'
+        WHEN NOT met THEN 'Response did not match expected pattern' END AS reason,
+      CASE WHEN code = 200 AND NOT bad THEN substr(answer, 1, 100) || '...' END AS response,
+      CASE WHEN code = 200 AND NOT bad AND NOT met THEN pattern END AS expected_pattern FROM met)"""
 
 
 def _judged(spark, sf):
     turns = inputs.table(spark, sf, "conversations")
     test = F.expr(_TEST).alias("test")
-    words = F.slice(F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0)), 1, 2)
-    cases = turns.filter("role = 'user'").select(test, F.array_join(words, "|").alias("expected_pattern"))
+    kind, words = F.col("conv_id") % 10, F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0))
+    pattern = (
+        F.when(kind == 3, "qqq|zzz").when(kind == 4, F.concat(F.lit("("), F.col("turn").cast("string"))).otherwise(F.array_join(words, "|"))
+    )
+    cases = turns.filter("role = 'user'").select(test, pattern.alias("expected_pattern"))
     responses = conversation.question_answer_pairs(turns).select(
-        test,
-        F.when(F.length("answer") > 1500, 500).otherwise(200).alias("status_code"),
-        F.col("answer").alias("response"),
+        test, F.when(F.col("conv_id") % 7 == 2, 503).otherwise(200).alias("status_code"), F.col("answer").alias("response")
     )
     return evaluation.verdicts(cases, responses)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuskit import fixed
 from corpuskit.catalogue import inputs
-from corpuskit.catalogue.inputs import cleaned_sql, split_sql, threshold_sql, tokens_sql, unit_sql, wide_table
+from corpuskit.catalogue.inputs import cleaned_sql, split_sql, threshold_sql, tokens_sql, unit_sql, table
 from corpuskit.catalogue.registry import query
 from corpuskit.functions import text as tx
 from corpuskit.functions.tokens import passages, token_count, tokens
@@ -24,7 +24,7 @@ CLEAN = cleaned_sql("text")
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return wide_table(spark, sf, "documents")
+    return table(spark, sf, "documents")
 
 
 # --- reading lines
@@ -91,7 +91,7 @@ _PAGE_VISIBLE = (
 
 @query("page_visible_text", f"SELECT page_id, {cleaned_sql(_entities(_PAGE_VISIBLE))} AS text FROM pages")
 def page_visible_text(spark, sf):
-    return wide_table(spark, sf, "pages").select("page_id", tx.visible_text(F.col("html")).alias("text"))
+    return table(spark, sf, "pages").select("page_id", tx.visible_text(F.col("html")).alias("text"))
 
 
 @query(
@@ -99,7 +99,7 @@ def page_visible_text(spark, sf):
     f"""SELECT page_id, {cleaned_sql(_entities("regexp_replace(html, '<[^>]+>', ' ', 'g')"))} AS text FROM pages""",
 )
 def page_regex_text(spark, sf):
-    return wide_table(spark, sf, "pages").select("page_id", tx.preprocess_text(F.col("html"), "regex").alias("text"))
+    return table(spark, sf, "pages").select("page_id", tx.preprocess_text(F.col("html"), "regex").alias("text"))
 
 
 _TWICE = _entities(f"regexp_replace({_entities(_PAGE_VISIBLE)}, '<[^>]+>', ' ', 'g')")
@@ -107,7 +107,7 @@ _TWICE = _entities(f"regexp_replace({_entities(_PAGE_VISIBLE)}, '<[^>]+>', ' ',
 
 @query("preprocess_pages", f"SELECT page_id, {cleaned_sql(_TWICE)} AS text FROM pages")
 def preprocess_pages(spark, sf):
-    return wide_table(spark, sf, "pages").select("page_id", tx.preprocess_text(F.col("html")).alias("text"))
+    return table(spark, sf, "pages").select("page_id", tx.preprocess_text(F.col("html")).alias("text"))
 
 
 @query("clean_with_rules", f"SELECT doc_id, replace(replace({CLEAN}, '.', ''), ',', ';') AS text FROM documents")

@@ -5,22 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.session import spread
-
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def wide_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table whose rows cost much work each."""
-    return spread(table(spark, sf, name))
-
-
 # Five lines per document: the full record, a cut-off one, a blank one, JSON that is no
 # object, and the record again without its second field.
 def raw_lines(spark: SparkSession, sf: str) -> DataFrame:
-    docs = wide_table(spark, sf, "documents")
+    docs = table(spark, sf, "documents")
     doc_id = F.col("doc_id").cast("string")
     lines = F.array(
         F.to_json(F.struct(F.col("text").alias("body"), F.col("source").alias("parsed_content"))),
@@ -77,7 +70,7 @@ def _event_k() -> F.Column:
 
 
 def request_log(spark: SparkSession, sf: str) -> DataFrame:
-    return wide_table(spark, sf, "events").select(
+    return table(spark, sf, "events").select(
         F.col("event_id").cast("string").alias("request_id"),
         "ts",
         "user_id",

@@ -99,10 +99,9 @@ def output_length_distribution(spark, sf):
     return rq.output_lengths(request_log(spark, sf))
 
 
-_STATES = """span AS (SELECT {keys}, min(ts) AS lo, max(ts) AS hi FROM vals GROUP BY ALL),
-    grid AS (SELECT {keys}, unnest(generate_series(lo, hi, to_minutes({step}))) AS ts FROM span),
-    marked AS (SELECT {keys}, ts, coalesce(met, false) AS met FROM grid LEFT JOIN vals USING ({keys}, ts)),
-    runs AS (SELECT *, count(*) FILTER (NOT met) OVER (PARTITION BY {keys} ORDER BY ts) AS run FROM marked),
+_STATES = """opened AS (SELECT *, NOT met OR coalesce(ts - lag(ts) OVER u > to_minutes({step}), true) AS opens
+      FROM (SELECT * REPLACE (coalesce(met, false) AS met) FROM vals) WINDOW u AS (PARTITION BY {keys} ORDER BY ts)),
+    runs AS (SELECT *, count(*) FILTER (opens) OVER (PARTITION BY {keys} ORDER BY ts) AS run FROM opened),
     aged AS (SELECT *, ts - min(ts) FILTER (met) OVER (PARTITION BY {keys}, run) AS age FROM runs),
     states AS (SELECT *, CASE WHEN NOT met THEN 'inactive' WHEN age >= to_minutes({hold}) THEN 'firing' ELSE 'pending' END AS state FROM aged)"""
 
@@ -119,13 +118,14 @@ def alert_sustained(spark, sf):
     return monitor(request_log(spark, sf)).alerts()
 
 
-# Hourly means per event type stand for gauge series.
+# Events are the samples of one gauge per event type, at whatever times they came.
 _RULES = [("view", ">", 45.0, 120), ("error", ">", 50.0, 60), ("purchase", "<", 55.0, 180)]
 
 
 @query(
     "alert_rules",
-    f"""WITH g AS (SELECT event_type AS series, date_trunc('hour', ts) AS ts, avg(value) AS value FROM events GROUP BY 1, 2),
+    f"""WITH g AS (SELECT series, ts, value FROM (SELECT event_type AS series, date_trunc('hour', ts) AS ts, value,
+        row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY e.ts DESC, value DESC) AS r FROM events e) WHERE r = 1),
     rules AS (SELECT * FROM (VALUES {", ".join(str(r) for r in _RULES)}) r(series, op, threshold, hold)),
     vals AS (SELECT series, op, threshold, hold, ts, CASE op WHEN '>' THEN value > threshold ELSE value < threshold END AS met
       FROM g JOIN rules USING (series)),
@@ -133,11 +133,7 @@ _RULES = [("view", ">", 45.0, 120), ("error", ">", 50.0, 60), ("purchase", "<",
     SELECT series, op, threshold::DOUBLE AS threshold, ts, state FROM states""",
 )
 def alert_rules(spark, sf):
-    gauges = (
-        inputs.table(spark, sf, "events")
-        .groupBy(F.col("event_type").alias("series"), F.window("ts", "1 hour").getField("start").alias("ts"))
-        .agg(F.avg("value").alias("value"))
-    )
+    gauges = inputs.table(spark, sf, "events").select(F.col("event_type").alias("series"), "ts", "value")
     rules = spark.createDataFrame(_RULES, "series string, op string, threshold double, hold_minutes int")
     return alerts.apply_rules(gauges, rules, step_minutes=60)
 
@@ -154,7 +150,7 @@ _SPLIT_TOKENS = f"""t AS (SELECT split, unnest(tk) AS token FROM
     FROM t LEFT JOIN tr USING (token) CROSS JOIN n WHERE split = 'validation'""",
 )
 def perplexity(spark, sf):
-    split = splits.threshold_split(inputs.wide_table(spark, sf, "documents"), "doc_id")
+    split = splits.threshold_split(inputs.table(spark, sf, "documents"), "doc_id")
     parts = split.select("split", tokens(F.col("text")).alias("tokens"))
     scored = evaluation.perplexity(parts.filter("split = 'train'"), parts.filter("split = 'validation'"))
     return scored.withColumn("perplexity", F.round("perplexity", 4))

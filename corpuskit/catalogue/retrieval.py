@@ -13,14 +13,14 @@ from corpuskit.functions import text as tx
 from corpuskit.functions.tokens import tokens
 from corpuskit.operators import neighbours, retrieval
 from corpuskit.plans import rag
-from corpuskit.session import durable, new_path, spread
+from corpuskit.session import durable, new_path
 from corpuskit.sources import store
 
 K, C = fixed.SEARCH_K, fixed.CONTEXT_K
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(inputs.table(spark, sf, "embeddings").select("vec_id", "embedding"))
+    return inputs.table(spark, sf, "embeddings").select("vec_id", "embedding")
 
 
 # Every stored vector is asked for.
@@ -52,7 +52,42 @@ def knn_topk(spark, sf):
 
 @query("knn_topk_grid", f"WITH {_hits_sql(K)} SELECT query_id, vec_id, rank, round(score, 6) AS score FROM hits")
 def knn_topk_grid(spark, sf):
-    return _rounded(neighbours.nearest(vectors(spark, sf), asked(spark, sf), broadcast_bytes=0), "score")
+    return _rounded(neighbours.nearest(vectors(spark, sf), asked(spark, sf), block_bytes=64 << 10), "score")
+
+
+# Vectors with some of them missing, cut short or not finite.
+def damaged(spark: SparkSession, sf: str) -> DataFrame:
+    e, n = F.col("embedding").cast("array<double>"), F.col("vec_id") % 20
+    broken = (
+        F.when(n == 1, F.lit(None).cast("array<double>"))
+        .when(n == 2, F.slice(e, 1, 7))
+        .when(n == 3, F.transform(e, lambda x, i: F.when(i == 5, float("nan")).otherwise(x)))
+        .when(n == 4, F.concat(F.slice(e, 1, F.size(e) - 1), F.array(F.lit(float("-inf")))))
+        .otherwise(e)
+    )
+    return inputs.table(spark, sf, "embeddings").select("vec_id", broken.alias("embedding"))
+
+
+@query(
+    "vector_quarantine",
+    """SELECT vec_id, CASE vec_id % 20 WHEN 1 THEN 'missing' WHEN 2 THEN 'dimension' ELSE 'not finite' END AS reason
+    FROM embeddings WHERE vec_id % 20 BETWEEN 1 AND 4""",
+)
+def vector_quarantine(spark, sf):
+    return neighbours.quarantined(damaged(spark, sf))
+
+
+@query(
+    "knn_damaged",
+    f"""WITH good AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id % 20 NOT BETWEEN 1 AND 4)
+    SELECT query_id, vec_id, rank, round(score, 6) AS score FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM (
+        SELECT q.vec_id AS query_id, v.vec_id, pow(list_distance(q.e, v.e), 2) AS score FROM good q CROSS JOIN good v))
+    WHERE rank <= {K}""",
+)
+def knn_damaged(spark, sf):
+    held = damaged(spark, sf)
+    return _rounded(neighbours.nearest(held, held.withColumnRenamed("vec_id", "query_id")), "score")
 
 
 _FOUND = f"""WITH {_hits_sql(C)}, found AS (SELECT query_id, rank, vec_id, text AS document, score
@@ -148,7 +183,7 @@ _DOC_TOKENS = tokens_sql(cleaned_sql("text"))
 )
 def citation_overlap(spark, sf):
     hits = neighbours.nearest(vectors(spark, sf), asked(spark, sf), C).filter("query_id <> vec_id")
-    docs = inputs.wide_table(spark, sf, "documents")
+    docs = inputs.table(spark, sf, "documents")
     bags = durable(docs.select("doc_id", F.array_distinct(tokens(F.col("text"))).alias("text")), "bags")
     sources = retrieval.attach_documents(hits, bags)
     answers = bags.select(F.col("doc_id").alias("query_id"), F.col("text").alias("answer"))
@@ -162,7 +197,8 @@ def citation_overlap(spark, sf):
     (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings) GROUP BY ALL""",
 )
 def mean_pool(spark, sf):
-    pooled = neighbours.mean_pool(inputs.table(spark, sf, "embeddings"), "label")
+    stored = inputs.table(spark, sf, "embeddings")
+    pooled = neighbours.mean_pool(stored, "label", neighbours.common_dimension(stored))
     return _rounded(pooled.select("label", F.posexplode("embedding").alias("pos", "x")), "x")
 
 
@@ -182,7 +218,7 @@ def _store(spark, sf) -> DataFrame:
 )
 def vector_append(spark, sf):
     # A one-number embedding function: the text's length.
-    new = inputs.wide_table(spark, sf, "documents").filter("lang = 'en'").select("doc_id", F.col("text").alias("document"))
+    new = inputs.table(spark, sf, "documents").filter("lang = 'en'").select("doc_id", F.col("text").alias("document"))
     embedded = retrieval.embed(new, "document", lambda t: F.array(F.length(t).cast("float")))
     grown, _, _ = retrieval.append_documents(_store(spark, sf), embedded, "doc_id")
     return grown.select("vec_id", "doc_id")

@@ -31,6 +31,10 @@ ERROR_RATIO_LIMIT = 0.05
 P95_LIMIT_SECONDS = 2.0
 GPU_UTILISATION_LIMIT = 90.0
 DISK_FREE_PERCENT_LIMIT = 10.0
+GPU_HOLD_MINUTES = 15
+DISK_HOLD_MINUTES = 5
+NO_MATCH_REASON = "Response did not match expected pattern"
+BAD_STATUS_REASON = "API returned status code "
 
 # Our own choices, where nothing above prescribes a value.
 WORD_OR_PUNCTUATION = r"[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\s]"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskit.session import durable
+from corpuskit import fixed
 
 
 def _minutes(n: int | Column) -> Column:
@@ -13,14 +13,16 @@ def _minutes(n: int | Column) -> Column:
     return F.make_dt_interval(mins=n)
 
 
-def evaluation_grid(df: DataFrame, series: list[str], ts: str, step_minutes: int = 1) -> DataFrame:
-    """Every evaluation time of each series between its first and last, empty ones included.
+def last_per_step(df: DataFrame, series: list[str], ts: str, value: str, step_minutes: int) -> DataFrame:
+    """The newest value of each series in each step, at the step's start.
 
-    Its size is the time span, not the amount of data.
+    Samples need not be evenly spaced; of samples at the same time the larger counts. Partial
+    results are merged, so the amount of samples in a step does not matter.
     """
-    span = df.groupBy(*series).agg(F.min(ts).alias("lo"), F.max(ts).alias("hi"))
-    return span.select(
-        *series, F.explode(F.sequence("lo", "hi", F.make_dt_interval(mins=F.lit(step_minutes)))).alias(ts)
+    step = F.window(ts, f"{step_minutes} minutes").getField("start")
+    newest = F.max(F.struct(F.col(ts).alias("at"), F.col(value).alias("v")))
+    return df.groupBy(*series, step.alias("_step")).agg(newest.alias("_newest")).select(
+        *series, F.col("_step").alias(ts), F.col("_newest.v").alias(value)
     )
 
 
@@ -32,24 +34,22 @@ def sustained(
     hold_minutes: int | Column,
     step_minutes: int = 1,
 ) -> DataFrame:
-    """``(series..., ts, state)`` with state inactive, pending or firing.
+    """``(series..., ts, state)`` with state inactive, pending or firing, a row per step with samples.
 
-    ``df`` has one row per series and evaluation time at most; a missing time or an
-    unknown condition counts as false and ends a run. A run fires once it has held for
+    Samples are brought to steps first, the newest in a step counting. A step without
+    samples or an unknown condition ends a run. A run fires once it has held for
     ``hold_minutes``. When that is a column it must be one of ``series``.
 
-    Rows here are evaluation times after aggregation, one series per task. They are
-    written down first, as the grid needs them as well.
+    Rows here are evaluation times after aggregation, one series per task.
     """
-    known = durable(df.select(*series, ts, condition.alias("_met")), "evaluations")
-    grid = evaluation_grid(known, series, ts, step_minutes)
-    marked = grid.join(known, [*series, ts], "left").select(
-        *series, ts, F.coalesce("_met", F.lit(False)).alias("_met")
-    )
-    so_far = Window.partitionBy(*(series or [F.lit(0)])).orderBy(ts)
-    last_false = F.max(F.when(~F.col("_met"), F.col(ts))).over(so_far)
-    since = F.coalesce(last_false + _minutes(step_minutes), F.min(ts).over(so_far))
-    return marked.withColumn("_since", since).select(
+    marked = df.select(*series, ts, F.coalesce(condition, F.lit(False)).alias("_met"))
+    known = last_per_step(marked, series, ts, "_met", step_minutes)
+    in_order = Window.partitionBy(*(series or [F.lit(0)])).orderBy(ts)
+    before, was_met = F.lag(ts).over(in_order), F.lag("_met").over(in_order)
+    gap = before.isNull() | (F.col(ts) - before > _minutes(step_minutes))
+    starts = F.when(F.col("_met") & (gap | ~was_met), F.col(ts))
+    begun = known.withColumn("_starts", starts)
+    return begun.withColumn("_since", F.max("_starts").over(in_order)).select(
         *series,
         ts,
         F.when(~F.col("_met"), "inactive")
@@ -62,15 +62,41 @@ def sustained(
 def apply_rules(gauges: DataFrame, rules: DataFrame, step_minutes: int = 1) -> DataFrame:
     """States of gauge series ``(series, ts, value)`` under ``rules(series, op, threshold,
     hold_minutes)``. Rules are configuration: written by hand, so few."""
+    latest = last_per_step(gauges, ["series"], "ts", "value", step_minutes)
     value, threshold = F.col("value"), F.col("threshold")
     met = F.when(F.col("op") == ">", value > threshold).when(F.col("op") == "<", value < threshold)
-    ruled = gauges.join(F.broadcast(rules), "series")
+    ruled = latest.join(F.broadcast(rules), "series")
     keys = ["series", "op", "threshold", "hold_minutes"]
     return sustained(ruled, keys, "ts", met, F.col("hold_minutes"), step_minutes).select(
         "series", "op", "threshold", "ts", "state"
     )
 
 
+def percent_of(gauges: DataFrame, part: str, whole: str, name: str, step_minutes: int = 1) -> DataFrame:
+    """A series ``name``: ``part`` as a percentage of ``whole``, step by step."""
+    both = last_per_step(gauges.filter(F.col("series").isin(part, whole)), ["series"], "ts", "value", step_minutes)
+
+    def of(series: str) -> Column:
+        return F.max(F.when(F.col("series") == series, F.col("value")))
+
+    share = F.try_divide(of(part) * 100, of(whole))
+    return both.groupBy("ts").agg(share.alias("value")).select(F.lit(name).alias("series"), "ts", "value")
+
+
+def infrastructure_alerts(
+    gauges: DataFrame, gpu: str = "gpu_utilisation", disk_free: str = "disk_free", disk_size: str = "disk_size"
+) -> DataFrame:
+    """The two ready rules: a busy GPU for 15 minutes, little free disk for 5."""
+    spark = gauges.sparkSession
+    rules = [
+        (gpu, ">", fixed.GPU_UTILISATION_LIMIT, fixed.GPU_HOLD_MINUTES),
+        ("disk_free_percent", "<", fixed.DISK_FREE_PERCENT_LIMIT, fixed.DISK_HOLD_MINUTES),
+    ]
+    table = spark.createDataFrame(rules, "series string, op string, threshold double, hold_minutes int")
+    free = percent_of(gauges, disk_free, disk_size, "disk_free_percent")
+    return apply_rules(gauges.select("series", "ts", "value").unionByName(free), table)
+
+
 def trailing_zscore(daily: DataFrame, by: list[str], date: str, value: str, days: int = 7) -> DataFrame:
     """Distance of each day from the mean of the days before, in standard deviations.
 

@@ -2,36 +2,65 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuskit import fixed
 from corpuskit.operators.vocabulary import token_counts
 from corpuskit.session import durable
 
 
+_SEARCHED = T.StructType([T.StructField("met", T.BooleanType()), T.StructField("error", T.StringType())])
+
+
+@F.arrow_udf(_SEARCHED)
+def _searched(patterns: pa.Array, responses: pa.Array) -> pa.Array:
+    """Whether each pattern occurs in its response; a pattern that is none gives its error."""
+    known: dict[str, re.Pattern | str] = {}
+    out = []
+    for pattern, response in zip(patterns.to_pylist(), responses.to_pylist()):
+        if pattern is None or response is None:
+            out.append({"met": None, "error": None})
+            continue
+        if pattern not in known:
+            try:
+                known[pattern] = re.compile(pattern, re.IGNORECASE)
+            except (re.error, OverflowError, RecursionError) as error:
+                known[pattern] = str(error)
+        test = known[pattern]
+        out.append({"met": None, "error": test} if isinstance(test, str) else {"met": test.search(response) is not None, "error": None})
+    return pa.array(out, pa.struct([("met", pa.bool_()), ("error", pa.string())]))
+
+
 def verdicts(cases: DataFrame, responses: DataFrame) -> DataFrame:
-    """PASS, FAIL or ERROR per case, with a reason.
+    """``test, status, reason, response, expected_pattern``: PASS, FAIL or ERROR per case.
 
-    ``cases(test, expected_pattern)``, ``responses(test, status_code, response)``; a case
-    without a response is an error. Patterns match anywhere, in any case.
+    ``cases(test, expected_pattern)``, ``responses(test, status_code, response)``. A case
+    without a response or with a malformed pattern is an error of its own and stops no other
+    case. Patterns match anywhere, in any case. A response that was compared is shown by its
+    first characters, and the pattern it did not match next to it.
     """
+    ok = F.col("status_code") == 200
     joined = cases.join(responses, "test", "left")
-    status_ok = F.col("status_code") == 200
-    matches = F.rlike("response", F.concat(F.lit("(?iu)"), F.col("expected_pattern")))
-    return joined.select(
+    found = joined.withColumn("_s", _searched(F.when(ok, F.col("expected_pattern")), F.col("response")))
+    error, met = F.col("_s.error"), F.coalesce("_s.met", F.lit(False))
+    compared = ok & error.isNull()
+    shown = F.concat(F.substring("response", 1, fixed.PREVIEW_CHARS), F.lit(fixed.PREVIEW_SUFFIX))
+    return found.select(
         "test",
-        F.when(F.col("status_code").isNull(), "ERROR")
-        .when(~status_ok, "FAIL")
-        .when(matches, "PASS")
-        .otherwise("FAIL")
-        .alias("status"),
+        F.when(F.col("status_code").isNull() | error.isNotNull(), "ERROR").when(~ok | ~met, "FAIL").otherwise("PASS").alias("status"),
         F.when(F.col("status_code").isNull(), "no response")
-        .when(~status_ok, F.concat(F.lit("API returned status code "), F.col("status_code").cast("string")))
-        .when(~F.coalesce(matches, F.lit(False)), "Response did not match expected pattern")
+        .when(~ok, F.concat(F.lit(fixed.BAD_STATUS_REASON), F.col("status_code").cast("string")))
+        .when(error.isNotNull(), error)
+        .when(~met, fixed.NO_MATCH_REASON)
         .alias("reason"),
+        F.when(compared, shown).alias("response"),
+        F.when(compared & ~met, F.col("expected_pattern")).alias("expected_pattern"),
     )
 
 

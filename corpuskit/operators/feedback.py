@@ -53,9 +53,11 @@ def attach_feedback(feedback: DataFrame, queries: DataFrame) -> DataFrame:
 
 def orphan_feedback(feedback: DataFrame, queries: DataFrame) -> DataFrame:
     """Feedback whose request id belongs to no query."""
+    # A missing id belongs to no query; such rows, however many, stay where they are.
+    missing = feedback.filter("request_id is null")
     known = queries.select("request_id").distinct().withColumn("known", F.lit(True))
-    joined = salted_join(feedback, known, "request_id", spread_by="id", how="left")
-    return joined.filter(F.col("known").isNull()).drop("known")
+    joined = salted_join(feedback.filter("request_id is not null"), known, "request_id", spread_by="id", how="left")
+    return joined.filter(F.col("known").isNull()).select(*feedback.columns).unionByName(missing)
 
 
 def latest_feedback(feedback: DataFrame, *by: str) -> DataFrame:

@@ -3,21 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskit import fixed
 
-BROADCAST_BYTES = 64 << 20
-GRID_BYTES = 32 << 20
-_TILE_QUERIES = 1_024
-_TILE_VECTORS = 4_096
+BLOCK_BYTES = 64 << 20
+MERGE_SALTS = 64
+_TILE = 1_024
 _EXACT_PAIRS = 65_536
 _HITS = "query_id bigint, vec_id bigint, score double"
-_HITS_ARROW = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+_NO_VECTOR = np.iinfo(np.int64).max
 
 
 def _matrix(embeddings: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -33,49 +33,49 @@ class _Best:
     def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int):
         self.ids, self.queries, self.k = ids, queries, k
         self.norms = np.einsum("ij,ij->i", queries, queries)
-        self.kth = np.full(len(ids), np.inf)
-        self.row = np.empty(0, np.int64)
-        self.vec = np.empty(0, np.int64)
-        self.score = np.empty(0)
+        self.score = np.full((len(ids), k), np.inf)
+        self.vec = np.full((len(ids), k), _NO_VECTOR)
 
     def add(self, vec_ids: np.ndarray, vectors: np.ndarray) -> None:
-        for v in range(0, len(vec_ids), _TILE_VECTORS):
-            ids, tile = vec_ids[v : v + _TILE_VECTORS], vectors[v : v + _TILE_VECTORS]
+        for v in range(0, len(vec_ids), _TILE):
+            ids, tile = vec_ids[v : v + _TILE], vectors[v : v + _TILE]
             norms = np.einsum("ij,ij->i", tile, tile)
-            found = [(self.row, self.vec, self.score)]
-            for q in range(0, len(self.ids), _TILE_QUERIES):
-                found += self._near(slice(q, q + _TILE_QUERIES), ids, tile, norms)
-            self._keep(*(np.concatenate(parts) for parts in zip(*found)))
+            for q in range(0, len(self.ids), _TILE):
+                self._near(slice(q, q + _TILE), ids, tile, norms)
 
-    def _near(self, part: slice, ids, tile, norms):
+    def _near(self, part: slice, ids, tile, norms) -> None:
         # The matrix product finds candidates; rounding may move it by less than the
-        # slack. Candidates then get the plain sum of squared differences.
+        # slack. Candidates then get the plain sum of squared differences, and at once
+        # compete with the best so far, so that equal vectors do not pile up.
         queries = self.queries[part]
         rough = self.norms[part, None] + norms - 2.0 * (queries @ tile.T)
         slack = 1e-9 * (1.0 + self.norms[part] + norms.max())
-        limit = self.kth[part]
+        limit = self.score[part, -1]
         if len(ids) > self.k:
             limit = np.minimum(limit, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1])
         rows, columns = np.nonzero(rough <= (limit + slack)[:, None])
         for at in range(0, len(rows), _EXACT_PAIRS):
             r, c = rows[at : at + _EXACT_PAIRS], columns[at : at + _EXACT_PAIRS]
             difference = queries[r] - tile[c]
-            yield r + part.start, ids[c], np.einsum("ij,ij->i", difference, difference)
+            self._keep(r + part.start, ids[c], np.einsum("ij,ij->i", difference, difference))
 
     def _keep(self, row, vec, score) -> None:
+        touched = np.unique(row)
+        row = np.append(np.repeat(touched, self.k), row)
+        vec = np.append(self.vec[touched].ravel(), vec)
+        score = np.append(self.score[touched].ravel(), score)
         order = np.lexsort((vec, score, row))
         row, vec, score = row[order], vec[order], score[order]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        near = place < self.k
-        self.row, self.vec, self.score = row[near], vec[near], score[near]
-        last = place[near] == self.k - 1
-        self.kth[self.row[last]] = self.score[last]
+        near = np.arange(len(row)) - np.searchsorted(row, row) < self.k
+        self.vec[touched], self.score[touched] = vec[near].reshape(-1, self.k), score[near].reshape(-1, self.k)
 
-    def table(self) -> pa.Table:
-        return pa.table([self.ids[self.row], self.vec, self.score], schema=_HITS_ARROW)
+    def batch(self) -> pa.RecordBatch:
+        row, place = np.nonzero(self.vec != _NO_VECTOR)
+        columns = [self.ids[row], self.vec[row, place], self.score[row, place]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
 
 
-def _against_broadcast(vectors: DataFrame, queries: pa.Table, k: int) -> DataFrame:
+def _hits_of_block(vectors: DataFrame, queries: pa.Table, k: int) -> DataFrame:
     ids = queries.column("query_id").to_numpy()
     shared = vectors.sparkSession.sparkContext.broadcast((ids, _matrix(queries.column("embedding"))))
 
@@ -84,30 +84,33 @@ def _against_broadcast(vectors: DataFrame, queries: pa.Table, k: int) -> DataFra
         for batch in batches:
             if batch.num_rows:
                 best.add(batch.column("vec_id").to_numpy(), _matrix(batch.column("embedding")))
-        yield from best.table().to_batches()
+        yield best.batch()
 
     return vectors.mapInArrow(nearest, _HITS)
 
 
-def _on_grid(vectors: DataFrame, queries: DataFrame, k: int, vector_bytes: int, query_bytes: int) -> DataFrame:
-    rows = -(-query_bytes // GRID_BYTES)
-    columns = -(-vector_bytes // GRID_BYTES)
+def common_dimension(vectors: DataFrame) -> int:
+    """The size most embeddings have, the smaller of equals; 0 without any. An action."""
+    sizes = vectors.filter("embedding is not null").groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n"))
+    row = sizes.orderBy(F.desc("n"), "d").first()
+    return row["d"] if row else 0
 
-    def deal(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n_own)).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
-        )
 
-    def cell(query_part: pa.Table, vector_part: pa.Table) -> pa.Table:
-        if not query_part.num_rows or not vector_part.num_rows:
-            return _HITS_ARROW.empty_table()
-        best = _Best(query_part.column("query_id").to_numpy(), _matrix(query_part.column("embedding")), k)
-        best.add(vector_part.column("vec_id").to_numpy(), _matrix(vector_part.column("embedding")))
-        return best.table()
+def defect(embedding: Column, dimension: int) -> Column:
+    """Why an embedding cannot be compared: ``missing``, ``dimension``, ``not finite``; else NULL."""
+    infinite = F.lit(float("inf"))
+    finite = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < infinite))
+    return (
+        F.when(embedding.isNull(), "missing")
+        .when((F.size(embedding) != dimension) | (F.size(embedding) == 0), "dimension")
+        .when(~finite, "not finite")
+    )
+
 
-    query_side = deal(queries, "query_id", "_row", rows, "_column", columns).groupBy("_row", "_column")
-    vector_side = deal(vectors, "vec_id", "_column", columns, "_row", rows).groupBy("_row", "_column")
-    return query_side.cogroup(vector_side).applyInArrow(cell, _HITS)
+def quarantined(vectors: DataFrame, dimension: int | None = None) -> DataFrame:
+    """``(vec_id, reason)`` of the vectors a search leaves aside."""
+    dimension = common_dimension(vectors) if dimension is None else dimension
+    return vectors.select("vec_id", defect(F.col("embedding"), dimension).alias("reason")).filter("reason is not null")
 
 
 def nearest(
@@ -115,40 +118,42 @@ def nearest(
     queries: DataFrame,
     k: int = fixed.SEARCH_K,
     *,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    dimension: int | None = None,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``(query_id, vec_id, rank, score)``: the ``k`` nearest vectors of each query.
 
     ``vectors(vec_id, embedding)``, ``queries(query_id, embedding)``; ids are unique,
-    ties go to the smaller id. The search is flat and exact, so its work is vectors
-    times queries; what is chosen is how they meet:
-
-    * a query matrix within ``broadcast_bytes`` goes to every task; the vectors are not
-      shuffled, and each task emits its own best ``k`` per query;
-    * a larger one is cut, like the vectors, into parts of bounded size by a hash of the
-      id, and each cell of the grid of parts is one small group.
-
-    Neither writes out pairs: per query only ``k`` rows leave a task or a cell.
+    ties go to the smaller id. Embeddings that are missing, not finite or not of the common
+    dimension are left aside on both sides (see :func:`quarantined`).
+
+    The search is flat and exact, so its work is vectors times queries. Queries are cut by a
+    hash of the id into blocks of about ``block_bytes``; each block is broadcast and meets
+    the vectors where they are. Vectors are never shuffled and no pairs are written out: per
+    query ``k`` rows leave a task, and are merged in two steps. Counting and collecting the
+    query blocks are actions.
     """
     vectors = vectors.select("vec_id", "embedding")
     queries = queries.select("query_id", "embedding")
-    size = queries.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d")).first()
-    row_bytes = 8 * (size["d"] or 0)
-    if size["n"] * row_bytes <= broadcast_bytes:
-        hits = _against_broadcast(vectors, queries.toArrow(), k)
-    else:
-        hits = _on_grid(vectors, queries, k, vectors.count() * row_bytes, size["n"] * row_bytes)
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return hits.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "vec_id", "rank", "score")
-
-
-def mean_pool(df: DataFrame, by: str, embedding: str = "embedding") -> DataFrame:
-    """Element-wise mean per group. Partial sums per position are merged before the shuffle."""
-    parts = (
-        df.select(by, F.posexplode(embedding).alias("pos", "x"))
-        .groupBy(by, "pos")
-        .agg(F.avg(F.col("x").cast("double")).alias("x"))
+    dimension = common_dimension(vectors) if dimension is None else dimension
+    vectors = vectors.filter(defect(F.col("embedding"), dimension).isNull())
+    queries = queries.filter(defect(F.col("embedding"), dimension).isNull())
+    blocks = max(1, -(-queries.count() * 8 * dimension // block_bytes))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    hits = reduce(
+        DataFrame.unionAll, (_hits_of_block(vectors, queries.filter(block == b).toArrow(), k) for b in range(blocks))
     )
-    # One entry per dimension.
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "x")))
-    return parts.groupBy(by).agg(F.transform(ordered, lambda e: e["x"]).alias("embedding"))
+    salt = F.pmod(F.xxhash64("vec_id"), F.lit(MERGE_SALTS))
+    for by in (["query_id", "_salt"], ["query_id"]):
+        best = F.row_number().over(Window.partitionBy(*by).orderBy("score", "vec_id"))
+        hits = hits.withColumn("_salt", salt).withColumn("rank", best).filter(F.col("rank") <= k)
+    return hits.select("query_id", "vec_id", "rank", "score")
+
+
+def mean_pool(df: DataFrame, by: str, dimension: int, embedding: str = "embedding") -> DataFrame:
+    """Element-wise mean per group, one average per position in a single aggregate.
+
+    Positions an embedding does not have, and NULL ones, do not count.
+    """
+    at = [F.avg(F.get(F.col(embedding), i).cast("double")) for i in range(dimension)]
+    return df.groupBy(by).agg(F.array(*at).alias("embedding"))

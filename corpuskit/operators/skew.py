@@ -2,26 +2,23 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from corpuskit.session import durable
 
 ROWS_PER_TASK = 1_000_000
-_KEYS = 1_000
-_TRACKED = 10_000
 
 
-def hot_keys(df: DataFrame, on: str, rows_per_task: int = ROWS_PER_TASK) -> dict:
-    """Keys with more than ``rows_per_task`` rows, each with the tasks it should fill.
+def hot_keys(df: DataFrame, on: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``(on, _fan)``: keys with more than ``rows_per_task`` rows, with the tasks each should fill.
 
-    A frequent-items sketch: every task keeps a bounded table, and the answer has at most
-    a thousand keys. A key outside it holds less than a thousandth of the rows. The counts
-    are estimates, which is enough to choose a number of tasks.
+    All of them: keys are counted exactly, within tasks before the shuffle. There can be no
+    more of them than ``rows / rows_per_task``, which bounds what is broadcast. A null key
+    joins with nothing and is left out.
     """
-    top = df.select(on).agg(F.expr(f"approx_top_k(`{on}`, {_KEYS}, {_TRACKED})")).first()[0]
-    return {t["item"]: math.ceil(t["count"] / rows_per_task) for t in top or [] if t["count"] > rows_per_task}
+    counted = df.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_task)
+    return durable(counted.select(on, F.ceil(F.col("_n") / rows_per_task).cast("int").alias("_fan")), "hot-keys")
 
 
 def salted_join(
@@ -38,15 +35,14 @@ def salted_join(
     Rows with a hot key are dealt out by a hash of ``spread_by`` (a row id), and the
     ``small`` rows of just those keys are repeated, once per share. Without hot keys this
     is the plain join. ``large`` is read once to look for them, so it should be a table or
-    a cheap projection of one. ``how`` is ``inner`` or ``left``.
+    a cheap projection of one; the count is an action. ``how`` is ``inner`` or ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
     hot = hot_keys(large, on, rows_per_task)
-    if not hot:
+    if hot.isEmpty():
         return large.join(small, on, how)
-    schema = T.StructType([T.StructField(on, large.schema[on].dataType), T.StructField("_fan", T.IntegerType())])
-    fans = F.broadcast(large.sparkSession.createDataFrame(list(hot.items()), schema))
+    fans = F.broadcast(hot)
     fan = F.coalesce("_fan", F.lit(1))
     dealt = large.join(fans, on, "left").withColumn("_salt", F.pmod(F.xxhash64(spread_by), fan).cast("int"))
     repeated = small.join(fans, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), fan - 1)))

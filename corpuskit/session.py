@@ -1,14 +1,24 @@
-"""Session helpers: where durable intermediates go and how small inputs spread."""
+"""Session helpers: a local session, and where durable intermediates go."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_DIRS: dict[str, str] = {}
+_OWNED: list[str] = []
+
+
+def _own_folder() -> str:
+    """One temporary folder of this process, removed when it ends."""
+    if not _OWNED:
+        _OWNED.append(tempfile.mkdtemp(prefix="corpuskit-"))
+        atexit.register(shutil.rmtree, _OWNED[0], ignore_errors=True)
+    return _OWNED[0]
 
 
 def local_session(cores: str = "8", app: str = "corpuskit") -> SparkSession:
@@ -23,32 +33,30 @@ def local_session(cores: str = "8", app: str = "corpuskit") -> SparkSession:
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", os.path.join(_own_folder(), "shared"))
         .getOrCreate()
     )
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for durable intermediates, as named by ``spark.checkpoint.dir``.
+    """This application's folder for intermediates, under the one ``spark.checkpoint.dir`` names.
 
-    Only a local session may run without the setting; it then gets one temporary
-    folder of its own. On a cluster a machine-local folder would vanish with its
+    Only a local session may run without the setting; it then gets a folder of its own that
+    goes with the process. On a cluster a machine-local folder would vanish with its
     executor, so the missing setting is an error there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_DIRS:
-        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="corpuskit-")
-    return _LOCAL_DIRS[app]
+    if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        configured = _own_folder()
+    return os.path.join(configured, f"corpuskit-{spark.sparkContext.applicationId}")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
+    """A fresh path under the application's folder."""
     return os.path.join(work_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
@@ -56,7 +64,7 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and continue from the written table.
 
     Cuts the lineage, survives lost executors, and unlike a row checkpoint the
-    Parquet copy lets later passes read only the columns they use.
+    Parquet copy lets later passes read only the columns they use. An action.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
@@ -64,11 +72,11 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when an input arrives in fewer partitions than there are cores.
+def remove_intermediates(spark: SparkSession) -> None:
+    """Deletes what this application has written by :func:`durable` and :func:`new_path`.
 
-    A file with a single row group is one scan task. Inputs of any size already
-    have more partitions than cores, so there this adds nothing to the plan.
+    For the end of a run, when all results are stored: DataFrames that still read
+    intermediates cannot be used afterwards.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

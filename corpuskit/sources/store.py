@@ -57,5 +57,8 @@ def read_relation(
 
 
 def write_relation(df: DataFrame, url: str, table: str, *, parts: int, **options: str) -> None:
-    """Appends to a database table through at most ``parts`` connections."""
-    df.coalesce(parts).write.format("jdbc").mode("append").options(url=url, dbtable=table, **options).save()
+    """Appends to a database table through at most ``parts`` connections.
+
+    A repartition, so that the work before it keeps all its tasks.
+    """
+    df.repartition(parts).write.format("jdbc").mode("append").options(url=url, dbtable=table, **options).save()

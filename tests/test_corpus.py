@@ -203,7 +203,12 @@ def test_salted_join_equals_join(spark, how):
 
 
 def test_hot_keys_of_nothing(spark):
-    assert hot_keys(spark.range(0), "id") == {}
+    assert hot_keys(spark.range(0), "id").isEmpty()
+
+
+def test_every_hot_key_is_found(spark):
+    df = spark.range(30_000).select((F.col("id") % 3_000).alias("k"))
+    assert hot_keys(df, "k", 5).count() == 3_000 and hot_keys(df, "k", 10).isEmpty()
 
 
 def test_expectations(spark):

@@ -26,7 +26,7 @@ def test_alert_needs_to_hold(spark):
 
 
 def test_gap_and_unknown_end_a_run(spark):
-    assert states(spark, {0: True, 1: True, 3: True, 4: True, 5: None, 6: True}, 1) == "pfipfip"
+    assert states(spark, {0: True, 1: True, 3: True, 4: True, 5: None, 6: True}, 1) == "pfpfip"
 
 
 def test_alert_true_from_the_start(spark):
@@ -43,6 +43,16 @@ def test_gauge_rules(spark):
     assert {(r.series, r.state): r["count"] for r in got} == {("gpu", "pending"): 15, ("gpu", "firing"): 2, ("disk", "pending"): 1}
 
 
+def test_uneven_samples_fire(spark):
+    rows = [("gpu_utilisation", minute(i) + dt.timedelta(seconds=(i * 37) % 50), 95.0) for i in range(20)]
+    rows += [("disk_free", minute(i) + dt.timedelta(seconds=7), 5.0 if i else 50.0) for i in range(8)]
+    rows += [("disk_size", minute(i) + dt.timedelta(seconds=40), 100.0) for i in range(8)] + [("gpu_utilisation", minute(900_000), 1.0)]
+    gauges = spark.createDataFrame(rows, "series string, ts timestamp_ntz, value double")
+    got = alerts.infrastructure_alerts(gauges).orderBy("series", "ts").collect()
+    states = {s: "".join(r.state[0] for r in got if r.series == s) for s in ("gpu_utilisation", "disk_free_percent")}
+    assert states == {"gpu_utilisation": "p" * 15 + "f" * 5 + "i", "disk_free_percent": "ipppppff"}
+
+
 def test_histogram_quantile_edges(spark):
     bounds = (1.0, 2.0, 4.0)
     rows = [("even", 10, 20, 20, 20), ("over", 0, 0, 0, 5), ("none", 0, 0, 0, 0), ("last", 0, 0, 8, 8)]
@@ -65,15 +75,19 @@ def test_windows_repeat_minutes_not_requests(spark, sf):
 
 
 def test_verdicts(spark):
-    cases = spark.createDataFrame([(1, "vector|index"), (2, "x"), (3, "x"), (4, "x"), (5, "ü")], "test int, expected_pattern string")
-    responses = spark.createDataFrame([(1, 200, "An INDEX"), (2, 200, "no"), (3, 500, "x"), (5, 200, "Ü")],
+    cases = spark.createDataFrame([(1, "vector|index"), (2, "x"), (3, "x"), (4, "x"), (5, "ü"), (6, "a(b")], "test int, expected_pattern string")
+    responses = spark.createDataFrame([(1, 200, "An INDEX"), (2, 200, "no"), (3, 500, "x"), (5, 200, "Ü"), (6, 200, "ab")],
                                       "test int, status_code int, response string")
     judged = evaluation.verdicts(cases, responses)
-    assert {r.test: (r.status, r.reason) for r in judged.collect()} == {
+    assert {r.test: (r.status, r.reason) for r in judged.filter("test < 6").collect()} == {
         1: ("PASS", None), 2: ("FAIL", "Response did not match expected pattern"),
         3: ("FAIL", "API returned status code 500"), 4: ("ERROR", "no response"), 5: ("PASS", None),
     }
-    assert tuple(evaluation.verdict_summary(judged).first()) == (2, 5)
+    bad = judged.filter("test = 6").first()
+    assert bad.status == "ERROR" and "unterminated" in bad.reason and bad.response is None
+    failed = judged.filter("test = 2").first()
+    assert failed.response == "no..." and failed.expected_pattern == "x"
+    assert tuple(evaluation.verdict_summary(judged).first()) == (2, 6)
 
 
 def test_perplexity_of_uniform_scores(spark):

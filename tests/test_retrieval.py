@@ -25,19 +25,18 @@ def found(hits):
     return out
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 26])
+@pytest.mark.parametrize("limit", [300, 1 << 26])
 @pytest.mark.parametrize("repeats", [1, 40])
 def test_nearest_equals_brute_force(spark, monkeypatch, limit, repeats):
-    # Small tiles and grid cells, and many equal vectors: ties go to the smaller id.
-    for name, value in (("GRID_BYTES", 7 * 64), ("_TILE_QUERIES", 4), ("_TILE_VECTORS", 16)):
-        monkeypatch.setattr(neighbours, name, value)
+    # Small tiles and query blocks, and many equal vectors: ties go to the smaller id.
+    monkeypatch.setattr(neighbours, "_TILE", 16)
     rng = np.random.default_rng(1)
     base = rng.normal(size=(200 // repeats, 8)).astype(np.float32)
     vectors = {i: base[i % len(base)].astype(float) for i in range(200)}
     queries = {i: v for i, v in enumerate(rng.normal(size=(20, 8)).astype(np.float32).astype(float))}
     queries[99] = vectors[3]
     hits = neighbours.nearest(
-        frame(spark, vectors, "vec_id").repartition(3), frame(spark, queries, "query_id"), 5, broadcast_bytes=limit
+        frame(spark, vectors, "vec_id").repartition(3), frame(spark, queries, "query_id"), 5, block_bytes=limit
     )
     assert found(hits) == brute(vectors, queries, 5)
 
@@ -48,6 +47,27 @@ def test_fewer_vectors_than_k(spark):
     assert [(r.vec_id, r.rank, r.score) for r in hits] == [(4, 1, 5.0)]
 
 
+def test_damaged_vectors_take_no_neighbours_away(spark):
+    rows = [(i, [float(i), 0.0]) for i in range(6)]
+    rows += [(10, None), (11, [float("nan"), 1.0]), (12, [1.0]), (13, [float("inf"), 0.0]), (14, [None, 1.0]), (15, [])]
+    held = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    hits = found(neighbours.nearest(held, held.withColumnRenamed("vec_id", "query_id"), 2))
+    assert hits == {0: [0, 1], 1: [1, 0], 2: [2, 1], 3: [3, 2], 4: [4, 3], 5: [5, 4]}
+    reasons = {r.vec_id: r.reason for r in neighbours.quarantined(held).collect()}
+    assert reasons == {10: "missing", 11: "not finite", 12: "dimension", 13: "not finite", 14: "not finite", 15: "dimension"}
+
+
+def test_equal_vectors_stay_small():
+    import tracemalloc
+
+    best = neighbours._Best(np.arange(2000), np.ones((2000, 8)), 5)
+    tracemalloc.start()
+    best.add(np.arange(10_000)[::-1].copy(), np.ones((10_000, 8)))
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    assert (best.vec == np.arange(5)).all() and (best.score == 0).all()
+
+
 def test_no_queries_no_hits(spark):
     none = spark.createDataFrame([], "query_id long, embedding array<float>")
     assert neighbours.nearest(frame(spark, {1: np.array([1.0])}, "vec_id"), none).count() == 0
@@ -76,7 +96,7 @@ def test_append_gives_contiguous_positions(spark):
 
 def test_mean_pool(spark):
     df = spark.createDataFrame([("a", [1.0, 2.0]), ("a", [3.0, 6.0]), ("b", [0.0, 1.0])], "g string, embedding array<float>")
-    assert {r.g: r.embedding for r in neighbours.mean_pool(df, "g").collect()} == {"a": [2.0, 4.0], "b": [0.0, 1.0]}
+    assert {r.g: r.embedding for r in neighbours.mean_pool(df, "g", 2).collect()} == {"a": [2.0, 4.0], "b": [0.0, 1.0]}
 
 
 def test_quantiles_equal_numpy(spark):
