@@ -2,14 +2,16 @@
 
 Every text has a MinHash signature. Several orders sort the texts by the signature read from
 different places. Texts that share the first values in an order form a region there. First
-each text is compared with its longest-common-prefix neighbour and the leaders of its regions,
-which joins most groups; then whatever in a region is still apart is compared, in crowded
-regions one level deeper. Links are confirmed on full shingle sets.
+each text is compared with its longest-common-prefix neighbour and with the hub of its regions,
+which joins most of every group. Then whatever in a region is still apart is compared, in
+crowded regions one level deeper, unless bit sketches of the two show that they cannot be
+similar enough. Links are confirmed on full shingle sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +27,17 @@ PERCENT = 75
 ORDERS = 20
 BASE_DEPTH = 3
 DEPTHS = (3, 5, 8)  # values of the signature that texts in a region share, by level
-CROWD = 256  # texts outside a region's largest group, beyond which the next level is used
-_VALUES = ORDERS * BASE_DEPTH
+CROWD = 64  # texts outside a region's largest group, beyond which the next level is used
+ROUNDS = 3  # of joining neighbours, before what is still apart is compared
+SKETCH_WORDS = 16  # 64-bit words of a text's sketch: two bits of each MinHash value
+# Differing sketch bits of a pair at exactly 75 %: 128 on average, standard deviation 12.6. The
+# limit lies 3.5 deviations above.
+MOST_BITS = 172
+_VALUES = 512
+_LEADING = ORDERS * BASE_DEPTH  # values that order texts; all go into the sketch
 _WIDTH = 4  # bytes of a value
 _LABEL = DEPTHS[-1] * _WIDTH
-_FACTORS = (np.random.default_rng(20).integers(0, 1 << 63, _VALUES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+_FACTORS = (np.random.default_rng(20).integers(0, 1 << 63, _VALUES // 2, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -49,33 +57,48 @@ def shingle_set(words: list[bytes]) -> np.ndarray:
     return np.unique(window_hashes(h, min(SHINGLE, len(h))))
 
 
-def signatures(sets: list[np.ndarray]) -> list[bytes | None]:
-    """MinHash values of each set, most significant byte first, so that bytes sort like values."""
+def signatures(sets: list[np.ndarray]) -> tuple[list[bytes | None], list[list[int] | None]]:
+    """Leading MinHash values of each set, most significant byte first, so that bytes sort like
+    values; and the sketch, the low bits of all values. The shingle hashes are random already,
+    so a product with an odd number is a hash function."""
     full = [i for i, s in enumerate(sets) if len(s)]
     out: list[bytes | None] = [None] * len(sets)
+    sketches: list[list[int] | None] = [None] * len(sets)
     if full:
         flat = np.concatenate([sets[i] for i in full])
         starts = np.cumsum([0] + [len(sets[i]) for i in full[:-1]])
-        values = np.empty((len(full), _VALUES), ">u4")
+        high = np.empty((len(full), _VALUES // 2), np.uint32)
+        low = np.empty_like(high)
         for k, factor in enumerate(_FACTORS):
-            values[:, k] = np.minimum.reduceat(mixed(flat * factor), starts) >> np.uint64(32)
+            # Both halves of a product are values of their own.
+            halves = (flat * factor).view(np.uint32)
+            low[:, k] = np.minimum.reduceat(halves[0::2], starts)
+            high[:, k] = np.minimum.reduceat(halves[1::2], starts)
+        bits = np.concatenate([low & 3, high & 3], axis=1).astype(np.uint8)
+        packed_bits = np.ascontiguousarray(
+            bits[:, 0::4] << 6 | bits[:, 1::4] << 4 | bits[:, 2::4] << 2 | bits[:, 3::4]
+        ).view(np.int64)
+        values = high[:, :_LEADING].astype(">u4")
         for row, i in enumerate(full):
             out[i] = values[row].tobytes()
-    return out
+            sketches[i] = packed_bits[row].tolist()
+    return out, sketches
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches):
         words = [words_of(t) for t in batch.column(1).to_pylist()]
         sets = [shingle_set(w) for w in words]
+        leading, sketches = signatures(sets)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
                 pa.array([node_of(w) for w in words], pa.binary()),
                 pa.array([len(s) for s in sets], pa.int64()),
-                pa.array(signatures(sets), pa.binary()),
+                pa.array(leading, pa.binary()),
+                pa.array(sketches, pa.list_(pa.int64())),
             ],
-            ["doc_id", "node", "n", "sig"],
+            ["doc_id", "node", "n", "sig", "sketch"],
         )
 
 
@@ -93,23 +116,27 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adjacent rows of one region, both ways, with the number of leading values they share."""
+    """Adjacent rows of one region but of different groups, with the number of leading values
+    they share; rows whose sketches differ too much are left out."""
     last = None
     for batch in batches:
         if not batch.num_rows:
             continue
         regions = batch.column(0).to_numpy(zero_copy_only=False)
-        nodes = batch.column(1).to_pylist()
-        labels = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(-1, DEPTHS[-1])
+        nodes, roots = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+        labels = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32).reshape(-1, DEPTHS[-1])
+        sketches = batch.column(4).flatten().to_numpy().reshape(-1, SKETCH_WORDS)
         if last is not None:
-            regions, nodes, labels = np.append(last[0], regions), [last[1], *nodes], np.vstack([last[2], labels])
-        last = regions[-1:], nodes[-1], labels[-1:]
-        same = np.flatnonzero(regions[1:] == regions[:-1])
-        shared = np.cumprod(labels[same] == labels[same + 1], axis=1).sum(axis=1)
-        a, b = [nodes[i] for i in same], [nodes[i + 1] for i in same]
+            regions, nodes, roots = np.append(last[0], regions), [last[1], *nodes], [last[2], *roots]
+            labels, sketches = np.vstack([last[3], labels]), np.vstack([last[4], sketches])
+        last = regions[-1:], nodes[-1], roots[-1], labels[-1:], sketches[-1:]
+        other = np.fromiter((x != y for x, y in zip(roots, roots[1:])), bool, len(roots) - 1)
+        differing = np.bitwise_count(sketches[1:] ^ sketches[:-1]).sum(axis=1)
+        at = np.flatnonzero((regions[1:] == regions[:-1]) & other & (differing <= MOST_BITS))
+        shared = np.cumprod(labels[at] == labels[at + 1], axis=1).sum(axis=1)
+        a, b = [nodes[i] for i in at], [nodes[i + 1] for i in at]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(a + b, pa.binary()), pa.array(b + a, pa.binary()), pa.array(np.tile(shared, 2), pa.int64())],
-            ["a", "b", "shared"],
+            [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(shared, pa.int64())], ["a", "b", "shared"]
         )
 
 
@@ -145,52 +172,122 @@ def _near_size(n, m):
     return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
 
 
+def _near_sizes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    sizes = classes.select("node", "n")
+    pairs = pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("an")), "a")
+    pairs = pairs.join(sizes.select(F.col("node").alias("b"), F.col("n").alias("bn")), "b")
+    return pairs.filter(_near_size(F.col("an"), F.col("bn"))).select("a", "b")
+
+
+def _differing_bits(x, y):
+    words = [F.bit_count(F.get(x, i).bitwiseXOR(F.get(y, i))) for i in range(SKETCH_WORDS)]
+    return reduce(lambda a, b: a + b, words)
+
+
+def _beside(own: DataFrame, parts: int) -> DataFrame:
+    """``a, b, shared``: neighbours in the sorted orders that are in different groups."""
+    placed = own.select("region", "node", "root", "label", "sketch", "tree").repartitionByRange(parts, "tree", "label", "node")
+    placed = placed.sortWithinPartitions("tree", "label", "node").select("region", "node", "root", "label", "sketch")
+    return placed.mapInArrow(_neighbours, "a binary, b binary, shared bigint")
+
+
 def _first_candidates(orders: DataFrame, parts: int) -> DataFrame:
-    """Pairs that join most groups: each text with its nearest neighbour and its regions' leaders."""
-    placed = orders.select("region", "node", "label", "tree").repartitionByRange(parts, "tree", "label", "node")
-    placed = placed.sortWithinPartitions("tree", "label", "node").select("region", "node", "label")
-    beside = placed.mapInArrow(_neighbours, "a binary, b binary, shared bigint")
-    nearest = beside.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best")).select("a", "best.b")
-    ends = orders.groupBy("region").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    led = (
-        orders.select("region", "node").join(ends, "region")
-        .groupBy("node").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    """Two pairs a text: with its nearest neighbour in any order, and with the hub of its regions.
+
+    The more texts share a text's regions, the more it is a hub. Copies of one original differ
+    from it less than from each other, and so it, or a close copy, becomes the hub.
+    """
+    beside = _beside(orders.withColumn("root", F.col("node")), parts)
+    both = beside.union(beside.select("b", "a", "shared"))
+    nearest = both.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best")).select("a", "best.b")
+    met = orders.groupBy("node").agg(F.sum("k").alias("met"))
+    known = durable(orders.select("region", "node").join(met, "node"), "met")
+    hubs = known.groupBy("region").agg(F.max(F.struct("met", "node")).alias("hub"))
+    led = known.select("region", "node").join(hubs, "region").groupBy("node").agg(F.max("hub").alias("hub"))
+    return _each_once(nearest.union(led.select(F.col("node").alias("a"), F.col("hub.node").alias("b"))))
+
+
+def _more_candidates(orders: DataFrame, labels: DataFrame, parts: int, step: int) -> DataFrame:
+    """Pairs of different groups, of the regions that hold several: neighbours in any order, and
+    each text outside a region's largest group with some member of that group."""
+    own = durable(
+        orders.join(labels, "node", "left").select(
+            "region", "tree", "label", "node", "sketch", F.coalesce("root", "node").alias("root")
+        ),
+        "grouped",
     )
-    return nearest.union(led.select(F.col("node").alias("a"), F.col("low").alias("b"))).union(
-        led.select(F.col("node").alias("a"), F.col("high").alias("b"))
+    groups = own.groupBy("region", "root").agg(
+        F.count("*").alias("k"), F.min(F.struct(F.xxhash64("node", "tree", F.lit(step)), "node", "sketch")).alias("one")
     )
+    tops = groups.groupBy("region").agg(F.count("*").alias("groups"), F.max(F.struct("k", "root", "one")).alias("top"))
+    tops = durable(tops.filter("groups > 1").select("region", F.col("top.root").alias("largest"), "top.one"), "tops")
+    several = durable(own.join(tops, "region"), "several")
+    near = _differing_bits(F.col("sketch"), F.col("one.sketch")) <= MOST_BITS
+    some = several.filter((F.col("root") != F.col("largest")) & near).select(F.col("node").alias("a"), F.col("one.node").alias("b"))
+    return _each_once(_beside(several, parts).select("a", "b").union(some))
+
 
+def _each_once(pairs: DataFrame) -> DataFrame:
+    return pairs.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-def _apart(orders: DataFrame, labels: DataFrame) -> DataFrame:
-    """All pairs in a region that are still in different groups and one of which is outside the
-    region's largest group; regions where too many are outside are cut one level deeper."""
+
+def _settled(orders: DataFrame, labels: DataFrame) -> DataFrame:
+    """``tree, node, n, root, largest, region`` of the regions that still hold several groups.
+
+    Each region has its depth: where more than ``CROWD`` texts are outside the largest group,
+    texts must share more values to be in one region.
+    """
     own = orders.join(labels, "node", "left").select(
         "region", "tree", "label", "node", "n", F.coalesce("root", "node").alias("root")
     )
-    found = None
+    settled = None
     for level, depth in enumerate(DEPTHS):
         if level:
-            own = own.withColumn("region", F.xxhash64("tree", F.substring("label", 1, depth * _WIDTH)))
+            own = own.withColumn("region", F.xxhash64("tree", F.substring("label", 1, depth * _WIDTH), F.lit(depth)))
         own = durable(own, "regions")
         groups = own.groupBy("region", "root").agg(F.count("*").alias("k"))
         state = groups.groupBy("region").agg(
             F.count("*").alias("groups"), F.sum("k").alias("all"), F.max(F.struct("k", "root")).alias("top")
         )
-        state = state.filter("groups > 1").select("region", "top.root", (F.col("all") - F.col("top.k")).alias("outside"))
-        state = durable(state.withColumnRenamed("root", "largest"), "region-state")
-        last = level == len(DEPTHS) - 1
-        here = state if last else state.filter(F.col("outside") <= CROWD)
-        rows = own.join(here.select("region", "largest"), "region")
-        strays = rows.filter("root != largest").select(
-            "region", F.col("node").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar")
+        state = state.filter("groups > 1").select(
+            "region", F.col("top.root").alias("largest"), (F.col("all") - F.col("top.k") > CROWD).alias("crowded")
         )
-        others = rows.select("region", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("root").alias("br"))
-        pairs = strays.join(others, "region").filter(F.col("ar") != F.col("br")).filter(_near_size(F.col("an"), F.col("bn")))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        found = pairs if found is None else found.union(pairs)
+        state = durable(state, "region-state")
+        last = level == len(DEPTHS) - 1
+        here = state.drop("crowded") if last else state.filter("not crowded").drop("crowded")
+        rows = own.drop("label").join(here, "region")
+        settled = rows if settled is None else settled.unionByName(rows)
         if not last:
-            own = own.join(state.filter(F.col("outside") > CROWD).select("region"), "region", "left_semi")
-    return found.distinct()
+            own = own.join(state.filter("crowded").select("region"), "region", "left_semi")
+    return durable(settled, "settled")
+
+
+def _apart(orders: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs in a region that are in different groups and one of which is outside the region's
+    largest group, each once: in the first order that has both in one region."""
+    settled = _settled(orders, labels)
+    keys = F.map_from_entries(F.collect_list(F.struct("tree", "region")))
+    by_order = F.transform(F.sequence(F.lit(0), F.lit(ORDERS - 1)), lambda t: F.element_at(F.col("keys"), t))
+    of_node = settled.groupBy("node").agg(keys.alias("keys")).select("node", by_order.alias("keys"))
+    known = of_node.join(classes.select("node", "sketch"), "node")
+    rows = durable(settled.join(known, "node"), "apart")
+    strays = rows.filter("root != largest").select(
+        "region", "tree", F.col("node").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"),
+        F.col("keys").alias("ak"), F.col("sketch").alias("x"),
+    )
+    others = rows.select(
+        F.col("region").alias("r"), F.col("node").alias("b"), F.col("n").alias("bn"), F.col("root").alias("br"),
+        (F.col("root") != F.col("largest")).alias("stray"), F.col("keys").alias("bk"), F.col("sketch").alias("y"),
+    )
+    # Region keys differ between orders, so a common key is a common region.
+    earlier = F.arrays_overlap(F.slice("ak", F.lit(1), F.col("tree")), F.slice("bk", F.lit(1), F.col("tree")))
+    pairs = strays.join(
+        others,
+        (F.col("region") == F.col("r")) & (F.col("ar") != F.col("br")) & (~F.col("stray") | (F.col("a") < F.col("b")))
+        & _near_size(F.col("an"), F.col("bn")) & (_differing_bits(F.col("x"), F.col("y")) <= MOST_BITS)
+        & ~F.coalesce(earlier, F.lit(False)),
+    )
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -212,29 +309,27 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     narrow = packed(docs, doc_id=F.col(f"`{doc_id}`"), text=F.col(f"`{text}`")).drop("row")
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    signed = durable(narrow.mapInArrow(_signed, f"doc_id {kind}, node binary, n bigint, sig binary"), "signatures")
+    signed = durable(narrow.mapInArrow(_signed, f"doc_id {kind}, node binary, n bigint, sig binary, sketch array<bigint>"), "signatures")
     classes = durable(
-        signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sig").alias("sig")),
+        signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.max("sketch").alias("sketch")),
         "classes",
     )
     rows = _orders(classes)
-    shared = rows.groupBy("region").agg(F.count("*").alias("k")).filter("k > 1").select("region")
-    rows = durable(rows.join(shared, "region", "left_semi"), "shared-regions")
-    orders = durable(
-        rows.join(classes, "node").select("region", "tree", "node", "n", _label().alias("label")), "orders"
-    )
+    shared = rows.groupBy("region").agg(F.count("*").alias("k")).filter("k > 1")
+    rows = durable(rows.join(shared, "region"), "shared-regions")
+    columns = ["region", "k", "tree", "node", "n", "sketch"]
+    orders = durable(rows.join(classes, "node").select(*columns, _label().alias("label")), "orders")
     wanted = orders.select("node").distinct().join(classes, "node").select(F.col("rep").alias("doc_id"), "node")
     texts = narrow.join(wanted, "doc_id").select("text", "node")
     sets = durable(texts.mapInArrow(_set_rows, "node binary, shingles array<bigint>").dropDuplicates(["node"]), "sets")
 
-    sizes = orders.select("node", "n").distinct()
-    first = _first_candidates(orders, parts).filter("a != b")
-    first = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    first = first.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("an")), "a")
-    first = first.join(sizes.select(F.col("node").alias("b"), F.col("n").alias("bn")), "b")
-    first = first.filter(_near_size(F.col("an"), F.col("bn"))).select("a", "b")
-    links = durable(_confirmed(first, sets), "links")
-    more = durable(_confirmed(_apart(orders, components(links)), sets), "links")
+    links = durable(_confirmed(_near_sizes(_first_candidates(orders, parts), classes), sets), "links")
+    labels = components(links)
+    for step in range(1, ROUNDS):
+        more = durable(_confirmed(_near_sizes(_more_candidates(orders, labels, parts, step), classes), sets), "links")
+        links = links.union(more)
+        labels = components(links)
+    more = durable(_confirmed(_apart(orders, labels, classes), sets), "links")
     labels = components(links.union(more))
 
     named = classes.select("node", "rep").join(labels, "node", "left").select(
