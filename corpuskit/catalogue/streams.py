@@ -9,6 +9,7 @@ from corpuskit import fixed
 from corpuskit.catalogue import inputs
 from corpuskit.catalogue.inputs import FEEDBACK_SQL, LOG_SQL, QUERIES_SQL, cleaned_sql
 from corpuskit.catalogue.registry import query
+from corpuskit.operators import feedback as fb
 from corpuskit.session import new_path
 from corpuskit.streaming import feedback as sf_
 from corpuskit.streaming import ingest
@@ -58,10 +59,38 @@ def stream_windows(spark, sf):
     )
 
 
-@query("stream_late_rows", f"{_CLOSED} SELECT sum(requests)::BIGINT AS rows, 0::BIGINT AS late_rows FROM c")
+_SLID = f"""WITH l AS ({LOG_SQL}), w AS (SELECT endpoint, status, date_trunc('minute', ts) - to_minutes(back) AS window_start
+      FROM (SELECT *, unnest(range(5)) AS back FROM l)),
+    c AS (SELECT window_start, endpoint, count(*) AS requests, count(*) FILTER (status >= 500) AS errors FROM w
+      WHERE window_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM l) - INTERVAL 10 MINUTE GROUP BY 1, 2)"""
+
+
+@query("stream_sliding_windows", f"{_SLID} SELECT window_start, endpoint, requests, errors FROM c")
+def stream_sliding_windows(spark, sf):
+    slid = ingest.run_available(sr.stream_windows(_log_stream(spark, sf)), "windows")
+    return slid.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "endpoint", "requests", "errors")
+
+
+# Every tenth event arrives in a second file, after all the others; whatever lies in windows
+# that the first file has closed is late.
+@query(
+    "stream_late_rows",
+    f"""WITH l AS ({LOG_SQL}), m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS first_mark FROM l WHERE request_id::BIGINT % 10 <> 0),
+    n AS (SELECT greatest(max(ts), (SELECT max(ts) FROM l WHERE request_id::BIGINT % 10 <> 0)) - INTERVAL 10 MINUTE AS last_mark FROM l),
+    w AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, ts) AS start, request_id::BIGINT % 10 = 0 AS second FROM l),
+    k AS (SELECT *, second AND start + INTERVAL 5 MINUTE <= first_mark AS late FROM w, m),
+    last AS (SELECT max(start) AS newest FROM k, n WHERE NOT late AND start + INTERVAL 5 MINUTE <= last_mark)
+    SELECT count(*) AS rows, count(*) FILTER (late) AS late_rows FROM k, last WHERE start <= newest""",
+)
 def stream_late_rows(spark, sf):
     log = inputs.request_log(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    return sr.late_rows(log, _windows(spark, sf))
+    path = new_path(spark, "log")
+    second = F.col("request_id").cast("bigint") % 10 == 0
+    for part in (~second, second):
+        log.filter(part).coalesce(1).write.mode("append").parquet(path)
+    arriving = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    windows = ingest.run_available(sr.stream_windows(arriving, slide=None), "windows")
+    return sr.late_rows(log, windows)
 
 
 @query(
@@ -88,8 +117,8 @@ def stream_alerts(spark, sf):
 )
 def stream_feedback_join(spark, sf):
     arriving = _as_stream(inputs.given_feedback(spark, sf), "feedback")
-    joined = sf_.stream_feedback(arriving, inputs.asked_queries(spark, sf))
-    return ingest.run_available(joined.select("id", "query_id", "is_orphan"), "joined")
+    joined = sf_.join_feedback(arriving, inputs.asked_queries(spark, sf), new_path(spark, "joined"))
+    return joined.select("id", "query_id", "is_orphan")
 
 
 @query(
@@ -109,12 +138,17 @@ def chat_sessions(spark, sf):
 
 @query(
     "stream_daily_refresh",
-    f"""WITH q AS ({QUERIES_SQL}) SELECT "timestamp"::DATE AS date, count(*) AS total_queries,
-    round(avg(response_time_ms), 6) AS avg_response_time_ms, count(DISTINCT user_id) AS unique_users FROM q GROUP BY 1""",
+    f"""WITH q AS ({QUERIES_SQL}), f AS ({FEEDBACK_SQL}),
+    a AS (SELECT "timestamp"::DATE AS date, count(*) AS total_queries, round(avg(response_time_ms), 6) AS avg_response_time_ms,
+      count(DISTINCT user_id) AS unique_users FROM q GROUP BY 1),
+    b AS (SELECT q."timestamp"::DATE AS date, count(*) FILTER (is_helpful) AS up, count(*) FILTER (NOT is_helpful) AS down
+      FROM f JOIN q USING (request_id) WHERE rating BETWEEN 1 AND 5 GROUP BY 1)
+    SELECT date, total_queries, avg_response_time_ms, unique_users, coalesce(up, 0) AS positive_feedback_count,
+      coalesce(down, 0) AS negative_feedback_count FROM a LEFT JOIN b USING (date)""",
 )
 def stream_daily_refresh(spark, sf):
-    arriving = _as_stream(inputs.asked_queries(spark, sf), "queries")
-    daily = sf_.refresh_daily(arriving, new_path(spark, "refresh"))
-    return daily.withColumn("avg_response_time_ms", F.round("avg_response_time_ms", 6)).select(
-        "date", "total_queries", "avg_response_time_ms", "unique_users"
-    )
+    asked = _as_stream(inputs.asked_queries(spark, sf), "queries")
+    given = inputs.given_feedback(spark, sf)
+    valid = fb.check_rows(given, fb.feedback_rules()).filter("is_valid").select(*given.columns)
+    daily = sf_.refresh_daily(asked, _as_stream(valid, "feedback"), new_path(spark, "refresh"))
+    return daily.withColumn("avg_response_time_ms", F.round("avg_response_time_ms", 6))

@@ -14,6 +14,7 @@ from corpuskit import fixed
 from corpuskit.functions.text import clean_text
 
 MAX_VOCABULARY = 1_000_000
+MAX_BYTES = 128 << 20
 
 
 def _map_flat(values: pa.Array, flat_map: Callable[[pa.Array], pa.Array]) -> pa.Array:
@@ -26,15 +27,16 @@ def _map_flat(values: pa.Array, flat_map: Callable[[pa.Array], pa.Array]) -> pa.
 class Vocabulary:
     """An ``(id, token)`` table shipped to every executor once.
 
-    The table's size is a model parameter, not a property of the data; it is checked
-    before it is collected. Looking ids up where the tokens are avoids exploding,
+    The table's size is a model parameter, not a property of the data; its rows and bytes
+    are checked before it is collected, which is an action. Looking ids up where the tokens are avoids exploding,
     joining and regrouping every token of the corpus.
     """
 
     def __init__(self, table: DataFrame):
-        rows = table.select("id", "token").limit(MAX_VOCABULARY + 1).toArrow().sort_by("id")
-        if rows.num_rows > MAX_VOCABULARY:
-            raise ValueError(f"more than {MAX_VOCABULARY} tokens")
+        held = table.agg(F.count("*").alias("n"), F.sum(F.octet_length("token") + 16).alias("size")).first()
+        if held["n"] > MAX_VOCABULARY or (held["size"] or 0) > MAX_BYTES:
+            raise ValueError(f"more than {MAX_VOCABULARY} tokens or {MAX_BYTES} bytes of them: {held}")
+        rows = table.select("id", "token").toArrow().sort_by("id")
         ids = rows.column("id").combine_chunks().cast(pa.int32())
         tokens = rows.column("token").combine_chunks().cast(pa.string())
         self.size = rows.num_rows

@@ -71,27 +71,39 @@ def latest_feedback(feedback: DataFrame, *by: str) -> DataFrame:
     return feedback.groupBy(*by).agg(newest.alias("f")).select(*by, "f.*")
 
 
-def daily_metrics(queries: DataFrame, feedback: DataFrame) -> DataFrame:
-    """Per day: queries, mean response time, feedback by sign, users. Feedback counts on
-    the day of its query."""
-    per_day = queries.groupBy(F.to_date("timestamp").alias("date")).agg(
-        F.count("*").alias("total_queries"),
-        F.avg("response_time_ms").alias("avg_response_time_ms"),
-        F.countDistinct("user_id").alias("unique_users"),
-    )
-    # Counted per request before the join: a request with very much feedback meets its
-    # query as one row.
+def feedback_signs(feedback: DataFrame, queries: DataFrame) -> DataFrame:
+    """``(date, up, down)`` of the feedback of each request, on the day of its first query.
+
+    Counted per request before the join: a request with very much feedback meets its query
+    as one row. Queries without feedback are dropped by the join, and the first query of a
+    request is found where the join has put its queries.
+    """
     per_request = feedback.groupBy("request_id").agg(
         F.count_if("is_helpful").alias("up"), F.count_if(~F.col("is_helpful")).alias("down")
     )
-    signs = (
-        per_request.join(first_query_ids(queries), "request_id")
-        .groupBy(F.to_date("query_timestamp").alias("date"))
-        .agg(F.sum("up").alias("positive_feedback_count"), F.sum("down").alias("negative_feedback_count"))
+    asked = queries.select("request_id", "id", F.to_date("timestamp").alias("date"))
+    first = asked.join(per_request, "request_id").groupBy("request_id").agg(
+        F.min(F.struct("id", "date", "up", "down")).alias("q")
     )
-    return per_day.join(signs, "date", "left").na.fill(
-        0, ["positive_feedback_count", "negative_feedback_count"]
+    return first.select("q.date", "q.up", "q.down")
+
+
+def daily_metrics(queries: DataFrame, feedback: DataFrame) -> DataFrame:
+    """Per day: queries, mean response time, feedback by sign, users. Feedback counts on
+    the day of its query. Both kinds of rows go into one aggregate."""
+    asked = queries.select(
+        F.to_date("timestamp").alias("date"), F.lit(1).alias("asked"), "response_time_ms", "user_id",
+        F.lit(0).cast("bigint").alias("up"), F.lit(0).cast("bigint").alias("down"),
     )
+    signs = feedback_signs(feedback, queries)
+    both = asked.unionByName(signs.withColumn("asked", F.lit(0)), allowMissingColumns=True)
+    return both.groupBy("date").agg(
+        F.sum("asked").alias("total_queries"),
+        F.avg("response_time_ms").alias("avg_response_time_ms"),
+        F.countDistinct("user_id").alias("unique_users"),
+        F.sum("up").alias("positive_feedback_count"),
+        F.sum("down").alias("negative_feedback_count"),
+    ).filter("total_queries > 0")
 
 
 def positive_ratio(metrics: DataFrame) -> DataFrame:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuskit.session import durable
@@ -38,18 +39,58 @@ def fingerprint(df: DataFrame, content: Column, by: str = "split") -> DataFrame:
     return sums.select(by, "rows", F.sha2(joined, 256).alias("digest"))
 
 
-def write_version(df: DataFrame, base: str, prints: DataFrame) -> str:
-    """Writes ``df`` under ``version=<digest>``; an existing version is left as it is.
+def version_digest(prints: DataFrame) -> str:
+    """One digest over all fingerprints, however many parts there are. An action."""
+    parts = prints.select(F.sha2(F.concat_ws("|", *prints.columns), 256).alias("d"))
+    sums = parts.agg(F.count("*").alias("n"), *_chunk_sums(F.col("d"))).first()
+    return hashlib.sha256(":".join(map(str, sums)).encode()).hexdigest()[:16]
 
-    The digest covers the fingerprint of every part (one row per split).
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(found)
+
+
+def is_committed(spark: SparkSession, path: str) -> bool:
+    return _exists(spark, os.path.join(path, "commit", "_SUCCESS"))
+
+
+def write_version(tables: DataFrame | dict[str, DataFrame], base: str, prints: DataFrame) -> str:
+    """Writes tables under ``version=<digest>`` and commits them; an existing version is left as it is.
+
+    The digest covers the fingerprints, which are those of the rows of all tables (per split,
+    say, and of the vocabulary). Each table goes to a fresh folder and its rows are counted
+    there; only if they are as many as the fingerprints say is the commit record written, as
+    the last step. What a failed attempt leaves has no commit record and counts as absent.
+    Runs jobs while it is called.
     """
-    parts = sorted(tuple(str(v) for v in r) for r in prints.collect())
-    digest = hashlib.sha256("\n".join("|".join(p) for p in parts).encode()).hexdigest()[:16]
-    path = os.path.join(base, f"version={digest}")
-    df.write.mode("ignore").parquet(path)
+    tables = {"data": tables} if isinstance(tables, DataFrame) else tables
+    spark = prints.sparkSession
+    path = os.path.join(base, f"version={version_digest(prints)}")
+    if is_committed(spark, path):
+        return path
+    written = []
+    for name, df in tables.items():
+        folder = f"{name}-{uuid.uuid4().hex}"
+        df.write.parquet(os.path.join(path, folder))
+        written.append((name, folder, spark.read.schema(df.schema).parquet(os.path.join(path, folder)).count()))
+    expected = prints.agg(F.sum("rows")).first()[0] or 0
+    if sum(n for _, _, n in written) != expected:
+        raise RuntimeError(f"{path}: {written} written, {expected} rows expected")
+    record = spark.createDataFrame(written, "name string, folder string, rows bigint").coalesce(1)
+    record.write.mode("overwrite").json(os.path.join(path, "commit"))
     return path
 
 
+def read_version(spark: SparkSession, path: str, name: str = "data") -> DataFrame:
+    """A table of a committed version."""
+    if not is_committed(spark, path):
+        raise FileNotFoundError(f"{path} has no commit record")
+    record = spark.read.schema("name string, folder string, rows bigint").json(os.path.join(path, "commit"))
+    folder = record.filter(F.col("name") == name).first()["folder"]
+    return spark.read.parquet(os.path.join(path, folder))
+
+
 def fingerprint_changes(old: DataFrame, new: DataFrame, by: str = "split") -> DataFrame:
     """Parts that appeared, vanished or changed between two fingerprints."""
     a = old.select(by, F.col("rows").alias("old_rows"), F.col("digest").alias("old_digest"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskit import fixed
+from corpuskit.session import durable
 
 
 def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
@@ -21,13 +22,22 @@ def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
 def learn_vocabulary(df: DataFrame, tokens: str = "tokens", size: int = fixed.VOCABULARY_SIZE) -> DataFrame:
     """``(id, token)``: special tokens first, then the most frequent tokens, ties by token.
 
-    ``size`` counts the specials and is the model's vocabulary size. Only that many
-    tokens leave each task for the final order, so one task can number them.
+    ``size`` counts the specials and is the model's vocabulary size. First the count at rank
+    ``size`` is found from how many tokens have each count; then only tokens above it and the
+    first of those at it are numbered, so that no more than ``size`` rows meet in one task,
+    however many tasks there are. Runs jobs while it is called.
     """
     specials = fixed.SPECIAL_TOKENS
     if size <= len(specials):
         raise ValueError("size must exceed the number of special tokens")
-    top = token_counts(df, tokens).orderBy(F.desc("n"), "token").limit(size - len(specials))
+    wanted = size - len(specials)
+    counted = durable(token_counts(df, tokens), "token-counts")
+    # One row per distinct count: at most the square root of twice the tokens of the corpus.
+    per_count = counted.groupBy("n").agg(F.count("*").alias("k"))
+    above = F.sum("k").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("n"))) - F.col("k")
+    cut = per_count.withColumn("above", above).filter(F.col("above") < wanted).orderBy("n").first()
+    least, room = (cut["n"], wanted - cut["above"]) if cut else (0, 0)
+    top = counted.filter(F.col("n") > least).unionByName(counted.filter(F.col("n") == least).orderBy("token").limit(room))
     place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), "token"))
     learned = top.select((place - 1 + len(specials)).cast("int").alias("id"), "token")
     fixed_rows = df.sparkSession.createDataFrame(

@@ -2,24 +2,66 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpuskit.operators.feedback import first_query_ids
+from corpuskit.operators.skew import salted_join
+
+Sink = Callable[[DataFrame, int], None]
+
+
+def _replace(df: DataFrame, path: str, *by: str) -> None:
+    """Overwrites just the folders that ``df`` has rows for."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
+def _run_available(stream: DataFrame, sink: Sink, progress: str) -> None:
+    writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", progress)
+    writer.trigger(availableNow=True).start().awaitTermination()
 
 
-def stream_feedback(feedback: DataFrame, queries: DataFrame) -> DataFrame:
-    """Arriving feedback with its query id; ``is_orphan`` marks those without a query.
+class FeedbackJoin:
+    """A ``foreachBatch`` sink that writes arriving feedback with its query id.
 
-    ``queries`` is a table. A left stream-static join keeps no state.
+    ``is_orphan`` marks feedback without a query. Of ``queries``, a table, only those of the
+    batch's request ids are regrouped, so a batch does not cost a pass of grouping over all
+    of them; a request with very much feedback is spread over tasks, and feedback without a
+    request id is set aside before the join. A batch that runs again replaces its own folder.
     """
-    joined = feedback.join(first_query_ids(queries).select("request_id", "query_id"), "request_id", "left")
-    return joined.withColumn("is_orphan", F.col("query_id").isNull())
+
+    def __init__(self, queries: DataFrame, folder: str):
+        self.queries, self.folder = queries, folder
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        asked = batch.filter("request_id is not null")
+        ids = asked.select("request_id").distinct()
+        known = first_query_ids(self.queries.join(ids, "request_id", "left_semi")).select("request_id", "query_id")
+        joined = salted_join(asked, known, "request_id", spread_by="id", how="left").select(*batch.columns, "query_id")
+        missing = batch.filter("request_id is null").withColumn("query_id", F.lit(None).cast("bigint"))
+        both = joined.unionByName(missing).withColumn("is_orphan", F.col("query_id").isNull())
+        _replace(both.withColumn("batch", F.lit(batch_id)), self.folder, "batch")
+
+
+def join_feedback(feedback: DataFrame, queries: DataFrame, folder: str) -> DataFrame:
+    """Feeds the feedback that is there now to :class:`FeedbackJoin`; returns all that was written."""
+    sink = FeedbackJoin(queries, f"{folder}/joined")
+    _run_available(feedback, sink, f"{folder}/progress")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in feedback.schema)
+    written = feedback.sparkSession.read.schema(f"{columns}, query_id bigint, is_orphan boolean, batch bigint")
+    return written.parquet(sink.folder).drop("batch")
 
 
 def stream_sessions(log: DataFrame, gap: str = "30 minutes", watermark: str = "10 minutes") -> DataFrame:
-    """Per user: bursts of requests with less than ``gap`` between them."""
+    """Per user: bursts of requests with less than ``gap`` between them.
+
+    Sessions are merged within each task before the shuffle, so a user with very many
+    requests sends few rows.
+    """
+    log.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return (
         log.withWatermark("ts", watermark)
         .groupBy(F.session_window("ts", gap).alias("s"), "user_id")
@@ -29,58 +71,90 @@ def stream_sessions(log: DataFrame, gap: str = "30 minutes", watermark: str = "1
 
 
 class DailyRefresh:
-    """A ``foreachBatch`` sink keeping a daily table current.
+    """Two ``foreachBatch`` sinks keeping a daily table current: :meth:`queries` and :meth:`feedback`.
 
-    Each batch adds its queries under (date, batch) and recomputes the days it touched
-    from all their queries. Both writes replace whole folders, so a batch that is run
-    again after a failure changes nothing.
+    A batch adds what merges - counts, sums, users, feedback signs per day - under (date,
+    batch), and then only the days it touched are merged again, from these partial rows.
+    All writes replace whole folders, so a batch that is run again after a failure changes
+    nothing. Feedback counts on the day of its request's first query among those that have
+    arrived; feedback that comes before its query is not counted.
     """
 
-    def __init__(self, folder: str):
-        self.log, self.daily = f"{folder}/log", f"{folder}/daily"
+    _PARTIAL = "asked bigint, ms bigint, timed bigint, up bigint, down bigint, date date, kind string, batch bigint"
+    _USERS = "user_id string, date date, batch bigint"
+    _REQUESTS = "request_id string, id bigint, date date, batch bigint"
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        dated = batch.select(
-            "response_time_ms", "user_id", F.to_date("timestamp").alias("date"), F.lit(batch_id).alias("batch")
+    def __init__(self, folder: str):
+        self.folder, self.daily = folder, f"{folder}/daily"
+
+    def _read(self, spark, name: str, schema: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{self.folder}/{name}")
+
+    def queries(self, batch: DataFrame, batch_id: int) -> None:
+        dated = batch.withColumn("date", F.to_date("timestamp")).withColumn("batch", F.lit(batch_id)).persist()
+        ms = F.col("response_time_ms").cast("bigint")
+        counts = dated.groupBy("date").agg(F.count("*").alias("asked"), F.sum(ms).alias("ms"), F.count(ms).alias("timed"))
+        self._add(counts, "queries", batch_id)
+        _replace(dated.select("user_id", "date", "batch").distinct(), f"{self.folder}/users", "date", "batch")
+        _replace(dated.select("request_id", "id", "date", "batch"), f"{self.folder}/requests", "date", "batch")
+        dated.unpersist()
+        self._merge(counts.select("date"))
+
+    def feedback(self, batch: DataFrame, batch_id: int) -> None:
+        per_request = batch.groupBy("request_id").agg(
+            F.count_if("is_helpful").alias("up"), F.count_if(~F.col("is_helpful")).alias("down")
         )
-        self._replace(dated, self.log, "date", "batch")
-        log = spark.read.parquet(self.log)
-        touched = log.filter(F.col("batch") == batch_id).select("date").distinct()
-        days = (
-            log.join(touched, "date", "left_semi")
-            .groupBy("date")
-            .agg(
-                F.count("*").alias("total_queries"),
-                F.avg("response_time_ms").alias("avg_response_time_ms"),
-                F.countDistinct("user_id").alias("unique_users"),
-            )
+        asked = self._read(batch.sparkSession, "requests", self._REQUESTS).join(per_request, "request_id")
+        first = asked.groupBy("request_id").agg(F.min(F.struct("id", "date", "up", "down")).alias("q"))
+        signs = first.groupBy("q.date").agg(F.sum("q.up").alias("up"), F.sum("q.down").alias("down"))
+        self._add(signs, "feedback", batch_id)
+        of_batch = self._read(batch.sparkSession, "partial", self._PARTIAL)
+        self._merge(of_batch.filter((F.col("kind") == "feedback") & (F.col("batch") == batch_id)).select("date"))
+
+    def _add(self, counts: DataFrame, kind: str, batch_id: int) -> None:
+        have = [F.col(c) if c in counts.columns else F.lit(0).cast("bigint").alias(c) for c in ("asked", "ms", "timed", "up", "down")]
+        rows = counts.select(*have, "date", F.lit(kind).alias("kind"), F.lit(batch_id).alias("batch"))
+        _replace(rows, f"{self.folder}/partial", "date", "kind", "batch")
+
+    def _merge(self, touched: DataFrame) -> None:
+        spark = touched.sparkSession
+        users = self._read(spark, "users", self._USERS).join(touched, "date", "left_semi")
+        partial = self._read(spark, "partial", self._PARTIAL).join(touched, "date", "left_semi")
+        sums = partial.groupBy("date").agg(*[F.sum(c).alias(c) for c in ("asked", "ms", "timed", "up", "down")])
+        people = users.groupBy("date").agg(F.countDistinct("user_id").alias("unique_users"))
+        days = sums.join(people, "date").select(
+            F.col("asked").alias("total_queries"),
+            F.try_divide("ms", "timed").alias("avg_response_time_ms"),
+            "unique_users",
+            F.col("up").alias("positive_feedback_count"),
+            F.col("down").alias("negative_feedback_count"),
+            "date",
         )
-        self._replace(days, self.daily, "date")
+        _replace(days, self.daily, "date")
 
-    @staticmethod
-    def _replace(df: DataFrame, path: str, *by: str) -> None:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    def table(self, spark) -> DataFrame:
+        schema = (
+            "total_queries bigint, avg_response_time_ms double, unique_users bigint, "
+            "positive_feedback_count bigint, negative_feedback_count bigint, date date"
+        )
+        return self._read(spark, "daily", schema)
 
 
-def refresh_daily(queries: DataFrame, folder: str) -> DataFrame:
-    """Feeds the queries that are there now to :class:`DailyRefresh`; returns the daily table."""
+def refresh_daily(queries: DataFrame, feedback: DataFrame, folder: str) -> DataFrame:
+    """Feeds the queries, then the feedback that are there now to :class:`DailyRefresh`; returns the daily table."""
     sink = DailyRefresh(folder)
-    (
-        queries.writeStream.foreachBatch(sink)
-        .option("checkpointLocation", f"{folder}/progress")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return queries.sparkSession.read.parquet(sink.daily)
+    _run_available(queries, sink.queries, f"{folder}/progress-queries")
+    _run_available(feedback, sink.feedback, f"{folder}/progress-feedback")
+    return sink.table(queries.sparkSession)
 
 
-def keep_daily_fresh(queries: DataFrame, folder: str, every: str = "1 hour") -> StreamingQuery:
-    """The same on a timer, until the returned query is stopped."""
-    return (
-        queries.writeStream.foreachBatch(DailyRefresh(folder))
-        .option("checkpointLocation", f"{folder}/progress")
+def keep_daily_fresh(queries: DataFrame, feedback: DataFrame, folder: str, every: str = "1 hour") -> list[StreamingQuery]:
+    """The same on a timer, until the returned queries are stopped."""
+    sink = DailyRefresh(folder)
+    return [
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", f"{folder}/progress-{name}")
         .trigger(processingTime=every)
         .start()
-    )
+        for stream, write, name in ((queries, sink.queries, "queries"), (feedback, sink.feedback, "feedback"))
+    ]

@@ -10,6 +10,9 @@ from corpuskit.session import new_path
 from corpuskit.sources.lines import parse_lines, records
 
 
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def stream_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """New text files of an append-only folder."""
     return (
@@ -34,8 +37,8 @@ def stream_dedup(cleaned: DataFrame, event_time: str | None = None, delay: str =
     """First arrival of each body.
 
     Without an event time every hash ever seen is kept as state, which is the full
-    guarantee and grows with the number of distinct bodies; pick the RocksDB state store
-    for it. With one, hashes are dropped after ``delay``, and a repeat later than that
+    guarantee and grows with the number of distinct bodies; :func:`write_available` keeps it
+    in the RocksDB state store. With one, hashes are dropped after ``delay``, and a repeat later than that
     passes.
     """
     hashed = cleaned.withColumn("content_hash", content_hash(F.col("body")))
@@ -49,6 +52,8 @@ def write_available(stream: DataFrame, path: str, name: str, mode: str = "append
 
     ``name`` identifies the progress log next to the table.
     """
+    # Keys of deduplication are kept on disk, beside the heap.
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
     query = (
         stream.writeStream.format("parquet")
         .outputMode(mode)

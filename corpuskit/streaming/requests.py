@@ -19,17 +19,22 @@ def stream_windows(log: DataFrame, slide: str | None = "1 minute", watermark: st
     """Per endpoint and 5-minute window: requests, errors, p95, once the window is closed.
 
     ``log.ts`` must be a timestamp with time zone. Rows later than the watermark are
-    dropped. State is one row of counters per open window and endpoint.
+    dropped. State is one row of counters per open window and endpoint. With ``slide``,
+    requests are counted per slide first and those counts go into the windows, so a request
+    is not repeated for every window it lies in.
     """
     width = f"{fixed.RATE_WINDOW_MINUTES} minutes"
-    frame = F.window("ts", width, slide) if slide else F.window("ts", width)
     bounds = fixed.LATENCY_BOUNDS
     counts = [F.count_if(F.col("duration_s") <= F.lit(b)).alias(f"lat_{i}") for i, b in enumerate(bounds)]
+    first = F.window("ts", slide or width).alias("w")
     windows = (
         log.withWatermark("ts", watermark)
-        .groupBy(frame.alias("w"), "endpoint")
+        .groupBy(first, "endpoint")
         .agg(F.count("*").alias("requests"), F.count_if(is_server_error(F.col("status"))).alias("errors"), *counts)
     )
+    if slide:
+        sums = [F.sum(c).alias(c) for c in ("requests", "errors", *[f"lat_{i}" for i in range(len(bounds))])]
+        windows = windows.groupBy(F.window(F.window_time("w"), width, slide).alias("w"), "endpoint").agg(*sums)
     return windows.select(
         F.col("w.start").alias("window_start"),
         F.col("w.end").alias("window_end"),

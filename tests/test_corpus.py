@@ -180,9 +180,16 @@ def test_fingerprint_ignores_order_and_sees_changes(spark):
 def test_version_folders(spark, tmp_path):
     df = spark.range(10).select("id", F.lit("train").alias("split"))
     prints = versions.fingerprint(df, F.col("id").cast("string"))
-    first = versions.write_version(df, str(tmp_path), prints)
-    assert versions.write_version(df, str(tmp_path), prints) == first
-    assert spark.read.parquet(first).count() == 10
+    path = tmp_path / f"version={versions.version_digest(prints)}"
+    df.limit(3).write.parquet(str(path / "data-left-by-a-failed-attempt"))
+    with pytest.raises(FileNotFoundError):
+        versions.read_version(spark, str(path))
+    with pytest.raises(RuntimeError):
+        versions.write_version(df.limit(3), str(tmp_path), prints)
+    assert versions.write_version(df, str(tmp_path), prints) == str(path)
+    assert versions.read_version(spark, str(path)).count() == 10
+    assert versions.write_version(df.limit(1), str(tmp_path), prints) == str(path)
+    assert versions.read_version(spark, str(path)).count() == 10
 
 
 def test_rows_are_numbered_without_gaps(spark):

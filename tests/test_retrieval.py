@@ -99,6 +99,15 @@ def test_mean_pool(spark):
     assert {r.g: r.embedding for r in neighbours.mean_pool(df, "g", 2).collect()} == {"a": [2.0, 4.0], "b": [0.0, 1.0]}
 
 
+def test_quantiles_in_one_band(spark):
+    """Values much alike, whose coarse cell is cut again, and infinite ones."""
+    df = spark.range(300_000).select(F.lit("band").alias("g"), (1 + F.col("id") * 1e-9).alias("v"))
+    df = df.union(spark.createDataFrame([("inf", float("-inf")), ("inf", 1.0), ("inf", 2.0), ("inf", float("inf")), ("inf", float("nan"))], "g string, v double"))
+    got = {r.g: r for r in quantiles.group_quantiles(df, ["g"], "v", {"a": 0.0, "b": 0.5, "c": 1.0}, small_cell=50).collect()}
+    assert got["band"].b == pytest.approx(1 + 149_999.5e-9, abs=1e-15) and got["band"].c == pytest.approx(1 + 299_999e-9, abs=1e-15)
+    assert (got["inf"].a, got["inf"].b, got["inf"].c) == (float("-inf"), 1.5, float("inf"))
+
+
 def test_quantiles_equal_numpy(spark):
     rng = np.random.default_rng(2)
     groups = {

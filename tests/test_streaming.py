@@ -100,10 +100,14 @@ def test_alert_state_survives_batches(spark, tmp_path):
 
 def test_orphans_are_marked(spark, tmp_path):
     queries = spark.createDataFrame([(1, "r", at(0))], "id long, request_id string, timestamp timestamp")
-    add(spark, tmp_path / "in", [(5, "r"), (6, "x")], "id long, request_id string")
-    arriving = stream(spark, tmp_path / "in", "id long, request_id string")
-    table = ingest.write_available(sfb.stream_feedback(arriving, queries), str(tmp_path / "out"), "join")
-    assert {(r.id, r.query_id, r.is_orphan) for r in table.collect()} == {(5, 1, False), (6, None, True)}
+    schema = "id long, request_id string"
+    add(spark, tmp_path / "in", [(5, "r"), (6, "x"), (7, None)], schema)
+    first = sfb.join_feedback(stream(spark, tmp_path / "in", schema), queries, str(tmp_path / "out"))
+    want = {(5, 1, False), (6, None, True), (7, None, True)}
+    assert {(r.id, r.query_id, r.is_orphan) for r in first.collect()} == want
+    add(spark, tmp_path / "in", [(8, "r")], schema)
+    both = sfb.join_feedback(stream(spark, tmp_path / "in", schema), queries, str(tmp_path / "out"))
+    assert {(r.id, r.query_id, r.is_orphan) for r in both.collect()} == want | {(8, 1, False)}
 
 
 def test_sessions_close_after_the_gap(spark, tmp_path):
@@ -113,17 +117,29 @@ def test_sessions_close_after_the_gap(spark, tmp_path):
 
 
 def test_daily_refresh_updates_and_repeats(spark, tmp_path):
-    schema = "timestamp timestamp, user_id string, response_time_ms int"
+    asked = "id long, request_id string, timestamp timestamp, user_id string, response_time_ms int"
+    given = "request_id string, is_helpful boolean"
     folder = str(tmp_path / "refresh")
 
-    def run(rows):
-        add(spark, tmp_path / "in", rows, schema)
-        daily = sfb.refresh_daily(stream(spark, tmp_path / "in", schema), folder)
-        return {str(r.date): (r.total_queries, r.avg_response_time_ms, r.unique_users) for r in daily.collect()}
-
-    assert run([(at(0), "a", 10), (at(1), "b", 20)]) == {"2024-01-01": (2, 15.0, 2)}
-    assert run([(at(2), "a", 30), (at(1500), "c", 5)]) == {"2024-01-01": (3, 20.0, 2), "2024-01-02": (1, 5.0, 1)}
-    again = spark.createDataFrame([(at(2), "a", 30), (at(1500), "c", 5)], schema)
-    sfb.DailyRefresh(folder)(again, 1)
-    after = spark.read.parquet(f"{folder}/daily").collect()
-    assert {str(r.date): r.total_queries for r in after} == {"2024-01-01": 3, "2024-01-02": 1}
+    def run(queries, feedback):
+        add(spark, tmp_path / "q", queries, asked)
+        add(spark, tmp_path / "f", feedback, given)
+        daily = sfb.refresh_daily(stream(spark, tmp_path / "q", asked), stream(spark, tmp_path / "f", given), folder)
+        return {str(r.date): tuple(r)[:5] for r in daily.collect()}
+
+    first = run([(1, "r1", at(0), "a", 10), (2, "r2", at(1), "b", 20)], [("r1", True), ("r1", False), ("none", True)])
+    assert first == {"2024-01-01": (2, 15.0, 2, 1, 1)}
+    later = [(3, "r3", at(2), "a", 30), (4, "r4", at(1500), "c", 5)]
+    second = {"2024-01-01": (3, 20.0, 2, 1, 2), "2024-01-02": (1, 5.0, 1, 1, 0)}
+    assert run(later, [("r2", False), ("r4", True)]) == second
+    sfb.DailyRefresh(folder).queries(spark.createDataFrame(later, asked), 1)
+    sfb.DailyRefresh(folder).feedback(spark.createDataFrame([("r2", False), ("r4", True)], given), 1)
+    sfb.DailyRefresh(folder).queries(spark.createDataFrame([], asked), 2)
+    assert {str(r.date): tuple(r)[:5] for r in sfb.DailyRefresh(folder).table(spark).collect()} == second
+
+
+def test_feedback_before_any_query(spark, tmp_path):
+    asked = spark.createDataFrame([], "id long, request_id string, timestamp timestamp, user_id string, response_time_ms int")
+    sink = sfb.DailyRefresh(str(tmp_path))
+    sink.queries(asked, 0)
+    assert sink.table(spark).count() == 0
