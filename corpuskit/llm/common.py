@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -85,7 +86,7 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return mixed(out)
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 512, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 256, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of few bytes, so that what a task derives from a piece stays small."""
     for batch in batches:
         step = rows if batch.nbytes <= size else max(1, min(rows, batch.num_rows * size // batch.nbytes))
@@ -143,7 +144,7 @@ class Remembered:
     lie in one flat array, so that a batch of words is looked up without a loop over them.
     """
 
-    def __init__(self, compute: Callable[[list], list], kind: type, most: int = 300_000):
+    def __init__(self, compute: Callable[[list], list], kind: type, most: int = 100_000):
         self.compute, self.kind, self.most = compute, kind, most
         self.forget()
 
@@ -174,10 +175,13 @@ class Remembered:
         """Number of each word; the numbers hold until the next call."""
         if len(self.index) > self.most:
             self.forget()
-        new = set(words).difference(self.index)
-        if new:
-            self.add(sorted(new))
-        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            found = [words[i] for i in missing]
+            self.add(list(dict.fromkeys(found)))
+            at[missing] = np.fromiter(map(self.index.__getitem__, found), np.int64, len(found))
+        return at
 
     def numbers(self, words: list) -> tuple[np.ndarray, np.ndarray]:
         """The words' numbers one after another, and how many each word has."""

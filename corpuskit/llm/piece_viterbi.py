@@ -27,7 +27,7 @@ from corpuskit.llm.common import Remembered, packed, small_batches, worker_state
 # Fixed value of the model format: the mark for white space.
 MARK = "\u2581"
 _MARKED = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-_CACHED_PAIRS = 500_000
+_CACHED_PAIRS = 100_000
 
 
 class PieceModel:
@@ -149,13 +149,13 @@ def _model(content: bytes, key: str) -> PieceModel:
     return worker_state(f"pieces_{key}", lambda: PieceModel(content))
 
 
-def encode(docs: DataFrame, model: bytes, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, model: bytes, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """The rows of ``docs`` with one more column ``ids``, the pieces of ``text``.
 
     ``model`` is the content of a SentencePiece model file. Whole texts are encoded; null and
-    empty texts have no ids. A column of the same name is replaced. Repeated rows come back
-    repeated, an empty table gives no rows. No shuffle; each task remembers a bounded number
-    of words.
+    empty texts have no ids. With ``decoded``, a column of that name has what the ids spell,
+    from the same pass. Columns of these names are replaced. Repeated rows come back repeated,
+    an empty table gives no rows. No shuffle; each task remembers a bounded number of words.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one file of about a MB
     key = xxhash.xxh3_64_hexdigest(model)
@@ -166,15 +166,21 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", ids: str = "ids")
             made = pieces.encode(batch.column(1).to_pylist())
             offsets = np.append(0, np.cumsum([len(m) for m in made])).astype(np.int32)
             flat = np.concatenate(made) if made else np.empty(0, np.int32)
+            spelled = [pieces.decode(m.tolist()) if decoded else None for m in made]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32()))], ["row", "ids"]
+                [
+                    batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32())),
+                    pa.array(spelled, pa.string()),
+                ],
+                ["row", "ids", "decoded"],
             )
 
     rows = packed(docs, text=F.col(f"`{text}`"))
-    schema = T.StructType([rows.schema["row"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    made = rows.mapInArrow(run, schema)
-    kept = [c for c in docs.columns if c != ids]
-    return made.select(*[F.col("row")[c].alias(c) for c in kept], F.col("ids").alias(ids))
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
+    made = rows.mapInArrow(run, T.StructType([rows.schema["row"], *added]))
+    kept = [c for c in docs.columns if c not in (ids, decoded)]
+    back = [F.col("decoded").alias(decoded)] if decoded else []
+    return made.select(*[F.col("row")[c].alias(c) for c in kept], F.col("ids").alias(ids), *back)
 
 
 def decode(df: DataFrame, model: bytes, ids: str = "ids", text: str = "decoded") -> DataFrame:

@@ -146,10 +146,9 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 @_op("op4_piece_viterbi")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     model = Path(tokenizer_file("piece_bpe_32k.model")).read_bytes()
-    encoded = piece_viterbi.encode(_documents(spark, sf).select("doc_id", "text"), model)
-    decoded = piece_viterbi.decode(encoded, model)
+    encoded = piece_viterbi.encode(_documents(spark, sf).select("doc_id", "text"), model, decoded="decoded")
     same = F.coalesce(F.col("decoded") == F.replace("text", F.lit(piece_viterbi.MARK), F.lit(" ")), F.col("text").isNull())
-    return decoded.select(
+    return encoded.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), same.alias("decodes")
     )
 

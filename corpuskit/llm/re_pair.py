@@ -15,6 +15,8 @@ bytes) and the rules' lengths (32 bits).
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -25,15 +27,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpuskit.llm.bpe_counts import byte_characters
 from corpuskit.llm.common import Remembered, packed, small_batches, worker_state
 from corpuskit.session import new_path
 
-SHARD_IDS = 1 << 18
+SHARD_IDS = 1 << 16
 END_ID = 2
 ROUNDS = 8
 LEAST_COUNT = 4
-_BUCKETS = 1 << 18
+_BUCKETS = 1 << 16
 _MAGIC = b"RPR1"
+# ASCII punctuation but the apostrophe, which can belong to letters after it.
+_ENDING = re.compile(r"[!-&(-/:-@\[-`{-~]+\Z")
 
 
 def compress(ids: np.ndarray, vocabulary: int) -> bytes:
@@ -49,7 +54,7 @@ def compress(ids: np.ndarray, vocabulary: int) -> bytes:
             break
         # One pair a bucket: the last written. Others with the same bucket wait a round.
         keys = (s[:-1] << 32) | s[1:]
-        buckets = ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
+        buckets = ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.int64)
         holder = np.empty(_BUCKETS, np.int64)
         holder[buckets] = keys
         own = holder[buckets] == keys
@@ -83,6 +88,13 @@ def compress(ids: np.ndarray, vocabulary: int) -> bytes:
     return b"".join([_MAGIC, head, *parts, s.astype(kind).tobytes(), np.concatenate([np.zeros(0, np.int64), *lengths]).astype("<u4").tobytes()])
 
 
+def _is_plain(text: str, last: str) -> bool:
+    """Whether normalising keeps the text and its letter ``last`` one letter."""
+    return text.isascii() and last.isalpha() or (
+        last.isalpha() and len(last.lower()) == 1 and unicodedata.is_normalized("NFC", text)
+    )
+
+
 def _alternate(places: np.ndarray) -> np.ndarray:
     """Every other one of each run of consecutive places: the pairs a reader from the left takes."""
     if not len(places):
@@ -137,7 +149,10 @@ class WordIds:
     """Ids of words under a tokenizer that treats white space as a boundary and ignores case.
 
     A text's ids are those of its words one after another, which holds for definitions that
-    drop white space; words are told to the library once while they are remembered.
+    drop white space. A word is told to the library once while it is remembered; a run of
+    ASCII punctuation after a letter is a piece of its own, and so the word before it is shared
+    by all its endings. Words of letters alone go to the library's model without the steps
+    that would leave them as they are.
     """
 
     def __init__(self, definition: str):
@@ -146,18 +161,36 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words = Remembered(self._compute, np.uint32)
-
-    def _encode(self, words: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        self.special_texts = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.specials = [t.encode() for t in self.special_texts]
+        self.characters = byte_characters()
+        self.words = Remembered(self._compute, np.uint32, 250_000)
 
     def _compute(self, words: list[bytes]) -> list[list[int]]:
-        # A full stop or comma after a letter is a piece of its own, so the word before it is shared.
-        bases = [w[:-1] if w[-1:] in b".," and w[-2:-1].isalpha() else w for w in words]
-        distinct = list(dict.fromkeys([*bases, b".", b","]))
-        ids = dict(zip(distinct, self._encode(distinct)))
-        return [ids[b] if len(b) == len(w) else ids[b] + ids[w[-1:]] for w, b in zip(words, bases)]
+        known: dict[str, list[int]] = {}
+        cut, others = [], []
+        tokenize = self.tokenizer.model.tokenize
+        for word in words:
+            base, ending = word.decode(), ""
+            if not base.isalpha():
+                found = _ENDING.search(base)
+                if found and found.start() and _is_plain(base, base[found.start() - 1]) and not any(x in base for x in self.special_texts):
+                    base, ending = base[: found.start()], found[0]
+                    if ending not in known:
+                        known[ending] = []
+                        others.append(ending)
+            cut.append((base, ending))
+            if base not in known:
+                if base.isascii() and base.isalpha() and base.islower():
+                    known[base] = [t.id for t in tokenize(base)]
+                elif base.isalpha() and base.islower() and _is_plain(base, base[-1]) and base == base.lower():
+                    known[base] = [t.id for t in tokenize("".join(map(self.characters.__getitem__, base.encode())))]
+                else:
+                    known[base] = []
+                    others.append(base)
+        encoded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        known.update((text, e.ids) for text, e in zip(others, encoded))
+        return [known[base] + known[ending] if ending else known[base] for base, ending in cut]
 
     def split(self, text: str) -> list[bytes]:
         raw = text.encode()

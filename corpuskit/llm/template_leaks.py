@@ -27,7 +27,7 @@ BITMAP_BITS = 1 << 24
 _BUCKET_BITS = 32768  # positions in one row of Spark's bitmap functions
 
 NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?")
-NUMBER_UNIT = re.compile(r"([+-]?\d[\d.,]*)([a-zµ°]+\d?)")
+NUMBER_UNIT = re.compile(r"(\d[\d.,]*)([a-zµ°]+\d?)")
 WORDS_FOR_NUMBERS = frozenset(
     "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
     "eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
@@ -51,14 +51,14 @@ def _kinds(words: list[str]) -> list[list[int]]:
     for word in words:
         bare = word.strip(_EDGES)
         low = bare.lower()
-        if NUMBER.fullmatch(bare) or low in WORDS_FOR_NUMBERS:
+        if not bare[:1].isalpha() and bare[-1:] in "0123456789%" and NUMBER.fullmatch(bare) or low in WORDS_FOR_NUMBERS:
             kind = _NUMBER
-        elif (m := NUMBER_UNIT.fullmatch(low)) and m[2] in UNITS:
-            kind = _NUMBER_UNIT
         elif low in UNITS:
             kind = _UNIT
         elif bare[:1].isupper() and any(c.islower() for c in bare[1:]):
             kind = _CAPITAL  # words all in capitals say nothing about names
+        elif bare[:1].isdigit() and (m := NUMBER_UNIT.fullmatch(low)) and m[2] in UNITS:
+            kind = _NUMBER_UNIT
         else:
             kind = _LITERAL
         ends = word.rstrip("\"'”’»)]}")[-1:] in ".!?:;…"
