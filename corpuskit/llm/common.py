@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -156,7 +157,15 @@ class Remembered:
         self.sizes = np.empty(1 << 14, np.int64)
 
     def add(self, words: list) -> None:
-        made = self.compute(words)
+        # Many small objects at once, none of them in cycles: looking for cycles would take most
+        # of the time here.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            made = self.compute(words)
+        finally:
+            if collecting:
+                gc.enable()
         sizes = np.fromiter(map(len, made), np.int64, len(made))
         total, first = int(sizes.sum()), len(self.index)
         while self.used + total > len(self.flat):
