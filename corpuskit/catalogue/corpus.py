@@ -475,6 +475,18 @@ def dataset_fingerprint(spark, sf):
     return versions.fingerprint(documents(spark, sf), tx.clean_text(F.col("text")), by="lang")
 
 
+@query(
+    "version_roundtrip",
+    f"""SELECT lang, count(*) AS rows, sha256({_sums_sql()}) AS digest
+    FROM (SELECT lang, sha256(doc_id || ' ' || text) AS d FROM documents) GROUP BY lang""",
+)
+def version_roundtrip(spark, sf):
+    docs, base = documents(spark, sf).select("doc_id", "lang", "text"), new_path(spark, "versions")
+    content = F.concat_ws(" ", F.col("doc_id").cast("string"), "text")
+    path = versions.write_version(docs, base, versions.fingerprint(docs, content, by="lang"))
+    return versions.fingerprint(versions.read_version(spark, path), content, by="lang")
+
+
 # Second version: one language less, and every English text with a mark at the end.
 def _second_version(docs: DataFrame) -> DataFrame:
     marked = F.when(F.col("lang") == "en", F.concat("text", F.lit("!"))).otherwise(F.col("text"))
@@ -532,6 +544,38 @@ def corpus_build(spark, sf):
     )
 
 
+# Another build: nothing dropped as a duplicate, digits cleaned away, other ratios, no start and end.
+_OTHER_TRAINING = f"""SELECT line_no, {{0}} || CASE WHEN parsed_content = '' THEN '' ELSE chr(10) || chr(10) || {{1}} END AS text
+    FROM ({inputs.RAW_RECORDS_SQL})""".format(
+    f"regexp_replace({cleaned_sql('body')}, '[0-9]', '', 'g')", "regexp_replace(parsed_content, '[0-9]', '', 'g')"
+)
+_OTHER_SPLIT = """SELECT line_no, text,
+      CASE WHEN place <= n_test THEN 'test'
+           WHEN place <= n_test + ceil((n - n_test) * (0.2::DOUBLE / (1::DOUBLE - 0.2::DOUBLE))) THEN 'validation'
+           ELSE 'train' END AS split
+    FROM (SELECT *, ceil(n * 0.2::DOUBLE) AS n_test
+          FROM (SELECT *, row_number() OVER (ORDER BY sha256(line_no::VARCHAR || ':42')) AS place, count(*) OVER () AS n FROM texts))"""
+
+
+@query(
+    "corpus_build_options",
+    f"""WITH texts AS ({_OTHER_TRAINING}), s AS ({_OTHER_SPLIT}), {_vocab_cte('s', cleaned_sql('text'))},
+    flat AS (SELECT line_no, unnest(t[1:32]) AS token, generate_subscripts(t[1:32], 1) AS pos FROM toks),
+    ids AS (SELECT line_no, string_agg(coalesce(id, 1)::VARCHAR, ' ' ORDER BY pos) AS ids, count(*)::INTEGER AS attended
+      FROM flat LEFT JOIN vocab USING (token) GROUP BY 1)
+    SELECT line_no, split, coalesce(ids, '') AS ids, coalesce(attended, 0) AS attended FROM toks LEFT JOIN ids USING (line_no)""",
+)
+def corpus_build_options(spark, sf):
+    config = corpus.BuildConfig(
+        deduplicate=False, rules=(lambda t: F.regexp_replace(t, "[0-9]", ""),), max_length=32, specials=False,
+        ratios={"train": 0.6, "validation": 0.2, "test": 0.2},
+    )
+    built = corpus.build(inputs.raw_lines(spark, sf), "line_no", config).encoded
+    used = F.aggregate("attention_mask", F.lit(0), lambda a, m: a + m)
+    ids = F.array_join(F.slice("input_ids", F.lit(1), used).cast("array<string>"), " ")
+    return built.select("line_no", "split", ids.alias("ids"), used.alias("attended"))
+
+
 @query("corpus_report", f"{_BUILD_ENC}, e AS (SELECT split, {_PADDED} FROM enc), {_COVER}, {_DUP} {_REPORT_SELECT}")
 def corpus_report(spark, sf):
     path = new_path(spark, "dataset")

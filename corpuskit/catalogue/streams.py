@@ -71,8 +71,8 @@ def stream_sliding_windows(spark, sf):
     return slid.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "endpoint", "requests", "errors")
 
 
-# Every tenth event arrives in a second file, after all the others; whatever lies in windows
-# that the first file has closed is late.
+# Every tenth event arrives in a second run, after all the others; whatever lies in windows
+# that the first run has closed is late.
 @query(
     "stream_late_rows",
     f"""WITH l AS ({LOG_SQL}), m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS first_mark FROM l WHERE request_id::BIGINT % 10 <> 0),
@@ -84,12 +84,12 @@ def stream_sliding_windows(spark, sf):
 )
 def stream_late_rows(spark, sf):
     log = inputs.request_log(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
-    path = new_path(spark, "log")
+    path, out = new_path(spark, "log"), new_path(spark, "windows")
     second = F.col("request_id").cast("bigint") % 10 == 0
     for part in (~second, second):
-        log.filter(part).coalesce(1).write.mode("append").parquet(path)
-    arriving = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    windows = ingest.run_available(sr.stream_windows(arriving, slide=None), "windows")
+        log.filter(part).write.mode("append").parquet(path)
+        arriving = spark.readStream.schema(log.schema).parquet(path)
+        windows = ingest.write_available(sr.stream_windows(arriving, slide=None), out, "windows")
     return sr.late_rows(log, windows)
 
 
