@@ -3,9 +3,9 @@
 Every text has a MinHash signature. Several orders sort the texts by the signature read from
 different places. Texts that share the first values in an order form a region there. First
 each text is compared with its longest-common-prefix neighbour and with the hub of its regions,
-which joins most of every group. Then whatever in a region is still apart is compared, in
-crowded regions one level deeper, unless bit sketches of the two show that they cannot be
-similar enough. Links are confirmed on full shingle sets.
+which joins most of every group. Then whatever in a region is still apart is compared, unless
+bit sketches of the two show that they cannot be similar enough. Texts of crowded regions meet
+by an exact prefix filter instead. Links are confirmed on full shingle sets.
 """
 
 from __future__ import annotations
@@ -26,8 +26,7 @@ SHINGLE = 5
 PERCENT = 75
 ORDERS = 20
 BASE_DEPTH = 3
-DEPTHS = (3, 5, 8)  # values of the signature that texts in a region share, by level
-CROWD = 64  # texts outside a region's largest group, beyond which the next level is used
+CROWD = 64  # a region with more pairs to compare than this squared is crowded
 ROUNDS = 3  # of joining neighbours, before what is still apart is compared
 SKETCH_WORDS = 16  # 64-bit words of a text's sketch: two bits of each MinHash value
 # Differing sketch bits of a pair at exactly 75 %: 128 on average, standard deviation 12.6. The
@@ -36,7 +35,9 @@ MOST_BITS = 172
 _VALUES = 512
 _LEADING = ORDERS * BASE_DEPTH  # values that order texts; all go into the sketch
 _WIDTH = 4  # bytes of a value
-_LABEL = DEPTHS[-1] * _WIDTH
+_LABEL_VALUES = 8  # of the signature, by which an order is sorted
+_LABEL = _LABEL_VALUES * _WIDTH
+_BUCKET_BITS = 20  # shingles are counted in so many buckets, as a power of two
 _FACTORS = (np.random.default_rng(20).integers(0, 1 << 63, _VALUES // 2, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
@@ -124,7 +125,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         regions = batch.column(0).to_numpy(zero_copy_only=False)
         nodes, roots = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        labels = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32).reshape(-1, DEPTHS[-1])
+        labels = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32).reshape(-1, _LABEL_VALUES)
         sketches = batch.column(4).flatten().to_numpy().reshape(-1, SKETCH_WORDS)
         if last is not None:
             regions, nodes, roots = np.append(last[0], regions), [last[1], *nodes], [last[2], *roots]
@@ -231,41 +232,26 @@ def _each_once(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _settled(orders: DataFrame, labels: DataFrame) -> DataFrame:
-    """``tree, node, n, root, largest, region`` of the regions that still hold several groups.
-
-    Each region has its depth: where more than ``CROWD`` texts are outside the largest group,
-    texts must share more values to be in one region.
-    """
-    own = orders.join(labels, "node", "left").select(
-        "region", "tree", "label", "node", "n", F.coalesce("root", "node").alias("root")
+def _regions(orders: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``tree, node, n, root, largest, region`` of the regions that still hold several groups
+    and are not crowded, and ``node, root`` of the texts in crowded ones."""
+    own = orders.join(labels, "node", "left").select("region", "tree", "node", "n", F.coalesce("root", "node").alias("root"))
+    own = durable(own, "regions")
+    groups = own.groupBy("region", "root").agg(F.count("*").alias("k"))
+    state = groups.groupBy("region").agg(
+        F.count("*").alias("groups"), F.sum("k").alias("all"), F.max(F.struct("k", "root")).alias("top")
     )
-    settled = None
-    for level, depth in enumerate(DEPTHS):
-        if level:
-            own = own.withColumn("region", F.xxhash64("tree", F.substring("label", 1, depth * _WIDTH), F.lit(depth)))
-        own = durable(own, "regions")
-        groups = own.groupBy("region", "root").agg(F.count("*").alias("k"))
-        state = groups.groupBy("region").agg(
-            F.count("*").alias("groups"), F.sum("k").alias("all"), F.max(F.struct("k", "root")).alias("top")
-        )
-        state = state.filter("groups > 1").select(
-            "region", F.col("top.root").alias("largest"), (F.col("all") - F.col("top.k") > CROWD).alias("crowded")
-        )
-        state = durable(state, "region-state")
-        last = level == len(DEPTHS) - 1
-        here = state.drop("crowded") if last else state.filter("not crowded").drop("crowded")
-        rows = own.drop("label").join(here, "region")
-        settled = rows if settled is None else settled.unionByName(rows)
-        if not last:
-            own = own.join(state.filter("crowded").select("region"), "region", "left_semi")
-    return durable(settled, "settled")
+    crowded = (F.col("all") - F.col("top.k")) * F.col("all") > CROWD * CROWD
+    state = state.filter("groups > 1").select("region", F.col("top.root").alias("largest"), crowded.alias("crowded"))
+    state = durable(state, "region-state")
+    settled = own.join(state.filter("not crowded").drop("crowded"), "region")
+    crowd = own.join(state.filter("crowded").select("region"), "region", "left_semi").select("node", "root")
+    return durable(settled, "settled"), durable(crowd.dropDuplicates(["node"]), "crowd")
 
 
-def _apart(orders: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+def _apart(settled: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs in a region that are in different groups and one of which is outside the region's
     largest group, each once: in the first order that has both in one region."""
-    settled = _settled(orders, labels)
     keys = F.map_from_entries(F.collect_list(F.struct("tree", "region")))
     by_order = F.transform(F.sequence(F.lit(0), F.lit(ORDERS - 1)), lambda t: F.element_at(F.col("keys"), t))
     of_node = settled.groupBy("node").agg(keys.alias("keys")).select("node", by_order.alias("keys"))
@@ -290,6 +276,84 @@ def _apart(orders: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFram
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _buckets(shingles: np.ndarray) -> np.ndarray:
+    return (shingles.view(np.uint64) >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
+
+
+def _bucket_counts(texts: DataFrame) -> np.ndarray:
+    """How many texts have a shingle of each bucket, as 4 MB, however many texts there are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << _BUCKET_BITS, np.int64)
+        for batch in batches:
+            np.add.at(counts, _buckets(batch.column(0).flatten().to_numpy()), 1)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["bucket", "k"])
+
+    rows = texts.select("shingles").mapInArrow(run, "bucket bigint, k bigint").groupBy("bucket").agg(F.sum("k").alias("k"))
+    rows = rows.select(F.col("bucket").cast("int"), F.least("k", F.lit((1 << 31) - 1)).cast("int").alias("k")).toArrow()
+    counts = np.zeros(1 << _BUCKET_BITS, np.int32)
+    counts[rows.column("bucket").to_numpy()] = rows.column("k").to_numpy()
+    return counts
+
+
+def _prefixes(texts: DataFrame) -> DataFrame:
+    """``shingle, node, root, n, place``: the leading shingles of each text, rare ones first.
+
+    All texts have their shingles in one order: by the count of the bucket, then by value. Two
+    texts with enough in common share one of the first ``n - least + 1``, where ``least`` is
+    the least intersection that a text of ``n`` shingles can have with one near it. A shingle
+    alone in its bucket is in no other text and is left out.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(_bucket_counts(texts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            sizes = batch.column(2).value_lengths().to_numpy()
+            shingles = batch.column(2).flatten().to_numpy()
+            text = np.repeat(np.arange(len(sizes)), sizes)
+            counts = shared.value[_buckets(shingles)]
+            order = np.lexsort((shingles, counts, text))
+            place = np.arange(len(order)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            leading = sizes - -(-PERCENT * sizes // 100) + 1
+            at = np.flatnonzero((place < leading[text]) & (counts[order] > 1))
+            rows = pa.array(text[at])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(shingles[order[at]]), batch.column(0).take(rows), batch.column(1).take(rows),
+                    pa.array(sizes[text[at]].astype(np.int64)), pa.array(place[at]),
+                ],
+                ["shingle", "node", "root", "n", "place"],
+            )
+
+    columns = "shingle bigint, node binary, root binary, n bigint, place bigint"
+    return texts.select("node", "root", "shingles").mapInArrow(run, columns)
+
+
+def _crowd_pairs(crowd: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of different groups that a prefix filter cannot tell apart: none that is similar
+    enough is missing, however many texts share a passage."""
+    rows = durable(_prefixes(durable(sets.join(crowd, "node"), "crowd-sets")), "prefixes")
+    groups = rows.groupBy("shingle", "root").agg(F.count("*").alias("k"))
+    tops = groups.groupBy("shingle").agg(F.count("*").alias("groups"), F.max(F.struct("k", "root")).alias("top"))
+    rows = durable(rows.join(tops.filter("groups > 1").select("shingle", F.col("top.root").alias("largest")), "shingle"), "crowd-rows")
+    strays = rows.filter("root != largest").select(
+        "shingle", F.col("node").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"), F.col("place").alias("ap")
+    )
+    others = rows.select(
+        F.col("shingle").alias("s"), F.col("node").alias("b"), F.col("n").alias("bn"), F.col("root").alias("br"), F.col("place").alias("bp"),
+        (F.col("root") != F.col("largest")).alias("stray"),
+    )
+    # What two texts have in common cannot be more than what follows their first common shingle.
+    rest = F.least(F.col("an") - F.col("ap"), F.col("bn") - F.col("bp"))
+    pairs = strays.join(
+        others,
+        (F.col("shingle") == F.col("s")) & (F.col("ar") != F.col("br")) & (~F.col("stray") | (F.col("a") < F.col("b")))
+        & _near_size(F.col("an"), F.col("bn")) & ((100 + PERCENT) * rest >= PERCENT * (F.col("an") + F.col("bn"))),
+    )
+    return _each_once(pairs)
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
 
@@ -302,8 +366,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     Equal word sequences are one class from the start, reduced within tasks. Chance of a
     missed link at exactly 75 %: below 1e-4 (20 orders, depth 3), less above it. Nothing is
-    capped: regions at the last level compare all that is still apart. Runs jobs while it is
-    called.
+    capped: regions compare all that is still apart, crowded ones by an exact prefix filter.
+    Runs jobs while it is called.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -329,7 +393,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         more = durable(_confirmed(_near_sizes(_more_candidates(orders, labels, parts, step), classes), sets), "links")
         links = links.union(more)
         labels = components(links)
-    more = durable(_confirmed(_apart(orders, labels, classes), sets), "links")
+    settled, crowd = _regions(orders, labels)
+    pairs = _apart(settled, classes).union(_crowd_pairs(crowd, sets)).distinct()
+    more = durable(_confirmed(pairs, sets), "links")
     labels = components(links.union(more))
 
     named = classes.select("node", "rep").join(labels, "node", "left").select(

@@ -188,3 +188,18 @@ def test_equal_windows_share_anchors():
     b[20:45] = a[5:30]
     x, y = relative_parse.anchors_of(a), relative_parse.anchors_of(b)
     assert (x[5:18] == y[20:33]).all() and len(x) == 48
+
+
+def test_forest_in_a_crowd_of_strangers(spark):
+    """Some hundred texts that share a long passage but no link, and pairs just over the limit among them."""
+    passage, docs = [f"p{i}" for i in range(86)], []
+    for text in range(500):
+        own = [f"t{text}w{i}" for i in range(18)]
+        docs.append((len(docs), " ".join([*passage, *own])))
+        if text < 300:
+            docs.append((len(docs), " ".join([*passage, *own[:4], *(f"n{text}w{i}" for i in range(14))])))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in lsh_forest.near_duplicates(df).collect()}
+    want = brute.near_duplicates(docs)
+    assert len({c for _, c in want.values()}) == 500
+    assert {d: got[d] for d in want if got[d] != want[d]} == {}
