@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import components, mixed, packed, small_batches, unpacked, window_hashes, word_hashes
+from corpuskit.llm.common import components, packed, small_batches, unpacked, window_hashes, word_hashes
 from corpuskit.session import durable
 
 SHINGLE = 5
@@ -28,17 +28,13 @@ ORDERS = 20
 BASE_DEPTH = 3
 CROWD = 64  # a region with more pairs to compare than this squared is crowded
 ROUNDS = 3  # of joining neighbours, before what is still apart is compared
-SKETCH_WORDS = 16  # 64-bit words of a text's sketch: two bits of each MinHash value
-# Differing sketch bits of a pair at exactly 75 %: 128 on average, standard deviation 12.6. The
-# limit lies 3.5 deviations above.
-MOST_BITS = 172
-_VALUES = 512
-_LEADING = ORDERS * BASE_DEPTH  # values that order texts; all go into the sketch
+SKETCH_WORDS = 16  # 64-bit words of a text's sketch: parities of its shingles, dealt over the bits
+_VALUES = ORDERS * BASE_DEPTH
 _WIDTH = 4  # bytes of a value
 _LABEL_VALUES = 8  # of the signature, by which an order is sorted
 _LABEL = _LABEL_VALUES * _WIDTH
 _BUCKET_BITS = 20  # shingles are counted in so many buckets, as a power of two
-_FACTORS = (np.random.default_rng(20).integers(0, 1 << 63, _VALUES // 2, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+_FACTORS = (np.random.default_rng(20).integers(0, 1 << 63, _VALUES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -59,27 +55,29 @@ def shingle_set(words: list[bytes]) -> np.ndarray:
 
 
 def signatures(sets: list[np.ndarray]) -> tuple[list[bytes | None], list[list[int] | None]]:
-    """Leading MinHash values of each set, most significant byte first, so that bytes sort like
-    values; and the sketch, the low bits of all values. The shingle hashes are random already,
-    so a product with an odd number is a hash function."""
+    """MinHash values of each set, most significant byte first, so that bytes sort like values;
+    and the sketch. The shingle hashes are random already, so a product with an odd number is a
+    hash function.
+
+    Each shingle turns over one bit of the sketch. A shingle that both of two sets have turns
+    over the same bit in both, so their sketches differ in no more bits than there are shingles
+    that only one of them has.
+    """
     full = [i for i, s in enumerate(sets) if len(s)]
     out: list[bytes | None] = [None] * len(sets)
     sketches: list[list[int] | None] = [None] * len(sets)
     if full:
         flat = np.concatenate([sets[i] for i in full])
-        starts = np.cumsum([0] + [len(sets[i]) for i in full[:-1]])
-        high = np.empty((len(full), _VALUES // 2), np.uint32)
-        low = np.empty_like(high)
+        sizes = [len(sets[i]) for i in full]
+        starts = np.cumsum([0] + sizes[:-1])
+        high = np.empty((len(full), _VALUES), np.uint32)
         for k, factor in enumerate(_FACTORS):
-            # Both halves of a product are values of their own.
-            halves = (flat * factor).view(np.uint32)
-            low[:, k] = np.minimum.reduceat(halves[0::2], starts)
-            high[:, k] = np.minimum.reduceat(halves[1::2], starts)
-        bits = np.concatenate([low & 3, high & 3], axis=1).astype(np.uint8)
-        packed_bits = np.ascontiguousarray(
-            bits[:, 0::4] << 6 | bits[:, 1::4] << 4 | bits[:, 2::4] << 2 | bits[:, 3::4]
-        ).view(np.int64)
-        values = high[:, :_LEADING].astype(">u4")
+            high[:, k] = np.minimum.reduceat((flat * factor).view(np.uint32)[1::2], starts)
+        bits = SKETCH_WORDS * 64
+        place = np.repeat(np.arange(len(full)) * bits, sizes) + (flat & np.uint64(bits - 1)).astype(np.int64)
+        odd = (np.bincount(place, minlength=len(full) * bits) & 1).astype(np.uint8).reshape(len(full), bits)
+        packed_bits = np.packbits(odd, axis=1).view(np.int64)
+        values = high.astype(">u4")
         for row, i in enumerate(full):
             out[i] = values[row].tobytes()
             sketches[i] = packed_bits[row].tolist()
@@ -118,7 +116,7 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adjacent rows of one region but of different groups, with the number of leading values
-    they share; rows whose sketches differ too much are left out."""
+    they share; rows whose sizes or sketches show that they are not near are left out."""
     last = None
     for batch in batches:
         if not batch.num_rows:
@@ -126,14 +124,17 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         regions = batch.column(0).to_numpy(zero_copy_only=False)
         nodes, roots = batch.column(1).to_pylist(), batch.column(2).to_pylist()
         labels = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32).reshape(-1, _LABEL_VALUES)
-        sketches = batch.column(4).flatten().to_numpy().reshape(-1, SKETCH_WORDS)
+        sketches = batch.column(4).flatten().to_numpy().view(np.uint64).reshape(-1, SKETCH_WORDS)
+        sizes = batch.column(5).to_numpy()
         if last is not None:
             regions, nodes, roots = np.append(last[0], regions), [last[1], *nodes], [last[2], *roots]
             labels, sketches = np.vstack([last[3], labels]), np.vstack([last[4], sketches])
-        last = regions[-1:], nodes[-1], roots[-1], labels[-1:], sketches[-1:]
+            sizes = np.append(last[5], sizes)
+        last = regions[-1:], nodes[-1], roots[-1], labels[-1:], sketches[-1:], sizes[-1:]
         other = np.fromiter((x != y for x, y in zip(roots, roots[1:])), bool, len(roots) - 1)
-        differing = np.bitwise_count(sketches[1:] ^ sketches[:-1]).sum(axis=1)
-        at = np.flatnonzero((regions[1:] == regions[:-1]) & other & (differing <= MOST_BITS))
+        differing = np.bitwise_count(sketches[1:] ^ sketches[:-1]).sum(axis=1, dtype=np.int64)
+        few = (100 + PERCENT) * differing <= (100 - PERCENT) * (sizes[1:] + sizes[:-1])
+        at = np.flatnonzero((regions[1:] == regions[:-1]) & other & few)
         shared = np.cumprod(labels[at] == labels[at + 1], axis=1).sum(axis=1)
         a, b = [nodes[i] for i in at], [nodes[i + 1] for i in at]
         yield pa.RecordBatch.from_arrays(
@@ -180,15 +181,16 @@ def _near_sizes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.filter(_near_size(F.col("an"), F.col("bn"))).select("a", "b")
 
 
-def _differing_bits(x, y):
+def _near_sketch(x, y, n, m):
+    """False only for pairs that cannot be similar enough: at least so many shingles differ."""
     words = [F.bit_count(F.get(x, i).bitwiseXOR(F.get(y, i))) for i in range(SKETCH_WORDS)]
-    return reduce(lambda a, b: a + b, words)
+    return (100 + PERCENT) * reduce(lambda a, b: a + b, words) <= (100 - PERCENT) * (n + m)
 
 
 def _beside(own: DataFrame, parts: int) -> DataFrame:
     """``a, b, shared``: neighbours in the sorted orders that are in different groups."""
-    placed = own.select("region", "node", "root", "label", "sketch", "tree").repartitionByRange(parts, "tree", "label", "node")
-    placed = placed.sortWithinPartitions("tree", "label", "node").select("region", "node", "root", "label", "sketch")
+    placed = own.select("region", "node", "root", "label", "sketch", "n", "tree").repartitionByRange(parts, "tree", "label", "node")
+    placed = placed.sortWithinPartitions("tree", "label", "node").select("region", "node", "root", "label", "sketch", "n")
     return placed.mapInArrow(_neighbours, "a binary, b binary, shared bigint")
 
 
@@ -213,17 +215,17 @@ def _more_candidates(orders: DataFrame, labels: DataFrame, parts: int, step: int
     each text outside a region's largest group with some member of that group."""
     own = durable(
         orders.join(labels, "node", "left").select(
-            "region", "tree", "label", "node", "sketch", F.coalesce("root", "node").alias("root")
+            "region", "tree", "label", "node", "n", "sketch", F.coalesce("root", "node").alias("root")
         ),
         "grouped",
     )
     groups = own.groupBy("region", "root").agg(
-        F.count("*").alias("k"), F.min(F.struct(F.xxhash64("node", "tree", F.lit(step)), "node", "sketch")).alias("one")
+        F.count("*").alias("k"), F.min(F.struct(F.xxhash64("node", "tree", F.lit(step)), "node", "n", "sketch")).alias("one")
     )
     tops = groups.groupBy("region").agg(F.count("*").alias("groups"), F.max(F.struct("k", "root", "one")).alias("top"))
     tops = durable(tops.filter("groups > 1").select("region", F.col("top.root").alias("largest"), "top.one"), "tops")
     several = durable(own.join(tops, "region"), "several")
-    near = _differing_bits(F.col("sketch"), F.col("one.sketch")) <= MOST_BITS
+    near = _near_sketch(F.col("sketch"), F.col("one.sketch"), F.col("n"), F.col("one.n"))
     some = several.filter((F.col("root") != F.col("largest")) & near).select(F.col("node").alias("a"), F.col("one.node").alias("b"))
     return _each_once(_beside(several, parts).select("a", "b").union(some))
 
@@ -270,7 +272,7 @@ def _apart(settled: DataFrame, classes: DataFrame) -> DataFrame:
     pairs = strays.join(
         others,
         (F.col("region") == F.col("r")) & (F.col("ar") != F.col("br")) & (~F.col("stray") | (F.col("a") < F.col("b")))
-        & _near_size(F.col("an"), F.col("bn")) & (_differing_bits(F.col("x"), F.col("y")) <= MOST_BITS)
+        & _near_size(F.col("an"), F.col("bn")) & _near_sketch(F.col("x"), F.col("y"), F.col("an"), F.col("bn"))
         & ~F.coalesce(earlier, F.lit(False)),
     )
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -203,3 +203,27 @@ def test_forest_in_a_crowd_of_strangers(spark):
     want = brute.near_duplicates(docs)
     assert len({c for _, c in want.values()}) == 500
     assert {d: got[d] for d in want if got[d] != want[d]} == {}
+
+
+def test_forest_of_short_texts(spark):
+    """Pairs that share 3 of 4 shingles, each beside a longer group that takes the place of the hub."""
+    docs = []
+    for family in range(400):
+        w = [f"f{family}w{i}" for i in range(13)]
+        texts = [w[1:9], w[1:8], w[:11], w[:12], w[:13]]
+        docs += [(len(docs) + i, " ".join(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in lsh_forest.near_duplicates(df).collect()}
+    want = brute.near_duplicates(docs)
+    assert all(want[5 * f + 1] == (3, 5 * f) and want[5 * f + 2] == (7, 5 * f + 2) for f in range(400))
+    assert {d: got[d] for d in want if got[d] != want[d]} == {}
+
+
+def test_sketches_never_exclude_a_near_pair():
+    rng = np.random.default_rng(6)
+    for both, more, other in [(3, 1, 0), (6, 1, 1), (12, 4, 0), (12, 2, 2), (750, 125, 125), (3000, 500, 500)]:
+        for _ in range(200):
+            x = rng.integers(0, 1 << 63, both + more + other, dtype=np.uint64)
+            _, sketches = lsh_forest.signatures([np.sort(x[: both + more]), np.sort(np.append(x[:both], x[both + more :]))])
+            differing = np.bitwise_count((np.array(sketches[0]) ^ np.array(sketches[1])).view(np.uint64)).sum()
+            assert differing <= more + other
