@@ -92,12 +92,13 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(0),
+                batch.column(2),
                 pa.array([node_of(w) for w in words], pa.binary()),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(leading, pa.binary()),
                 pa.array(sketches, pa.list_(pa.int64())),
             ],
-            ["doc_id", "node", "n", "sig", "sketch"],
+            ["doc_id", "key", "node", "n", "sig", "sketch"],
         )
 
 
@@ -373,11 +374,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    narrow = packed(docs, doc_id=F.col(f"`{doc_id}`"), text=F.col(f"`{text}`")).drop("row")
+    # The key finds a text again whatever its id, also without one.
+    key = F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
+    narrow = packed(docs, doc_id=F.col(f"`{doc_id}`"), text=F.col(f"`{text}`"), key=key).drop("row")
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    signed = durable(narrow.mapInArrow(_signed, f"doc_id {kind}, node binary, n bigint, sig binary, sketch array<bigint>"), "signatures")
+    signed = durable(narrow.mapInArrow(_signed, f"doc_id {kind}, key bigint, node binary, n bigint, sig binary, sketch array<bigint>"), "signatures")
     classes = durable(
-        signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.max("sketch").alias("sketch")),
+        signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("key").alias("key"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.max("sketch").alias("sketch")),
         "classes",
     )
     rows = _orders(classes)
@@ -385,8 +388,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     rows = durable(rows.join(shared, "region"), "shared-regions")
     columns = ["region", "k", "tree", "node", "n", "sketch"]
     orders = durable(rows.join(classes, "node").select(*columns, _label().alias("label")), "orders")
-    wanted = orders.select("node").distinct().join(classes, "node").select(F.col("rep").alias("doc_id"), "node")
-    texts = narrow.join(wanted, "doc_id").select("text", "node")
+    wanted = orders.select("node").distinct().join(classes, "node").select("key", "node")
+    texts = narrow.select("key", "text").join(wanted, "key").select("text", "node")
     sets = durable(texts.mapInArrow(_set_rows, "node binary, shingles array<bigint>").dropDuplicates(["node"]), "sets")
 
     links = durable(_confirmed(_near_sizes(_first_candidates(orders, parts), classes), sets), "links")

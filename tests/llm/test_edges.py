@@ -85,6 +85,15 @@ def test_null_id_with_others(spark):
     assert [(r.component_id, r.kept) for r in lsh_forest.near_duplicates(df).collect()] == [(None, True)] * 2
 
 
+def test_near_copies_without_ids(spark):
+    """Near copies without ids are linked, and connect texts that have ids."""
+    words = [f"w{i}" for i in range(60)]
+    texts = [(1, words), (None, words[:50]), (2, words[:42]), (None, ["other", *words[::-1]]), (None, words[::-1])]
+    df = spark.createDataFrame([(d, " ".join(w)) for d, w in texts], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in lsh_forest.near_duplicates(df).collect()), key=repr)
+    assert got == [(1, 1, True), (2, 1, False), (None, 1, False), (None, None, True), (None, None, True)]
+
+
 @pytest.mark.parametrize("stage", range(len(corpus_pipeline.STAGES)))
 def test_stages_keep_columns(spark, docs, none, sf, stage):
     run = corpus_pipeline.STAGES[stage][1]
