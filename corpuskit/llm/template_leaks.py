@@ -66,10 +66,11 @@ def _kinds(words: list[str]) -> list[list[int]]:
     return out
 
 
-def template(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word's template form, and which words are placeholders.
+def template(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Hash of each word's template form, and which words are placeholders, in two forms.
 
-    A unit counts only after a number, a capital only inside a sentence.
+    A unit counts only after a number. A capital counts in the first form only inside a sentence,
+    in the second form anywhere, so that this form does not depend on what precedes a passage.
     """
     known = worker_state("template_words", lambda: Remembered(_kinds, np.uint64))
     numbers, _ = known.numbers(words)
@@ -77,45 +78,50 @@ def template(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     kind, ends = flags & 7, flags >= _ENDS
     after_number = np.append(False, kind[:-1] == _NUMBER)
     inside = np.append(False, ~ends[:-1])
-    slot = (kind == _NUMBER) | (kind == _NUMBER_UNIT) | ((kind == _UNIT) & after_number) | ((kind == _CAPITAL) & inside)
-    return np.where(slot, _PLACE[kind], hashes), slot
+    values = (kind == _NUMBER) | (kind == _NUMBER_UNIT) | ((kind == _UNIT) & after_number)
+    slots = [values | ((kind == _CAPITAL) & inside), values | (kind == _CAPITAL)]
+    return [(np.where(slot, _PLACE[kind], hashes), slot) for slot in slots]
 
 
-def windows_of(text: str | None, width: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Words, slots, hashes of template windows, and which windows have enough literal words."""
+def windows_of(text: str | None, width: int) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """Words, and by form: slots, hashes of template windows, which windows have enough literal words."""
     words = text.split() if text else []
     if len(words) < width:
-        return words, np.zeros(len(words), bool), np.empty(0, np.uint64), np.empty(0, bool)
-    hashes, slot = template(words)
-    literal = np.append(0, np.cumsum(~slot))
-    enough = literal[width:] - literal[:-width] >= min(LEAST_LITERALS, width)
-    return words, slot, window_hashes(hashes, width), enough
+        return words, []
+    forms = []
+    for hashes, slot in template(words):
+        literal = np.append(0, np.cumsum(~slot))
+        enough = literal[width:] - literal[:-width] >= min(LEAST_LITERALS, width)
+        forms.append((slot, window_hashes(hashes, width), enough))
+    return words, forms
 
 
 def _window_rows(rows: list, width: int, wanted=None) -> pa.RecordBatch:
-    """``id, key, h, at, n, slots`` of the windows of ``(id, key, text)`` rows."""
-    ids, keys, hashes, places, totals, slots = [], [], [], [], [], []
+    """``id, key, form, h, at, n, slots`` of the windows of ``(id, key, text)`` rows."""
+    ids, keys, kinds, hashes, places, totals, slots = [], [], [], [], [], [], []
     for doc, key, text in rows:
-        words, slot, own, enough = windows_of(text, width)
-        at = np.flatnonzero(enough if wanted is None or not len(own) else enough & wanted(own))
-        filled = {i: words[i].strip(_EDGES).lower() for i in np.flatnonzero(slot).tolist()} if len(at) else {}
-        for i in at.tolist():
-            ids.append(doc)
-            keys.append(key)
-            hashes.append(int(own[i]) - (1 << 64) if own[i] >> np.uint64(63) else int(own[i]))
-            places.append(i)
-            totals.append(int(enough.sum()))
-            slots.append([filled[j] for j in range(i, i + width) if j in filled])
+        words, forms = windows_of(text, width)
+        for form, (slot, own, enough) in enumerate(forms):
+            at = np.flatnonzero(enough if wanted is None else enough & wanted(own))
+            filled = {i: words[i].strip(_EDGES).lower() for i in np.flatnonzero(slot).tolist()} if len(at) else {}
+            for i in at.tolist():
+                ids.append(doc)
+                keys.append(key)
+                kinds.append(form)
+                hashes.append(int(own[i]) - (1 << 64) if own[i] >> np.uint64(63) else int(own[i]))
+                places.append(i)
+                totals.append(int(enough.sum()))
+                slots.append([filled[j] for j in range(i, i + width) if j in filled])
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(hashes, pa.int64()),
+            pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(kinds, pa.int64()), pa.array(hashes, pa.int64()),
             pa.array(places, pa.int64()), pa.array(totals, pa.int64()), pa.array(slots, pa.list_(pa.string())),
         ],
-        ["id", "key", "h", "at", "n", "slots"],
+        ["id", "key", "form", "h", "at", "n", "slots"],
     )
 
 
-_SCHEMA = "id bigint, key bigint, h bigint, at bigint, n bigint, slots array<string>"
+_SCHEMA = "id bigint, key bigint, form bigint, h bigint, at bigint, n bigint, slots array<string>"
 
 
 def _benchmark_windows(benchmark: DataFrame, item_id: str, text: str, width: int) -> DataFrame:
@@ -161,21 +167,21 @@ def alignments(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
     item_id: str = "item_id", item_text: str = "text", width: int = WINDOW,
 ) -> DataFrame:
-    """``doc_id, key, item_id, shift, matched, windows, agree`` for every item and distance that meet.
+    """``doc_id, key, item_id, shift, matched, windows, agree`` for every item, distance and form that meet.
 
     ``matched`` of the item's ``windows`` windows lie in the document ``shift`` words further
     on; ``agree`` says that equal values of the item are equal in the document.
     """
     items = durable(_benchmark_windows(benchmark, item_id, item_text, width), "benchmark-windows")
     found = _document_windows(docs, doc_id, text, width, _bitmap(items))
-    left = found.select("id", "key", "h", "at", F.col("slots").alias("own"))
-    right = items.select(F.col("id").alias("item_id"), "h", F.col("at").alias("item_at"), F.col("n").alias("windows"), F.col("slots").alias("theirs"))
-    met = left.join(right, "h").select(
-        "id", "key", "item_id", "windows", "at", (F.col("at") - F.col("item_at")).alias("shift"),
+    left = found.select("id", "key", "form", "h", "at", F.col("slots").alias("own"))
+    right = items.select(F.col("id").alias("item_id"), "form", "h", F.col("at").alias("item_at"), F.col("n").alias("windows"), F.col("slots").alias("theirs"))
+    met = left.join(right, ["h", "form"]).select(
+        "id", "key", "form", "item_id", "windows", "at", (F.col("at") - F.col("item_at")).alias("shift"),
         F.arrays_zip("theirs", "own").alias("values"),
     )
     # An alignment is as long as its item, so what is collected for it is bounded by the item.
-    lines = met.groupBy("id", "key", "item_id", "shift", "windows").agg(
+    lines = met.groupBy("id", "key", "form", "item_id", "shift", "windows").agg(
         F.count_distinct("at").alias("matched"), F.array_distinct(F.flatten(F.collect_list("values"))).alias("values")
     )
     theirs = F.array_distinct(F.transform("values", lambda v: v["theirs"]))

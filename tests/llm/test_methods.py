@@ -227,3 +227,12 @@ def test_sketches_never_exclude_a_near_pair():
             _, sketches = lsh_forest.signatures([np.sort(x[: both + more]), np.sort(np.append(x[:both], x[both + more :]))])
             differing = np.bitwise_count((np.array(sketches[0]) ^ np.array(sketches[1])).view(np.uint64)).sum()
             assert differing <= more + other
+
+
+def test_questions_whose_first_word_is_a_capital(spark):
+    short = "What river flows through seven countries before it ends"
+    story = "Tom has 3 apples and 5 pears. Tom gives some apples away to friends and then buys more pears today"
+    docs = [(1, f"Question 4\n{short}"), (2, f"Heading\n{story.replace('Tom', 'Anna')}"), (3, f"Text. {short}"), (4, "Heading\nnothing of it")]
+    items = spark.createDataFrame([(5, short + "?"), (6, story + ".")], "item_id long, text string")
+    got = {r.doc_id: r["items"] for r in template_leaks.leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert got == {1: [5], 2: [6], 3: [5], 4: []}
