@@ -7,6 +7,7 @@ import sys
 from pathlib import Path
 
 import pyarrow.parquet as pq
+import pytest
 
 import corpus_pipeline
 from corpuskit.llm.queries import tokenizer_file
@@ -33,10 +34,19 @@ def test_pipeline(spark, sf):
     assert got == {d: model.encode(want[d]) for d in got}
 
 
-def test_rest_stands_alone(tmp_path):
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_rest_stands_alone(tmp_path, sf, pipeline):
+    """Without the two folders, with and without the pipeline file, the other queries are all there and run."""
     repo = Path(__file__).parents[2]
-    for name in ("corpuskit", "tests"):
-        shutil.copytree(repo / name, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
-    shutil.copy(repo / "__spark_entry__.py", tmp_path)
-    code = "import __spark_entry__ as e; assert e.queries() and not any(q.startswith('op') for q in e.queries())"
-    subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, check=True, env=os.environ | {"PYTHONPATH": str(tmp_path)})
+    gone = ["llm", "__pycache__", ".git", ".pytest_cache", ".hypothesis"] + ([] if pipeline else ["corpus_pipeline.py"])
+    shutil.copytree(repo, tmp_path / "repo", ignore=shutil.ignore_patterns(*gone))
+    code = f"""
+import __spark_entry__ as e
+from corpuskit.catalogue import QUERIES
+from corpuskit.session import local_session
+assert e.queries().keys() == QUERIES.keys()
+assert e.queries()["qa_pairs"](local_session("2"), {sf!r}).count()
+"""
+    subprocess.run(
+        [sys.executable, "-B", "-c", code], cwd=tmp_path / "repo", check=True, env=os.environ | {"PYTHONPATH": str(tmp_path / "repo")}
+    )
