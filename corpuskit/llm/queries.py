@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 
 from corpuskit.llm import (
     bpe_counts,
+    exact_dedup,
     hilbert,
     host_rules,
     lsh_forest,
     piece_viterbi,
+    prefix_trie,
     re_pair,
     relative_parse,
     secret_spans,
     site_lines,
     template_leaks,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +159,56 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
 @_op("op5_template_leaks")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return template_leaks.leaks(_documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+EXACT_DEDUP_SQL = """
+    WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    g AS (SELECT doc_id, sha256(t) AS text_sha256, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM n)
+    SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM g"""
+
+
+@_op("op11_exact_dedup", EXACT_DEDUP_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_dedup.groups(_documents(spark, sf))
+
+
+@_op("op12_whitening")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whitened_rows(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+# The checksum byte by byte and bit by bit, then every prefix as a list of its turns.
+PREFIX_TRIE_SQL = """
+    WITH t AS (
+      SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+        {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS turn
+      FROM conversations WHERE conv_id IS NOT NULL),
+    s AS (SELECT c, count(*) AS n, c - c % 5 AS base FROM t GROUP BY c),
+    crc AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT FOR x IN string_split(c::VARCHAR, '')]),
+      lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)),
+        lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END)), 4294967295::BIGINT) % 9 AS h FROM s),
+    m AS (SELECT crc.*, least(h, coalesce(b.n, 0)) AS shared FROM crc LEFT JOIN s b ON b.c = crc.base),
+    turns AS (
+      SELECT m.c, t.pos AS d, t.turn FROM m JOIN t ON t.c = m.base AND t.pos <= m.h
+      UNION ALL SELECT m.c, shared + pos - h, t.turn FROM m JOIN t ON t.c = m.c AND t.pos > m.h),
+    paths AS (SELECT m.c, coalesce(list(turn ORDER BY d) FILTER (d IS NOT NULL), []) AS path FROM m LEFT JOIN turns USING (c) GROUP BY m.c),
+    rows AS (SELECT c, d, path[1:d] AS k, len(path) AS l FROM (SELECT c, path, unnest(range(0, len(path) + 1)) AS d FROM paths)),
+    nodes AS (
+      SELECT k, d, min(c) AS c, count(*) AS n_convs, count(*) FILTER (l > d) = 0 AS leaf,
+        CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * strlen(k[d].text) END AS saved,
+        sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (l = d), '')) AS ends_sha256
+      FROM rows GROUP BY k, d),
+    under AS (
+      SELECT r.k, r.d, count(*) FILTER (n.leaf) AS n_leaves, sum(n.saved) AS saved_tokens
+      FROM nodes n JOIN rows r ON r.c = n.c AND r.d <= n.d GROUP BY r.k, r.d),
+    children AS (SELECT k[1:d - 1] AS k, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2)
+    SELECT n.c AS conv_id, n.d AS depth, p.c AS parent_conv_id, n.n_convs, coalesce(children.n, 0) AS n_children,
+      u.n_leaves, u.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+    FROM nodes n JOIN under u ON u.k = n.k AND u.d = n.d
+      LEFT JOIN children ON children.k = n.k AND children.d = n.d
+      LEFT JOIN nodes p ON p.d = n.d - 1 AND p.k = n.k[1:n.d - 1]"""
+
+
+@_op("op13_prefix_trie", PREFIX_TRIE_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(f"{sf}/conversations.parquet"))
