@@ -132,15 +132,22 @@ def shards(
 def write_shards(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", **how) -> None:
     """``docs`` as Parquet under ``path/shard=N``, each file a run of the curve.
 
-    Rows meet their shard by id and checksum, so texts move once. Rows that are equal in
-    both are written once each.
+    Rows meet their shard by id, checksum and size, so texts move once; rows equal in all three go
+    to one shard, the first of theirs, each once. Files are cut by curve and id, so a crowded cell of
+    the curve fills several. A label is one of 32 classes by hash: a file's classes are few, but a
+    class holds several labels. Null labels count as empty. A column ``shard`` of the input gives way.
     """
-    placed = shards(docs, doc_id, text, **how).select(
-        F.col("doc_id").alias("s_id"), F.col("text_crc32").alias("s_crc"), F.col("size").alias("s_size"), "shard", "curve"
-    ).distinct()
-    placed = placed.groupBy("s_id", "s_crc", "s_size").agg(F.min(F.struct("shard", "curve")).alias("to"))
-    rows = packed(docs, own_id=F.col(f"`{doc_id}`"), crc=F.crc32(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")))
-    joined = rows.join(placed, rows.own_id.eqNullSafe(placed.s_id) & (rows.crc == placed.s_crc))
-    out = joined.select("row.*", F.col("to.shard").alias("shard"), F.col("to.curve").alias("curve"))
+    placed = shards(docs, doc_id, text, **how).groupBy(
+        F.col("doc_id").alias("s_id"), F.col("text_crc32").alias("s_crc"), F.col("size").alias("s_size")
+    ).agg(F.min(F.struct("shard", "curve")).alias("to"))
+    content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    rows = packed(
+        docs, own_id=F.col(f"`{doc_id}`"), crc=F.crc32(content.cast("binary")), own_size=(F.octet_length(content) + 1).cast("bigint")
+    )
+    same = rows.own_id.eqNullSafe(placed.s_id) & (rows.crc == placed.s_crc) & (rows.own_size == placed.s_size)
+    own = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() != "shard"]
+    out = rows.join(placed, same).select(*own, F.col("to.shard").alias("_shard"), F.col("to.curve").alias("_curve"), F.col("own_id").alias("_id"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out.repartitionByRange(parts, "shard", "curve").sortWithinPartitions("shard", "curve").drop("curve").write.partitionBy("shard").parquet(path)
+    order = ["_shard", "_curve", "_id"]
+    dealt = out.repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("_curve", "_id")
+    dealt.withColumnRenamed("_shard", "shard").write.partitionBy("shard").parquet(path)

@@ -33,6 +33,7 @@ _VALUES = ORDERS * BASE_DEPTH
 _WIDTH = 4  # bytes of a value
 _LABEL_VALUES = 8  # of the signature, by which an order is sorted
 _LABEL = _LABEL_VALUES * _WIDTH
+_MERGE = 16  # tasks that add up what all tasks have counted
 _BUCKET_BITS = 20  # shingles are counted in so many buckets, as a power of two
 _FACTORS = (np.random.default_rng(20).integers(0, 1 << 63, _VALUES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 
@@ -284,19 +285,38 @@ def _buckets(shingles: np.ndarray) -> np.ndarray:
 
 
 def _bucket_counts(texts: DataFrame) -> np.ndarray:
-    """How many texts have a shingle of each bucket, as 4 MB, however many texts there are."""
+    """How many texts have a shingle of each bucket, as 4 MB, however many texts there are.
+
+    A task makes one row of its counts, those other than zero; rows are added up in a few tasks, then in one.
+    """
+
+    def row(counts: np.ndarray, part: int) -> pa.RecordBatch:
+        at = np.flatnonzero(counts).astype(np.int32)
+        made = [pa.array([part], pa.int32()), pa.array([at.tobytes()], pa.binary()), pa.array([counts[at].tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays(made, ["part", "at", "counts"])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << _BUCKET_BITS, np.int64)
         for batch in batches:
-            np.add.at(counts, _buckets(batch.column(0).flatten().to_numpy()), 1)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["bucket", "k"])
+            counts += np.bincount(_buckets(batch.column(0).flatten().to_numpy()), minlength=1 << _BUCKET_BITS)
+        yield row(counts, TaskContext.get().partitionId() % _MERGE)
 
-    rows = texts.select("shingles").mapInArrow(run, "bucket bigint, k bigint").groupBy("bucket").agg(F.sum("k").alias("k"))
-    rows = rows.select(F.col("bucket").cast("int"), F.least("k", F.lit((1 << 31) - 1)).cast("int").alias("k")).toArrow()
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << _BUCKET_BITS, np.int64)
+        for batch in batches:
+            for at, k in zip(batch.column(1), batch.column(2)):
+                counts[np.frombuffer(at.as_buffer(), np.int32)] += np.frombuffer(k.as_buffer(), np.int64)
+        yield row(counts, 0)
+
+    shape = "part int, at binary, counts binary"
+    rows = texts.select("shingles").mapInArrow(counted, shape)
+    for parts in (_MERGE, 1):
+        rows = rows.repartition(parts, "part").mapInArrow(added, shape)
     counts = np.zeros(1 << _BUCKET_BITS, np.int32)
-    counts[rows.column("bucket").to_numpy()] = rows.column("k").to_numpy()
+    for made in rows.collect():
+        counts[np.frombuffer(made["at"], np.int32)] = np.minimum(np.frombuffer(made["counts"], np.int64), (1 << 31) - 1)
     return counts
 
 

@@ -96,15 +96,16 @@ def without_boilerplate(
     t = F.col("row")[text]
     lines = F.split(F.coalesce(t, F.lit("")), "\n", -1)
 
-    def cut(gone: Column) -> Column:
-        kept = F.filter(lines, lambda _, i: ~F.array_contains(gone, i))
-        return F.array_join(kept, "\n")
+    def cut(lines: Column) -> Column:
+        # Positions are told apart by hash, so a text of many removed lines is gone through once.
+        kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
+        return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
 
     return rows.select(
         "row",
         F.size(F.filter(lines, _has_word)).cast("bigint").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"),
-        F.when(F.col("gone").isNull(), t).otherwise(let(F.col("gone"), cut)).alias("kept_text"),
+        F.when(F.col("gone").isNull(), t).otherwise(let(lines, cut)).alias("kept_text"),
     )
 
 

@@ -49,7 +49,8 @@ def on_grid(embeddings: DataFrame, vector: str = "embedding", key: str = "vec_id
     v = F.transform(F.col(vector), lambda c: c.cast("double"))
     usable = F.forall("v", lambda c: F.coalesce(F.abs(c) <= _LARGEST, F.lit(False)))
     held = embeddings.select(F.col(key).alias("vec_id"), v.alias("v")).filter(F.col("v").isNotNull() & usable & (F.size("v") > 0))
-    x = F.transform("v", lambda c: F.floor(c * SCALE) + F.lit(SHIFT).cast("bigint"))
+    # Guarded here too: Spark may look at the numbers before the rows are filtered.
+    x = F.transform("v", lambda c: F.when(F.abs(c) <= _LARGEST, F.floor(c * SCALE) + F.lit(SHIFT).cast("bigint")))
     return held.select("vec_id", x.alias("x"))
 
 
