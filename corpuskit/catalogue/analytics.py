@@ -9,10 +9,10 @@ from corpuskit.catalogue import inputs
 from corpuskit.catalogue.inputs import FEEDBACK_SQL, LOG_SQL, QUERIES_SQL, asked_queries, given_feedback, request_log
 from corpuskit.catalogue.registry import query
 from corpuskit.functions import text as tx
-from corpuskit.operators import alerts, conversation, evaluation
+from corpuskit.operators import alerts, conversation, evaluation, sketches
 from corpuskit.operators import feedback as fb
 from corpuskit.plans.analytics import analyse
-from corpuskit.session import new_path
+from corpuskit.session import durable, new_path
 from corpuskit.sources import store
 
 _Q = f"q AS ({QUERIES_SQL})"
@@ -153,6 +153,22 @@ def usage_anomalies(spark, sf):
     return _first(alerts.trailing_zscore(daily, ["event_type"], "date", "n"), "zscore")
 
 
+_SPANS = " UNION ALL ".join(
+    f"SELECT '{span}' AS span, date_trunc('{span}', ts)::DATE AS start, count(DISTINCT user_id) AS active_users FROM events GROUP BY 2"
+    for span in ("day", "week", "month")
+)
+
+
+@query("active_users_rollup", _SPANS)
+def active_users_rollup(spark, sf):
+    daily = durable(sketches.daily_users(inputs.table(spark, sf, "events")), "daily-users")
+    out = None
+    for span in ("day", "week", "month"):
+        part = sketches.users_of(daily, F.date_trunc(span, "date").cast("date")).select(F.lit(span).alias("span"), F.col("span").alias("start"), "active_users")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # --- conversations
 
 
@@ -166,6 +182,29 @@ def chat_history(spark, sf):
     return conversation.with_history(inputs.table(spark, sf, "conversations")).select("conv_id", "turn", "history")
 
 
+_LINES = """l AS (SELECT *, CASE WHEN role = 'user' THEN 'User' ELSE 'Assistant' END || ': ' || text AS line FROM conversations),
+    o AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM l)"""
+
+
+@query(
+    "chat_history_offsets",
+    f"""WITH {_LINES} SELECT conv_id, turn, sha256(coalesce(line, '')) AS line_hash, start, start + coalesce(length(line), 0) AS "end" FROM o""",
+)
+def chat_history_offsets(spark, sf):
+    told = conversation.with_offsets(inputs.table(spark, sf, "conversations"))
+    return told.select("conv_id", "turn", F.sha2(F.coalesce("line", F.lit("")), 256).alias("line_hash"), "start", "end")
+
+
+@query(
+    "chat_requests",
+    f"""WITH {_LINES}, h AS (SELECT *, coalesce(string_agg(line, chr(10))
+      OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS history FROM l)
+    SELECT conv_id, turn, text, history FROM h WHERE role = 'user'""",
+)
+def chat_requests(spark, sf):
+    return conversation.user_requests(inputs.table(spark, sf, "conversations"))
+
+
 _PAIRS = """SELECT u.conv_id, u.turn, u.text AS question, a.text AS answer FROM conversations u
     JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
     WHERE u.role = 'user' AND a.role = 'assistant'"""
@@ -224,16 +263,15 @@ def synthetic_summary(spark, sf):
     return evaluation.verdict_summary(_judged(spark, sf))
 
 
-# Short assistant turns stand for answers that give up.
 @query(
     "dont_know_rate",
-    """SELECT turn, count(*) AS responses, round(avg((length(text) < 200)::INTEGER), 6) AS dont_know_rate
+    """SELECT turn, count(*) AS responses,
+      round(avg(regexp_matches(text, 'don''t know|cannot answer|insufficient information', 'i')::INTEGER), 6) AS dont_know_rate
     FROM conversations WHERE role = 'assistant' GROUP BY 1""",
 )
 def dont_know_rate(spark, sf):
     answers = inputs.table(spark, sf, "conversations").filter("role = 'assistant'")
-    said = F.when(F.length("text") < 200, F.concat("text", F.lit(" Sorry, I DON'T KNOW."))).otherwise(F.col("text"))
-    return _first(evaluation.dont_know_rate(answers.withColumn("text", said), "text", ["turn"]), "dont_know_rate")
+    return _first(evaluation.dont_know_rate(answers, "text", ["turn"]), "dont_know_rate")
 
 
 @query(

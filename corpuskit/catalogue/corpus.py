@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from corpuskit import fixed
 from corpuskit.catalogue import inputs
 from corpuskit.catalogue.inputs import cleaned_sql, split_sql, threshold_sql, tokens_sql, unit_sql, table
-from corpuskit.catalogue.registry import query
+from corpuskit.catalogue.registry import ORACLES, query
+from corpuskit.functions import normalise
 from corpuskit.functions import text as tx
 from corpuskit.functions.tokens import passages, token_count, tokens
-from corpuskit.operators import dedup, quality, splits, versions
+from corpuskit.operators import dedup, quality, seen, splits, versions
 from corpuskit.operators.encoding import Vocabulary, pad, pretrained_encoder
 from corpuskit.operators.vocabulary import learn_vocabulary, vocabulary_properties
 from corpuskit.plans import corpus
+from corpuskit.plans.ingest import ingest
 from corpuskit.session import durable, new_path
 from corpuskit.sources import lines as ln
 from corpuskit.sources import store
@@ -214,6 +216,11 @@ def stage_counts(spark, sf):
     return quality.stage_counts(raw, ln.parse_lines(raw), body, text, F.col("line_no"))
 
 
+@query("ingest_observed", ORACLES["stage_counts"])
+def ingest_observed(spark, sf):
+    return ingest(inputs.raw_lines(spark, sf), new_path(spark, "ingested"), "line_no").stages()
+
+
 _INCREMENT_SQL = f"""
     WITH d AS (SELECT doc_id, lang, sha256({CLEAN}) AS content_hash FROM documents),
     known AS (SELECT min(doc_id) AS doc_id, content_hash FROM d WHERE lang <> 'en' GROUP BY 2),
@@ -228,6 +235,29 @@ def incremental_add(spark, sf):
     return dedup.add_increment(known, cleaned, F.col("text"), "doc_id").select("doc_id", "content_hash")
 
 
+@query("incremental_add_filtered", _INCREMENT_SQL + " SELECT * FROM known UNION ALL SELECT * FROM fresh")
+def incremental_add_filtered(spark, sf):
+    cleaned = documents(spark, sf).select("doc_id", "lang", tx.clean_text(F.col("text")).alias("text"))
+    known = durable(dedup.first_occurrences(cleaned.filter("lang <> 'en'"), F.col("text"), "doc_id"), "known")
+    path = new_path(spark, "seen")
+    seen.SeenFilter.of(known, "content_hash", 64).save(path)
+    both, _ = seen.add_increment(known, cleaned, F.col("text"), "doc_id", seen=seen.SeenFilter.load(spark, path))
+    return both.select("doc_id", "content_hash")
+
+
+# Letters with their accents apart, ligatures and wide figures: what NFKC puts together again.
+_ACCENTS = {"é": "e\u0301", "è": "e\u0300", "ç": "c\u0327", "ü": "u\u0308", "ä": "a\u0308", "ö": "o\u0308", "ê": "e\u0302"}
+_COMPATIBLE = {"fi": "\ufb01", "fl": "\ufb02", "1": "\uff11", "2": "\u00b2"}
+
+
+@query("nfkc_text", "SELECT doc_id, sha256(nfc_normalize(text)) AS text_hash FROM documents")
+def nfkc_text(spark, sf):
+    text = F.col("text")
+    for whole, parts in (_ACCENTS | _COMPATIBLE).items():
+        text = F.replace(text, F.lit(whole), F.lit(parts))
+    return documents(spark, sf).select("doc_id", F.sha2(normalise.nfkc(text), 256).alias("text_hash"))
+
+
 # --- splits
 
 
@@ -446,6 +476,15 @@ def quality_report(spark, sf):
     return _flat_report(quality.quality_report(durable(_padded(spark, sf), "encoded"), V))
 
 
+# The report as it was written to its file.
+@query("report_file", ORACLES["quality_report"])
+def report_file(spark, sf):
+    dataset, path = new_path(spark, "dataset"), new_path(spark, "report")
+    store.save_splits(_padded(spark, sf), dataset)
+    shape = corpus.validate(spark, dataset, V, report_path=path).schema
+    return _flat_report(spark.read.schema(shape).json(path))
+
+
 @query(
     "corpus_stats",
     f"""{_DOC_VOCAB}, {_encode_cte('doc_id', fixed.ENCODE_MAX_LENGTH)}
@@ -510,6 +549,13 @@ def version_diff(spark, sf):
     return versions.version_diff(docs, _second_version(docs), F.col("text"))
 
 
+@query("version_diff_buckets", ORACLES["version_diff"])
+def version_diff_buckets(spark, sf):
+    docs = documents(spark, sf)
+    old, new = (versions.Buckets.write(d, F.col("text"), new_path(spark, "version")) for d in (docs, _second_version(docs)))
+    return old.diff(new)
+
+
 @query(
     "fingerprint_changes",
     """WITH o AS (SELECT lang, count(*) AS n FROM documents GROUP BY 1)

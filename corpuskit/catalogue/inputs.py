@@ -127,3 +127,22 @@ FEEDBACK_SQL = f"""
       event_type IN ('click', 'purchase') AS is_helpful, event_type AS comment,
       ts AS "timestamp", user_id::VARCHAR AS user_id
     FROM events"""
+
+
+# Feedback on an event's own query up to 99 minutes after it; some on no query, some without a request id.
+def prompt_feedback(spark: SparkSession, sf: str) -> DataFrame:
+    e = F.col("event_id")
+    request = F.when(e % 7 == 0, F.concat(F.lit("none-"), e.cast("string"))).when(e % 11 != 0, e.cast("string"))
+    return table(spark, sf, "events").select(
+        e.alias("id"),
+        request.alias("request_id"),
+        F.col("event_type").isin("click", "purchase").alias("is_helpful"),
+        (F.col("ts") + F.make_dt_interval(mins=_event_k())).alias("timestamp"),
+    )
+
+
+PROMPT_FEEDBACK_SQL = f"""
+    SELECT event_id AS id,
+      CASE WHEN event_id % 7 = 0 THEN 'none-' || event_id WHEN event_id % 11 <> 0 THEN event_id::VARCHAR END AS request_id,
+      event_type IN ('click', 'purchase') AS is_helpful, ts + to_minutes({_K_SQL}) AS "timestamp"
+    FROM events"""

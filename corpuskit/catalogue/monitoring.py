@@ -9,9 +9,10 @@ from corpuskit.catalogue import inputs
 from corpuskit.catalogue.inputs import LOG_SQL, cleaned_sql, request_log, threshold_sql, tokens_sql
 from corpuskit.catalogue.registry import query
 from corpuskit.functions.tokens import tokens
-from corpuskit.operators import alerts, evaluation, splits
+from corpuskit.operators import alerts, evaluation, sketches, splits
 from corpuskit.operators import requests as rq
 from corpuskit.plans.monitoring import monitor
+from corpuskit.session import durable
 
 _LOG = f"l AS ({LOG_SQL})"
 _WIN = f"""WITH {_LOG}, w AS (SELECT *, unnest(range(5)) AS back FROM l),
@@ -78,6 +79,33 @@ def latency_quantiles_exact(spark, sf):
     return _round(rq.exact_latency_quantiles(request_log(spark, sf), ["endpoint", "status"]), "p50", "p95")
 
 
+# Windows of the test tables hold fewer values than a sketch keeps, so their quantiles are values of known rank.
+@query(
+    "latency_quantiles_sketch",
+    f"""{_WIN} SELECT window_start, endpoint, count(duration_s) AS requests, quantile_disc(duration_s, 0.5) AS p50,
+      quantile_disc(duration_s, 0.95) AS p95 FROM win GROUP BY 1, 2""",
+)
+def latency_quantiles_sketch(spark, sf):
+    minutes = durable(sketches.latency_sketches(request_log(spark, sf)), "sketches")
+    windows = sketches.sliding_sketches(minutes)
+    return windows.select(
+        "window_start", "endpoint", sketches.sketch_count().alias("requests"),
+        sketches.sketch_quantile(0.5).alias("p50"), sketches.sketch_quantile(0.95).alias("p95"),
+    )
+
+
+@query(
+    "latency_sketch_error",
+    f"""WITH {_LOG} SELECT endpoint, count(*) AS n, true AS p50_within, true AS p95_within FROM l GROUP BY 1""",
+)
+def latency_sketch_error(spark, sf):
+    log, wanted = request_log(spark, sf), {"p50": 0.5, "p95": 0.95}
+    whole = sketches.merged_sketches(sketches.latency_sketches(log), "endpoint")
+    stated = whole.select("endpoint", *[sketches.sketch_quantile(q).alias(n) for n, q in wanted.items()])
+    errors = sketches.rank_errors(log, stated, wanted, ["endpoint"])
+    return errors.select("endpoint", "n", *[(F.col(f"{n}_error") < 0.01).alias(f"{n}_within") for n in wanted])
+
+
 _TOKEN_BOUNDS = ", ".join([f"('{b}', {b})" for b in fixed.TOKEN_BOUNDS] + ["('+Inf', 9000000000)"])
 
 
@@ -175,3 +203,56 @@ def psi_drift(spark, sf):
         evaluation.population_stability(inputs.table(spark, sf, "events"), "value", second, _PSI_BOUNDS, ["event_type"]),
         "psi",
     )
+
+
+@query(
+    "ks_drift",
+    """WITH c AS (SELECT event_type, value, count(*) FILTER (ts < TIMESTAMP '2024-01-16') AS a,
+        count(*) FILTER (ts >= TIMESTAMP '2024-01-16') AS b FROM events GROUP BY 1, 2),
+    s AS (SELECT event_type, sum(a) OVER w AS fa, sum(b) OVER w AS fb, sum(a) OVER (PARTITION BY event_type) AS na,
+        sum(b) OVER (PARTITION BY event_type) AS nb FROM c WINDOW w AS (PARTITION BY event_type ORDER BY value))
+    SELECT event_type, max(na)::BIGINT AS n_first, max(nb)::BIGINT AS n_second, round(max(abs(fa::DOUBLE / na - fb::DOUBLE / nb)), 6) AS distance
+    FROM s GROUP BY 1""",
+)
+def ks_drift(spark, sf):
+    second = F.col("ts") >= F.to_timestamp_ntz(F.lit("2024-01-16 00:00:00"))
+    return _round(evaluation.distribution_distance(inputs.table(spark, sf, "events"), "value", second, ["event_type"]), "distance")
+
+
+_STEP_RUNS = """opened AS (SELECT *, NOT met OR coalesce(ts - lag(ts) OVER u > INTERVAL 15 MINUTE, true) AS opens
+      FROM vals WINDOW u AS (ORDER BY ts)),
+    runs AS (SELECT *, count(*) FILTER (opens) OVER (ORDER BY ts) AS run FROM opened),
+    aged AS (SELECT *, ts - min(ts) FILTER (met) OVER (PARTITION BY run) AS age FROM runs)"""
+
+
+# All events as one long series, so that running values have to cross ranges of one key.
+@query(
+    "alert_long_series",
+    f"""WITH k AS (SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS step, ts, value > 20 AS met FROM events),
+    vals AS (SELECT step AS ts, met FROM (SELECT *, row_number() OVER (PARTITION BY step ORDER BY ts DESC, met DESC) AS r FROM k) WHERE r = 1),
+    {_STEP_RUNS}
+    SELECT ts, CASE WHEN NOT met THEN 'inactive' WHEN age >= INTERVAL 45 MINUTE THEN 'firing' ELSE 'pending' END AS state FROM aged""",
+)
+def alert_long_series(spark, sf):
+    events = inputs.table(spark, sf, "events")
+    return alerts.sustained(events, [], "ts", F.col("value") > 20, 45, step_minutes=15)
+
+
+# A sample a minute from each event: a GPU that is often busy, and a disk of which its value is free.
+_GAUGES = f"""g AS (SELECT TIMESTAMP '2024-01-01' + to_minutes(event_id::INTEGER) AS ts, value FROM events),
+    raw AS (SELECT 'gpu_utilisation' AS series, '>' AS op, {fixed.GPU_UTILISATION_LIMIT}::DOUBLE AS threshold, {fixed.GPU_HOLD_MINUTES} AS hold, ts, value * 10 AS v FROM g
+      UNION ALL SELECT 'disk_free_percent', '<', {fixed.DISK_FREE_PERCENT_LIMIT}, {fixed.DISK_HOLD_MINUTES}, ts, value * 100 / 500.0::DOUBLE FROM g),
+    vals AS (SELECT *, CASE op WHEN '>' THEN v > threshold ELSE v < threshold END AS met FROM raw)"""
+
+
+@query(
+    "infrastructure_alerts",
+    f"""WITH {_GAUGES}, {_STATES.format(keys='series', step=1, hold='hold')}
+    SELECT series, op, threshold, ts, state FROM states""",
+)
+def infrastructure_alerts(spark, sf):
+    minute = F.make_dt_interval(mins=F.col("event_id").cast("int"))
+    samples = {"gpu_utilisation": F.col("value") * 10, "disk_free": F.col("value"), "disk_size": F.lit(500.0)}
+    rows = F.inline(F.array(*[F.struct(F.lit(n).alias("series"), v.alias("value")) for n, v in samples.items()]))
+    start = F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00"))
+    return alerts.infrastructure_alerts(inputs.table(spark, sf, "events").select((start + minute).alias("ts"), rows))

@@ -52,7 +52,7 @@ def knn_topk(spark, sf):
 
 @query("knn_topk_grid", f"WITH {_hits_sql(K)} SELECT query_id, vec_id, rank, round(score, 6) AS score FROM hits")
 def knn_topk_grid(spark, sf):
-    return _rounded(neighbours.nearest(vectors(spark, sf), asked(spark, sf), block_bytes=64 << 10), "score")
+    return _rounded(neighbours.nearest(vectors(spark, sf), asked(spark, sf), part_bytes=64 << 10), "score")
 
 
 # Vectors with some of them missing, cut short or not finite.
@@ -214,11 +214,11 @@ def _store(spark, sf) -> DataFrame:
     """WITH s AS (SELECT vec_id, doc_id FROM embeddings JOIN documents ON vec_id = doc_id)
     SELECT * FROM s UNION ALL
     SELECT (SELECT max(vec_id) FROM s) + row_number() OVER (ORDER BY doc_id), doc_id
-    FROM documents WHERE lang = 'en'""",
+    FROM documents""",
 )
 def vector_append(spark, sf):
     # A one-number embedding function: the text's length.
-    new = inputs.table(spark, sf, "documents").filter("lang = 'en'").select("doc_id", F.col("text").alias("document"))
+    new = inputs.table(spark, sf, "documents").select("doc_id", F.col("text").alias("document"))
     embedded = retrieval.embed(new, "document", lambda t: F.array(F.length(t).cast("float")))
     grown, _, _ = retrieval.append_documents(_store(spark, sf), embedded, "doc_id")
     return grown.select("vec_id", "doc_id")

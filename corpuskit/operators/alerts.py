@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskit import fixed
+from corpuskit.operators import scan
 
 
 def _minutes(n: int | Column) -> Column:
@@ -40,16 +41,18 @@ def sustained(
     samples or an unknown condition ends a run. A run fires once it has held for
     ``hold_minutes``. When that is a column it must be one of ``series``.
 
-    Rows here are evaluation times after aggregation, one series per task.
+    Rows here are evaluation times after aggregation, dealt over tasks by ranges of series and
+    time, so neither one long series nor many short ones burden a task. An action.
     """
-    marked = df.select(*series, ts, F.coalesce(condition, F.lit(False)).alias("_met"))
-    known = last_per_step(marked, series, ts, "_met", step_minutes)
-    in_order = Window.partitionBy(*(series or [F.lit(0)])).orderBy(ts)
-    before, was_met = F.lag(ts).over(in_order), F.lag("_met").over(in_order)
-    gap = before.isNull() | (F.col(ts) - before > _minutes(step_minutes))
-    starts = F.when(F.col("_met") & (gap | ~was_met), F.col(ts))
-    begun = known.withColumn("_starts", starts)
-    return begun.withColumn("_since", F.max("_starts").over(in_order)).select(
+    keys = series or ["_all"]
+    marked = df.withColumn("_all", F.lit(0)).select(*keys, ts, F.coalesce(condition, F.lit(False)).alias("_met"))
+    known = scan.in_ranges(last_per_step(marked, keys, ts, "_met", step_minutes), keys, [ts])
+    last = F.struct(F.col(ts).alias("at"), F.col("_met").alias("met"))
+    seen = scan.running(known, keys, [ts], {"_last": ("max", last)}, before=True)
+    gap = F.col("_last").isNull() | (F.col(ts) - F.col("_last.at") > _minutes(step_minutes))
+    starts = F.when(F.col("_met") & (gap | ~F.col("_last.met")), F.col(ts))
+    begun = scan.running(seen.withColumn("_starts", starts), keys, [ts], {"_since": ("max", F.col("_starts"))})
+    return begun.select(
         *series,
         ts,
         F.when(~F.col("_met"), "inactive")
@@ -100,8 +103,13 @@ def infrastructure_alerts(
 def trailing_zscore(daily: DataFrame, by: list[str], date: str, value: str, days: int = 7) -> DataFrame:
     """Distance of each day from the mean of the days before, in standard deviations.
 
-    NULL without two earlier days or without variation.
+    NULL without two earlier days or without variation. A long series is cut into blocks that
+    begin with the ``days`` rows before them. An action.
     """
-    before = Window.partitionBy(*by).orderBy(date).rowsBetween(-days, -1)
+    keys = by or ["_all"]
+    rows = daily.withColumn("_all", F.lit(0)).select(*dict.fromkeys([*keys, date, value]))
+    dealt = scan.blocks_with_rows_before(rows, keys, [date], days)
+    before = Window.partitionBy(*keys, "_block").orderBy("_n").rowsBetween(-days, -1)
     mean, deviation = F.avg(value).over(before), F.stddev_samp(value).over(before)
-    return daily.select(*by, date, value, F.try_divide(F.col(value) - mean, deviation).alias("zscore"))
+    scored = dealt.withColumn("zscore", F.try_divide(F.col(value) - mean, deviation)).filter(~F.col("_lead"))
+    return scored.select(*by, date, value, "zscore")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuskit import fixed
+from corpuskit.operators import scan
 from corpuskit.operators.vocabulary import token_counts
 from corpuskit.session import durable
 
@@ -121,6 +122,27 @@ def population_stability(
     return counted.select(*by, total.alias("psi"))
 
 
+def distribution_distance(df: DataFrame, value: str, is_second: Column, by: Sequence[str] = ()) -> DataFrame:
+    """``(by..., n_first, n_second, distance)``: greatest gap between the cumulative distributions of two periods.
+
+    Needs no buckets: rows are counted per distinct value, and the counts are summed up along the
+    values by ranges, so neither a frequent value nor a large group burdens a task. NULL and NaN are
+    left out; the distance is NULL where a period has no value. An action.
+    """
+    keys = list(by) or ["_all"]
+    v = F.col(value).cast("double")
+    held = df.withColumn("_all", F.lit(0)).filter(v.isNotNull() & ~F.isnan(v) & is_second.isNotNull())
+    counted = held.groupBy(*keys, v.alias("_v")).agg(F.count_if(~is_second).alias("_n0"), F.count_if(is_second).alias("_n1"))
+    ranged = scan.in_ranges(counted, keys, ["_v"])
+    summed = scan.running(ranged, keys, ["_v"], {f"_s{i}": ("sum", F.col(f"_n{i}")) for i in (0, 1)})
+    totals = ranged.groupBy(*keys).agg(F.sum("_n0").alias("n_first"), F.sum("_n1").alias("n_second"))
+    met = summed.join(totals, keys)
+    gap = F.abs(F.try_divide("_s0", "n_first") - F.try_divide("_s1", "n_second"))
+    return met.groupBy(*keys).agg(F.max("n_first").alias("n_first"), F.max("n_second").alias("n_second"), F.max(gap).alias("distance")).select(
+        *by, "n_first", "n_second", "distance"
+    )
+
+
 def dont_know_rate(responses: DataFrame, response: str, by: Sequence[str] = ()) -> DataFrame:
     """Share of responses that admit having no answer."""
     hit = F.col(response).rlike(f"(?iu){fixed.DONT_KNOW}").cast("double")

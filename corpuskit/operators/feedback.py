@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuskit import fixed
 from corpuskit.functions.text import pseudonym
-from corpuskit.operators.skew import salted_join
+from corpuskit.operators.skew import skewed_join
 
 QUERY_SCHEMA = (
     "id bigint, query_text string, response_text string, request_id string, timestamp timestamp_ntz, "
@@ -48,7 +48,7 @@ def first_query_ids(queries: DataFrame) -> DataFrame:
 
 def attach_feedback(feedback: DataFrame, queries: DataFrame) -> DataFrame:
     """Feedback with the id of its query; feedback without one is left out."""
-    return salted_join(feedback, first_query_ids(queries), "request_id", spread_by="id")
+    return skewed_join(feedback, first_query_ids(queries), "request_id")
 
 
 def orphan_feedback(feedback: DataFrame, queries: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def orphan_feedback(feedback: DataFrame, queries: DataFrame) -> DataFrame:
     # A missing id belongs to no query; such rows, however many, stay where they are.
     missing = feedback.filter("request_id is null")
     known = queries.select("request_id").distinct().withColumn("known", F.lit(True))
-    joined = salted_join(feedback.filter("request_id is not null"), known, "request_id", spread_by="id", how="left")
+    joined = skewed_join(feedback.filter("request_id is not null"), known, "request_id", "left")
     return joined.filter(F.col("known").isNull()).select(*feedback.columns).unionByName(missing)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpuskit import fixed
 
-BLOCK_BYTES = 64 << 20
+PART_BYTES = 256 << 20
 MERGE_SALTS = 64
 _TILE = 1_024
 _EXACT_PAIRS = 65_536
@@ -75,25 +74,66 @@ class _Best:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
 
 
-def _hits_of_block(vectors: DataFrame, queries: pa.Table, k: int) -> DataFrame:
-    ids = queries.column("query_id").to_numpy()
-    shared = vectors.sparkSession.sparkContext.broadcast((ids, _matrix(queries.column("embedding"))))
+def _chunks(side: DataFrame, is_query: bool, parts: int) -> DataFrame:
+    """``(part, is_query, ids, flat)``: rows of ``side(id, embedding)`` packed into a matrix per ``_TILE`` of them.
 
-    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(*shared.value, k)
+    A chunk of vectors goes to one part, in turn; a chunk of queries to all of them.
+    """
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId() * 7919
         for batch in batches:
-            if batch.num_rows:
-                best.add(batch.column("vec_id").to_numpy(), _matrix(batch.column("embedding")))
-        yield best.batch()
+            for at in range(0, batch.num_rows, _TILE):
+                some = batch.slice(at, _TILE)
+                part += 1
+                ids = np.ascontiguousarray(some.column(0).to_numpy(zero_copy_only=False), np.int64).tobytes()
+                flat = np.ascontiguousarray(_matrix(some.column(1))).tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part % parts], pa.int32()), pa.array([is_query]), pa.array([ids], pa.binary()), pa.array([flat], pa.binary())],
+                    ["part", "is_query", "ids", "flat"],
+                )
 
-    return vectors.mapInArrow(nearest, _HITS)
+    made = side.mapInArrow(packed, "part int, is_query boolean, ids binary, flat binary")
+    if not is_query:
+        return made
+    return made.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "is_query", "ids", "flat")
 
 
-def common_dimension(vectors: DataFrame) -> int:
-    """The size most embeddings have, the smaller of equals; 0 without any. An action."""
+def _part_hits(vectors: DataFrame, queries: DataFrame, k: int, dimension: int, parts: int) -> DataFrame:
+    """The ``k`` nearest vectors of each part of the vectors for each query."""
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+        for batch in batches:
+            for at, is_query, ids, flat in zip(*[batch.column(i) for i in range(4)]):
+                if at.as_py() != part:
+                    part, held = at.as_py(), []
+                ids = np.frombuffer(ids.as_buffer(), np.int64)
+                matrix = np.frombuffer(flat.as_buffer(), np.float64).reshape(len(ids), dimension)
+                if not is_query.as_py():
+                    held.append((ids, matrix))
+                elif held:
+                    best = _Best(ids, matrix, k)
+                    for vec_ids, some in held:
+                        best.add(vec_ids, some)
+                    yield best.batch()
+
+    both = _chunks(vectors, False, parts).unionByName(_chunks(queries, True, parts))
+    dealt = both.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "is_query")
+    return dealt.mapInArrow(nearest, _HITS)
+
+
+def _common(vectors: DataFrame) -> tuple[int, int]:
     sizes = vectors.filter("embedding is not null").groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n"))
     row = sizes.orderBy(F.desc("n"), "d").first()
-    return row["d"] if row else 0
+    return (row["d"], row["n"]) if row else (0, 0)
+
+
+def common_dimension(vectors: DataFrame) -> int:
+    """The size most embeddings have, the smaller of equals; 0 without any. An action."""
+    return _common(vectors)[0]
 
 
 def defect(embedding: Column, dimension: int) -> Column:
@@ -119,7 +159,7 @@ def nearest(
     k: int = fixed.SEARCH_K,
     *,
     dimension: int | None = None,
-    block_bytes: int = BLOCK_BYTES,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """``(query_id, vec_id, rank, score)``: the ``k`` nearest vectors of each query.
 
@@ -127,22 +167,20 @@ def nearest(
     ties go to the smaller id. Embeddings that are missing, not finite or not of the common
     dimension are left aside on both sides (see :func:`quarantined`).
 
-    The search is flat and exact, so its work is vectors times queries. Queries are cut by a
-    hash of the id into blocks of about ``block_bytes``; each block is broadcast and meets
-    the vectors where they are. Vectors are never shuffled and no pairs are written out: per
-    query ``k`` rows leave a task, and are merged in two steps. Counting and collecting the
-    query blocks are actions.
+    The search is flat and exact, so its work is vectors times queries. Vectors are read once
+    and dealt into parts of about ``part_bytes``, as many as the session has shuffle partitions at
+    least; a task holds one part and the queries pass through it in chunks, so neither side has to
+    fit anywhere as a whole and nothing goes through the driver. No pairs are written out: per query
+    ``k`` rows leave a task, and are merged in two steps. Counting the vectors is an action.
     """
     vectors = vectors.select("vec_id", "embedding")
     queries = queries.select("query_id", "embedding")
-    dimension = common_dimension(vectors) if dimension is None else dimension
+    common, n = _common(vectors)
+    dimension = common if dimension is None else dimension
     vectors = vectors.filter(defect(F.col("embedding"), dimension).isNull())
     queries = queries.filter(defect(F.col("embedding"), dimension).isNull())
-    blocks = max(1, -(-queries.count() * 8 * dimension // block_bytes))
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    hits = reduce(
-        DataFrame.unionAll, (_hits_of_block(vectors, queries.filter(block == b).toArrow(), k) for b in range(blocks))
-    )
+    least = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hits = _part_hits(vectors, queries, k, dimension, max(least, -(-n * 8 * dimension // part_bytes)))
     salt = F.pmod(F.xxhash64("vec_id"), F.lit(MERGE_SALTS))
     for by in (["query_id", "_salt"], ["query_id"]):
         best = F.row_number().over(Window.partitionBy(*by).orderBy("score", "vec_id"))

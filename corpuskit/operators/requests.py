@@ -28,8 +28,10 @@ def _bound_names(prefix: str, bounds: Sequence[float]) -> list[str]:
     return [f"{prefix}_{i}" for i in range(len(bounds))]
 
 
-def minute_counts(log: DataFrame, by: Sequence[str] = ("endpoint",)) -> DataFrame:
-    """Per minute and key: requests, errors, and cumulative counts per bucket bound."""
+def minute_counts(
+    log: DataFrame, by: Sequence[str] = ("endpoint",), latency: bool = True, tokens: bool = True
+) -> DataFrame:
+    """Per minute and key: requests, errors, and cumulative counts per bucket bound, those that are asked for."""
 
     def at_most(column: str, prefix: str, bounds: Sequence[float]) -> list[Column]:
         return [
@@ -40,8 +42,8 @@ def minute_counts(log: DataFrame, by: Sequence[str] = ("endpoint",)) -> DataFram
     return log.groupBy(minute, *by).agg(
         F.count("*").alias("requests"),
         F.count_if(is_server_error(F.col("status"))).alias("errors"),
-        *at_most("duration_s", "lat", fixed.LATENCY_BOUNDS),
-        *at_most("output_tokens", "tok", fixed.TOKEN_BOUNDS),
+        *(at_most("duration_s", "lat", fixed.LATENCY_BOUNDS) if latency else []),
+        *(at_most("output_tokens", "tok", fixed.TOKEN_BOUNDS) if tokens else []),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpuskit import fixed
 from corpuskit.functions.text import prompt, source_preview
-from corpuskit.operators.skew import salted_join
+from corpuskit.operators.skew import skewed_join
 from corpuskit.operators.versions import number_rows
 from corpuskit.session import durable
 
@@ -30,10 +30,9 @@ def append_documents(store: DataFrame, documents: DataFrame, key: str) -> tuple[
 
 def attach_documents(hits: DataFrame, documents: DataFrame) -> DataFrame:
     """Document of each hit; hits without one are dropped. A document found by very many
-    queries is spread over tasks. The hits are written down first: they are costly to find
-    and read twice here."""
+    queries is spread over tasks."""
     by_vector = documents.select(F.col("doc_id").alias("vec_id"), F.col("text").alias("document"))
-    return salted_join(durable(hits, "hits"), by_vector, "vec_id", spread_by="query_id")
+    return skewed_join(hits, by_vector, "vec_id")
 
 
 def contexts(found: DataFrame, k: int = fixed.CONTEXT_K) -> DataFrame:
@@ -74,20 +73,21 @@ def recall(hits: DataFrame, labelled: DataFrame, k: int) -> DataFrame:
     """Recall@k, precision@k and hit rate, where vectors of the query's label are expected.
 
     ``labelled(vec_id, label)`` also labels the queries, by id; a query is not expected
-    to find itself.
+    to find itself. A query shows ``k`` hits at most, so those of one query fit in a row.
     """
-    of_query = labelled.select(F.col("vec_id").alias("query_id"), F.col("label").alias("wanted"))
-    of_vector = labelled.select("vec_id", "label")
-    per_label = labelled.groupBy(F.col("label").alias("wanted")).agg((F.count("*") - 1).alias("expected"))
-    expected = salted_join(of_query, per_label, "wanted", spread_by="query_id")
-    others = durable(hits, "hits").filter((F.col("rank") <= k) & (F.col("vec_id") != F.col("query_id")))
-    matched = (
-        salted_join(others, of_vector, "vec_id", spread_by="query_id")
-        .join(of_query, "query_id")
-        .groupBy("query_id")
-        .agg(F.count_if(F.col("label") == F.col("wanted")).alias("right"), F.count("*").alias("shown"))
+    per_label = labelled.groupBy("label").agg((F.count("*") - 1).alias("expected"))
+    others = hits.filter((F.col("rank") <= k) & (F.col("vec_id") != F.col("query_id")))
+    # The label of what was found, then once for each query all that it found.
+    found = skewed_join(others, labelled.select("vec_id", "label"), "vec_id")
+    shown = found.groupBy(F.col("query_id").alias("vec_id")).agg(
+        F.collect_list("label").alias("labels"), F.count("*").alias("shown")
     )
-    scored = expected.join(matched, "query_id", "left").na.fill(0, ["right", "shown"])
+    queries = labelled.select("vec_id", "label").join(shown, "vec_id", "left")
+    right = F.size(F.filter("labels", lambda x: x == F.col("label")))
+    counted = queries.select(
+        "label", F.when(F.col("labels").isNull(), 0).otherwise(right).alias("right"), F.coalesce("shown", F.lit(0)).alias("shown")
+    )
+    scored = skewed_join(counted, per_label, "label")
     return scored.agg(
         F.count("*").alias("queries"),
         F.avg(F.try_divide(F.col("right"), F.col("expected"))).alias("recall"),

@@ -51,12 +51,12 @@ def running(
     (null for the first). Nulls do not count. ``ranged`` comes from :func:`in_ranges` with the
     same keys and order and keeps its ``_range``; rows that tie in the order come in any order.
     """
-    taken = ranged.withColumns({f"_{n}": column for n, (_, column) in values.items()})
-    edges = ranged.groupBy(RANGE).agg(F.min(F.struct(*keys)).alias("_least"), F.max(F.struct(*keys)).alias("_most"))
+    taken = ranged.withColumns({f"_in_{n}": column for n, (_, column) in values.items()})
+    edges = ranged.groupBy(RANGE).agg(F.min(F.struct(*keys)).alias("_edge_least"), F.max(F.struct(*keys)).alias("_edge_most"))
     key = F.struct(*keys)
     # Both edge keys of each range: two rows a range to compute the carries from, and one carry of them is used.
-    at_edge = taken.join(F.broadcast(edges), RANGE).filter(key.eqNullSafe(F.col("_least")) | key.eqNullSafe(F.col("_most")))
-    totals = at_edge.groupBy(RANGE, key.alias("_key")).agg(*[_KINDS[k](f"_{n}").alias(n) for n, (k, _) in values.items()])
+    at_edge = taken.join(F.broadcast(edges), RANGE).filter(key.eqNullSafe(F.col("_edge_least")) | key.eqNullSafe(F.col("_edge_most")))
+    totals = at_edge.groupBy(RANGE, key.alias("_key")).agg(*[_KINDS[k](f"_in_{n}").alias(n) for n, (k, _) in values.items()])
     earlier = Window.partitionBy("_key").orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     carries = totals.select(
         F.col(RANGE).alias("_at"),
@@ -65,7 +65,7 @@ def running(
         *[_KINDS[k](n).over(earlier).alias(f"_carry_{n}") for n, (k, _) in values.items()],
     ).filter("_no > 1")
     frame = Window.partitionBy(RANGE, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
-    local = taken.withColumns({n: _KINDS[k](f"_{n}").over(frame) for n, (k, _) in values.items()})
+    local = taken.withColumns({n: _KINDS[k](f"_in_{n}").over(frame) for n, (k, _) in values.items()})
     same = (F.col(RANGE) == F.col("_at")) & key.eqNullSafe(F.col("_of"))
     met = local.join(F.broadcast(carries), same, "left")
     return met.select(
@@ -78,3 +78,20 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str
     """``df`` with each row's number from 1 in its key's order. An action."""
     ranged = in_ranges(df, keys, order, ranges)
     return running(ranged, keys, order, {name: ("sum", F.lit(1).cast("bigint"))}).drop(RANGE)
+
+
+def blocks_with_rows_before(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int, block: int = 1 << 16, ranges: int | None = None
+) -> DataFrame:
+    """``df`` cut into blocks that a window over the last ``rows`` rows can run in alone. An action.
+
+    Adds ``_n``, the row's number in its key, ``_block``, at most ``block + rows`` rows of one
+    key, and ``_lead``: true for rows that are only there as those before a block's first ones.
+    """
+    if not 0 <= rows <= block:
+        raise ValueError("rows must lie between 0 and block")
+    told = numbered(df, keys, order, "_n", ranges)
+    own = F.floor((F.col("_n") - 1) / block)
+    lead_of = F.when(F.pmod(F.col("_n") - 1, F.lit(block)) >= block - rows, own + 1)
+    in_blocks = F.array_compact(F.array(own, lead_of))
+    return told.select("*", F.posexplode(in_blocks).alias("_at", "_block")).withColumn("_lead", F.col("_at") == 1).drop("_at")

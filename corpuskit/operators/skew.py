@@ -1,4 +1,4 @@
-"""A join that spreads hot keys over several tasks."""
+"""Joins whose hot keys are split over several tasks."""
 
 from __future__ import annotations
 
@@ -30,7 +30,7 @@ def salted_join(
     how: str = "inner",
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Join where some keys of ``large`` may hold a large share of its rows.
+    """:func:`skewed_join` for plans that adaptive execution leaves alone, as where it is switched off.
 
     Rows with a hot key are dealt out by a hash of ``spread_by`` (a row id), and the
     ``small`` rows of just those keys are repeated, once per share. Without hot keys this
@@ -47,3 +47,20 @@ def salted_join(
     dealt = large.join(fans, on, "left").withColumn("_salt", F.pmod(F.xxhash64(spread_by), fan).cast("int"))
     repeated = small.join(fans, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), fan - 1)))
     return dealt.drop("_fan").join(repeated.drop("_fan"), [on, "_salt"], how).drop("_salt")
+
+
+def skewed_join(large: DataFrame, small: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Join where some keys of ``large`` may hold a large share of its rows; ``inner`` or ``left``.
+
+    Adaptive execution sees the sizes of the shuffled partitions and splits those that are too
+    large, reading the other side's partition once per part; nothing has to be counted before.
+    It can do so only where both sides come straight out of a shuffle of the join's own, so the
+    join has a second key, a hash of the first, by which neither side is partitioned yet - not
+    even one that was just grouped by ``on``. Null keys join with nothing.
+
+    Needs ``spark.sql.adaptive.enabled`` and ``spark.sql.adaptive.skewJoin.enabled``, both on by default.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be inner or left")
+    keyed = [df.withColumn("_hash", F.xxhash64(on)) for df in (large, small)]
+    return keyed[0].join(keyed[1], [on, "_hash"], how).drop("_hash")

@@ -128,6 +128,65 @@ def version_diff(old: DataFrame, new: DataFrame, content: Column) -> DataFrame:
     )
 
 
+class Buckets:
+    """A version's content hashes in folders by their first digits, and a digest for each folder.
+
+    Two versions are compared folder by folder: rows are read only where the digests differ, so
+    a small change to a large dataset costs a small read.
+    """
+
+    _DIGESTS = "bucket string, rows bigint, digest string"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    @classmethod
+    def write(cls, df: DataFrame, content: Column, path: str, digits: int = 2) -> Buckets:
+        """Stores the hashes of ``df`` in ``16 ** digits`` folders, then the digests. An action.
+
+        Tasks write ranges of hashes, so a folder has as many files as its hashes fill; a text that
+        makes up most of the rows is one row with its number of copies.
+        """
+        spark = df.sparkSession
+        counted = df.select(F.sha2(content, 256).alias("h")).groupBy("h").agg(F.count("*").alias("n"))
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        counted.repartitionByRange(parts, "h").withColumn("bucket", F.substring("h", 1, digits)).write.partitionBy("bucket").parquet(f"{path}/hashes")
+        made = cls(spark, path)
+        rows = made._hashes().select("bucket", "n", F.sha2(F.concat_ws(":", "h", "n"), 256).alias("d"))
+        sums = rows.groupBy("bucket").agg(F.sum("n").alias("rows"), *_chunk_sums(F.col("d")))
+        joined = F.concat_ws(":", *[F.col(f"s{i}").cast("string") for i in range(_CHUNKS)])
+        sums.select("bucket", "rows", F.sha2(joined, 256).alias("digest")).coalesce(1).write.parquet(f"{path}/digests")
+        return made
+
+    def _hashes(self) -> DataFrame:
+        return self.spark.read.schema("h string, n bigint, bucket string").parquet(f"{self.path}/hashes")
+
+    def digests(self) -> DataFrame:
+        return self.spark.read.schema(self._DIGESTS).parquet(f"{self.path}/digests")
+
+    def changed(self, other: Buckets) -> list[str]:
+        """The folders in which two versions differ; there are few folders, whatever the rows. An action."""
+        mine, theirs = (b.digests().select("bucket", F.col("digest").alias(n)) for b, n in ((self, "a"), (other, "b")))
+        both = mine.join(theirs, "bucket", "full_outer").filter(~F.col("a").eqNullSafe(F.col("b")))
+        return sorted(r.bucket for r in both.select("bucket").collect())
+
+    def rows_in(self, buckets: list[str]) -> DataFrame:
+        return self._hashes().filter(F.col("bucket").isin(buckets))
+
+    def diff(self, new: Buckets) -> DataFrame:
+        """``(added, removed, kept)`` from this version to ``new``, as :func:`version_diff` counts them. An action."""
+        buckets = self.changed(new)
+        a, b = (v.rows_in(buckets).select("h", F.col("n").alias(n)) for v, n in ((self, "o"), (new, "n")))
+        zero = F.lit(0).cast("bigint")
+        both = a.join(b, "h", "full_outer").select(F.coalesce("o", zero).alias("o"), F.coalesce("n", zero).alias("n"))
+        same = self.digests().filter(~F.col("bucket").isin(buckets)).agg(F.coalesce(F.sum("rows"), zero)).scalar()
+        return both.agg(
+            F.coalesce(F.sum(F.greatest(F.col("n") - F.col("o"), zero)), zero).alias("added"),
+            F.coalesce(F.sum(F.greatest(F.col("o") - F.col("n"), zero)), zero).alias("removed"),
+            (F.coalesce(F.sum(F.least("o", "n")), zero) + same).alias("kept"),
+        )
+
+
 def number_rows(df: DataFrame, key: str, out: str, start: Column | int = 0) -> DataFrame:
     """Contiguous numbers in ``key`` order without sorting everything in one task.
 

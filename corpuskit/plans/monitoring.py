@@ -28,12 +28,20 @@ def service_alerts(minutes: DataFrame, hold_minutes: int = 5) -> DataFrame:
 
 @dataclass(frozen=True)
 class Monitoring:
-    """Figures of a log, all from its per-minute table; each is worked out when asked for."""
+    """Figures of a log, each worked out from per-minute counts when asked for.
 
-    minutes: DataFrame
+    A figure reads the log with just the columns and counters it needs. With ``minutes``, the
+    stored per-minute table, all figures come from that instead.
+    """
 
-    def windows(self) -> DataFrame:
-        return ops.sliding(self.minutes)
+    log: DataFrame
+    minutes: DataFrame | None = None
+
+    def _minutes(self, latency: bool = False, tokens: bool = False) -> DataFrame:
+        return ops.minute_counts(self.log, latency=latency, tokens=tokens) if self.minutes is None else self.minutes
+
+    def windows(self, latency: bool = False, tokens: bool = False) -> DataFrame:
+        return ops.sliding(self._minutes(latency, tokens))
 
     def rate(self) -> DataFrame:
         return ops.request_rate(self.windows())
@@ -42,15 +50,15 @@ class Monitoring:
         return ops.error_ratio(self.windows())
 
     def latency(self) -> DataFrame:
-        return ops.latency_quantiles(self.windows())
+        return ops.latency_quantiles(self.windows(latency=True))
 
     def tokens(self) -> DataFrame:
-        return ops.token_histogram(self.windows())
+        return ops.token_histogram(self.windows(tokens=True))
 
     def alerts(self, hold_minutes: int = 5) -> DataFrame:
-        return service_alerts(self.minutes, hold_minutes)
+        return service_alerts(self._minutes(latency=True), hold_minutes)
 
 
-def monitor(log: DataFrame) -> Monitoring:
-    """Reads the log once, into the per-minute table."""
-    return Monitoring(durable(ops.minute_counts(log), "minutes"))
+def monitor(log: DataFrame, keep: bool = False) -> Monitoring:
+    """Figures of ``log``; with ``keep`` it is read once, into the per-minute table, for several figures. That is an action."""
+    return Monitoring(log, durable(ops.minute_counts(log), "minutes") if keep else None)

@@ -1,17 +1,16 @@
-"""Feedback joined to its query on arrival, chat sessions, and refreshed daily figures."""
+"""Feedback paired with its query, whichever comes first; chat sessions; refreshed daily figures."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import threading
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpuskit.operators.feedback import first_query_ids
-from corpuskit.operators.skew import salted_join
-
-Sink = Callable[[DataFrame, int], None]
+from corpuskit.operators.skew import skewed_join
+from corpuskit.streaming.ingest import ROCKS_DB, feed_available
 
 
 def _replace(df: DataFrame, path: str, *by: str) -> None:
@@ -19,37 +18,79 @@ def _replace(df: DataFrame, path: str, *by: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def _run_available(stream: DataFrame, sink: Sink, progress: str) -> None:
-    writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", progress)
-    writer.trigger(availableNow=True).start().awaitTermination()
+def feedback_pairs(
+    feedback: DataFrame,
+    queries: DataFrame,
+    within: str = "1 day",
+    early: str = "1 hour",
+    watermark: str = "1 hour",
+    shares: int = 8,
+) -> DataFrame:
+    """Arriving feedback with ``query_id`` and ``query_time`` of its query, both streams.
+
+    Either may come first: feedback is kept until its query is there, and told without one
+    (``is_orphan``) once the watermark shows that none can come any more. Feedback is dated up to
+    ``within`` after its query and up to ``early`` before it; rows of either stream may arrive
+    ``watermark`` late. These three bound the state. Of queries with one request id the first to
+    arrive counts, as long as repeats come within ``watermark``.
+
+    A request with very much feedback is spread over ``shares`` keys, for which its query is
+    repeated; feedback without a request id is spread over many, none of them a query's.
+    """
+    asked = (
+        queries.select(F.col("request_id").alias("_request"), F.col("id").alias("query_id"), F.col("timestamp").alias("query_time"))
+        .filter("_request is not null")
+        .withWatermark("query_time", watermark)
+        .dropDuplicatesWithinWatermark(["_request"])
+        .withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    )
+    dealt = F.xxhash64("id")
+    share = F.when(F.col("request_id").isNull(), -1 - F.pmod(dealt, F.lit(1 << 20))).otherwise(F.pmod(dealt, F.lit(shares)))
+    given = feedback.withWatermark("timestamp", watermark).withColumns(
+        {"_key": F.coalesce("request_id", F.lit("")), "_share": share.cast("int")}
+    )
+    near = F.expr(f"query_time BETWEEN timestamp - INTERVAL {within} AND timestamp + INTERVAL {early}")
+    same = (F.col("_key") == F.col("_request")) & (F.col("_share") == F.col("_of")) & near
+    paired = given.join(asked, same, "left_outer")
+    return paired.select(*feedback.columns, "query_id", "query_time", F.col("query_id").isNull().alias("is_orphan"))
 
 
 class FeedbackJoin:
     """A ``foreachBatch`` sink that writes arriving feedback with its query id.
 
-    ``is_orphan`` marks feedback without a query. Of ``queries``, a table, only those of the
-    batch's request ids are regrouped, so a batch does not cost a pass of grouping over all
-    of them; a request with very much feedback is spread over tasks, and feedback without a
-    request id is set aside before the join. A batch that runs again replaces its own folder.
+    For queries that are all there, in a table; :func:`feedback_pairs` is for two streams.
+    ``is_orphan`` marks feedback without a query. With ``within``, the longest time from a query
+    to its feedback, a batch reads only the queries of its own span of time: of a table in files
+    by time, a few of them. Of these only those of the batch's request ids are regrouped. A request
+    with very much feedback is spread over tasks, and feedback without a request id is set aside
+    before the join. A batch that runs again replaces its own folder.
     """
 
-    def __init__(self, queries: DataFrame, folder: str):
-        self.queries, self.folder = queries, folder
+    def __init__(self, queries: DataFrame, folder: str, within: str | None = None):
+        self.queries, self.folder, self.within = queries, folder, within
+
+    def _near(self, asked: DataFrame) -> DataFrame:
+        if self.within is None:
+            return self.queries
+        kind = dict(self.queries.dtypes)["timestamp"]
+        span = asked.agg(F.min("timestamp").cast(kind).alias("first"), F.max("timestamp").cast(kind).alias("last")).first()
+        first = F.lit(span["first"]).cast(kind) - F.expr(f"INTERVAL {self.within}")
+        return self.queries.filter(F.col("timestamp").between(first, F.lit(span["last"]).cast(kind)))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         asked = batch.filter("request_id is not null")
         ids = asked.select("request_id").distinct()
-        known = first_query_ids(self.queries.join(ids, "request_id", "left_semi")).select("request_id", "query_id")
-        joined = salted_join(asked, known, "request_id", spread_by="id", how="left").select(*batch.columns, "query_id")
+        known = first_query_ids(self._near(asked).join(ids, "request_id", "left_semi")).select("request_id", "query_id")
+        joined = skewed_join(asked, known, "request_id", "left").select(*batch.columns, "query_id")
         missing = batch.filter("request_id is null").withColumn("query_id", F.lit(None).cast("bigint"))
         both = joined.unionByName(missing).withColumn("is_orphan", F.col("query_id").isNull())
         _replace(both.withColumn("batch", F.lit(batch_id)), self.folder, "batch")
 
 
-def join_feedback(feedback: DataFrame, queries: DataFrame, folder: str) -> DataFrame:
+def join_feedback(feedback: DataFrame, queries: DataFrame, folder: str, within: str | None = None) -> DataFrame:
     """Feeds the feedback that is there now to :class:`FeedbackJoin`; returns all that was written."""
-    sink = FeedbackJoin(queries, f"{folder}/joined")
-    _run_available(feedback, sink, f"{folder}/progress")
+    sink = FeedbackJoin(queries, f"{folder}/joined", within)
+    feed_available(feedback, sink, f"{folder}/progress")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in feedback.schema)
     written = feedback.sparkSession.read.schema(f"{columns}, query_id bigint, is_orphan boolean, batch bigint")
     return written.parquet(sink.folder).drop("batch")
@@ -71,21 +112,28 @@ def stream_sessions(log: DataFrame, gap: str = "30 minutes", watermark: str = "1
 
 
 class DailyRefresh:
-    """Two ``foreachBatch`` sinks keeping a daily table current: :meth:`queries` and :meth:`feedback`.
+    """Two ``foreachBatch`` sinks keeping a daily table current: :meth:`queries` and :meth:`pairs`.
 
     A batch adds what merges - counts, sums, users, feedback signs per day - under (date,
     batch), and then only the days it touched are merged again, from these partial rows.
     All writes replace whole folders, so a batch that is run again after a failure changes
-    nothing. Feedback counts on the day of its request's first query among those that have
-    arrived; feedback that comes before its query is not counted.
+    nothing. Feedback comes as :func:`feedback_pairs` and counts on the day of its query,
+    whichever of the two came first; orphans count nowhere. The two sinks write different
+    partial rows and share only the last step, so they take turns there.
     """
 
     _PARTIAL = "asked bigint, ms bigint, timed bigint, up bigint, down bigint, date date, kind string, batch bigint"
     _USERS = "user_id string, date date, batch bigint"
-    _REQUESTS = "request_id string, id bigint, date date, batch bigint"
 
     def __init__(self, folder: str):
-        self.folder, self.daily = folder, f"{folder}/daily"
+        self.folder, self.daily, self._turn, self._ready = folder, f"{folder}/daily", threading.Lock(), False
+
+    def _prepare(self, spark) -> None:
+        """Empty tables, so that either sink may come first."""
+        if not self._ready:
+            for name, schema, by in (("users", self._USERS, ("date", "batch")), ("partial", self._PARTIAL, ("date", "kind", "batch"))):
+                spark.createDataFrame([], schema).write.mode("append").partitionBy(*by).parquet(f"{self.folder}/{name}")
+            self._ready = True
 
     def _read(self, spark, name: str, schema: str) -> DataFrame:
         return spark.read.schema(schema).parquet(f"{self.folder}/{name}")
@@ -94,34 +142,35 @@ class DailyRefresh:
         dated = batch.withColumn("date", F.to_date("timestamp")).withColumn("batch", F.lit(batch_id)).persist()
         ms = F.col("response_time_ms").cast("bigint")
         counts = dated.groupBy("date").agg(F.count("*").alias("asked"), F.sum(ms).alias("ms"), F.count(ms).alias("timed"))
-        self._add(counts, "queries", batch_id)
-        _replace(dated.select("user_id", "date", "batch").distinct(), f"{self.folder}/users", "date", "batch")
-        _replace(dated.select("request_id", "id", "date", "batch"), f"{self.folder}/requests", "date", "batch")
-        dated.unpersist()
-        self._merge(counts.select("date"))
-
-    def feedback(self, batch: DataFrame, batch_id: int) -> None:
-        per_request = batch.groupBy("request_id").agg(
+        with self._turn:
+            self._prepare(batch.sparkSession)
+            self._add(counts, "queries", batch_id)
+            _replace(dated.select("user_id", "date", "batch").distinct(), f"{self.folder}/users", "date", "batch")
+            dated.unpersist()
+            self._merge(batch.sparkSession, "queries", batch_id)
+
+    def pairs(self, batch: DataFrame, batch_id: int) -> None:
+        signs = batch.filter("not is_orphan").groupBy(F.to_date("query_time").alias("date")).agg(
             F.count_if("is_helpful").alias("up"), F.count_if(~F.col("is_helpful")).alias("down")
         )
-        asked = self._read(batch.sparkSession, "requests", self._REQUESTS).join(per_request, "request_id")
-        first = asked.groupBy("request_id").agg(F.min(F.struct("id", "date", "up", "down")).alias("q"))
-        signs = first.groupBy("q.date").agg(F.sum("q.up").alias("up"), F.sum("q.down").alias("down"))
-        self._add(signs, "feedback", batch_id)
-        of_batch = self._read(batch.sparkSession, "partial", self._PARTIAL)
-        self._merge(of_batch.filter((F.col("kind") == "feedback") & (F.col("batch") == batch_id)).select("date"))
+        with self._turn:
+            self._prepare(batch.sparkSession)
+            self._add(signs, "feedback", batch_id)
+            self._merge(batch.sparkSession, "feedback", batch_id)
 
     def _add(self, counts: DataFrame, kind: str, batch_id: int) -> None:
         have = [F.col(c) if c in counts.columns else F.lit(0).cast("bigint").alias(c) for c in ("asked", "ms", "timed", "up", "down")]
         rows = counts.select(*have, "date", F.lit(kind).alias("kind"), F.lit(batch_id).alias("batch"))
         _replace(rows, f"{self.folder}/partial", "date", "kind", "batch")
 
-    def _merge(self, touched: DataFrame) -> None:
-        spark = touched.sparkSession
+    def _merge(self, spark, kind: str, batch_id: int) -> None:
+        partial = self._read(spark, "partial", self._PARTIAL)
+        touched = partial.filter((F.col("kind") == kind) & (F.col("batch") == batch_id)).select("date").distinct()
         users = self._read(spark, "users", self._USERS).join(touched, "date", "left_semi")
-        partial = self._read(spark, "partial", self._PARTIAL).join(touched, "date", "left_semi")
+        partial = partial.join(touched, "date", "left_semi")
         sums = partial.groupBy("date").agg(*[F.sum(c).alias(c) for c in ("asked", "ms", "timed", "up", "down")])
         people = users.groupBy("date").agg(F.countDistinct("user_id").alias("unique_users"))
+        # A day whose queries' own batch is still to come has feedback only; that batch merges it again.
         days = sums.join(people, "date").select(
             F.col("asked").alias("total_queries"),
             F.try_divide("ms", "timed").alias("avg_response_time_ms"),
@@ -140,21 +189,26 @@ class DailyRefresh:
         return self._read(spark, "daily", schema)
 
 
-def refresh_daily(queries: DataFrame, feedback: DataFrame, folder: str) -> DataFrame:
-    """Feeds the queries, then the feedback that are there now to :class:`DailyRefresh`; returns the daily table."""
+def refresh_daily(queries: DataFrame, feedback: DataFrame, folder: str, **bounds: str) -> DataFrame:
+    """Feeds the queries and feedback that are there now to :class:`DailyRefresh`; returns the daily table.
+
+    ``bounds`` are those of :func:`feedback_pairs`.
+    """
     sink = DailyRefresh(folder)
-    _run_available(queries, sink.queries, f"{folder}/progress-queries")
-    _run_available(feedback, sink.feedback, f"{folder}/progress-feedback")
+    feed_available(queries, sink.queries, f"{folder}/progress-queries")
+    feed_available(feedback_pairs(feedback, queries, **bounds), sink.pairs, f"{folder}/progress-feedback")
     return sink.table(queries.sparkSession)
 
 
-def keep_daily_fresh(queries: DataFrame, feedback: DataFrame, folder: str, every: str = "1 hour") -> list[StreamingQuery]:
+def keep_daily_fresh(queries: DataFrame, feedback: DataFrame, folder: str, every: str = "1 hour", **bounds: str) -> list[StreamingQuery]:
     """The same on a timer, until the returned queries are stopped."""
     sink = DailyRefresh(folder)
+    queries.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
+    streams = ((queries, sink.queries, "queries"), (feedback_pairs(feedback, queries, **bounds), sink.pairs, "feedback"))
     return [
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{folder}/progress-{name}")
         .trigger(processingTime=every)
         .start()
-        for stream, write, name in ((queries, sink.queries, "queries"), (feedback, sink.feedback, "feedback"))
+        for stream, write, name in streams
     ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +68,13 @@ def write_available(stream: DataFrame, path: str, name: str, mode: str = "append
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
+def feed_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], progress: str) -> None:
+    """Hand what is there now to a ``foreachBatch`` sink; a second call continues after it."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
+    writer = stream.writeStream.foreachBatch(sink).option("checkpointLocation", progress)
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
 def run_available(stream: DataFrame, name: str) -> DataFrame:
     """:func:`write_available` into a fresh table of the shared folder."""
     return write_available(stream, new_path(stream.sparkSession, name), name)

@@ -36,7 +36,7 @@ def test_nearest_equals_brute_force(spark, monkeypatch, limit, repeats):
     queries = {i: v for i, v in enumerate(rng.normal(size=(20, 8)).astype(np.float32).astype(float))}
     queries[99] = vectors[3]
     hits = neighbours.nearest(
-        frame(spark, vectors, "vec_id").repartition(3), frame(spark, queries, "query_id"), 5, block_bytes=limit
+        frame(spark, vectors, "vec_id").repartition(3), frame(spark, queries, "query_id"), 5, part_bytes=limit
     )
     assert found(hits) == brute(vectors, queries, 5)
 
