@@ -175,7 +175,7 @@ def places(conversations: DataFrame) -> DataFrame:
     members, rows = rebuilt(conversations)
     rows = rows.withColumns({"h1": F.xxhash64("depth", "t1", "t2"), "h2": F.xxhash64("t2", "depth", "t1")}).drop("t1", "t2")
     ranged = scan.in_ranges(rows, ["conv_id"], ["depth"])
-    paths = scan.running(ranged, ["conv_id"], ["depth"], {"k1": ("xor", F.col("h1")), "k2": ("xor", F.col("h2"))})
+    paths = scan.running(ranged, {"k1": ("xor", F.col("h1")), "k2": ("xor", F.col("h2"))})
     paths = paths.withColumns({"p1": F.col("k1").bitwiseXOR(F.col("h1")), "p2": F.col("k2").bitwiseXOR(F.col("h2"))})
     nothing = F.lit(0).cast("bigint")
     roots = members.select("conv_id", "length", *[nothing.alias(c) for c in ("depth", "k1", "k2", "p1", "p2", "bytes")])
