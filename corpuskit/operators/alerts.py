@@ -46,12 +46,11 @@ def sustained(
     """
     keys = series or ["_all"]
     marked = df.withColumn("_all", F.lit(0)).select(*keys, ts, F.coalesce(condition, F.lit(False)).alias("_met"))
-    known = scan.in_ranges(last_per_step(marked, keys, ts, "_met", step_minutes), keys, [ts])
-    last = F.struct(F.col(ts).alias("at"), F.col("_met").alias("met"))
-    seen = scan.running(known, keys, [ts], {"_last": ("max", last)}, before=True)
-    gap = F.col("_last").isNull() | (F.col(ts) - F.col("_last.at") > _minutes(step_minutes))
-    starts = F.when(F.col("_met") & (gap | ~F.col("_last.met")), F.col(ts))
-    begun = scan.running(seen.withColumn("_starts", starts), keys, [ts], {"_since": ("max", F.col("_starts"))})
+    known = scan.in_ranges(last_per_step(marked, keys, ts, "_met", step_minutes), keys, [ts], last=["_met"])
+    seen = scan.previous(known, {"_before": ts, "_was_met": "_met"})
+    gap = F.col("_before").isNull() | (F.col(ts) - F.col("_before") > _minutes(step_minutes))
+    starts = F.when(F.col("_met") & (gap | ~F.col("_was_met")), F.col(ts))
+    begun = scan.running(seen, {"_since": ("max", starts)})
     return begun.select(
         *series,
         ts,

@@ -34,7 +34,7 @@ def with_offsets(turns: DataFrame) -> DataFrame:
     said = turns.withColumn("line", history_line(F.col("role"), F.col("text")))
     size = F.coalesce(F.char_length("line") + 1, F.lit(0)).cast("bigint")
     ranged = scan.in_ranges(said.select("conv_id", "turn", size.alias("_size")), ["conv_id"], ["turn"])
-    sums = scan.running(ranged, ["conv_id"], ["turn"], {"_upto": ("sum", F.col("_size"))})
+    sums = scan.running(ranged, {"_upto": ("sum", F.col("_size"))})
     start, end = F.col("_upto") - F.col("_size"), F.col("_upto") - F.least("_size", F.lit(1))
     return said.join(sums.select("conv_id", "turn", start.alias("start"), end.alias("end")), ["conv_id", "turn"])
 

@@ -134,8 +134,8 @@ def distribution_distance(df: DataFrame, value: str, is_second: Column, by: Sequ
     held = df.withColumn("_all", F.lit(0)).filter(v.isNotNull() & ~F.isnan(v) & is_second.isNotNull())
     counted = held.groupBy(*keys, v.alias("_v")).agg(F.count_if(~is_second).alias("_n0"), F.count_if(is_second).alias("_n1"))
     ranged = scan.in_ranges(counted, keys, ["_v"])
-    summed = scan.running(ranged, keys, ["_v"], {f"_s{i}": ("sum", F.col(f"_n{i}")) for i in (0, 1)})
-    totals = ranged.groupBy(*keys).agg(F.sum("_n0").alias("n_first"), F.sum("_n1").alias("n_second"))
+    summed = scan.running(ranged, {f"_s{i}": ("sum", F.col(f"_n{i}")) for i in (0, 1)})
+    totals = ranged.rows.groupBy(*keys).agg(F.sum("_n0").alias("n_first"), F.sum("_n1").alias("n_second"))
     met = summed.join(totals, keys)
     gap = F.abs(F.try_divide("_s0", "n_first") - F.try_divide("_s1", "n_second"))
     return met.groupBy(*keys).agg(F.max("n_first").alias("n_first"), F.max("n_second").alias("n_second"), F.max(gap).alias("distance")).select(

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from corpuskit import fixed
 
 PART_BYTES = 256 << 20
-MERGE_SALTS = 64
 _TILE = 1_024
 _EXACT_PAIRS = 65_536
 _HITS = "query_id bigint, vec_id bigint, score double"
@@ -171,7 +170,7 @@ def nearest(
     and dealt into parts of about ``part_bytes``, as many as the session has shuffle partitions at
     least; a task holds one part and the queries pass through it in chunks, so neither side has to
     fit anywhere as a whole and nothing goes through the driver. No pairs are written out: per query
-    ``k`` rows leave a task, and are merged in two steps. Counting the vectors is an action.
+    and part ``k`` rows leave a task. Counting the vectors is an action.
     """
     vectors = vectors.select("vec_id", "embedding")
     queries = queries.select("query_id", "embedding")
@@ -181,10 +180,8 @@ def nearest(
     queries = queries.filter(defect(F.col("embedding"), dimension).isNull())
     least = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hits = _part_hits(vectors, queries, k, dimension, max(least, -(-n * 8 * dimension // part_bytes)))
-    salt = F.pmod(F.xxhash64("vec_id"), F.lit(MERGE_SALTS))
-    for by in (["query_id", "_salt"], ["query_id"]):
-        best = F.row_number().over(Window.partitionBy(*by).orderBy("score", "vec_id"))
-        hits = hits.withColumn("_salt", salt).withColumn("rank", best).filter(F.col("rank") <= k)
+    best = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    hits = hits.withColumn("rank", best).filter(F.col("rank") <= k)
     return hits.select("query_id", "vec_id", "rank", "score")
 
 

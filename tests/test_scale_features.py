@@ -36,15 +36,21 @@ def series(spark):
 def test_running_equals_window(series, before):
     values = {"total": ("sum", F.col("v")), "most": ("max", F.col("v")), "mixed": ("xor", F.col("v"))}
     ranged = scan.in_ranges(series, ["k"], ["at"], 13)
-    got = scan.running(ranged, ["k"], ["at"], values, before).drop(scan.RANGE)
+    got = scan.running(ranged, values, before).drop(scan.RANGE)
     over = Window.partitionBy("k").orderBy("at").rowsBetween(Window.unboundedPreceding, -1 if before else 0)
     want = series.select("*", F.sum("v").over(over).alias("total"), F.max("v").over(over).alias("most"), F.bit_xor("v").over(over).alias("mixed"))
     assert same(got, want)
 
 
+def test_previous_equals_lag(series):
+    got = scan.previous(scan.in_ranges(series, ["k"], ["at"], 13, last=["v"]), {"before": "at", "was": "v"}).rows.drop(scan.RANGE)
+    over = Window.partitionBy("k").orderBy("at")
+    assert same(got, series.select("*", F.lag("at").over(over).alias("before"), F.lag("v").over(over).alias("was")))
+
+
 def test_running_ignores_nulls_and_keeps_names(spark):
     df = spark.createDataFrame([(1, 1, None), (1, 2, 5), (1, 3, None)], "k int, at int, v long")
-    got = scan.running(scan.in_ranges(df, ["k"], ["at"], 3), ["k"], ["at"], {"v": ("sum", F.col("v"))}).orderBy("at").collect()
+    got = scan.running(scan.in_ranges(df, ["k"], ["at"], 3), {"v": ("sum", F.col("v"))}).orderBy("at").collect()
     assert [r.v for r in got] == [None, 5, 5]
     none = df.limit(0)
     assert scan.numbered(none, ["k"], ["at"], "n").count() == 0
@@ -53,9 +59,9 @@ def test_running_ignores_nulls_and_keeps_names(spark):
 def test_a_long_series_is_spread(spark):
     """A million steps of one series: no range is more than twice the median."""
     ranged = scan.in_ranges(spark.range(1_000_000).select(F.lit("hot").alias("k"), F.col("id").alias("at")), ["k"], ["at"], 8)
-    sizes = sorted(r["count"] for r in ranged.groupBy(scan.RANGE).count().collect())
+    sizes = sorted(r["count"] for r in ranged.rows.groupBy(scan.RANGE).count().collect())
     assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
-    last = scan.running(ranged, ["k"], ["at"], {"n": ("sum", F.lit(1).cast("bigint"))}).agg(F.max("n"), F.sum(F.col("n") - F.col("at"))).first()
+    last = scan.running(ranged, {"n": ("sum", F.lit(1).cast("bigint"))}).agg(F.max("n"), F.sum(F.col("n") - F.col("at"))).first()
     assert tuple(last) == (1_000_000, 1_000_000)
 
 
