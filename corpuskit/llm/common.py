@@ -199,3 +199,35 @@ class Remembered:
         total = int(sizes.sum())
         shift = np.repeat(self.starts[at] - (np.cumsum(sizes) - sizes), sizes)
         return self.flat[shift + np.arange(total)], sizes
+
+
+class RememberedOften(Remembered):
+    """The same, but when there are too many words, the half of them that came most often stays."""
+
+    def forget(self) -> None:
+        words = list(getattr(self, "index", ()))
+        if not words:
+            super().forget()
+            self.came = np.zeros(0, np.int64)
+            return
+        kept = np.sort(np.argsort(self.came, kind="stable")[len(words) - self.most // 2 :])
+        flat, sizes, came = self._flat(kept), self.sizes[kept], self.came[kept] // 2
+        super().forget()
+        self.flat = np.concatenate([flat, self.flat])
+        self.used = len(flat)
+        self.starts = np.concatenate([np.cumsum(sizes) - sizes, self.starts])
+        self.sizes = np.concatenate([sizes, self.sizes])
+        self.came = came
+        self.index = {words[i]: at for at, i in enumerate(kept.tolist())}
+
+    def _flat(self, at: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[at]
+        shift = np.repeat(self.starts[at] - (np.cumsum(sizes) - sizes), sizes)
+        return self.flat[shift + np.arange(int(sizes.sum()))]
+
+    def places(self, words: list) -> np.ndarray:
+        at = super().places(words)
+        more = np.bincount(at, minlength=len(self.index))
+        more[: len(self.came)] += self.came
+        self.came = more
+        return at

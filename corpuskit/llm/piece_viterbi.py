@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpuskit.llm.common import Remembered, packed, small_batches, worker_state
+from corpuskit.llm.common import RememberedOften, packed, small_batches, worker_state
 
 # Fixed value of the model format: the mark for white space.
 MARK = "\u2581"
 _MARKED = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-_CACHED_PAIRS = 100_000
+_CACHED_PAIRS = 200_000
 
 
 class PieceModel:
@@ -48,27 +49,36 @@ class PieceModel:
                 self.scores[piece] = (model.get_score(i), i)
         if any(MARK in p.lstrip(MARK) for p in self.scores):
             raise ValueError("a piece crosses a word mark")
-        self.values = {i: v for v, i in self.bytes.items()}
-        self.longest = max(map(len, self.scores), default=1)
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.words = Remembered(self.segment, np.int32)
-
-    def stay_apart(self, a: str, b: str) -> bool:
-        """Whether merging the characters of ``a + b`` ends with these two pieces."""
-        key = a, b
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) >= _CACHED_PAIRS:
-                self.pairs.clear()
-            found = self.pairs[key] = self.merged(a + b, len(a)) == ([a, b] if a else [b])
-        return found
+        # In a merge model scores are ranks; those of a unigram model, logarithms, would give other ids.
+        if any(score != int(score) for score, _ in self.scores.values()):
+            raise ValueError("not a merge model")
+        self.spelling = [p.encode() for p in self.pieces]
+        for value, i in self.bytes.items():
+            self.spelling[i] = bytes([value])
+        # Every ending of a piece; the numbers of those that are pieces themselves, None for the others.
+        self.endings: dict[str, int | None] = {piece[at:]: None for piece in self.scores for at in range(1, len(piece))}
+        self.texts = list(self.scores)
+        self.ids = [i for _, i in self.scores.values()]
+        self.points = [score for score, _ in self.scores.values()]
+        self.endings.update((piece, at) for at, piece in enumerate(self.texts))
+        self.chains: dict[int, tuple] = {}
+        self.characters: dict[str, int] = {}
+        self.pairs: dict[int, bool] = {}
+        self.words = RememberedOften(self.segment, np.int32, 300_000)
 
-    def merged(self, text: str, boundary: int = 0) -> list[str] | None:
-        """Pieces of a short text by merging best pairs first, leftmost of equals.
+    def number(self, character: str) -> int:
+        """A number for a character that is no piece, which others may yet merge with."""
+        at = self.characters.get(character)
+        if at is None:
+            at = self.characters[character] = len(self.texts)
+            self.texts.append(character)
+            self.points.append(0.0)
+        return at
 
-        None as soon as a merge crosses ``boundary``.
-        """
-        parts, scores = list(text), self.scores
+    def merges(self, text: str) -> tuple[list[str], list[tuple[float, str, str]]]:
+        """Parts of a short text after merging best pairs first, leftmost of equals; and of each
+        merge its score and the first and the last part after it."""
+        parts, scores, told = list(text), self.scores, []
         while len(parts) > 1:
             best, at = None, -1
             for i in range(len(parts) - 1):
@@ -77,18 +87,68 @@ class PieceModel:
                     best, at = found[0], i
             if best is None:
                 break
-            if boundary and sum(map(len, parts[: at + 1])) == boundary:
-                return None
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+            told.append((best, parts[0], parts[-1]))
+        return parts, told
+
+    def chain(self, piece: int) -> tuple[bool, list[tuple[float, str, str]]]:
+        """Whether a piece's characters merge to it, and by which merges; worked out once a piece."""
+        found = self.chains.get(piece)
+        if found is None:
+            parts, told = self.merges(self.texts[piece])
+            found = self.chains[piece] = len(parts) == 1, told
+        return found
+
+    def stay_apart(self, a: int, b: int) -> bool:
+        """Whether merging the characters of two pieces together ends with these two.
+
+        The merges of each go their own way until a merge takes the last part of ``a`` and the first
+        part of ``b`` together, which happens if it is better than the next merge of either.
+        """
+        (whole, left), (other, right) = self.chain(a), self.chain(b)
+        if not (whole and other):
+            return False
+        scores, i, j = self.scores, 0, 0
+        last, first = self.texts[a][-1], self.texts[b][0]
+        cross = scores.get(last + first)
+        while True:
+            x = left[i][0] if i < len(left) else None
+            y = right[j][0] if j < len(right) else None
+            if cross is not None and (x is None or cross[0] > x) and (y is None or cross[0] >= y):
+                return False
+            if x is None and y is None:
+                return True
+            if y is None or (x is not None and x >= y):
+                part = left[i][2]
+                i += 1
+                if part != last:
+                    last = part
+                    cross = scores.get(last + first)
+            else:
+                part = right[j][1]
+                j += 1
+                if part != first:
+                    first = part
+                    cross = scores.get(last + first)
+
+    def apart(self, a: int, b: int) -> bool:
+        """:meth:`stay_apart`, remembered for a bounded number of pairs; the older half goes first."""
+        key = a << 32 | b
+        found = self.pairs.get(key)
+        if found is None:
+            if len(self.pairs) >= _CACHED_PAIRS:
+                for old in list(islice(self.pairs, _CACHED_PAIRS // 2)):
+                    del self.pairs[old]
+            found = self.pairs[key] = self.stay_apart(a, b)
+        return found
 
     def segment(self, words: list[str]) -> list[list[int]]:
         """Ids of each word."""
         order = sorted(range(len(words)), key=words.__getitem__)
         out: list[list[int]] = [[]] * len(words)
-        scores, longest, apart = self.scores, self.longest, self.stay_apart
+        find, points, remembered, apart, chain = self.endings.get, self.points, self.pairs.get, self.apart, self.chain
         # By end of prefix: score of the path, where its last piece starts, and that piece.
-        best, back, piece, last = [0.0], [0], [""], ""
+        lattice, last = [(0.0, 0, -1)], ""
         for at in order:
             word = words[at]
             n, shared = len(word), 0
@@ -96,26 +156,37 @@ class PieceModel:
                 if a != b:
                     break
                 shared += 1
-            del best[shared + 1 :], back[shared + 1 :], piece[shared + 1 :]
+            del lattice[shared + 1 :]
             for end in range(shared + 1, n + 1):
-                top, by, own = None, end - 1, word[end - 1]
-                for start in range(max(0, end - longest), end):
-                    found = scores.get(word[start:end])
-                    if found is None or (top is not None and best[start] + found[0] <= top):
+                for start in range(end - 1, -1, -1):
+                    own = find(word[start:end], -1)
+                    if own is None:
                         continue
-                    if apart(piece[start], word[start:end]):
-                        top, by, own = best[start] + found[0], start, word[start:end]
-                best.append(best[by] if top is None else top)
-                back.append(by)
-                piece.append(own)
+                    if own < 0:  # then nothing longer ends a piece either
+                        break
+                    score, _, before = lattice[start]
+                    if before < 0:
+                        fits = chain(own)[0]
+                    else:
+                        fits = remembered(before << 32 | own)
+                        if fits is None:
+                            fits = apart(before, own)
+                    if fits:
+                        # The lattice has one path: no other piece fits here.
+                        lattice.append((score + points[own], start, own))
+                        break
+                if len(lattice) == end:
+                    lattice.append((lattice[end - 1][0], end - 1, self.number(word[end - 1])))
             last = word
-            ids: list[int] = []
-            end = n
+            path, end = [], n
             while end:
-                known = scores.get(piece[end])
-                ids.extend([known[1]] if known else reversed(self.spelled(piece[end])))
-                end = back[end]
-            out[at] = ids[::-1]
+                _, end, own = lattice[end]
+                path.append(own)
+            path.reverse()
+            if max(path, default=0) < len(self.ids):
+                out[at] = [self.ids[p] for p in path]
+            else:
+                out[at] = [i for p in path for i in ([self.ids[p]] if p < len(self.ids) else self.spelled(self.texts[p]))]
         return out
 
     def spelled(self, character: str) -> list[int]:
@@ -138,10 +209,7 @@ class PieceModel:
         return _MARKED.findall(marked)
 
     def decode(self, ids: list[int]) -> str:
-        out = bytearray()
-        for i in ids:
-            out += bytes([self.values[i]]) if i in self.values else self.pieces[i].encode()
-        text = out.decode("utf-8", "replace").replace(MARK, " ")
+        text = b"".join(map(self.spelling.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if text[:1] == " " else text
 
 
