@@ -4,6 +4,9 @@ Words are read as templates: numbers, units after numbers and names become typed
 placeholders. Windows of template words are joined by hash between documents and benchmark;
 windows at the same distance form one alignment. An alignment counts if it is long enough and
 its slots agree: wherever the question repeats a value, the document repeats its own.
+
+Questions with one template that repeat values in the same places are one class, of which only
+one is looked for: a benchmark made from a few templates costs and finds a few classes.
 """
 
 from __future__ import annotations
@@ -97,13 +100,20 @@ def windows_of(text: str | None, width: int) -> tuple[list[str], list[tuple[np.n
 
 
 def _window_rows(rows: list, width: int, wanted=None) -> pa.RecordBatch:
-    """``id, key, form, h, at, n, slots`` of the windows of ``(id, key, text)`` rows."""
+    """``id, key, form, h, at, n, slots`` of the windows of ``(id, key, text)`` rows.
+
+    Without ``wanted``, for benchmark items, slots tell only which values are the same: they hold
+    the number of the value in the item.
+    """
     ids, keys, kinds, hashes, places, totals, slots = [], [], [], [], [], [], []
     for doc, key, text in rows:
         words, forms = windows_of(text, width)
         for form, (slot, own, enough) in enumerate(forms):
             at = np.flatnonzero(enough if wanted is None else enough & wanted(own))
             filled = {i: words[i].strip(_EDGES).lower() for i in np.flatnonzero(slot).tolist()} if len(at) else {}
+            if wanted is None:
+                number = {v: str(k) for k, v in enumerate(dict.fromkeys(filled.values()))}
+                filled = {i: number[v] for i, v in filled.items()}
             for i in at.tolist():
                 ids.append(doc)
                 keys.append(key)
@@ -135,6 +145,26 @@ def _benchmark_windows(benchmark: DataFrame, item_id: str, text: str, width: int
     return rows.drop("row").filter("id is not null").mapInArrow(run, _SCHEMA)
 
 
+def item_classes(
+    benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text", width: int = WINDOW
+) -> tuple[DataFrame, DataFrame]:
+    """``(item_id, class_id, n_items)``, and the windows of the one item that stands for each class.
+
+    ``class_id`` is the least id of the items that have the same template windows in the same places,
+    and the same values repeated, and ``n_items`` their number. Items without windows are in
+    no class. Items with equal ids are one item. An action.
+    """
+    windows = durable(_benchmark_windows(benchmark, item_id, item_text, width).distinct(), "benchmark-windows")
+    # As long as the item is.
+    whole = F.sort_array(F.collect_list(F.struct("form", "at", "h", "n", "slots")))
+    of_item = windows.groupBy(F.col("id").alias("item_id")).agg(whole.alias("windows"))
+    keyed = of_item.select("item_id", F.sha2(F.to_json("windows"), 256).alias("key"))
+    classes = keyed.groupBy("key").agg(F.min("item_id").alias("class_id"), F.count("*").alias("n_items"))
+    members = durable(keyed.join(classes, "key").select("item_id", "class_id", "n_items"), "item-classes")
+    leaders = members.filter("item_id = class_id").select(F.col("class_id").alias("id"), "n_items")
+    return members, durable(windows.join(leaders, "id"), "class-windows")
+
+
 def _bitmap(windows: DataFrame) -> dict[int, bytes]:
     """Which hash positions the benchmark has: at most 512 rows of 4 KB, however large it is."""
     spot = F.pmod("h", F.lit(BITMAP_BITS))
@@ -167,34 +197,38 @@ def alignments(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
     item_id: str = "item_id", item_text: str = "text", width: int = WINDOW,
 ) -> DataFrame:
-    """``doc_id, key, item_id, shift, matched, windows, agree`` for every item, distance and form that meet.
+    """``doc_id, key, item_id, n_items, shift, matched, windows, agree`` for every class of items, distance and form that meet.
 
-    ``matched`` of the item's ``windows`` windows lie in the document ``shift`` words further
-    on; ``agree`` says that equal values of the item are equal in the document.
+    ``item_id`` is the least of the class's ``n_items`` items, see :func:`item_classes`. ``matched`` of
+    its ``windows`` windows lie in the document ``shift`` words further on; ``agree`` says
+    that equal values of the item are equal in the document.
     """
-    items = durable(_benchmark_windows(benchmark, item_id, item_text, width), "benchmark-windows")
+    _, items = item_classes(benchmark, item_id, item_text, width)
     found = _document_windows(docs, doc_id, text, width, _bitmap(items))
     left = found.select("id", "key", "form", "h", "at", F.col("slots").alias("own"))
-    right = items.select(F.col("id").alias("item_id"), "form", "h", F.col("at").alias("item_at"), F.col("n").alias("windows"), F.col("slots").alias("theirs"))
+    right = items.select(
+        F.col("id").alias("item_id"), "n_items", "form", "h", F.col("at").alias("item_at"), F.col("n").alias("windows"), F.col("slots").alias("theirs")
+    )
     met = left.join(right, ["h", "form"]).select(
-        "id", "key", "form", "item_id", "windows", "at", (F.col("at") - F.col("item_at")).alias("shift"),
+        "id", "key", "form", "item_id", "n_items", "windows", "at", (F.col("at") - F.col("item_at")).alias("shift"),
         F.arrays_zip("theirs", "own").alias("values"),
     )
     # An alignment is as long as its item, so what is collected for it is bounded by the item.
-    lines = met.groupBy("id", "key", "form", "item_id", "shift", "windows").agg(
+    lines = met.groupBy("id", "key", "form", "item_id", "n_items", "shift", "windows").agg(
         F.count_distinct("at").alias("matched"), F.array_distinct(F.flatten(F.collect_list("values"))).alias("values")
     )
     theirs = F.array_distinct(F.transform("values", lambda v: v["theirs"]))
     return lines.select(
-        F.col("id").alias("doc_id"), "key", "item_id", "shift", "matched", "windows", (F.size(theirs) == F.size("values")).alias("agree")
+        F.col("id").alias("doc_id"), "key", "item_id", "n_items", "shift", "matched", "windows", (F.size(theirs) == F.size("values")).alias("agree")
     )
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """``doc_id, contaminated, items, n_windows`` for every row of ``docs``.
+    """``doc_id, contaminated, items, n_items, n_windows`` for every row of ``docs``.
 
-    ``items`` are the benchmark items found, in order; ``n_windows`` is the length of the
-    longest alignment among them. A null text or an empty benchmark has no leaks; items or
+    ``items`` are the benchmark items found, in order, the least of each class of items with one
+    template, and ``n_items`` is how many items these classes have (:func:`item_classes` names them);
+    ``n_windows`` is the length of the longest alignment among them. A null text or an empty benchmark has no leaks; items or
     texts of fewer than ``WINDOW`` words, or whose windows are mostly placeholders, are not
     looked for; items without an id are left out. A row without an id is judged like any
     other. Repeated rows come back repeated, and whole texts are read.
@@ -206,6 +240,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
         F.col("row")[doc_id].alias("doc_id"),
         F.col("items").isNotNull().alias("contaminated"),
         F.coalesce("items", F.array().cast("array<bigint>")).alias("items"),
+        F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"),
         F.coalesce("n_windows", F.lit(0)).cast("bigint").alias("n_windows"),
     )
 
@@ -213,12 +248,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
 def _hits(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, **how) -> DataFrame:
     lines = alignments(docs, benchmark, doc_id, text, **how)
     lines = lines.filter(F.col("agree") & (F.col("matched") >= F.least(F.col("windows"), F.lit(LEAST_WINDOWS))))
-    return durable(
-        lines.groupBy(F.coalesce("doc_id", F.lit(-1)).alias("hit_id"), F.col("key").alias("hit_key")).agg(
-            F.array_sort(F.collect_set("item_id")).alias("items"), F.max("matched").alias("n_windows")
-        ),
-        "leaks",
+    found = lines.groupBy(F.coalesce("doc_id", F.lit(-1)).alias("hit_id"), F.col("key").alias("hit_key")).agg(
+        F.array_sort(F.collect_set(F.struct("item_id", "n_items"))).alias("classes"), F.max("matched").alias("n_windows")
     )
+    n_items = F.aggregate("classes", F.lit(0).cast("bigint"), lambda total, c: total + c["n_items"])
+    return durable(found.select("hit_id", "hit_key", F.col("classes.item_id").alias("items"), n_items.alias("n_items"), "n_windows"), "leaks")
 
 
 def _joined(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, **how) -> DataFrame:

@@ -100,3 +100,41 @@ def without_boilerplate(docs, sites=10):
         kept = [x for x in lines if not (words(x) and len(on[x] - {None}) >= sites and first[x] < d)]
         out[d] = t if len(kept) == len(lines) else ("\n".join(kept) if any(map(words, kept)) else None)
     return out
+
+
+def leaked(docs, items, width=8, least=6, literals=4):
+    """doc_id -> items whose template windows lie in a row in the document, with slots that agree.
+
+    Words are read as templates by the operator; windows, alignments and slots are gone through one by one.
+    """
+    from corpuskit.llm.template_leaks import _EDGES, template
+
+    def windows(text):
+        words = (text or "").split()
+        if len(words) < width:
+            return
+        for form, (hashes, slots) in enumerate(template(words)):
+            for i in range(len(words) - width + 1):
+                if width - sum(slots[i : i + width]) >= min(literals, width):
+                    values = tuple(words[j].strip(_EDGES).lower() for j in range(i, i + width) if slots[j])
+                    yield form, tuple(hashes[i : i + width].tolist()), i, values
+
+    places, total = defaultdict(list), Counter()
+    for item, text in items:
+        for form, window, at, values in windows(text):
+            places[form, window].append((item, at, values))
+            total[item, form] += 1
+    out = {}
+    for doc, text in docs:
+        lines = defaultdict(lambda: (set(), set()))
+        for form, window, at, values in windows(text):
+            for item, there, theirs in places.get((form, window), ()):
+                matched, pairs = lines[item, form, at - there]
+                matched.add(at)
+                pairs.update(zip(theirs, values))
+        out[doc] = {
+            item
+            for (item, form, _), (matched, pairs) in lines.items()
+            if len(matched) >= min(least, total[item, form]) and len({a for a, _ in pairs}) == len(pairs)
+        }
+    return out

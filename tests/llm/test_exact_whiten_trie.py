@@ -259,3 +259,33 @@ def test_boilerplate_in_long_texts(spark, lines):
     assert got[0].n_removed == 0 and got[0].kept_text == body
     assert all(got[i].n_removed == lines and got[i].kept_text == "" for i in range(1, 11))
     assert got[11].n_removed == lines // 2 and got[11].kept_text == "\n".join(f"own {i}" for i in range(0, lines, 2))
+
+
+# --- templates that many questions share
+
+
+def test_questions_of_one_template(spark):
+    """Ten thousand questions and as many documents of one template: documents meet classes, not questions."""
+    from corpuskit.llm import template_leaks
+
+    def asked(i):
+        return f"A farmer in the valley sells {i + 10} apples every morning and buys {i % 7 + 2} pears in the evening before walking home"
+
+    def twice(i):
+        return f"A farmer in the valley sells {i + 10} apples every morning and buys {i + 10} pears in the evening before walking home"
+
+    items = spark.createDataFrame([(i, asked(i)) for i in range(10_000)] + [(20_000 + i, twice(i)) for i in range(50)], "item_id long, text string")
+    members, windows = template_leaks.item_classes(items)
+    # Where both numbers are the same by chance, the question is one of the second kind.
+    by_class = {r.class_id: r["count"] for r in members.groupBy("class_id").count().collect()}
+    assert sum(by_class.values()) == 10_050 and len(by_class) == 2 and windows.select("id").distinct().count() == 2
+    docs = spark.range(10_000).repartition(8).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lit("Some words first. A farmer in the valley sells "), F.col("id") + 5, F.lit(" apples every morning and buys "),
+                 F.when(F.col("id") % 2 == 0, F.col("id") + 5).otherwise(F.col("id") + 6), F.lit(" pears in the evening before walking home")).alias("text"),
+    )
+    got = template_leaks.leaks(docs, items)
+    sizes = {tuple(r["items"]): (r["count"], r.n_items) for r in got.groupBy("items", "n_items").count().collect()}
+    (one, two), (n_one, n_two) = sorted(by_class), (by_class[k] for k in sorted(by_class))
+    assert sizes == {(one,): (5_000, n_one), (one, two): (5_000, n_one + n_two)}
+    assert got.filter("not contaminated").count() == 0

@@ -177,9 +177,97 @@ def test_reparameterised_questions(spark):
 
 
 def test_factors():
-    assert relative_parse.factors_of(np.array([], np.int32)) == []
-    spans = relative_parse.factors_of(np.array([3, 4, 5, 17, 60]), 13)
-    assert spans == [(3, 30), (60, 73)]
+    """Of the blocks that have a window the one whose source goes on longest counts; spans cover all windows."""
+    assert relative_parse.factors_of(np.empty((0, 4), np.int64)) == []
+    hits = [(3, 0, 7, 10), (4, 0, 7, 11), (5, 0, 7, 12), (5, 1, 9, 0), (6, 1, 9, 1), (17, 2, 8, 5), (18, 2, 8, 7), (60, 0, 7, 0), (60, 3, 2, 4), (61, 3, 2, 5)]
+    factors = relative_parse.factors_of(np.array(hits + hits[:2]), 13)
+    assert factors == [(3, 18, 7, 10), (6, 19, 9, 1), (17, 30, 8, 5), (18, 31, 8, 7), (60, 74, 2, 4)]
+    assert relative_parse.spans_of(factors) == [(3, 31), (60, 74)]
+
+
+def test_factors_are_in_their_sources(spark):
+    """Documents pieced together from passages of others: factors name where their words are, and leave none out."""
+    rng = random.Random(4)
+    passages = [[f"p{i}w{j}" for j in range(rng.randrange(10, 60))] for i in range(30)]
+    docs = []
+    for d in range(200):
+        words = []
+        for _ in range(rng.randrange(1, 6)):
+            passage = rng.choice(passages)
+            a = rng.randrange(len(passage))
+            words += passage[a : a + rng.randrange(5, 60)] + [f"own{d}x{k}" for k in range(rng.randrange(0, 8))]
+        docs.append((d, " ".join(words)))
+    docs += [(300, docs[5][1]), (300, docs[5][1]), (301, None)]
+    of = {d: (t or "").split() for d, t in docs}
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    done = relative_parse.without_repeats(df).collect()
+    want = brute.repeats(docs)
+    for r in done:
+        assert (r.n_words, r.n_removed, r.kept_text) == want[r.doc_id]
+        for f in r.factors:
+            size = f.end - f.start
+            assert size >= 13 and f.source < r.doc_id
+            assert of[r.doc_id][f.start : f.end] == of[f.source][f.source_start : f.source_start + size]
+        covered = [(s.start, s.end) for s in r.spans]
+        assert covered == relative_parse.spans_of([tuple(f) for f in r.factors])
+        # Greedy: the next factor begins where the one before could not go on.
+        assert all(b.start > a.end - 13 for a, b in zip(r.factors, r.factors[1:]))
+    assert [f.asDict() for f in next(r for r in done if r.doc_id == 300).factors] == [{"start": 0, "end": len(of[5]), "source": 5, "source_start": 0}]
+    assert any(len(r.factors) > 2 for r in done)
+
+
+@pytest.mark.parametrize("size", [1, 3, 1_000])
+def test_shared_anchors(monkeypatch, size):
+    """Whatever is looked through at once and however rows come, the anchors of two texts are found, with all their documents."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    anchors, texts = rng.integers(0, 60, 400), rng.integers(0, 9, 400) * (rng.integers(0, 60, 400) % 3 + 1)
+    ids = np.arange(400)
+    made = [b for at in range(0, 400, 50) for b in relative_parse._anchor_rows(anchors[at : at + 50], ids[at : at + 50], texts[at : at + 50])]
+    table = pa.Table.from_batches(made).to_pandas().sort_values(["deal", "text_hash", "doc_id"])
+    rows = pa.Table.from_pandas(table, preserve_index=False, schema=made[0].schema).combine_chunks()
+    batches = [rows.slice(at, size).combine_chunks().to_batches()[0] for at in range(0, rows.num_rows, size)]
+    got = {(a, d) for b in relative_parse._shared(iter(batches)) for a, d in zip(*[c.to_pylist() for c in b.columns])}
+    least = {}
+    for a, t, d in zip(anchors.tolist(), texts.tolist(), ids.tolist()):
+        least.setdefault(a, {}).setdefault(t, d)
+    assert {(a, d) for a, by in least.items() if len(by) > 1 for d in by.values()} <= got
+    assert {a for a, _ in got} == {a for a, by in least.items() if len(by) > 1}
+
+
+def test_pieces_apart_as_merging_says():
+    """Two pieces stay apart exactly if merging their characters gives them again."""
+    model = PieceModel(Path(tokenizer_file("piece_bpe_32k.model")).read_bytes())
+    rng = random.Random(6)
+    for _ in range(20_000):
+        a, b = rng.randrange(len(model.texts)), rng.randrange(len(model.texts))
+        if rng.random() < 0.7:  # pieces that could meet inside a word
+            whole = model.texts[a]
+            at = rng.randrange(1, len(whole)) if len(whole) > 1 else 0
+            x, y = model.endings.get(whole[:at]), model.endings.get(whole[at:])
+            if x is None or y is None:
+                continue
+            a, b = x, y
+        both = model.texts[a] + model.texts[b]
+        assert model.stay_apart(a, b) == (model.merges(both)[0] == [model.texts[a], model.texts[b]])
+
+
+def test_frequent_words_stay_remembered():
+    asked = []
+
+    def compute(words):
+        asked.extend(words)
+        return [[len(w)] * (len(w) % 3) for w in words]
+
+    known = common.RememberedOften(compute, np.int32, 100)
+    for step in range(200):
+        words = ["often", "a", "every"] * 3 + [f"word{step}x{i}" for i in range(20)]
+        numbers, sizes = known.numbers(words)
+        assert sizes.tolist() == [len(w) % 3 for w in words]
+        assert numbers.tolist() == [len(w) for w in words for _ in range(len(w) % 3)]
+        assert len(known.index) <= 130
+    assert asked.count("often") == asked.count("a") == 1
 
 
 def test_equal_windows_share_anchors():

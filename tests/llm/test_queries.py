@@ -73,6 +73,8 @@ def test_leaks(spark, sf, docs):
     def bare(text):
         return [w.strip("\"'.,;:!?()") for w in brute.words(text.lower())]
 
+    # The least of each class of one template stands for it.
+    assert got == brute.leaked(docs, list(zip(t.column("item_id").to_pylist(), t.column("text").to_pylist())))
     grams = {i: {tuple(bare(x)[k : k + 13]) for k in range(len(bare(x)) - 12)} for i, x in items.items()}
     for d, text in docs:
         flat = " ".join(brute.words(text.lower()))
