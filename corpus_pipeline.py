@@ -9,6 +9,7 @@ from __future__ import annotations
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpuskit.llm import host_rules, lsh_forest, piece_viterbi, site_lines, template_leaks
 from corpuskit.llm.queries import tokenizer_file
@@ -36,8 +37,14 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that are left, with the piece ids of their texts."""
-    return piece_viterbi.encode(docs, Path(tokenizer_file("piece_bpe_32k.model")).read_bytes())
+    """The documents that are left, with the piece ids of their texts, and whether these spell the text again.
+
+    Only the mark that the model puts for white space comes back as a space.
+    """
+    model = Path(tokenizer_file("piece_bpe_32k.model")).read_bytes()
+    spelled = piece_viterbi.encode(docs, model, decoded="decoded")
+    whole = F.replace(F.coalesce("text", F.lit("")), F.lit(piece_viterbi.MARK), F.lit(" "))
+    return spelled.withColumn("decodes", F.col("decoded") == whole).drop("decoded")
 
 
 STAGES = [
@@ -45,7 +52,7 @@ STAGES = [
     ("line_dedup", lines),
     ("near_dedup", near_duplicates),
     ("decontamination", decontaminate),
-    ("piece_encoding", encode),
+    ("piece_coding", encode),
 ]
 
 # Signatures, slot agreement and piece merges are beyond SQL; tests hold the stages against plain Python.
