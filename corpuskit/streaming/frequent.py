@@ -50,8 +50,8 @@ class FrequentQuestions:
         rows = counted.orderBy(F.desc("query_count"), "query_text").limit(n)
         first = rows.collect()
         total = asked.count()
-        told = counted.agg(F.sum("query_count")).scalar() if len(first) < n else F.lit(0)
-        complete = bool(len(first) < n and asked.sparkSession.range(1).select(F.coalesce(told, F.lit(0)) == total).first()[0])
+        # Fewer than n rows are all candidates there are.
+        complete = len(first) < n and sum(r["query_count"] for r in first) == total
         if complete or (len(first) == n and first[-1]["query_count"] > _ERROR * total / self.tracked):
             return stored.sparkSession.createDataFrame(first, counted.schema)
         return top_questions(asked, n)

@@ -95,7 +95,70 @@ def test_alert_state_survives_batches(spark, tmp_path):
 
     assert run([(1, 0.5), (0, 0.0)]) == "ip"
     assert run([(2, 0.5), (3, 0.5)]) == "ippf"
-    assert run([(4, None), (5, 0.2), (8, 0.2)]) == "ippfipp"
+    # After minute 5 nothing comes for a while: inactive from minute 6 on.
+    assert run([(4, None), (5, 0.2), (8, 0.2)]) == "ippfipip"
+
+
+def test_silent_series_end_by_timer(spark, tmp_path):
+    """A series that is heard of no more goes inactive once the watermark shows it; its state goes with the timer."""
+    schema = "endpoint string, ts timestamp, error_ratio double"
+
+    def run(rows):
+        add(spark, tmp_path / "in", [(s, at(m), v) for s, m, v in rows], schema)
+        states = sr.stream_alerts(stream(spark, tmp_path / "in", schema), F.col("error_ratio") > 0.05, 2)
+        table = ingest.write_available(states, str(tmp_path / "out"), "alerts")
+        return {s: "".join(r.state[0] for r in table.filter(F.col("endpoint") == s).orderBy("ts").collect()) for s in "abc"}
+
+    assert run([("a", 0, 0.5), ("b", 0, 0.5), ("b", 1, 0.5), ("c", 0, 0.0)]) == {"a": "pi", "b": "pp", "c": "i"}
+    assert run([("a", 9, 0.0)]) == {"a": "pii", "b": "ppi", "c": "i"}
+    # Too late for b, as the watermark is at minute 9; a new run for c.
+    assert run([("b", 2, 0.5), ("c", 12, 0.5)]) == {"a": "pii", "b": "ppi", "c": "ip"}
+
+
+def test_late_rows_are_set_aside(spark, tmp_path):
+    sink = sr.LateQuarantine(str(tmp_path / "out"))
+
+    def run(*minutes):
+        add(spark, tmp_path / "log", [(None if m is None else at(m), "/g", 200, 0.1, m) for m in minutes], LOG)
+        ingest.feed_available(stream(spark, tmp_path / "log", LOG), sink, str(tmp_path / "progress"))
+        return [sorted(-1 if r.user_id is None else r.user_id for r in sink.rows(spark.createDataFrame([], LOG), part).collect()) for part in ("late", "on_time")]
+
+    assert run(0, 3, 30) == [[], [0, 3, 30]]
+    assert run(4, 14, 15, 21, None) == [[-1, 4, 14], [0, 3, 15, 21, 30]]
+    batch = spark.createDataFrame([(at(4), "/g", 200, 0.1, 4), (at(16), "/g", 200, 0.1, 16)], LOG)
+    sink(batch, 1)  # a batch that runs again replaces its rows
+    assert [sorted(r.user_id for r in sink.rows(batch, part).collect()) for part in ("late", "on_time")] == [[4], [0, 3, 16, 30]]
+
+
+def test_feedback_meets_queries_that_come_later(spark, tmp_path):
+    asked, given = "id long, request_id string, timestamp timestamp", "id long, request_id string, is_helpful boolean, timestamp timestamp"
+
+    def run(queries, feedback):
+        add(spark, tmp_path / "q", queries, asked)
+        add(spark, tmp_path / "f", feedback, given)
+        pairs = sfb.feedback_pairs(stream(spark, tmp_path / "f", given), stream(spark, tmp_path / "q", asked), "1 hour", "10 minutes", "30 minutes")
+        table = ingest.write_available(pairs, str(tmp_path / "out"), "pairs")
+        return {r.id: (r.query_id, r.is_orphan) for r in table.collect()}
+
+    first = run([(1, "a", at(0)), (7, "a", at(1))], [(10, "a", True, at(2)), (11, "b", True, at(3)), (12, None, True, at(3)), (13, "x", False, at(3))])
+    assert first == {10: (1, False)}
+    second = run([(2, "b", at(1)), (3, None, at(2))], [(14, "a", False, at(20)), (15, "b", False, at(200))])
+    assert second == {10: (1, False), 11: (2, False), 14: (1, False)}
+    # Both streams are hours on: what found no query is told as such, also what came too long after it.
+    last = run([(9, "z", at(900))], [(16, "z", True, at(901))])
+    assert last == second | {12: (None, True), 13: (None, True), 15: (None, True), 16: (9, False)}
+
+
+def test_hot_request_is_spread(spark, tmp_path):
+    asked, given = "id long, request_id string, timestamp timestamp", "id long, request_id string, timestamp timestamp"
+    add(spark, tmp_path / "q", [(1, "a", at(0))], asked)
+    add(spark, tmp_path / "f", [(i, "a" if i % 2 else None, at(1)) for i in range(400)] + [(999, "z", at(900))], given)
+    add(spark, tmp_path / "q", [(2, "z", at(900))], asked)
+    pairs = sfb.feedback_pairs(stream(spark, tmp_path / "f", given), stream(spark, tmp_path / "q", asked))
+    table = ingest.write_available(pairs.withColumn("task", F.spark_partition_id()), str(tmp_path / "out"), "pairs")
+    assert table.count() == 401 and table.filter("is_orphan").count() == 200
+    assert table.filter("query_id = 1").select("task").distinct().count() > 2
+    assert table.filter("is_orphan").select("task").distinct().count() > 2
 
 
 def test_orphans_are_marked(spark, tmp_path):
@@ -116,30 +179,71 @@ def test_sessions_close_after_the_gap(spark, tmp_path):
     assert sorted((r.session_start, r.requests) for r in table.collect()) == [(at(0), 3), (at(100), 1)]
 
 
+ASKED = "id long, request_id string, timestamp timestamp, user_id string, response_time_ms int"
+
+
 def test_daily_refresh_updates_and_repeats(spark, tmp_path):
-    asked = "id long, request_id string, timestamp timestamp, user_id string, response_time_ms int"
-    given = "request_id string, is_helpful boolean"
+    given = "id long, request_id string, is_helpful boolean, timestamp timestamp"
     folder = str(tmp_path / "refresh")
 
     def run(queries, feedback):
-        add(spark, tmp_path / "q", queries, asked)
+        add(spark, tmp_path / "q", queries, ASKED)
         add(spark, tmp_path / "f", feedback, given)
-        daily = sfb.refresh_daily(stream(spark, tmp_path / "q", asked), stream(spark, tmp_path / "f", given), folder)
+        daily = sfb.refresh_daily(stream(spark, tmp_path / "q", ASKED), stream(spark, tmp_path / "f", given), folder, within="2 days", watermark="2 days")
         return {str(r.date): tuple(r)[:5] for r in daily.collect()}
 
-    first = run([(1, "r1", at(0), "a", 10), (2, "r2", at(1), "b", 20)], [("r1", True), ("r1", False), ("none", True)])
+    # Feedback on r3 comes before its query.
+    votes = [(1, "r1", True, at(2)), (2, "r1", False, at(2)), (3, "none", True, at(2)), (4, "r3", True, at(3))]
+    first = run([(1, "r1", at(0), "a", 10), (2, "r2", at(1), "b", 20)], votes)
     assert first == {"2024-01-01": (2, 15.0, 2, 1, 1)}
     later = [(3, "r3", at(2), "a", 30), (4, "r4", at(1500), "c", 5)]
-    second = {"2024-01-01": (3, 20.0, 2, 1, 2), "2024-01-02": (1, 5.0, 1, 1, 0)}
-    assert run(later, [("r2", False), ("r4", True)]) == second
-    sfb.DailyRefresh(folder).queries(spark.createDataFrame(later, asked), 1)
-    sfb.DailyRefresh(folder).feedback(spark.createDataFrame([("r2", False), ("r4", True)], given), 1)
-    sfb.DailyRefresh(folder).queries(spark.createDataFrame([], asked), 2)
+    second = {"2024-01-01": (3, 20.0, 2, 2, 2), "2024-01-02": (1, 5.0, 1, 1, 0)}
+    assert run(later, [(5, "r2", False, at(4)), (6, "r4", True, at(1501))]) == second
+    sfb.DailyRefresh(folder).queries(spark.createDataFrame(later, ASKED), 1)
+    again = [("r3", True, 3, at(2), False), ("r2", False, 2, at(1), False), ("r4", True, 4, at(1500), False)]
+    pairs = "request_id string, is_helpful boolean, query_id long, query_time timestamp, is_orphan boolean"
+    written = {int(p.name.split("=")[1]) for p in (tmp_path / "refresh" / "partial").glob("date=*/kind=feedback/batch=*")}
+    sfb.DailyRefresh(folder).pairs(spark.createDataFrame(again, pairs), max(written))
+    sfb.DailyRefresh(folder).queries(spark.createDataFrame([], ASKED), 9)
     assert {str(r.date): tuple(r)[:5] for r in sfb.DailyRefresh(folder).table(spark).collect()} == second
 
 
 def test_feedback_before_any_query(spark, tmp_path):
-    asked = spark.createDataFrame([], "id long, request_id string, timestamp timestamp, user_id string, response_time_ms int")
     sink = sfb.DailyRefresh(str(tmp_path))
-    sink.queries(asked, 0)
+    pairs = "is_helpful boolean, query_time timestamp, is_orphan boolean"
+    sink.pairs(spark.createDataFrame([(True, at(0), False), (True, None, True)], pairs), 0)
+    sink.queries(spark.createDataFrame([], ASKED), 0)
     assert sink.table(spark).count() == 0
+    sink.queries(spark.createDataFrame([(1, "r", at(0), "a", 10)], ASKED), 1)
+    assert [tuple(r)[:5] for r in sink.table(spark).collect()] == [(1, 10.0, 1, 1, 0)]
+
+
+def test_only_near_queries_are_read(spark, tmp_path):
+    rows = [(i, f"r{i}", at(60 * i)) for i in range(100)]
+    queries = spark.createDataFrame(rows, "id long, request_id string, timestamp timestamp")
+    schema = "id long, request_id string, timestamp timestamp"
+    batch = spark.createDataFrame([(1, "r50", at(60 * 50 + 5)), (2, "r1", at(60 * 50 + 6))], schema)
+    sink = sfb.FeedbackJoin(queries, str(tmp_path / "out"), within="2 hours")
+    assert sink._near(batch).count() == 3
+    sink(batch, 0)
+    got = {r.id: r.query_id for r in spark.read.parquet(sink.folder).collect()}
+    assert got == {1: 50, 2: None}  # dated too long after its query
+
+
+def test_top_questions_need_a_proof(spark, tmp_path):
+    from corpuskit.operators.feedback import top_questions
+    from corpuskit.streaming import frequent
+
+    rows = [(f"q{i % 300}" if i % 3 else f"hot{i % 5}",) for i in range(6_000)] + [(None,)] * 5
+    asked = spark.createDataFrame(rows, "query_text string").repartition(4)
+    want = [tuple(r) for r in top_questions(asked.filter("query_text is not null"), 7).collect()]
+    for tracked in (4, 64, 2_000):
+        sink = frequent.FrequentQuestions(str(tmp_path / str(tracked)), tracked)
+        for part in range(3):
+            sink(asked.filter(F.abs(F.hash("query_text")) % 3 == part), part)
+        sink(asked.filter(F.abs(F.hash("query_text")) % 3 == 2), 2)
+        assert [tuple(r) for r in sink.top(asked, 7).collect()] == want
+    few = spark.createDataFrame([("a",), ("b",), ("a",)], "query_text string")
+    sink = frequent.FrequentQuestions(str(tmp_path / "few"), 10)
+    sink(few, 0)
+    assert [tuple(r) for r in sink.top(few, 7).collect()] == [("a", 2), ("b", 1)]
