@@ -98,7 +98,9 @@ class LateQuarantine:
         marks = spark.read.schema("newest timestamp, batch bigint").parquet(f"{self.folder}/marks")
         before = marks.filter(F.col("batch") < batch_id).agg(F.max("newest").alias("newest"))
         mark = before.select(F.col("newest") - F.expr(f"INTERVAL {self.delay}")).scalar()
-        late = F.col("ts").isNull() | F.coalesce(F.window("ts", self.width).getField("end") <= mark, F.lit(False))
+        # A window of a missing time would drop its row.
+        end = F.window(F.coalesce("ts", F.lit(0).cast("timestamp")), self.width).getField("end")
+        late = F.col("ts").isNull() | F.coalesce(end <= mark, F.lit(False))
         told = batch.withColumn("part", F.when(late, "late").otherwise("on_time")).withColumn("batch", F.lit(batch_id))
         writer = told.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "batch")
         writer.parquet(f"{self.folder}/rows")
