@@ -74,15 +74,15 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
-    """One hash for each ``width`` consecutive words; the order of the words counts."""
+def window_hashes(hashes: np.ndarray, width: int, at: np.ndarray | None = None) -> np.ndarray:
+    """One hash for each ``width`` consecutive words, or for those that begin ``at`` places; the order of the words counts."""
     n = len(hashes) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    out = np.zeros(n, np.uint64)
+    out = np.zeros(n if at is None else len(at), np.uint64)
     factor = 0x9E3779B97F4A7C15
     for i in range(width):
-        out += hashes[i : i + n] * np.uint64(factor)
+        out += (hashes[i : i + n] if at is None else hashes[at + i]) * np.uint64(factor)
         factor = factor * 0xD1342543DE82EF95 % (1 << 64)
     return mixed(out)
 

@@ -82,10 +82,15 @@ def _anchor_rows(anchors: np.ndarray, ids: np.ndarray, texts: np.ndarray) -> Ite
     shared: its rows go on by document, and just two rows without one tell the others. So
     an anchor has no more rows to meet than there were such sets of documents.
     """
-    order = np.lexsort((ids, texts, anchors))
-    first = _runs(anchors[order], texts[order])
-    at = order[first]
-    anchors, ids, texts = anchors[at], ids[at], texts[at]
+    order = np.argsort(anchors, kind="stable")
+    anchors, ids, texts = anchors[order], ids[order], texts[order]
+    groups = _runs(anchors)
+    several = np.repeat(np.diff(np.append(groups, len(anchors))) > 1, np.diff(np.append(groups, len(anchors))))
+    # Most anchors are in one text; only the others have to be looked at more closely.
+    order = np.lexsort((ids[several], texts[several], anchors[several]))
+    close = [x[several][order] for x in (anchors, ids, texts)]
+    at = _runs(close[0], close[2])
+    anchors, ids, texts = (np.concatenate([x[~several], y[at]]) for x, y in zip((anchors, ids, texts), close))
     groups = _runs(anchors)
     sizes = np.diff(np.append(groups, len(anchors)))
     known = np.repeat(sizes > 1, sizes)
@@ -141,17 +146,22 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             anchors, texts, real, ids = (np.concatenate(x) for x in zip(left, (anchors, texts, real, ids)))
         if not len(anchors):
             continue
-        # Of rows of one text the one with the least id counts, if any has an id.
-        order = np.lexsort((ids, ~real, texts, anchors))
-        at = order[_runs(anchors[order], texts[order])]
-        anchors, texts, real, ids = anchors[at], texts[at], real[at], ids[at]
+        # Of rows of one text the first with an id counts; those without come before it.
+        starts = np.zeros(len(anchors), bool)
+        starts[_runs(anchors, texts)] = True
+        first = real & (starts | ~np.append(False, real[:-1]))
         groups = _runs(anchors)
         sizes = np.diff(np.append(groups, len(anchors)))
-        met = np.repeat(sizes > 1, sizes) & real
+        shared = np.add.reduceat(starts, groups) > 1
+        met = np.repeat(shared, sizes) & first
         yield pa.RecordBatch.from_arrays([pa.array(anchors[met]), pa.array(ids[met])], names)
-        # The last anchor may go on: of a shared one two rows without a document are kept, else its one row.
-        last = np.arange(groups[-1], len(anchors))[[0, -1] if sizes[-1] > 1 else [0]]
-        left = anchors[last], texts[last], real[last] & (sizes[-1] == 1), ids[last]
+        # The last anchor may go on: of a shared one two rows without a document are kept, else its one document.
+        if shared[-1]:
+            left = anchors[[-1, -1]], texts[[groups[-1], -1]], np.zeros(2, bool), ids[[-1, -1]]
+        else:
+            own = groups[-1] + np.flatnonzero(first[groups[-1] :])[:1]
+            own = own if len(own) else groups[-1:]
+            left = anchors[own], texts[own], real[own], ids[own]
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,10 +172,13 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(hashes) < WINDOW:
                 continue
             wanted = repeated.values.to_numpy().view(np.uint64)
-            at = np.flatnonzero(np.isin(anchors_of(hashes), wanted))
-            first = window_hashes(hashes, WINDOW)[at]
+            wanted = np.sort(wanted)
+            anchors = anchors_of(hashes)
+            found = np.searchsorted(wanted, anchors)
+            at = np.flatnonzero(wanted[np.minimum(found, len(wanted) - 1)] == anchors)
+            first = window_hashes(hashes, WINDOW, at)
             # The second hash sees the words through another function, for 96 bits in all.
-            second = window_hashes(mixed(hashes), WINDOW)[at] >> np.uint64(32)
+            second = window_hashes(mixed(hashes), WINDOW, at) >> np.uint64(32)
             rows.append(np.full(len(at), row))
             firsts.append(first.view(np.int64))
             seconds.append(second.astype(np.uint32).view(np.int32))
@@ -245,13 +258,16 @@ def repeated_places(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         looked_at.mapInArrow(_windows, "h1 bigint, h2 int, doc_id bigint, row_key bigint, at int"), "windows"
     )
     block = F.pmod(F.xxhash64("doc_id"), F.lit(BLOCKS)).cast("int")
+    # Document and place in one number, which aggregates by hash; a struct would be sorted.
+    spot = F.col("doc_id").cast("decimal(38,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col("at").cast("decimal(11,0)")
     index = windows.groupBy("h1", "h2", block.alias("block")).agg(
-        F.min(F.struct("doc_id", "at")).alias("source"), F.max("doc_id").alias("last")
+        F.min(spot.cast("decimal(38,0)")).alias("spot"), F.min("doc_id").alias("source"), F.max("doc_id").alias("last")
     )
+    there = (F.col("spot") - F.col("source").cast("decimal(38,0)") * F.lit(1 << 32).cast("decimal(11,0)")).cast("int")
     # At most BLOCKS sources a window. Written, so that the join has a shuffle of its own whose hot keys can be split.
     index = index.groupBy("h1", "h2").agg(
-        F.collect_list(F.struct("block", F.col("source.doc_id").alias("source"), F.col("source.at").alias("there"))).alias("sources"),
-        F.min("source.doc_id").alias("first"),
+        F.collect_list(F.struct("block", "source", there.alias("there"))).alias("sources"),
+        F.min("source").alias("first"),
         F.max("last").alias("last"),
     )
     index = durable(index.filter("first < last").select("h1", "h2", "first", "sources"), "index")
