@@ -10,51 +10,86 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuskit import fixed
+from corpuskit.session import durable
 
 PART_BYTES = 256 << 20
 _TILE = 1_024
+_QUERIES = 2_048
+_CHUNK_BYTES = 4 << 20
 _EXACT_PAIRS = 65_536
+_MANY = 16
+_LARGE = 1e30
+_CHUNK = "chunk bigint, ids binary, flat binary"
 _HITS = "query_id bigint, vec_id bigint, score double"
 _NO_VECTOR = np.iinfo(np.int64).max
 
 
-def _matrix(embeddings: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    if isinstance(embeddings, pa.ChunkedArray):
-        embeddings = embeddings.combine_chunks()
-    flat = embeddings.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+def _matrix(embeddings: pa.Array, kind: type) -> np.ndarray:
+    flat = embeddings.flatten().to_numpy(zero_copy_only=False).astype(kind)
     return flat.reshape(len(embeddings), -1) if len(embeddings) else flat.reshape(0, 0)
 
 
+def _norms(rows: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", rows, rows, dtype=np.float64)
+
+
 class _Best:
     """The k nearest vectors seen so far for each of a set of queries."""
 
     def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int):
         self.ids, self.queries, self.k = ids, queries, k
-        self.norms = np.einsum("ij,ij->i", queries, queries)
+        self.norms = _norms(queries)
         self.score = np.full((len(ids), k), np.inf)
         self.vec = np.full((len(ids), k), _NO_VECTOR)
+        # Whether single precision tells candidates apart.
+        self.single = True
 
     def add(self, vec_ids: np.ndarray, vectors: np.ndarray) -> None:
         for v in range(0, len(vec_ids), _TILE):
             ids, tile = vec_ids[v : v + _TILE], vectors[v : v + _TILE]
-            norms = np.einsum("ij,ij->i", tile, tile)
+            norms = _norms(tile)
             for q in range(0, len(self.ids), _TILE):
                 self._near(slice(q, q + _TILE), ids, tile, norms)
 
+    def _rough(self, part: slice, tile, norms, kind: type) -> tuple[np.ndarray, np.ndarray]:
+        """Distances by a matrix product of this precision, and twice what rounding may move them by."""
+        queries, own = self.queries[part], self.norms[part]
+        rough = queries.astype(kind, copy=False) @ tile.astype(kind, copy=False).T
+        rough *= -2
+        rough += own.astype(kind)[:, None]
+        rough += norms.astype(kind)
+        if kind is np.float64:
+            return rough, 2e-9 * (1.0 + own + norms.max())
+        return rough, 2.0 * (queries.shape[1] + 16) * np.finfo(kind).eps * (own + norms.max()) + 1e-30
+
+    def _candidates(self, part: slice, tile, norms, kind: type) -> np.ndarray:
+        rough, slack = self._rough(part, tile, norms, kind)
+
+        def within(limit: np.ndarray) -> np.ndarray:
+            return rough <= np.nextafter((limit + slack).astype(kind), kind(np.inf))[:, None]
+
+        limit = self.score[part, -1]
+        near = within(limit)
+        if rough.shape[1] > self.k and np.count_nonzero(near) > _MANY * len(rough):
+            near = within(np.minimum(limit, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1]))
+        return near
+
     def _near(self, part: slice, ids, tile, norms) -> None:
         # The matrix product finds candidates; rounding may move it by less than the
         # slack. Candidates then get the plain sum of squared differences, and at once
         # compete with the best so far, so that equal vectors do not pile up.
-        queries = self.queries[part]
-        rough = self.norms[part, None] + norms - 2.0 * (queries @ tile.T)
-        slack = 1e-9 * (1.0 + self.norms[part] + norms.max())
-        limit = self.score[part, -1]
-        if len(ids) > self.k:
-            limit = np.minimum(limit, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1])
-        rows, columns = np.nonzero(rough <= (limit + slack)[:, None])
+        if self.single and max(self.norms[part].max(), norms.max()) < _LARGE:
+            near = self._candidates(part, tile, norms, np.float32)
+            many = np.count_nonzero(near)
+            if many > (_MANY + self.k) * len(near):
+                near = self._candidates(part, tile, norms, np.float64)
+                self.single = 2 * np.count_nonzero(near) > many
+        else:
+            near = self._candidates(part, tile, norms, np.float64)
+        rows, columns = np.nonzero(near)
         for at in range(0, len(rows), _EXACT_PAIRS):
             r, c = rows[at : at + _EXACT_PAIRS], columns[at : at + _EXACT_PAIRS]
-            difference = queries[r] - tile[c]
+            difference = np.subtract(self.queries[part][r], tile[c], dtype=np.float64)
             self._keep(r + part.start, ids[c], np.einsum("ij,ij->i", difference, difference))
 
     def _keep(self, row, vec, score) -> None:
@@ -73,55 +108,53 @@ class _Best:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
 
 
-def _chunks(side: DataFrame, is_query: bool, parts: int) -> DataFrame:
-    """``(part, is_query, ids, flat)``: rows of ``side(id, embedding)`` packed into a matrix per ``_TILE`` of them.
+def _single(side: DataFrame) -> bool:
+    return dict(side.dtypes)["embedding"] == "array<float>"
 
-    A chunk of vectors goes to one part, in turn; a chunk of queries to all of them.
-    """
+
+def _chunks(side: DataFrame, rows: int) -> DataFrame:
+    """``(chunk, ids, flat)``: rows of ``side(id, embedding)`` packed into matrices of at most so many."""
+    kind = np.float32 if _single(side) else np.float64
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId() * 7919
+        chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for at in range(0, batch.num_rows, _TILE):
-                some = batch.slice(at, _TILE)
-                part += 1
+            for at in range(0, batch.num_rows, rows):
+                some = batch.slice(at, rows)
                 ids = np.ascontiguousarray(some.column(0).to_numpy(zero_copy_only=False), np.int64).tobytes()
-                flat = np.ascontiguousarray(_matrix(some.column(1))).tobytes()
+                flat = np.ascontiguousarray(_matrix(some.column(1), kind)).tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part % parts], pa.int32()), pa.array([is_query]), pa.array([ids], pa.binary()), pa.array([flat], pa.binary())],
-                    ["part", "is_query", "ids", "flat"],
+                    [pa.array([chunk], pa.int64()), pa.array([ids], pa.binary()), pa.array([flat], pa.binary())], ["chunk", "ids", "flat"]
                 )
+                chunk += 1
+
+    return side.mapInArrow(packed, _CHUNK)
 
-    made = side.mapInArrow(packed, "part int, is_query boolean, ids binary, flat binary")
-    if not is_query:
-        return made
-    return made.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "is_query", "ids", "flat")
 
+def _part_hits(vectors: DataFrame, queries: DataFrame, k: int, dimension: int, kinds: tuple[type, type]) -> DataFrame:
+    """The ``k`` nearest vectors for each query, of each part of the vectors' chunks, for each part of the queries'."""
 
-def _part_hits(vectors: DataFrame, queries: DataFrame, k: int, dimension: int, parts: int) -> DataFrame:
-    """The ``k`` nearest vectors of each part of the vectors for each query."""
+    def rows(ids: pa.Scalar, flat: pa.Scalar, kind: type) -> tuple[np.ndarray, np.ndarray]:
+        found = np.frombuffer(ids.as_buffer(), np.int64)
+        return found, np.frombuffer(flat.as_buffer(), kind).reshape(len(found), dimension)
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held = None, []
+        # A chunk of queries comes with one chunk of vectors after the other.
+        current, best = None, None
         for batch in batches:
-            for at, is_query, ids, flat in zip(*[batch.column(i) for i in range(4)]):
-                if at.as_py() != part:
-                    part, held = at.as_py(), []
-                ids = np.frombuffer(ids.as_buffer(), np.int64)
-                matrix = np.frombuffer(flat.as_buffer(), np.float64).reshape(len(ids), dimension)
-                if not is_query.as_py():
-                    held.append((ids, matrix))
-                elif held:
-                    best = _Best(ids, matrix, k)
-                    for vec_ids, some in held:
-                        best.add(vec_ids, some)
-                    yield best.batch()
-
-    both = _chunks(vectors, False, parts).unionByName(_chunks(queries, True, parts))
-    dealt = both.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "is_query")
-    return dealt.mapInArrow(nearest, _HITS)
+            for chunk, q_ids, q_flat, v_ids, v_flat in zip(*[batch.column(i) for i in range(5)]):
+                if chunk.as_py() != current:
+                    if best is not None:
+                        yield best.batch()
+                    current, best = chunk.as_py(), _Best(*(a.copy() for a in rows(q_ids, q_flat, kinds[1])), k)
+                best.add(*rows(v_ids, v_flat, kinds[0]))
+        if best is not None:
+            yield best.batch()
+
+    of = vectors.select(F.col("ids").alias("vec_ids"), F.col("flat").alias("vec_flat"))
+    return queries.crossJoin(of.hint("shuffle_replicate_nl")).mapInArrow(nearest, _HITS)
 
 
 def _common(vectors: DataFrame) -> tuple[int, int]:
@@ -166,20 +199,28 @@ def nearest(
     ties go to the smaller id. Embeddings that are missing, not finite or not of the common
     dimension are left aside on both sides (see :func:`quarantined`).
 
-    The search is flat and exact, so its work is vectors times queries. Vectors are read once
-    and dealt into parts of about ``part_bytes``, as many as the session has shuffle partitions at
-    least; a task holds one part and the queries pass through it in chunks, so neither side has to
-    fit anywhere as a whole and nothing goes through the driver. No pairs are written out: per query
-    and part ``k`` rows leave a task. Counting the vectors is an action.
+    The search is flat and exact, so its work is vectors times queries. Both are packed into matrices,
+    of vectors ``part_bytes`` each at most, and parts of both sides meet in a Cartesian product: a task
+    reads a part of the vectors, written once, and passes it through Python a matrix at a time for each
+    matrix of its queries. Neither side has to fit anywhere as a whole, nothing goes through the driver, and
+    neither is repeated in a shuffle. No pairs are written out: per query and part of ``PART_BYTES``
+    ``k`` rows leave a task. Counting the vectors and writing their matrices are actions.
     """
+    spark = vectors.sparkSession
     vectors = vectors.select("vec_id", "embedding")
     queries = queries.select("query_id", "embedding")
     common, n = _common(vectors)
     dimension = common if dimension is None else dimension
     vectors = vectors.filter(defect(F.col("embedding"), dimension).isNull())
     queries = queries.filter(defect(F.col("embedding"), dimension).isNull())
-    least = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hits = _part_hits(vectors, queries, k, dimension, max(least, -(-n * 8 * dimension // part_bytes)))
+    row_bytes = 8 * max(dimension, 1)
+    most = max(1, _CHUNK_BYTES // row_bytes)
+    parts = max(1, -(-n * row_bytes // PART_BYTES))
+    spread = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    held = durable(_chunks(vectors, min(_TILE, most, max(1, part_bytes // row_bytes))), "vectors").coalesce(parts)
+    asked = _chunks(queries, min(_QUERIES, most)).repartition(spread)
+    kinds = tuple(np.float32 if _single(side) else np.float64 for side in (vectors, queries))
+    hits = _part_hits(held, asked, k, dimension, kinds)
     best = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     hits = hits.withColumn("rank", best).filter(F.col("rank") <= k)
     return hits.select("query_id", "vec_id", "rank", "score")

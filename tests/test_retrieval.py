@@ -41,6 +41,27 @@ def test_nearest_equals_brute_force(spark, monkeypatch, limit, repeats):
     assert found(hits) == brute(vectors, queries, 5)
 
 
+@pytest.mark.parametrize("shift, scale", [(0.0, 1.0), (1e6, 1.0), (0.0, 1e-25), (0.0, 1e25)])
+def test_nearest_is_exact_where_single_precision_is_not(shift, scale):
+    rng = np.random.default_rng(4)
+    vectors = shift + scale * rng.normal(size=(3000, 16))
+    ids = np.arange(3000)
+    best = neighbours._Best(ids[:50], vectors[:50], 4)
+    best.add(ids, vectors)
+    wanted = [np.lexsort((ids, ((x - vectors) ** 2).sum(axis=1)))[:4] for x in vectors[:50]]
+    assert (best.vec == np.array(wanted)).all()
+
+
+def test_small_parts_do_not_repeat_the_queries(spark):
+    rng = np.random.default_rng(5)
+    vectors = frame(spark, {i: v for i, v in enumerate(rng.normal(size=(400, 8)))}, "vec_id")
+    hits = neighbours.nearest(vectors, vectors.withColumnRenamed("vec_id", "query_id"), 3, part_bytes=64)
+    assert hits.count() == 1200
+    # What is shuffled: a row per matrix of queries, and k rows per query.
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "CartesianProduct" in plan
+
+
 def test_fewer_vectors_than_k(spark):
     one = frame(spark, {4: np.array([1.0, 2.0])}, "vec_id")
     hits = neighbours.nearest(one, frame(spark, {0: np.array([0.0, 0.0])}, "query_id"), 5).collect()
