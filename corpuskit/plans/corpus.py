@@ -17,7 +17,7 @@ from corpuskit.operators.quality import quality_report
 from corpuskit.operators.splits import exact_split
 from corpuskit.operators.versions import fingerprint
 from corpuskit.operators.vocabulary import learn_vocabulary
-from corpuskit.session import durable
+from corpuskit.session import durable, evaluated_once
 from corpuskit.sources.lines import parse_lines, records
 from corpuskit.sources.store import load_splits, save_report, save_splits
 
@@ -59,7 +59,7 @@ def training_rows(lines: DataFrame, order: str, config: BuildConfig = BuildConfi
     def cleaned_field(name: str) -> Column:
         return apply_rules(preprocess_text(F.col(name), config.html_mode), config.rules).alias(name)
 
-    cleaned = read.select(order, cleaned_field("body"), cleaned_field("parsed_content"))
+    cleaned = evaluated_once(read, [order], cleaned_field("body"), cleaned_field("parsed_content"))
     contents = {"body": F.col("body"), "body+parsed": F.concat_ws("\x1f", "body", "parsed_content")}
     content = contents[config.dedup_key]
     if config.deduplicate:
@@ -67,9 +67,8 @@ def training_rows(lines: DataFrame, order: str, config: BuildConfig = BuildConfi
         kept = first_occurrences(cleaned, F.when(empty == "", "").otherwise(content), order, keep_empty=config.keep_empty)
     else:
         kept = cleaned.withColumn("content_hash", content_hash(content))
-    return kept.select(
-        order, "content_hash", training_text(F.col("body"), F.col("parsed_content")).alias("text")
-    ).filter(F.col("text") != "")
+    text = training_text(F.col("body"), F.col("parsed_content")).alias("text")
+    return evaluated_once(kept, [order, "content_hash"], text).filter(F.col("text") != "")
 
 
 def build(lines: DataFrame, order: str, config: BuildConfig = BuildConfig(), save_to: str | None = None) -> Corpus:

@@ -8,7 +8,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWNED: list[str] = []
 
@@ -72,6 +73,15 @@ def durable(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def evaluated_once(df: DataFrame, kept: list[str], *columns: Column) -> DataFrame:
+    """``kept`` and these columns, named, whose expressions no later step repeats.
+
+    A plain projection is merged into the filters and projections above it, once per use; a
+    generator is not.
+    """
+    return df.select(*kept, F.explode(F.array(F.struct(*columns))).alias("_once")).select(*kept, "_once.*")
+
+
 def remove_intermediates(spark: SparkSession) -> None:
     """Deletes what this application has written by :func:`durable` and :func:`new_path`.
 

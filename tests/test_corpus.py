@@ -232,3 +232,14 @@ def test_expectations(spark):
 
 def test_specials_match_their_ids():
     assert fixed.SPECIAL_TOKENS[fixed.UNK_ID] == "<unk>" and fixed.SPECIAL_TOKENS[fixed.PAD_ID] == "<pad>"
+
+
+def test_cleaning_is_not_repeated_in_a_build_that_keeps_duplicates(spark):
+    from corpuskit.plans.corpus import BuildConfig, training_rows
+
+    lines = spark.createDataFrame([(i, f'{{"body": "<b>{i}</b> one", "parsed_content": "x"}}') for i in range(3)], "line_no long, value string")
+    config = BuildConfig(deduplicate=False, rules=(lambda t: F.regexp_replace(t, "one", "two"),))
+    rows = training_rows(lines, "line_no", config)
+    assert sorted(r.text for r in rows.collect()) == ["0 two\n\nx", "1 two\n\nx", "2 two\n\nx"]
+    # Once for either field.
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count(", two, 1)") == 2
