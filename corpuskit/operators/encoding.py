@@ -15,6 +15,8 @@ from corpuskit.functions.text import clean_text
 
 MAX_VOCABULARY = 1_000_000
 MAX_BYTES = 128 << 20
+ENCODE_BYTES = 256 << 10
+ENCODE_TEXTS = 256
 
 
 def _map_flat(values: pa.Array, flat_map: Callable[[pa.Array], pa.Array]) -> pa.Array:
@@ -91,6 +93,22 @@ def pad(df: DataFrame, ids: str, max_length: int) -> DataFrame:
     )
 
 
+def encode_some(tokenizer, values: pa.Array) -> pa.Array:
+    """Ids of the texts, NULL as ''; so many texts at a time that their encodings stay small.
+
+    An encoding holds every token of its text with its places before it is cut, many times the text.
+    """
+    done, texts, size = [], [], 0
+    for value in values:
+        texts.append(value.as_py() or "")
+        size += len(texts[-1])
+        if size >= ENCODE_BYTES or len(texts) >= ENCODE_TEXTS:
+            done.append(pa.array([e.ids for e in tokenizer.encode_batch(texts)], pa.list_(pa.int32())))
+            texts, size = [], 0
+    done.append(pa.array([e.ids for e in tokenizer.encode_batch(texts)] if texts else [], pa.list_(pa.int32())))
+    return pa.concat_arrays(done)
+
+
 def pretrained_encoder(spark, tokenizer_json: str, max_length: int, do_clean: bool = True):
     """Column function encoding with a ready-made tokenizer definition (its JSON text).
 
@@ -112,7 +130,6 @@ def pretrained_encoder(spark, tokenizer_json: str, max_length: int, do_clean: bo
             tokenizer = Tokenizer.from_str(shared.value)
             tokenizer.enable_truncation(max_length)
             built.append(tokenizer)
-        texts = ["" if v is None else v for v in values.to_pylist()]
-        return pa.array([e.ids for e in built[0].encode_batch(texts)], pa.list_(pa.int32()))
+        return encode_some(built[0], values)
 
     return lambda text: run(clean_text(text) if do_clean else text)

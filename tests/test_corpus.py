@@ -1,6 +1,7 @@
 import json
 import math
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -243,3 +244,20 @@ def test_cleaning_is_not_repeated_in_a_build_that_keeps_duplicates(spark):
     assert sorted(r.text for r in rows.collect()) == ["0 two\n\nx", "1 two\n\nx", "2 two\n\nx"]
     # Once for either field.
     assert rows._jdf.queryExecution().optimizedPlan().toString().count(", two, 1)") == 2
+
+
+def test_pretrained_encoding_holds_few_texts_at_once(monkeypatch):
+    from corpuskit.operators import encoding
+
+    class Tokenizer:
+        seen = []
+
+        def encode_batch(self, texts):
+            self.seen.append(sum(map(len, texts)))
+            return [type("E", (), {"ids": [len(t)]}) for t in texts]
+
+    texts = ["a" * (i % 50) * 1000 for i in range(500)]
+    made = encoding.encode_some(Tokenizer(), pa.array(texts + [None]))
+    assert made.to_pylist() == [[len(t)] for t in texts] + [[0]]
+    assert max(Tokenizer.seen) <= encoding.ENCODE_BYTES + 50_000 and len(Tokenizer.seen) > 1
+    assert encoding.encode_some(Tokenizer(), pa.array([], pa.string())).to_pylist() == []
