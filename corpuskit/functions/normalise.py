@@ -75,12 +75,13 @@ def nfkc(text: Column) -> Column:
 
 def strip_decode_fold(text: Column) -> Column:
     """Tags to spaces, entities decoded, then NFKC, in at most one Arrow hop."""
-    bare = F.regexp_replace(text, fixed.TAG, " ")
+    bare = F.when(text.contains("<"), F.regexp_replace(text, fixed.TAG, " ")).otherwise(text)
     return _only_where(_may_change(text), bare, _decode_fold, bare)
 
 
 def decode_strip_decode_fold(html_text: Column, bare: Column) -> Column:
     """Parser-style decoding of ``bare``, ``html_text`` without its markup, followed by
     :func:`strip_decode_fold`, in at most one Arrow hop."""
-    native = F.regexp_replace(bare, fixed.TAG, " ")
+    # Without an opening bracket there is no markup, which a plain search tells sooner than the patterns.
+    native = F.when(html_text.contains("<"), F.regexp_replace(bare, fixed.TAG, " ")).otherwise(html_text)
     return _only_where(_may_change(html_text), bare, _decode_strip_decode_fold, native)
