@@ -11,6 +11,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,10 +46,21 @@ def unpacked(df: DataFrame, **replaced: Column) -> DataFrame:
 
 
 def worker_state(name: str, make: Callable[[], object]):
-    """A value that lives as long as the Python worker, shared by its tasks."""
+    """A value that stays in the Python worker, shared by its tasks.
+
+    Workers are used again by later stages: when one of these makes a value, those that only
+    earlier stages used are given up, so that the caches of several operators do not add up.
+    """
     home = sys.modules.setdefault("_corpuskit_worker", types.ModuleType("_corpuskit_worker"))
+    used = home.__dict__.setdefault("_used", {})
+    context = TaskContext.get()
+    stage = context.stageId() if context else None
     if not hasattr(home, name):
+        for old in [n for n, last in used.items() if last != stage]:
+            delattr(home, old)
+            del used[old]
         setattr(home, name, make())
+    used[name] = stage
     return getattr(home, name)
 
 

@@ -111,3 +111,30 @@ def test_boilerplate_on_ten_sites(spark):
     got = {r.doc_id: r.text for r in site_lines.cleaned_documents(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got[0] == "own line 0\nall rights reserved\n" and got[1] == "own line 1\n" and 99 not in got
     assert got[201] == "mine 1\nnine sites only"
+
+
+def test_worker_gives_up_what_only_earlier_stages_used(spark, monkeypatch):
+    import sys
+
+    from corpuskit.llm import common
+
+    class Context:
+        stage = 1
+
+        @classmethod
+        def get(cls):
+            return cls()
+
+        def stageId(self):
+            return self.stage
+
+    monkeypatch.setattr(common, "TaskContext", Context)
+    monkeypatch.delitem(sys.modules, "_corpuskit_worker", raising=False)
+    first = common.worker_state("a", list)
+    assert common.worker_state("b", list) is not first and common.worker_state("a", list) is first
+    Context.stage = 2
+    assert common.worker_state("a", list) is first
+    common.worker_state("c", list)
+    held = vars(sys.modules["_corpuskit_worker"])
+    assert held["a"] is first and "b" not in held and "c" in held
+    monkeypatch.delitem(sys.modules, "_corpuskit_worker")
