@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpuskit import fixed
 from corpuskit.functions.text import prompt, source_preview
+from corpuskit.operators.seen import SeenFilter
 from corpuskit.operators.skew import skewed_join
 from corpuskit.operators.versions import number_rows
 from corpuskit.session import durable
@@ -28,10 +29,25 @@ def append_documents(store: DataFrame, documents: DataFrame, key: str) -> tuple[
     return store.unionByName(added), start, start + added.count() - 1
 
 
+def wanted_documents(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose ``doc_id`` is in the one column of ``ids``, and few others.
+
+    A filter of 4 MB goes to the tasks that read the documents, so that texts nobody asks for
+    are not shuffled; with very many ids it lets more of the others pass, but never fewer of those asked for.
+    ``ids`` are read again, so they should be a table.
+    """
+    (column, kind), = ids.dtypes
+    if kind != dict(documents.dtypes)["doc_id"]:  # hashes of equal numbers of two types differ
+        return documents
+    return SeenFilter.sent(ids, column).possible(documents, "doc_id", send=True)
+
+
 def attach_documents(hits: DataFrame, documents: DataFrame) -> DataFrame:
     """Document of each hit; hits without one are dropped. A document found by very many
-    queries is spread over tasks."""
-    by_vector = documents.select(F.col("doc_id").alias("vec_id"), F.col("text").alias("document"))
+    queries is spread over tasks, one found by none is not shuffled. The hits are written, an action."""
+    hits = durable(hits, "hits")
+    wanted = wanted_documents(documents.select("doc_id", "text"), hits.select("vec_id"))
+    by_vector = wanted.select(F.col("doc_id").alias("vec_id"), F.col("text").alias("document"))
     return skewed_join(hits, by_vector, "vec_id")
 
 

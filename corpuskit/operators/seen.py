@@ -53,6 +53,11 @@ class SeenFilter:
         spread = keys.filter(key.isNotNull()).select(_bucket(key, buckets).alias("bucket"), F.explode(_places(key)).alias("place"))
         return cls(spread.groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits")), buckets)
 
+    @classmethod
+    def sent(cls, keys: DataFrame, column: str) -> SeenFilter:
+        """A filter of the fixed size that goes to every task: of 3 million keys it lets a hundredth of the others pass, of more more."""
+        return cls.of(keys, column, _SENT_BUCKETS)
+
     def merged(self, other: SeenFilter) -> SeenFilter:
         if self.buckets != other.buckets:
             raise ValueError("filters with different numbers of buckets cannot be merged")
@@ -87,7 +92,7 @@ def known_hits(new: DataFrame, known: DataFrame, seen: SeenFilter, hash_column:
     is shuffled is about the number of repeats, not the size of what is known.
     """
     maybe = durable(seen.possible(new.select(hash_column), hash_column).distinct(), "maybe-seen")
-    wanted = SeenFilter.of(maybe, hash_column, _SENT_BUCKETS)
+    wanted = SeenFilter.sent(maybe, hash_column)
     return maybe.join(wanted.possible(known.select(hash_column), hash_column, send=True), hash_column, "left_semi")
 
 

@@ -104,6 +104,18 @@ def test_prompt_fallback_and_order(spark):
     assert got[11].is_fallback and "No relevant document" in got[11].prompt
 
 
+def test_only_documents_that_were_found_are_shuffled(spark):
+    hits = spark.createDataFrame([(q, q % 20, 1, 0.5) for q in range(60)] + [(99, 5_000, 1, 0.5), (98, None, 1, 0.5)], "query_id long, vec_id long, rank int, score double")
+    rows = [(i, f"text {i}") for i in range(2_000)] + [(3, "again"), (None, "none"), (7, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    joined = hits.join(docs.withColumnsRenamed({"doc_id": "vec_id", "text": "document"}), "vec_id").select("query_id", "vec_id", "rank", "document")
+    got = retrieval.attach_documents(hits, docs).select(*joined.columns)
+    assert got.count() == 66 and got.exceptAll(joined).isEmpty() and joined.exceptAll(got).isEmpty()
+    assert 22 <= retrieval.wanted_documents(docs, hits.select("vec_id")).count() < 200
+    other = docs.withColumn("doc_id", F.col("doc_id").cast("int"))
+    assert retrieval.wanted_documents(other, hits.select("vec_id")).count() == 2_003
+
+
 def test_append_gives_contiguous_positions(spark):
     store = spark.createDataFrame([(0, 5, "a", [1.0])], "vec_id long, doc_id long, document string, embedding array<float>")
     new = spark.createDataFrame([(9, "c"), (7, "b")], "doc_id long, document string")
