@@ -182,8 +182,10 @@ _DOC_TOKENS = tokens_sql(cleaned_sql("text"))
     FROM hits JOIN t a ON a.doc_id = query_id JOIN t s ON s.doc_id = vec_id WHERE query_id <> vec_id""",
 )
 def citation_overlap(spark, sf):
-    hits = neighbours.nearest(vectors(spark, sf), asked(spark, sf), C).filter("query_id <> vec_id")
-    docs = inputs.table(spark, sf, "documents")
+    hits = durable(neighbours.nearest(vectors(spark, sf), asked(spark, sf), C).filter("query_id <> vec_id"), "hits")
+    # Only documents on either side of a hit are tokenised.
+    sides = hits.select("vec_id").union(hits.select("query_id"))
+    docs = retrieval.wanted_documents(inputs.table(spark, sf, "documents"), sides)
     bags = durable(docs.select("doc_id", F.array_distinct(tokens(F.col("text"))).alias("text")), "bags")
     sources = retrieval.attach_documents(hits, bags)
     answers = bags.select(F.col("doc_id").alias("query_id"), F.col("text").alias("answer"))
