@@ -148,7 +148,7 @@ class PieceModel:
         out: list[list[int]] = [[]] * len(words)
         find, points, remembered, apart, chain = self.endings.get, self.points, self.pairs.get, self.apart, self.chain
         # By end of prefix: score of the path, where its last piece starts, and that piece.
-        lattice, last = [(0.0, 0, -1)], ""
+        totals, starts, owns, last = [0.0], [0], [-1], ""
         for at in order:
             word = words[at]
             n, shared = len(word), 0
@@ -156,15 +156,16 @@ class PieceModel:
                 if a != b:
                     break
                 shared += 1
-            del lattice[shared + 1 :]
+            del totals[shared + 1 :], starts[shared + 1 :], owns[shared + 1 :]
             for end in range(shared + 1, n + 1):
                 for start in range(end - 1, -1, -1):
                     own = find(word[start:end], -1)
                     if own is None:
                         continue
                     if own < 0:  # then nothing longer ends a piece either
+                        start = -1
                         break
-                    score, _, before = lattice[start]
+                    before = owns[start]
                     if before < 0:
                         fits = chain(own)[0]
                     else:
@@ -173,15 +174,21 @@ class PieceModel:
                             fits = apart(before, own)
                     if fits:
                         # The lattice has one path: no other piece fits here.
-                        lattice.append((score + points[own], start, own))
                         break
-                if len(lattice) == end:
-                    lattice.append((lattice[end - 1][0], end - 1, self.number(word[end - 1])))
+                else:
+                    start = -1
+                if start < 0:
+                    start, own = end - 1, self.number(word[end - 1])
+                    totals.append(totals[start])
+                else:
+                    totals.append(totals[start] + points[own])
+                starts.append(start)
+                owns.append(own)
             last = word
             path, end = [], n
             while end:
-                _, end, own = lattice[end]
-                path.append(own)
+                path.append(owns[end])
+                end = starts[end]
             path.reverse()
             if max(path, default=0) < len(self.ids):
                 out[at] = [self.ids[p] for p in path]
