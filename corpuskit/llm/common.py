@@ -22,6 +22,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\x0c\r"
 
 _CACHED_WORDS = 200_000
+_TASK_ROWS = 1 << 14  # narrow rows that are worth a task
 _M = np.uint64(0xFF51AFD7ED558CCD)
 
 
@@ -107,18 +108,30 @@ def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 256, size: int
             yield batch.slice(at, step)
 
 
-def components(links: DataFrame) -> DataFrame:
+def in_fewer(df: DataFrame, rows: int, each: int = _TASK_ROWS) -> DataFrame:
+    """``df``, of about ``rows`` narrow rows, in no more tasks than they are worth.
+
+    Many shuffles of little data cost what their tasks and files cost. Only lowers the number of
+    tasks, so a large table keeps the session's.
+    """
+    return df.coalesce(4 + rows // each)
+
+
+def components(links: DataFrame, rows: int | None = None) -> DataFrame:
     """``(node, root)`` for every node of ``links(a, b)``; root is the least node it reaches.
 
+    ``rows``, if known, is about how many links there can be.
+
     Large-star and small-star rounds: neighbours are reduced to their minimum within tasks
     before they are shuffled, and each round is written to the shared folder, so a node
     with very many links is no single task's work. Self links and nulls are ignored; no
     links give no rows. Runs jobs while it is called.
     """
-    edges = durable(_oriented(links.select("a", "b")), "links")
+    edges = _oriented(links.select("a", "b"))
+    edges = durable(edges if rows is None else in_fewer(edges, rows), "links")
     before = _digest(edges)
     while before[0]:
-        edges = durable(_small_star(_large_star(edges)), "links")
+        edges = durable(_small_star(_large_star(edges, before[0]), before[0]), "links")
         now = _digest(edges)
         if now == before:
             break
@@ -136,17 +149,17 @@ def _digest(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     both = edges.union(edges.select("b", "a"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     above = edges.select(F.col("b").alias("a"), F.col("a").alias("v"))
-    return _oriented(above.join(least, "a").select(F.col("v").alias("a"), F.col("m").alias("b")))
+    return in_fewer(_oriented(in_fewer(above.join(least, "a"), rows).select(F.col("v").alias("a"), F.col("m").alias("b"))), rows)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    hung = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return _oriented(hung.union(least.select("a", F.col("m").alias("b"))))
+    hung = in_fewer(edges.join(least, "a"), rows).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return in_fewer(_oriented(hung.union(in_fewer(least, rows).select("a", F.col("m").alias("b")))), rows)
 
 
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import components, packed, small_batches, unpacked, window_hashes, word_hashes
+from corpuskit.llm.common import components, in_fewer, packed, small_batches, unpacked, window_hashes, word_hashes
 from corpuskit.session import durable
 
 SHINGLE = 5
@@ -136,6 +136,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         other = np.fromiter((x != y for x, y in zip(roots, roots[1:])), bool, len(roots) - 1)
         differing = np.bitwise_count(sketches[1:] ^ sketches[:-1]).sum(axis=1, dtype=np.int64)
         few = (100 + PERCENT) * differing <= (100 - PERCENT) * (sizes[1:] + sizes[:-1])
+        few &= 100 * np.minimum(sizes[1:], sizes[:-1]) >= PERCENT * np.maximum(sizes[1:], sizes[:-1])
         at = np.flatnonzero((regions[1:] == regions[:-1]) & other & few)
         shared = np.cumprod(labels[at] == labels[at + 1], axis=1).sum(axis=1)
         a, b = [nodes[i] for i in at], [nodes[i + 1] for i in at]
@@ -176,13 +177,6 @@ def _near_size(n, m):
     return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
 
 
-def _near_sizes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    sizes = classes.select("node", "n")
-    pairs = pairs.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("an")), "a")
-    pairs = pairs.join(sizes.select(F.col("node").alias("b"), F.col("n").alias("bn")), "b")
-    return pairs.filter(_near_size(F.col("an"), F.col("bn"))).select("a", "b")
-
-
 def _near_sketch(x, y, n, m):
     """False only for pairs that cannot be similar enough: at least so many shingles differ."""
     words = [F.bit_count(F.get(x, i).bitwiseXOR(F.get(y, i))) for i in range(SKETCH_WORDS)]
@@ -196,27 +190,29 @@ def _beside(own: DataFrame, parts: int) -> DataFrame:
     return placed.mapInArrow(_neighbours, "a binary, b binary, shared bigint")
 
 
-def _first_candidates(orders: DataFrame, parts: int) -> DataFrame:
+def _first_candidates(orders: DataFrame, parts: int, rows: int) -> DataFrame:
     """Two pairs a text: with its nearest neighbour in any order, and with the hub of its regions.
 
     The more texts share a text's regions, the more it is a hub. Copies of one original differ
     from it less than from each other, and so it, or a close copy, becomes the hub.
     """
     beside = _beside(orders.withColumn("root", F.col("node")), parts)
-    both = beside.union(beside.select("b", "a", "shared"))
-    nearest = both.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best")).select("a", "best.b")
+    ways = F.array(F.struct("a", "b", "shared"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
+    both = beside.select(F.inline(ways))
+    nearest = in_fewer(both.groupBy("a").agg(F.max(F.struct("shared", "b")).alias("best")), rows // ORDERS).select("a", "best.b")
     met = orders.groupBy("node").agg(F.sum("k").alias("met"))
-    known = durable(orders.select("region", "node").join(met, "node"), "met")
-    hubs = known.groupBy("region").agg(F.max(F.struct("met", "node")).alias("hub"))
-    led = known.select("region", "node").join(hubs, "region").groupBy("node").agg(F.max("hub").alias("hub"))
-    return _each_once(nearest.union(led.select(F.col("node").alias("a"), F.col("hub.node").alias("b"))))
+    known = durable(in_fewer(orders.select("region", "node", "n").join(met, "node"), rows), "met")
+    hubs = known.groupBy("region").agg(F.max(F.struct("met", "node", "n")).alias("hub"))
+    led = in_fewer(known.select("region", "node", "n").join(hubs, "region"), rows).groupBy("node", "n").agg(F.max("hub").alias("hub"))
+    led = in_fewer(led, rows // ORDERS).filter(_near_size(F.col("n"), F.col("hub.n")))
+    return in_fewer(_each_once(nearest.union(led.select(F.col("node").alias("a"), F.col("hub.node").alias("b")))), rows // ORDERS)
 
 
-def _more_candidates(orders: DataFrame, labels: DataFrame, parts: int, step: int) -> DataFrame:
+def _more_candidates(orders: DataFrame, labels: DataFrame, parts: int, rows: int, step: int) -> DataFrame:
     """Pairs of different groups, of the regions that hold several: neighbours in any order, and
     each text outside a region's largest group with some member of that group."""
     own = durable(
-        orders.join(labels, "node", "left").select(
+        in_fewer(orders.join(labels, "node", "left"), rows).select(
             "region", "tree", "label", "node", "n", "sketch", F.coalesce("root", "node").alias("root")
         ),
         "grouped",
@@ -224,43 +220,46 @@ def _more_candidates(orders: DataFrame, labels: DataFrame, parts: int, step: int
     groups = own.groupBy("region", "root").agg(
         F.count("*").alias("k"), F.min(F.struct(F.xxhash64("node", "tree", F.lit(step)), "node", "n", "sketch")).alias("one")
     )
+    groups = in_fewer(groups, rows)
     tops = groups.groupBy("region").agg(F.count("*").alias("groups"), F.max(F.struct("k", "root", "one")).alias("top"))
-    tops = durable(tops.filter("groups > 1").select("region", F.col("top.root").alias("largest"), "top.one"), "tops")
-    several = durable(own.join(tops, "region"), "several")
+    tops = in_fewer(tops.filter("groups > 1"), rows).select("region", F.col("top.root").alias("largest"), "top.one")
+    several = durable(in_fewer(own.join(durable(tops, "tops"), "region"), rows), "several")
     near = _near_sketch(F.col("sketch"), F.col("one.sketch"), F.col("n"), F.col("one.n"))
+    near &= _near_size(F.col("n"), F.col("one.n"))
     some = several.filter((F.col("root") != F.col("largest")) & near).select(F.col("node").alias("a"), F.col("one.node").alias("b"))
-    return _each_once(_beside(several, parts).select("a", "b").union(some))
+    return in_fewer(_each_once(in_fewer(_beside(several, parts), rows).select("a", "b").union(some)), rows)
 
 
 def _each_once(pairs: DataFrame) -> DataFrame:
     return pairs.filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _regions(orders: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _regions(orders: DataFrame, labels: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
     """``tree, node, n, root, largest, region`` of the regions that still hold several groups
     and are not crowded, and ``node, root`` of the texts in crowded ones."""
     own = orders.join(labels, "node", "left").select("region", "tree", "node", "n", F.coalesce("root", "node").alias("root"))
-    own = durable(own, "regions")
-    groups = own.groupBy("region", "root").agg(F.count("*").alias("k"))
+    own = durable(in_fewer(own, rows), "regions")
+    groups = in_fewer(own.groupBy("region", "root").agg(F.count("*").alias("k")), rows)
     state = groups.groupBy("region").agg(
         F.count("*").alias("groups"), F.sum("k").alias("all"), F.max(F.struct("k", "root")).alias("top")
     )
     crowded = (F.col("all") - F.col("top.k")) * F.col("all") > CROWD * CROWD
     state = state.filter("groups > 1").select("region", F.col("top.root").alias("largest"), crowded.alias("crowded"))
-    state = durable(state, "region-state")
+    state = durable(in_fewer(state, rows), "region-state")
     settled = own.join(state.filter("not crowded").drop("crowded"), "region")
     crowd = own.join(state.filter("crowded").select("region"), "region", "left_semi").select("node", "root")
-    return durable(settled, "settled"), durable(crowd.dropDuplicates(["node"]), "crowd")
+    crowd = in_fewer(crowd, rows).dropDuplicates(["node"])
+    return durable(in_fewer(settled, rows), "settled"), durable(in_fewer(crowd, rows // ORDERS), "crowd")
 
 
-def _apart(settled: DataFrame, classes: DataFrame) -> DataFrame:
+def _apart(settled: DataFrame, classes: DataFrame, count: int) -> DataFrame:
     """Pairs in a region that are in different groups and one of which is outside the region's
     largest group, each once: in the first order that has both in one region."""
     keys = F.map_from_entries(F.collect_list(F.struct("tree", "region")))
     by_order = F.transform(F.sequence(F.lit(0), F.lit(ORDERS - 1)), lambda t: F.element_at(F.col("keys"), t))
     of_node = settled.groupBy("node").agg(keys.alias("keys")).select("node", by_order.alias("keys"))
     known = of_node.join(classes.select("node", "sketch"), "node")
-    rows = durable(settled.join(known, "node"), "apart")
+    rows = durable(in_fewer(settled.join(known, "node"), count), "apart")
     strays = rows.filter("root != largest").select(
         "region", "tree", F.col("node").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"),
         F.col("keys").alias("ak"), F.col("sketch").alias("x"),
@@ -290,30 +289,28 @@ def _bucket_counts(texts: DataFrame) -> np.ndarray:
     A task makes one row of its counts, those other than zero; rows are added up in a few tasks, then in one.
     """
 
-    def row(counts: np.ndarray, part: int) -> pa.RecordBatch:
+    def row(counts: np.ndarray) -> pa.RecordBatch:
         at = np.flatnonzero(counts).astype(np.int32)
-        made = [pa.array([part], pa.int32()), pa.array([at.tobytes()], pa.binary()), pa.array([counts[at].tobytes()], pa.binary())]
-        return pa.RecordBatch.from_arrays(made, ["part", "at", "counts"])
+        made = [pa.array([at.tobytes()], pa.binary()), pa.array([counts[at].tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays(made, ["at", "counts"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         counts = np.zeros(1 << _BUCKET_BITS, np.int64)
         for batch in batches:
             counts += np.bincount(_buckets(batch.column(0).flatten().to_numpy()), minlength=1 << _BUCKET_BITS)
-        yield row(counts, TaskContext.get().partitionId() % _MERGE)
+        yield row(counts)
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << _BUCKET_BITS, np.int64)
         for batch in batches:
-            for at, k in zip(batch.column(1), batch.column(2)):
+            for at, k in zip(batch.column(0), batch.column(1)):
                 counts[np.frombuffer(at.as_buffer(), np.int32)] += np.frombuffer(k.as_buffer(), np.int64)
-        yield row(counts, 0)
+        yield row(counts)
 
-    shape = "part int, at binary, counts binary"
+    shape = "at binary, counts binary"
     rows = texts.select("shingles").mapInArrow(counted, shape)
     for parts in (_MERGE, 1):
-        rows = rows.repartition(parts, "part").mapInArrow(added, shape)
+        rows = rows.repartition(parts).mapInArrow(added, shape)
     counts = np.zeros(1 << _BUCKET_BITS, np.int32)
     for made in rows.collect():
         counts[np.frombuffer(made["at"], np.int32)] = np.minimum(np.frombuffer(made["counts"], np.int64), (1 << 31) - 1)
@@ -377,6 +374,11 @@ def _crowd_pairs(crowd: DataFrame, sets: DataFrame) -> DataFrame:
     return _each_once(pairs)
 
 
+def _joined(labels: DataFrame, more: DataFrame, rows: int) -> DataFrame:
+    """The labels that ``more`` links make of these; known groups go in as stars, which are settled in few rounds."""
+    return components(labels.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more), rows)
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
 
@@ -399,29 +401,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     narrow = packed(docs, doc_id=F.col(f"`{doc_id}`"), text=F.col(f"`{text}`"), key=key).drop("row")
     kind = narrow.schema["doc_id"].dataType.simpleString()
     signed = durable(narrow.mapInArrow(_signed, f"doc_id {kind}, key bigint, node binary, n bigint, sig binary, sketch array<bigint>"), "signatures")
+    count = signed.count()
     classes = durable(
-        signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("key").alias("key"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.max("sketch").alias("sketch")),
+        in_fewer(
+            signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("key").alias("key"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.max("sketch").alias("sketch")),
+            count, 1 << 12,
+        ),
         "classes",
     )
     rows = _orders(classes)
     shared = rows.groupBy("region").agg(F.count("*").alias("k")).filter("k > 1")
-    rows = durable(rows.join(shared, "region"), "shared-regions")
+    rows = durable(in_fewer(rows.join(shared, "region"), count * ORDERS, 1 << 16), "shared-regions")
     columns = ["region", "k", "tree", "node", "n", "sketch"]
-    orders = durable(rows.join(classes, "node").select(*columns, _label().alias("label")), "orders")
+    orders = durable(in_fewer(rows.join(classes, "node"), rows.count()).select(*columns, _label().alias("label")), "orders")
+    count = orders.count()
     wanted = orders.select("node").distinct().join(classes, "node").select("key", "node")
     texts = narrow.select("key", "text").join(wanted, "key").select("text", "node")
     sets = durable(texts.mapInArrow(_set_rows, "node binary, shingles array<bigint>").dropDuplicates(["node"]), "sets")
 
-    links = durable(_confirmed(_near_sizes(_first_candidates(orders, parts), classes), sets), "links")
-    labels = components(links)
+    labels = components(_confirmed(_first_candidates(orders, parts, count), sets), count // ORDERS)
     for step in range(1, ROUNDS):
-        more = durable(_confirmed(_near_sizes(_more_candidates(orders, labels, parts, step), classes), sets), "links")
-        links = links.union(more)
-        labels = components(links)
-    settled, crowd = _regions(orders, labels)
-    pairs = _apart(settled, classes).union(_crowd_pairs(crowd, sets)).distinct()
-    more = durable(_confirmed(pairs, sets), "links")
-    labels = components(links.union(more))
+        labels = _joined(labels, _confirmed(_more_candidates(orders, labels, parts, count, step), sets), count // ORDERS)
+    settled, crowd = _regions(orders, labels, count)
+    pairs = _apart(settled, classes, count).union(_crowd_pairs(crowd, sets)).distinct()
+    labels = _joined(labels, _confirmed(pairs, sets), count // ORDERS)
 
     named = classes.select("node", "rep").join(labels, "node", "left").select(
         "node", "rep", F.coalesce("root", "node").alias("root")
