@@ -259,18 +259,22 @@ def repeated_places(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
     block = F.pmod(F.xxhash64("doc_id"), F.lit(BLOCKS)).cast("int")
     # Document and place in one number, which aggregates by hash; a struct would be sorted.
-    spot = F.col("doc_id").cast("decimal(38,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col("at").cast("decimal(11,0)")
-    index = windows.groupBy("h1", "h2", block.alias("block")).agg(
-        F.min(spot.cast("decimal(38,0)")).alias("spot"), F.min("doc_id").alias("source"), F.max("doc_id").alias("last")
+    base = F.lit(1 << 32).cast("decimal(11,0)")
+    spot = (F.col("doc_id").cast("decimal(38,0)") * base + F.col("at").cast("decimal(11,0)")).cast("decimal(38,0)")
+    # At most BLOCKS sources a window, all in one shuffle. Written, so that the join has a shuffle of its own whose hot keys can be split.
+    spots = [f"spot{b}" for b in range(BLOCKS)]
+    index = windows.select("h1", "h2", "doc_id", block.alias("block"), spot.alias("spot")).groupBy("h1", "h2").agg(
+        *[F.min(F.when(F.col("block") == b, F.col("spot"))).alias(spots[b]) for b in range(BLOCKS)], F.max("doc_id").alias("last")
     )
-    there = (F.col("spot") - F.col("source").cast("decimal(38,0)") * F.lit(1 << 32).cast("decimal(11,0)")).cast("int")
-    # At most BLOCKS sources a window. Written, so that the join has a shuffle of its own whose hot keys can be split.
-    index = index.groupBy("h1", "h2").agg(
-        F.collect_list(F.struct("block", "source", there.alias("there"))).alias("sources"),
-        F.min("source").alias("first"),
-        F.max("last").alias("last"),
-    )
-    index = durable(index.filter("first < last").select("h1", "h2", "first", "sources"), "index")
+    # The first place is before the last document begins if these are two documents.
+    index = index.filter(F.least(*spots) < F.col("last").cast("decimal(38,0)") * base)
+    found = []
+    for b, name in enumerate(spots):
+        there = F.pmod(F.col(name), base)
+        source = ((F.col(name) - there) / base).cast("bigint")
+        found.append(F.when(F.col(name).isNotNull(), F.struct(F.lit(b).alias("block"), source.alias("source"), there.cast("int").alias("there"))))
+    index = index.select("h1", "h2", F.filter(F.array(*found), lambda s: s.isNotNull()).alias("sources"))
+    index = durable(index.select("h1", "h2", F.array_min(F.transform("sources", lambda s: s["source"])).alias("first"), "sources"), "index")
     again = windows.join(index, ["h1", "h2"]).filter("doc_id > first").select(
         "doc_id", "row_key", "at", F.filter("sources", lambda s: s["source"] < F.col("doc_id")).alias("sources")
     )

@@ -249,6 +249,27 @@ def test_shared_anchors(monkeypatch, size):
     assert {a for a, _ in got} == {a for a, by in least.items() if len(by) > 1}
 
 
+def test_index_takes_one_shuffle(spark, monkeypatch):
+    ids = [-(1 << 62), -5, 0, (1 << 62) + 1, (1 << 63) - 1]
+    words = [f"w{i}" for i in range(30)]
+    texts = [" ".join([f"own{k}"] * k + words + [f"end{k}"]) for k in range(len(ids))]
+    plans, kept = {}, relative_parse.durable
+
+    def durable(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return kept(df, name)
+
+    monkeypatch.setattr(relative_parse, "durable", durable)
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r for r in relative_parse.without_repeats(df).collect()}
+    assert [got[i].n_removed for i in ids] == [0, 30, 30, 30, 30]
+    for k, i in enumerate(ids):
+        for f in got[i].factors:
+            source = texts[ids.index(f.source)].split()
+            assert f.source < i and source[f.source_start : f.source_start + f.end - f.start] == texts[k].split()[f.start : f.end]
+    assert plans["index"].count("Exchange hashpartitioning") == 1
+
+
 def test_pieces_apart_as_merging_says():
     """Two pieces stay apart exactly if merging their characters gives them again."""
     model = PieceModel(Path(tokenizer_file("piece_bpe_32k.model")).read_bytes())
