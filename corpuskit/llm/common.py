@@ -6,7 +6,7 @@ import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -199,7 +199,7 @@ class Remembered:
             self.starts = np.concatenate([self.starts, np.empty_like(self.starts)])
             self.sizes = np.concatenate([self.sizes, np.empty_like(self.sizes)])
         if total:
-            self.flat[self.used : self.used + total] = np.concatenate(made)
+            self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(made), self.kind, total)
         self.starts[first : first + len(made)] = self.used + np.cumsum(sizes) - sizes
         self.sizes[first : first + len(made)] = sizes
         self.index.update(zip(words, range(first, first + len(made))))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import Remembered, packed, small_batches, unpacked, window_hashes, worker_state
+from corpuskit.llm.common import RememberedOften, packed, small_batches, unpacked, window_hashes, worker_state
 from corpuskit.session import durable
 
 WINDOW = 8
@@ -48,10 +48,14 @@ _ENDS = 8  # flag: a sentence ends after this word
 _PLACE = np.array([0x1357_9BDF_0246_8ACE + k for k in range(5)], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
-def _kinds(words: list[str]) -> list[list[int]]:
+def _kinds(words: list[str]) -> list[tuple[int, int]]:
     """Per word: hash of its bare form in lower case, and its kind with the sentence flag."""
     out = []
     for word in words:
+        if word.isascii() and word.isalpha() and word.islower():
+            kind = _NUMBER if word in WORDS_FOR_NUMBERS else _UNIT if word in UNITS else _LITERAL
+            out.append((xxhash.xxh3_64_intdigest(word), kind))
+            continue
         bare = word.strip(_EDGES)
         low = bare.lower()
         if not bare[:1].isalpha() and bare[-1:] in "0123456789%" and NUMBER.fullmatch(bare) or low in WORDS_FOR_NUMBERS:
@@ -65,19 +69,28 @@ def _kinds(words: list[str]) -> list[list[int]]:
         else:
             kind = _LITERAL
         ends = word.rstrip("\"'”’»)]}")[-1:] in ".!?:;…"
-        out.append([xxhash.xxh3_64_intdigest(low.encode()), kind | _ENDS * ends])
+        out.append((xxhash.xxh3_64_intdigest(low), kind | _ENDS * ends))
     return out
 
 
+def _numbers(words: list[str]) -> np.ndarray:
+    """A row for each word: what :func:`_kinds` says of it."""
+    known = worker_state("template_words", lambda: RememberedOften(_kinds, np.uint64, 200_000))
+    return known.numbers(words)[0].reshape(-1, 2)
+
+
 def template(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The template forms of a text's words, see :func:`_forms`."""
+    return _forms(_numbers(words))
+
+
+def _forms(numbers: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Hash of each word's template form, and which words are placeholders, in two forms.
 
     A unit counts only after a number. A capital counts in the first form only inside a sentence,
     in the second form anywhere, so that this form does not depend on what precedes a passage.
     """
-    known = worker_state("template_words", lambda: Remembered(_kinds, np.uint64))
-    numbers, _ = known.numbers(words)
-    hashes, flags = numbers[0::2], numbers[1::2].astype(np.int64)
+    hashes, flags = numbers[:, 0], numbers[:, 1].astype(np.int64)
     kind, ends = flags & 7, flags >= _ENDS
     after_number = np.append(False, kind[:-1] == _NUMBER)
     inside = np.append(False, ~ends[:-1])
@@ -86,17 +99,20 @@ def template(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(np.where(slot, _PLACE[kind], hashes), slot) for slot in slots]
 
 
-def windows_of(text: str | None, width: int) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
-    """Words, and by form: slots, hashes of template windows, which windows have enough literal words."""
-    words = text.split() if text else []
-    if len(words) < width:
-        return words, []
-    forms = []
-    for hashes, slot in template(words):
-        literal = np.append(0, np.cumsum(~slot))
-        enough = literal[width:] - literal[:-width] >= min(LEAST_LITERALS, width)
-        forms.append((slot, window_hashes(hashes, width), enough))
-    return words, forms
+def windows_of(texts: list[str | None], width: int) -> Iterator[tuple[list[str], list[tuple[np.ndarray, np.ndarray, np.ndarray]]]]:
+    """For each text its words, and by form: slots, hashes of template windows, which windows have enough literal words."""
+    split = [t.split() if t else [] for t in texts]
+    sizes = [len(words) if len(words) >= width else 0 for words in split]
+    numbers = _numbers([w for words, size in zip(split, sizes) if size for w in words])
+    at = 0
+    for words, size in zip(split, sizes):
+        forms = []
+        for hashes, slot in _forms(numbers[at : at + size]) if size else ():
+            literal = np.append(0, np.cumsum(~slot))
+            enough = literal[width:] - literal[:-width] >= min(LEAST_LITERALS, width)
+            forms.append((slot, window_hashes(hashes, width), enough))
+        at += size
+        yield words, forms
 
 
 def _window_rows(rows: list, width: int, wanted=None) -> pa.RecordBatch:
@@ -106,8 +122,7 @@ def _window_rows(rows: list, width: int, wanted=None) -> pa.RecordBatch:
     the number of the value in the item.
     """
     ids, keys, kinds, hashes, places, totals, slots = [], [], [], [], [], [], []
-    for doc, key, text in rows:
-        words, forms = windows_of(text, width)
+    for (doc, key, _), (words, forms) in zip(rows, windows_of([text for *_, text in rows], width)):
         for form, (slot, own, enough) in enumerate(forms):
             at = np.flatnonzero(enough if wanted is None else enough & wanted(own))
             filled = {i: words[i].strip(_EDGES).lower() for i in np.flatnonzero(slot).tolist()} if len(at) else {}

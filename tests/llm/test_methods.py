@@ -45,6 +45,23 @@ def test_word_ids_are_the_library_s(text):
     assert encoder.encode([text])[0].tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_words_of_a_batch_are_looked_up_once(monkeypatch):
+    calls, kept = [], template_leaks._numbers
+    texts = ["In 1999 Anna bought five km of rope, and it was long.", None, "too short", "a b c d e f g h i"]
+    want = [template_leaks.template(t.split()) if t and len(t.split()) >= 8 else [] for t in texts]
+    monkeypatch.setattr(template_leaks, "_numbers", lambda words: calls.append(len(words)) or kept(words))
+    got = list(template_leaks.windows_of(texts, 8))
+    assert calls == [21]
+    assert [words for words, _ in got] == [(t or "").split() for t in texts]
+    for forms, (_, own) in zip(want, got):
+        assert len(forms) == len(own)
+        for (hashes, slot), (own_slot, windows, _) in zip(forms, own):
+            assert slot.tolist() == own_slot.tolist()
+            assert windows.tolist() == common.window_hashes(hashes, 8).tolist()
+    assert [k[1] for k in template_leaks._kinds(["five", "km", "rope", "Rope", "rope."])] == [1, 3, 0, 2, 8]
+    assert len({k[0] for k in template_leaks._kinds(["rope", "ROPE", "rope."])}) == 1
+
+
 @settings(max_examples=200, deadline=None)
 @given(MIXED)
 def test_counts_are_the_library_s(text):
