@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuskit.llm.bpe_counts import byte_characters
-from corpuskit.llm.common import Remembered, packed, small_batches, worker_state
+from corpuskit.llm.common import RememberedOften, packed, small_batches, worker_state
 from corpuskit.session import new_path
 
 SHARD_IDS = 1 << 16
@@ -164,7 +164,7 @@ class WordIds:
         self.special_texts = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.specials = [t.encode() for t in self.special_texts]
         self.characters = byte_characters()
-        self.words = Remembered(self._compute, np.uint32, 250_000)
+        self.words = RememberedOften(self._compute, np.uint32, 250_000)
 
     def _compute(self, words: list[bytes]) -> list[list[int]]:
         known: dict[str, list[int]] = {}

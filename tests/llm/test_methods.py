@@ -62,6 +62,15 @@ def test_words_of_a_batch_are_looked_up_once(monkeypatch):
     assert len({k[0] for k in template_leaks._kinds(["rope", "ROPE", "rope."])}) == 1
 
 
+def test_frequent_words_keep_their_ids():
+    encoder = re_pair.WordIds(Path(tokenizer_file("word_bpe_49k.json")).read_text(encoding="utf-8"))
+    encoder.words.most, compute, made = 100, encoder.words.compute, []
+    encoder.words.compute = lambda words: made.extend(words) or compute(words)
+    for k in range(20):
+        encoder.encode(["often " * 20 + " ".join(f"w{k}x{i}" for i in range(60))])
+    assert made.count(b"often") == 1
+
+
 @settings(max_examples=200, deadline=None)
 @given(MIXED)
 def test_counts_are_the_library_s(text):
