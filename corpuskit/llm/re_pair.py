@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpuskit.llm.bpe_counts import byte_characters
-from corpuskit.llm.common import RememberedOften, packed, small_batches, worker_state
+from corpuskit.llm.common import SPACES, RememberedOften, packed, small_batches, worker_state
 from corpuskit.session import new_path
 
 SHARD_IDS = 1 << 16
@@ -38,7 +38,13 @@ LEAST_COUNT = 4
 _BUCKETS = 1 << 16
 _MAGIC = b"RPR1"
 # ASCII punctuation but the apostrophe, which can belong to letters after it.
-_ENDING = re.compile(r"[!-&(-/:-@\[-`{-~]+\Z")
+_MARKS = r"!-&(-/:-@\[-`{-~"
+_ENDING = re.compile(rf"[{_MARKS}]+\Z")
+_OTHER, _MARK, _LETTER, _SPACE = range(4)
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[[b for b in range(128) if _ENDING.match(chr(b))]] = _MARK
+_KINDS[ord("a") : ord("z") + 1] = _LETTER
+_KINDS[list(SPACES.encode())] = _SPACE
 
 
 def compress(ids: np.ndarray, vocabulary: int) -> bytes:
@@ -54,12 +60,16 @@ def compress(ids: np.ndarray, vocabulary: int) -> bytes:
             break
         # One pair a bucket: the last written. Others with the same bucket wait a round.
         keys = (s[:-1] << 32) | s[1:]
-        buckets = ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.int64)
+        buckets = ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).view(np.int64)
+        # No pair is more frequent than its bucket, so most places need no further look.
+        at = np.flatnonzero((np.bincount(buckets, minlength=_BUCKETS) >= least)[buckets])
+        keys, inside = keys[at], buckets[at]
         holder = np.empty(_BUCKETS, np.int64)
-        holder[buckets] = keys
-        own = holder[buckets] == keys
-        counts = np.bincount(buckets[own], minlength=_BUCKETS)
-        chosen = _alternate(np.flatnonzero(own & (counts[buckets] >= least)))
+        holder[inside] = keys
+        own = holder[inside] == keys
+        at, inside = at[own], inside[own]
+        counts = np.bincount(inside, minlength=_BUCKETS)
+        chosen = _alternate(at[counts[inside] >= least])
         # Overlaps cost some pairs their frequency; those are left for later rounds.
         used = np.bincount(buckets[chosen], minlength=_BUCKETS)
         picked = np.flatnonzero(used >= min(least, LEAST_COUNT))
@@ -151,7 +161,8 @@ class WordIds:
     A text's ids are those of its words one after another, which holds for definitions that
     drop white space. A word is told to the library once while it is remembered; a run of
     ASCII punctuation after a letter is a piece of its own, and so the word before it is shared
-    by all its endings. Words of letters alone go to the library's model without the steps
+    by all its endings: after an ASCII letter texts are cut there at once, after others once a word
+    is looked at. Words of letters alone go to the library's model without the steps
     that would leave them as they are.
     """
 
@@ -164,15 +175,20 @@ class WordIds:
         self.special_texts = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.specials = [t.encode() for t in self.special_texts]
         self.characters = byte_characters()
-        self.words = RememberedOften(self._compute, np.uint32, 250_000)
+        self.words = RememberedOften(self._compute, np.uint32, 500_000)
 
     def _compute(self, words: list[bytes]) -> list[list[int]]:
         known: dict[str, list[int]] = {}
-        cut, others = [], []
+        cut: list[tuple[str | list[int], str]] = []  # a word of ASCII letters has its ids right away
+        others = []
         tokenize = self.tokenizer.model.tokenize
         for word in words:
             base, ending = word.decode(), ""
-            if not base.isalpha():
+            if base.isalpha():
+                if base.isascii() and base.islower():
+                    cut.append(([t.id for t in tokenize(base)], ""))
+                    continue
+            else:
                 found = _ENDING.search(base)
                 if found and found.start() and _is_plain(base, base[found.start() - 1]) and not any(x in base for x in self.special_texts):
                     base, ending = base[: found.start()], found[0]
@@ -190,18 +206,30 @@ class WordIds:
                     others.append(base)
         encoded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
         known.update((text, e.ids) for text, e in zip(others, encoded))
-        return [known[base] + known[ending] if ending else known[base] for base, ending in cut]
-
-    def split(self, text: str) -> list[bytes]:
-        raw = text.encode()
-        # Special strings are matched before case is dropped.
-        return raw.split() if any(s in raw for s in self.specials) or b"<|" in raw else raw.lower().split()
+        return [base if isinstance(base, list) else known[base] + known[ending] if ending else known[base] for base, ending in cut]
+
+    def split(self, texts: list[str]) -> tuple[list[bytes], np.ndarray]:
+        """Words of all texts, also cut between an ASCII letter and a mark, and how many there are up to the end of each."""
+        raw = [t.encode() if t else b"" for t in texts]
+        # Special strings are matched before case is dropped; their texts are cut at white space only.
+        whole = {i for i, x in enumerate(raw) if b"<|" in x or any(s in x for s in self.specials)}
+        lines = [x if i in whole else x.lower() for i, x in enumerate(raw)]
+        ends = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)) + 1)
+        flat = np.frombuffer(b"\n".join([*lines, b""]), np.uint8)
+        kinds = _KINDS[flat]
+        cuts = np.flatnonzero((kinds[1:] == _MARK) & (kinds[:-1] == _LETTER)) + 1
+        for i in whole:
+            cuts = cuts[(cuts < ends[i] - len(lines[i]) - 1) | (cuts >= ends[i])]
+        starts = np.flatnonzero((kinds != _SPACE) & (np.append(_SPACE, kinds[:-1]) == _SPACE))
+        return np.insert(flat, cuts, ord(" ")).tobytes().split(), np.searchsorted(starts, ends) + np.searchsorted(cuts, ends)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.split(t) if t else [] for t in texts]
-        ids, sizes = self.words.numbers([w for words in split for w in words])
-        ends = np.append(0, np.cumsum(sizes))[np.cumsum([len(w) for w in split])] if split else np.empty(0, np.int64)
-        return np.split(ids, ends[:-1]) if split else []
+        if not texts:
+            return []
+        words, before = self.split(texts)
+        ids, sizes = self.words.numbers(words)
+        ends = np.append(0, np.cumsum(sizes))[before]
+        return np.split(ids, ends[:-1])
 
 
 def write_ids(

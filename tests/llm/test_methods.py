@@ -62,6 +62,17 @@ def test_words_of_a_batch_are_looked_up_once(monkeypatch):
     assert len({k[0] for k in template_leaks._kinds(["rope", "ROPE", "rope."])}) == 1
 
 
+def test_a_word_is_computed_once_for_all_its_marks():
+    encoder = re_pair.WordIds(Path(tokenizer_file("word_bpe_49k.json")).read_text(encoding="utf-8"))
+    compute, made = encoder.words.compute, []
+    encoder.words.compute = lambda words: made.extend(words) or compute(words)
+    texts = ["rope, Rope. (rope) rope's.", None, "", "ab<|endoftext|>ab, Rope,", "é, a.b,c 3,0 '.' x\u00a0,y =\u0338 a=\u0338"]
+    got = [own.tolist() for own in encoder.encode(texts)]
+    assert got == [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert made.count(b"rope") == 1 and b"rope," not in made
+    assert b"ab<|endoftext|>ab," in made  # a text with a special string is cut at white space only
+
+
 def test_frequent_words_keep_their_ids():
     encoder = re_pair.WordIds(Path(tokenizer_file("word_bpe_49k.json")).read_text(encoding="utf-8"))
     encoder.words.most, compute, made = 100, encoder.words.compute, []
