@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpuskit.operators.feedback import first_query_ids
 from corpuskit.operators.skew import skewed_join
-from corpuskit.streaming.ingest import ROCKS_DB, feed_available
+from corpuskit.streaming.ingest import feed_available, keep_state_on_disk
 
 
 def _replace(df: DataFrame, path: str, *by: str) -> None:
@@ -203,7 +203,7 @@ def refresh_daily(queries: DataFrame, feedback: DataFrame, folder: str, **bounds
 def keep_daily_fresh(queries: DataFrame, feedback: DataFrame, folder: str, every: str = "1 hour", **bounds: str) -> list[StreamingQuery]:
     """The same on a timer, until the returned queries are stopped."""
     sink = DailyRefresh(folder)
-    queries.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
+    keep_state_on_disk(queries.sparkSession)
     streams = ((queries, sink.queries, "queries"), (feedback_pairs(feedback, queries, **bounds), sink.pairs, "feedback"))
     return [
         stream.writeStream.foreachBatch(write)

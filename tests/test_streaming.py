@@ -150,6 +150,26 @@ def test_feedback_meets_queries_that_come_later(spark, tmp_path):
     assert last == second | {12: (None, True), 13: (None, True), 15: (None, True), 16: (9, False)}
 
 
+def test_state_of_a_join_is_one_store(spark, tmp_path, monkeypatch):
+    asked, given = "id long, request_id string, timestamp timestamp", "id long, request_id string, timestamp timestamp"
+
+    def run(name, k):
+        add(spark, tmp_path / name / "q", [(k, f"r{k}", at(k))], asked)
+        add(spark, tmp_path / name / "f", [(k, f"r{k + 1}", at(k)), (-k, f"r{k}", at(k))], given)
+        pairs = sfb.feedback_pairs(stream(spark, tmp_path / name / "f", given), stream(spark, tmp_path / name / "q", asked))
+        table = ingest.write_available(pairs, str(tmp_path / name / "out"), "pairs")
+        return sorted((r.id, r.query_id) for r in table.collect()), {p.name for p in (tmp_path / name).rglob("*-keyToNumValues")}
+
+    assert run("new", 1) == ([(-1, 1)], set())
+    assert run("new", 2) == ([(-2, 2), (-1, 1), (1, 2)], set())
+    four = {"left-keyToNumValues", "right-keyToNumValues"}
+    with monkeypatch.context() as before:
+        before.setitem(ingest.STATE, "spark.sql.streaming.join.stateFormatVersion", "2")
+        assert run("old", 1) == ([(-1, 1)], four)
+    # What began with four stores goes on with them.
+    assert run("old", 2) == ([(-2, 2), (-1, 1), (1, 2)], four)
+
+
 def test_hot_request_is_spread(spark, tmp_path):
     asked, given = "id long, request_id string, timestamp timestamp", "id long, request_id string, timestamp timestamp"
     add(spark, tmp_path / "q", [(1, "a", at(0))], asked)
