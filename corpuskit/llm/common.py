@@ -5,8 +5,9 @@ from __future__ import annotations
 import gc
 import sys
 import types
+from collections import defaultdict
 from collections.abc import Callable, Iterator
-from itertools import chain, repeat
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -175,13 +176,18 @@ class Remembered:
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict = {}
+        self._number({})
         self.used = 0
         self.flat = np.empty(1 << 16, self.kind)
         self.starts = np.empty(1 << 14, np.int64)
         self.sizes = np.empty(1 << 14, np.int64)
 
-    def add(self, words: list) -> None:
+    def _number(self, known: dict) -> None:
+        """From now on looking up a new word gives it the next number."""
+        self.index: dict = defaultdict(count(len(known)).__next__, known)
+
+    def _add(self, words: list, first: int) -> None:
+        """Computes the numbers of words that are in the index from ``first`` on."""
         # Many small objects at once, none of them in cycles: looking for cycles would take most
         # of the time here.
         collecting = gc.isenabled()
@@ -192,7 +198,7 @@ class Remembered:
             if collecting:
                 gc.enable()
         sizes = np.fromiter(map(len, made), np.int64, len(made))
-        total, first = int(sizes.sum()), len(self.index)
+        total = int(sizes.sum())
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
         while first + len(made) > len(self.starts):
@@ -202,19 +208,24 @@ class Remembered:
             self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(made), self.kind, total)
         self.starts[first : first + len(made)] = self.used + np.cumsum(sizes) - sizes
         self.sizes[first : first + len(made)] = sizes
-        self.index.update(zip(words, range(first, first + len(made))))
         self.used += total
 
     def places(self, words: list) -> np.ndarray:
         """Number of each word; the numbers hold until the next call."""
         if len(self.index) > self.most:
             self.forget()
-        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(at < 0).tolist()
-        if missing:
-            found = [words[i] for i in missing]
-            self.add(list(dict.fromkeys(found)))
-            at[missing] = np.fromiter(map(self.index.__getitem__, found), np.int64, len(found))
+        first = len(self.index)
+        try:
+            at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+            new = np.flatnonzero(at >= first)
+            if len(new):
+                where = np.empty(len(self.index) - first, np.int64)
+                where[at[new] - first] = new
+                self._add([words[i] for i in where.tolist()], first)
+        except BaseException:
+            # The worker lives on: no word may stay without what was to be computed.
+            self._number({word: k for word, k in self.index.items() if k < first})
+            raise
         return at
 
     def numbers(self, words: list) -> tuple[np.ndarray, np.ndarray]:
@@ -243,7 +254,7 @@ class RememberedOften(Remembered):
         self.starts = np.concatenate([np.cumsum(sizes) - sizes, self.starts])
         self.sizes = np.concatenate([sizes, self.sizes])
         self.came = came
-        self.index = {words[i]: at for at, i in enumerate(kept.tolist())}
+        self._number({words[i]: at for at, i in enumerate(kept.tolist())})
 
     def _flat(self, at: np.ndarray) -> np.ndarray:
         sizes = self.sizes[at]

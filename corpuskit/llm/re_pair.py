@@ -262,7 +262,7 @@ def write_ids(
             )
 
         end = np.array([end_id], np.uint32)
-        for batch in small_batches(batches, rows=256, size=2 << 20):
+        for batch in small_batches(batches, rows=512, size=2 << 20):
             for doc, own in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
                 ids.append(doc)
                 arrays.append(np.append(own, end))

@@ -324,6 +324,21 @@ def test_pieces_apart_as_merging_says():
         assert model.stay_apart(a, b) == (model.merges(both)[0] == [model.texts[a], model.texts[b]])
 
 
+def test_a_word_that_could_not_be_computed_is_not_remembered():
+    def compute(words):
+        if "bad" in words:
+            raise ValueError("bad")
+        return [[len(w)] * len(w) for w in words]
+
+    for kind in (common.Remembered, common.RememberedOften):
+        known = kind(compute, np.int32, 100)
+        known.numbers(["a", "bb", "a"])
+        with pytest.raises(ValueError):
+            known.numbers(["ccc", "bad", "bb"])
+        ids, sizes = known.numbers(["dd", "ccc", "a", "dd"])
+        assert ids.tolist() == [2, 2, 3, 3, 3, 1, 2, 2] and sizes.tolist() == [2, 3, 1, 2]
+
+
 def test_frequent_words_stay_remembered():
     asked = []
 
