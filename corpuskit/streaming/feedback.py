@@ -3,21 +3,55 @@
 from __future__ import annotations
 
 import threading
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from corpuskit.operators.feedback import first_query_ids
 from corpuskit.operators.skew import skewed_join
 from corpuskit.streaming.ingest import feed_available, keep_state_on_disk
 
+# Queries that a task holds at once to pack them.
+_HELD_BYTES = 32 << 20
+_LISTS = {"_requests": "_request", "_ids": "query_id", "_times": "query_time"}
+
 
 def _replace(df: DataFrame, path: str, *by: str) -> None:
     """Overwrites just the folders that ``df`` has rows for."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per bucket and slot of time of a task's queries, with their columns as lists, earliest query first."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= _HELD_BYTES:
+            yield from _pack(held)
+            held, size = [], 0
+    if held:
+        yield from _pack(held)
+
+
+def _pack(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    keys = ["_bucket", "_slot"]
+    rows = pa.Table.from_batches(batches).sort_by([(k, "ascending") for k in (*keys, "query_time")]).combine_chunks()
+    if not rows.num_rows:
+        return
+    bucket, slot = (rows[k].to_numpy() for k in keys)
+    starts = np.flatnonzero(np.append(True, (np.diff(bucket) != 0) | (np.diff(slot) != 0)))
+    ends = pa.array(np.append(starts, rows.num_rows), pa.int32())
+    packed = {"_bucket": rows["_bucket"].take(starts), "_first": rows["query_time"].take(starts)}
+    packed |= {to: pa.ListArray.from_arrays(ends, rows[of].chunk(0)) for to, of in _LISTS.items()}
+    yield from pa.table(packed).to_batches(max_chunksize=1_000)
+
+
 def feedback_pairs(
     feedback: DataFrame,
     queries: DataFrame,
@@ -25,6 +59,7 @@ def feedback_pairs(
     early: str = "1 hour",
     watermark: str = "1 hour",
     shares: int = 8,
+    buckets: int = 100_800,
 ) -> DataFrame:
     """Arriving feedback with ``query_id`` and ``query_time`` of its query, both streams.
 
@@ -36,22 +71,52 @@ def feedback_pairs(
 
     A request with very much feedback is spread over ``shares`` keys, for which its query is
     repeated; feedback without a request id is spread over many, none of them a query's.
+
+    Queries that arrive in one batch are kept together, a row per bucket of request ids and slot of
+    ``within`` and ``watermark``, so the repeats cost ``shares`` rows a bucket and not a query;
+    feedback looks its query up in the rows of its bucket. Queries stay up to one slot longer for it.
+    Neither ``shares`` nor ``buckets`` may change while a stream goes on. If the number of the stream's
+    partitions divides that of buckets, no two tasks have queries of one bucket.
     """
+    request = F.col("request_id").cast("string")
+    # An hour more, as days may have 25.
+    (slot,) = feedback.sparkSession.sql(f"SELECT unix_seconds(timestamp_seconds(3600) + INTERVAL {within} + INTERVAL {watermark})").first()
     asked = (
-        queries.select(F.col("request_id").alias("_request"), F.col("id").alias("query_id"), F.col("timestamp").alias("query_time"))
+        queries.select(request.alias("_request"), F.col("id").alias("query_id"), F.col("timestamp").alias("query_time"))
         .filter("_request is not null")
         .withWatermark("query_time", watermark)
         .dropDuplicatesWithinWatermark(["_request"])
-        .withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+        .filter("query_time is not null")
+    )
+    # The hash by which Spark has dealt the requests out to find repeats.
+    placed = asked.withColumns(
+        {
+            "_bucket": F.pmod(F.hash("_request"), F.lit(buckets)),
+            "_slot": F.floor(F.unix_seconds("query_time") / slot),
+        }
+    )
+    kinds = {f.name: f.dataType for f in asked.schema.fields}
+    lists = [T.StructField(to, T.ArrayType(kinds[of])) for to, of in _LISTS.items()]
+    schema = T.StructType([T.StructField("_bucket", T.IntegerType()), T.StructField("_first", kinds["query_time"]), *lists])
+    # A row of queries is as old as its first, which is under the queries' watermark.
+    first = F.col("_first").alias("_first", metadata=asked.schema["query_time"].metadata)
+    packed = placed.mapInArrow(_packed, schema).select(
+        F.col("_bucket").alias("_in"), first, "_requests", "_ids", "_times", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("_of")
     )
     dealt = F.xxhash64("id")
     share = F.when(F.col("request_id").isNull(), -1 - F.pmod(dealt, F.lit(1 << 20))).otherwise(F.pmod(dealt, F.lit(shares)))
     given = feedback.withWatermark("timestamp", watermark).withColumns(
-        {"_key": F.coalesce("request_id", F.lit("")), "_share": share.cast("int")}
+        {"_bucket": F.pmod(F.hash(request), F.lit(buckets)), "_share": share.cast("int")}
     )
-    near = F.expr(f"query_time BETWEEN timestamp - INTERVAL {within} AND timestamp + INTERVAL {early}")
-    same = (F.col("_key") == F.col("_request")) & (F.col("_share") == F.col("_of")) & near
-    paired = given.join(asked, same, "left_outer")
+
+    def found(column: str) -> Column:
+        return F.get(column, F.array_position("_requests", request).cast("int") - 1)
+
+    near = found("_times").between(F.expr(f"timestamp - INTERVAL {within}"), F.expr(f"timestamp + INTERVAL {early}"))
+    # Follows from the line above; by it Spark knows what no row to come can meet.
+    alive = F.expr(f"_first BETWEEN timestamp - INTERVAL {within} - INTERVAL {slot + 7200} SECONDS AND timestamp + INTERVAL {early}")
+    same = (F.col("_bucket") == F.col("_in")) & (F.col("_share") == F.col("_of")) & near & alive
+    paired = given.join(packed, same, "left_outer").withColumns({"query_id": found("_ids"), "query_time": found("_times")})
     return paired.select(*feedback.columns, "query_id", "query_time", F.col("query_id").isNull().alias("is_orphan"))
 
 

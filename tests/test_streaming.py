@@ -182,6 +182,77 @@ def test_hot_request_is_spread(spark, tmp_path):
     assert table.filter("is_orphan").select("task").distinct().count() > 2
 
 
+def test_queries_of_a_batch_share_rows_of_state(spark, tmp_path):
+    asked, given = "id long, request_id string, timestamp timestamp", "id long, request_id string, timestamp timestamp"
+    near = F.pmod(F.hash(F.col("id").cast("string")), F.lit(100_800)) < 10
+    ids = sorted(r.id for r in spark.range(2_000_000).filter(near).collect())
+    assert len(ids) > 100
+    late = set(ids[::10])
+    runs = [
+        ([(i, str(i), at(k % 50)) for k, i in enumerate(ids) if i not in late], [(i, str(i), at(k % 50)) for k, i in enumerate(ids)]),
+        ([(i, str(i), at(k % 50)) for k, i in enumerate(ids) if i in late], [(-1 - i, f"no{i}", at(9)) for i in ids]),
+        ([(-1, "closing", at(9_000))], [(-1, "closing", at(9_000))]),
+    ]
+    ingest.keep_state_on_disk(spark)
+    rows = []
+    for queries, feedback in runs:
+        add(spark, tmp_path / "q", queries, asked)
+        add(spark, tmp_path / "f", feedback, given)
+        pairs = sfb.feedback_pairs(stream(spark, tmp_path / "f", given), stream(spark, tmp_path / "q", asked))
+        out = pairs.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "progress"))
+        query = out.trigger(availableNow=True).start()
+        query.awaitTermination()
+        rows.append(query.recentProgress[0]["stateOperators"][0]["numRowsTotal"])
+    # Ten buckets of eight shares, in at most two slots of time, beside the feedback.
+    assert rows[0] - len(ids) <= 160 < len(ids) * 4 and rows[1] - 2 * len(ids) <= 320
+    told = {r.id: (r.query_id, r.is_orphan) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert told == {i: (i, False) for i in ids} | {-1 - i: (None, True) for i in ids if i} | {-1: (-1, False)}
+
+
+def test_rows_of_queries_stay_as_long_as_their_last(spark, tmp_path):
+    asked, given = "id long, request_id string, timestamp timestamp", "id long, request_id string, timestamp timestamp"
+    micro = dt.timedelta(microseconds=1)
+
+    def run(queries, feedback):
+        add(spark, tmp_path / "q", queries, asked)
+        add(spark, tmp_path / "f", feedback, given)
+        pairs = sfb.feedback_pairs(stream(spark, tmp_path / "f", given), stream(spark, tmp_path / "q", asked), "1 hour", "10 minutes", "30 minutes", buckets=1)
+        table = ingest.write_available(pairs, str(tmp_path / "out"), "pairs")
+        return {r.id: (r.query_id, r.query_time) for r in table.collect()}
+
+    queries = [(k, f"r{k}", at(k)) for k in range(-200, 150)] + [(500, "none", None), (501, None, at(0))]
+    told = run(queries, [(1, "r0", at(60)), (2, "r0", at(-10)), (3, "r0", at(60) + micro), (4, "r0", at(-10) - micro), (5, "none", at(0)), (6, "r149", at(149))])
+    want = {1: (0, at(0)), 2: (0, at(0)), 6: (149, at(149)), 3: (None, None), 4: (None, None), 5: (None, None)}
+    assert told == want
+    # The watermark is at minute 119: the last of the queries can still get feedback, for which the first are too old.
+    told = run([(600, "r600", at(149))], [(7, "r100", at(150)), (8, "r148", at(150)), (9, "r80", at(150))])
+    want |= {7: (100, at(100)), 8: (148, at(148))}
+    assert told == want
+    told = run([(601, "r601", at(180))], [(10, "r149", at(190)), (11, "r145", at(200))])
+    want |= {10: (149, at(149)), 11: (145, at(145))}
+    assert told == want
+    told = run([(602, "r602", at(9_000))], [(12, "r602", at(9_000))])
+    assert told == want | {9: (None, None), 12: (602, at(9_000))}
+
+
+def test_queries_are_packed_by_bucket_and_slot(monkeypatch):
+    import pyarrow as pa
+
+    rows = [(k, 7 * k, k % 3 - 1, k // 40, 1_000 - k) for k in range(100)]
+    names = ["_request", "query_id", "_bucket", "_slot", "query_time"]
+    columns = [pa.array([str(r[0]) for r in rows]), *[pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2, 3)], pa.array([r[4] for r in rows], pa.timestamp("us", "UTC"))]
+    batches = pa.table(dict(zip(names, columns))).to_batches(max_chunksize=7)
+    for held in (1, 1 << 20):
+        monkeypatch.setattr(sfb, "_HELD_BYTES", held)
+        got = pa.Table.from_batches(sfb._packed(iter([*batches, batches[0].slice(0, 0)]))).to_pylist()
+        assert len(got) == (9 if held > 1 else len({(i // 7, r[2], r[3]) for i, r in enumerate(rows)}))
+        assert all(g["_first"] == min(g["_times"]) for g in got)
+        flat = [(q, i, g["_bucket"], t) for g in got for q, i, t in zip(g["_requests"], g["_ids"], g["_times"])]
+        want = [(q, i, b, t) for q, i, b, t in zip(*[pa.table(dict(zip(names, columns)))[n].to_pylist() for n in ("_request", "query_id", "_bucket", "query_time")])]
+        assert sorted(flat) == sorted(want)
+    assert [b.num_rows for b in sfb._packed(iter([batches[0].slice(0, 0)]))] == []
+
+
 def test_orphans_are_marked(spark, tmp_path):
     queries = spark.createDataFrame([(1, "r", at(0))], "id long, request_id string, timestamp timestamp")
     schema = "id long, request_id string"
