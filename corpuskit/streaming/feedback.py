@@ -76,7 +76,8 @@ def feedback_pairs(
     ``within`` and ``watermark``, so the repeats cost ``shares`` rows a bucket and not a query;
     feedback looks its query up in the rows of its bucket. Queries stay up to one slot longer for it.
     Neither ``shares`` nor ``buckets`` may change while a stream goes on. If the number of the stream's
-    partitions divides that of buckets, no two tasks have queries of one bucket.
+    partitions divides that of buckets, no two tasks have queries of one bucket. Batches with fewer
+    queries than buckets save nothing and cost a little; streams of such want fewer buckets.
     """
     request = F.col("request_id").cast("string")
     # An hour more, as days may have 25.
